@@ -82,3 +82,135 @@ QUERIES = {
     "sanitize_filename": sanitize_filename_q,
     "truncate_filename": truncate_filename_q,
 }
+
+
+# ---------------------------------------------------------------- wiki (L1)
+# nation plays the wiki spaces, documents the pages (space = doc_id % 25)
+
+from quire.functions.urls import attachment_url, issue_url, wiki_page_url  # noqa: E402
+from quire.operators import wiki  # noqa: E402
+from quire.operators.filters import literal_frame  # noqa: E402
+from quire.operators.ordering import ordered_concat  # noqa: E402
+
+TARGET_SPACE_KEYS = ["S3", "S7", "S11", "S4"]
+MISSING_SPACE = 13
+BANNED_ATTACHMENTS = ["^small ", "(?i)GEAR$"]
+# analogue media types of part.p_type (three of them are allowed)
+PART_MEDIA = [("ECONOMY", "application/pdf"),
+              ("SMALL", "application/vnd.openxmlformats-officedocument.wordprocessingml.document"),
+              ("MEDIUM", "application/vnd.openxmlformats-officedocument.presentationml.presentation"),
+              ("PROMO", "image/png"), ("STANDARD", "text/plain"), ("LARGE", "application/zip")]
+
+
+def _spaces(spark, sf):
+    n = _t(spark, sf, "nation")
+    return n.select(F.col("n_nationkey").cast("string").alias("id"),
+                    F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("key"),
+                    F.col("n_name").alias("name"),
+                    F.when(F.col("n_regionkey") == 4, "personal").otherwise("global").alias("type"),
+                    F.when(F.col("n_nationkey") % 6 == 5, "archived").otherwise("current").alias("status"))
+
+
+def _wiki_pages(spark, sf):
+    d = _t(spark, sf, "documents")
+    return d.select(F.col("doc_id"), F.col("doc_id").cast("string").alias("id"),
+                    (F.col("doc_id") % 25).cast("string").alias("spaceId"),
+                    F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("body"))
+
+
+def web_url_canonical(spark, sf):
+    """Page web URL rewrite, attachment and issue URLs."""
+    d = _t(spark, sf, "documents").select("doc_id", "lang", "source")
+    n = (F.col("doc_id") % 25).cast("string")
+    sid = F.col("doc_id").cast("string")
+    link = (F.when(F.col("doc_id") % 17 == 0, F.lit(None))
+            .when(F.col("doc_id") % 5 == 0, F.concat(F.lit("/spaces/S"), n, F.lit("/overview")))
+            .when(F.col("doc_id") % 3 == 0, F.concat(F.lit("/spaces/~S"), n, F.lit("/pages/"), sid, F.lit("/T")))
+            .otherwise(F.concat(F.lit("/spaces/S"), n, F.lit("/pages/"), sid, F.lit("/"), F.col("lang"))))
+    return d.select("doc_id", wiki_page_url(BASE_URL, link).alias("web_url"),
+                    attachment_url(BASE_URL, F.concat(F.lit("/download/attachments/"), sid, F.lit("/"),
+                                                      F.col("source"), F.lit(".pdf"))).alias("download_url"),
+                    issue_url(BASE_URL, F.concat(F.lit("S"), n, F.lit("-"), sid)).alias("issue_url"))
+
+
+def space_key_filter(spark, sf):
+    """Pages of the listed spaces whose key is a target key."""
+    keys = literal_frame(spark, [(k,) for k in TARGET_SPACE_KEYS], "key string")
+    spaces = wiki.target_spaces(wiki.listed_spaces(_spaces(spark, sf)), keys)
+    return wiki.pages_in_spaces(_wiki_pages(spark, sf), spaces).select("doc_id", F.col("space_key").alias("key"))
+
+
+def page_space_join(spark, sf):
+    """Every page with its space, or quarantined when its
+    space is not listed (one nation is missing from the listing)."""
+    spaces = wiki.listed_spaces(_spaces(spark, sf)).where(F.col("id") != str(MISSING_SPACE))
+    pages = _wiki_pages(spark, sf)
+    ok = wiki.pages_in_spaces(pages, spaces).select(
+        "doc_id", "space_key", "space_name", F.lit("ok").alias("status"),
+        F.md5(wiki.page_body(F.col("title"), F.col("body"))).alias("body_md5"))
+    bad = wiki.pages_without_space(pages, spaces).select(
+        "doc_id", F.lit(None).cast("string").alias("space_key"), F.lit(None).cast("string").alias("space_name"),
+        F.lit("quarantine").alias("status"), F.md5(wiki.page_body(F.col("title"), F.col("body"))).alias("body_md5"))
+    return ok.unionByName(bad)
+
+
+def _part_name(k):
+    return F.when(k % 10 == 0, F.concat(F.lit("part-"), k.cast("string"), F.lit(" & co.pdf"))).otherwise(
+        F.concat(F.lit("part-"), k.cast("string"), F.lit(".pdf")))
+
+
+def attachment_refs(spark, sf):
+    """Orders are pages whose body references the parts of its
+    even line numbers (escaped as in storage bodies); the order's parts
+    are its attachments; referenced ones are kept."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
+    marker = F.concat(F.lit('<ri:attachment ri:filename="'),
+                      F.replace(_part_name(F.col("l_partkey")), F.lit("&"), F.lit("&amp;")), F.lit('" />'))
+    even = li.where(F.col("l_linenumber") % 2 == 0)
+    bodies = ordered_concat(even, ["l_orderkey"], [("l_linenumber", True), ("l_partkey", True), ("l_suppkey", True)],
+                            lambda n, g: marker, "\n", "body")
+    pages = bodies.select(F.col("l_orderkey").alias("id"), "body")
+    atts = li.select(F.col("l_orderkey").alias("pageId"), _part_name(F.col("l_partkey")).alias("title")).distinct()
+    return wiki.referenced_attachments(atts, pages).select(F.col("pageId").alias("orderkey"),
+                                                            F.col("title").alias("name"))
+
+
+def _part_attachments(spark, sf):
+    media = literal_frame(spark, PART_MEDIA, "p_type string, mediaType string")
+    p = _t(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    return p.join(media, "p_type").select("p_partkey", F.col("p_name").alias("title"), "mediaType")
+
+
+def attachment_allowlist(spark, sf):
+    """Allowed media types with their extension."""
+    return wiki.allowed_attachments(_part_attachments(spark, sf)).select("p_partkey", "ext")
+
+
+def attachment_banned(spark, sf):
+    """Titles hit by any banned pattern (one case-insensitive) are dropped."""
+    p = _t(spark, sf, "part").select("p_partkey", F.col("p_name").alias("title"))
+    from quire.operators.filters import none_match
+    return p.where(none_match("title", BANNED_ATTACHMENTS)).select("p_partkey", F.col("title").alias("p_name"))
+
+
+def attachment_sweep(spark, sf):
+    """All allowed attachments (line items) of crawled pages
+    (finished orders), no body test."""
+    atts = _part_attachments(spark, sf).select("p_partkey", "mediaType")
+    li = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("pageId"), "l_partkey")
+    la = li.join(atts, li["l_partkey"] == atts["p_partkey"]).select("pageId", "l_partkey", "mediaType",
+                                                                    F.lit("x").alias("title"))
+    pages = _t(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("id"))
+    return wiki.attachment_sweep(la, pages).select(F.col("pageId").alias("orderkey"),
+                                                   F.col("l_partkey").alias("partkey"), "ext").distinct()
+
+
+QUERIES.update({
+    "web_url_canonical": web_url_canonical,
+    "space_key_filter": space_key_filter,
+    "page_space_join": page_space_join,
+    "attachment_refs": attachment_refs,
+    "attachment_allowlist": attachment_allowlist,
+    "attachment_banned": attachment_banned,
+    "attachment_sweep": attachment_sweep,
+})

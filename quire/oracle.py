@@ -110,3 +110,81 @@ SQL["truncate_filename"] = f"""
 WITH f AS (SELECT doc_id, {_truncate(f"({_sanitize('text')} || '.html')")} AS filename FROM documents)
 SELECT doc_id, filename, split_part('gs://corpus-bucket/docs/' || filename, '/', -1) AS base FROM f
 """
+
+_WIKI = r"/spaces/\w+/pages/\d+"
+
+SQL["web_url_canonical"] = f"""
+WITH d AS (
+  SELECT doc_id, CAST(doc_id % 25 AS VARCHAR) AS n, CAST(doc_id AS VARCHAR) AS sid, lang, source,
+    CASE WHEN doc_id % 17 = 0 THEN NULL
+         WHEN doc_id % 5 = 0 THEN '/spaces/S' || CAST(doc_id % 25 AS VARCHAR) || '/overview'
+         WHEN doc_id % 3 = 0 THEN '/spaces/~S' || CAST(doc_id % 25 AS VARCHAR) || '/pages/' || CAST(doc_id AS VARCHAR) || '/T'
+         ELSE '/spaces/S' || CAST(doc_id % 25 AS VARCHAR) || '/pages/' || CAST(doc_id AS VARCHAR) || '/' || lang END AS link
+  FROM documents
+)
+SELECT doc_id,
+  'https://corp.example.com' || CASE WHEN contains(coalesce(link, ''), '/pages/') AND regexp_matches(coalesce(link, ''), '{_WIKI}')
+       THEN '/wiki' || regexp_extract(link, '{_WIKI}', 0) ELSE coalesce(link, '') END AS web_url,
+  'https://corp.example.com/wiki/download/attachments/' || sid || '/' || source || '.pdf' AS download_url,
+  'https://corp.example.com/browse/S' || n || '-' || sid AS issue_url
+FROM d
+"""
+
+_SPACES = """
+  SELECT CAST(n_nationkey AS VARCHAR) AS id, 'S' || CAST(n_nationkey AS VARCHAR) AS key, n_name AS name,
+    CASE WHEN n_regionkey = 4 THEN 'personal' ELSE 'global' END AS type,
+    CASE WHEN n_nationkey % 6 = 5 THEN 'archived' ELSE 'current' END AS status
+  FROM nation
+"""
+
+SQL["space_key_filter"] = f"""
+WITH s AS ({_SPACES})
+SELECT d.doc_id, s.key FROM documents d JOIN s ON CAST(d.doc_id % 25 AS VARCHAR) = s.id
+WHERE s.type = 'global' AND s.status = 'current' AND s.key IN ('S3', 'S7', 'S11', 'S4')
+"""
+
+SQL["page_space_join"] = f"""
+WITH s AS (SELECT * FROM ({_SPACES}) WHERE type = 'global' AND status = 'current' AND id <> '13'),
+p AS (SELECT doc_id, CAST(doc_id % 25 AS VARCHAR) AS space_id,
+        md5(split_part(text, chr(10), 1) || chr(10) || chr(10) || text) AS body_md5 FROM documents)
+SELECT p.doc_id, s.key AS space_key, s.name AS space_name,
+  CASE WHEN s.id IS NULL THEN 'quarantine' ELSE 'ok' END AS status, p.body_md5
+FROM p LEFT JOIN s ON p.space_id = s.id
+"""
+
+SQL["attachment_refs"] = """
+WITH li AS (SELECT l_orderkey, l_partkey, l_linenumber,
+  CASE WHEN l_partkey % 10 = 0 THEN 'part-' || CAST(l_partkey AS VARCHAR) || ' & co.pdf'
+       ELSE 'part-' || CAST(l_partkey AS VARCHAR) || '.pdf' END AS title FROM lineitem),
+refs AS (SELECT DISTINCT l_orderkey, replace(title, '&', '&amp;') AS name FROM li WHERE l_linenumber % 2 = 0)
+SELECT DISTINCT li.l_orderkey AS orderkey, li.title AS name
+FROM li JOIN refs ON li.l_orderkey = refs.l_orderkey AND li.title = refs.name
+"""
+
+_PART_MEDIA = """
+  SELECT p_partkey, p_name, CASE p_type
+    WHEN 'ECONOMY' THEN 'application/pdf'
+    WHEN 'SMALL' THEN 'application/vnd.openxmlformats-officedocument.wordprocessingml.document'
+    WHEN 'MEDIUM' THEN 'application/vnd.openxmlformats-officedocument.presentationml.presentation'
+    WHEN 'PROMO' THEN 'image/png' WHEN 'STANDARD' THEN 'text/plain' WHEN 'LARGE' THEN 'application/zip' END AS media
+  FROM part
+"""
+_ALLOW = """
+  SELECT * FROM (VALUES ('pdf', 'application/pdf'),
+    ('docx', 'application/vnd.openxmlformats-officedocument.wordprocessingml.document'),
+    ('pptx', 'application/vnd.openxmlformats-officedocument.presentationml.presentation')) t(ext, media)
+"""
+
+SQL["attachment_allowlist"] = f"""
+SELECT p.p_partkey, a.ext FROM ({_PART_MEDIA}) p JOIN ({_ALLOW}) a ON p.media = a.media
+"""
+
+SQL["attachment_banned"] = """
+SELECT p_partkey, p_name FROM part WHERE NOT regexp_matches(p_name, '(?:^small )|(?:(?i)GEAR$)')
+"""
+
+SQL["attachment_sweep"] = f"""
+SELECT DISTINCT l.l_orderkey AS orderkey, l.l_partkey AS partkey, a.ext
+FROM lineitem l JOIN ({_PART_MEDIA}) p ON l.l_partkey = p.p_partkey JOIN ({_ALLOW}) a ON p.media = a.media
+WHERE l.l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+"""
