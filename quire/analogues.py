@@ -214,3 +214,56 @@ QUERIES.update({
     "attachment_banned": attachment_banned,
     "attachment_sweep": attachment_sweep,
 })
+
+
+# ---------------------------------------------------------------- graphs
+
+from quire.plans.graph import bounded_crawl as _bounded_crawl, closure as _closure  # noqa: E402
+
+CLOSURE_SEEDS = [2, 7]
+CLOSURE_EXCLUDES = [7, 9]
+CRAWL_SEEDS = [0, 1]
+CRAWL_DEPTH = 3
+
+
+def _child_edges(spark, sf):
+    p = _t(spark, sf, "pages").select(F.col("page_id").alias("i"))
+    i = F.col("i")
+    tree = p.where(i >= 1).select((i / 4).cast("long").alias("src"), i.alias("dst"))
+    diamond = p.where((i % 6 == 0) & (i > 0)).select((i / 3).cast("long").alias("src"), i.alias("dst"))
+    back = p.where((i % 11 == 0) & (i >= 64)).select(i.alias("src"), (i / 16).cast("long").alias("dst"))
+    loops = p.where(i % 13 == 0).select(i.alias("src"), i.alias("dst"))
+    return tree.unionByName(diamond).unionByName(back).unionByName(loops)
+
+
+def child_page_closure(spark, sf):
+    """All pages below the seed pages (child edges with
+    diamonds, cycles and self-loops), excluded pages removed after the
+    expansion so their descendants stay."""
+    seeds = literal_frame(spark, [(s,) for s in CLOSURE_SEEDS], "id long")
+    excl = literal_frame(spark, [(s,) for s in CLOSURE_EXCLUDES], "id long")
+    return _closure(_child_edges(spark, sf), seeds).join(excl, "id", "left_anti")
+
+
+def bounded_crawl(spark, sf):
+    """Pages saved by a depth-3 crawl from two seeds; pages
+    with a banned URL are never visited, banned-title pages are visited
+    but neither saved nor expanded. Links: i -> (7i+3) mod N, (5i+1) mod N."""
+    pages = web.with_titles(web.identify_pages(_t(spark, sf, "pages").select("page_id", "url", "html")),
+                            banned_title_patterns=TITLE_BAN)
+    from quire.operators.filters import any_match
+    blocked = pages.where(any_match("norm_url", URL_BAN)).select(F.col("page_id").alias("id"))
+    stoppers = pages.where(F.col("title_banned")).select(F.col("page_id").alias("id"))
+    base = _t(spark, sf, "pages").select(F.col("page_id").alias("i"))
+    n = base.select(F.count(F.lit(1))).scalar()
+    edges = base.select(F.col("i").alias("src"), F.pmod(F.col("i") * 7 + 3, n).alias("dst")).unionByName(
+        base.select(F.col("i").alias("src"), F.pmod(F.col("i") * 5 + 1, n).alias("dst")))
+    seeds = literal_frame(spark, [(s,) for s in CRAWL_SEEDS], "id long")
+    hit = _bounded_crawl(edges, seeds, CRAWL_DEPTH, blocked=blocked, stoppers=stoppers)
+    return hit.join(stoppers, "id", "left_anti").select("id", "hop")
+
+
+QUERIES.update({
+    "child_page_closure": child_page_closure,
+    "bounded_crawl": bounded_crawl,
+})

@@ -188,3 +188,28 @@ SELECT DISTINCT l.l_orderkey AS orderkey, l.l_partkey AS partkey, a.ext
 FROM lineitem l JOIN ({_PART_MEDIA}) p ON l.l_partkey = p.p_partkey JOIN ({_ALLOW}) a ON p.media = a.media
 WHERE l.l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
 """
+
+SQL["child_page_closure"] = """
+WITH RECURSIVE e AS (
+  SELECT page_id // 4 AS src, page_id AS dst FROM pages WHERE page_id >= 1
+  UNION ALL SELECT page_id // 3, page_id FROM pages WHERE page_id % 6 = 0 AND page_id > 0
+  UNION ALL SELECT page_id, page_id // 16 FROM pages WHERE page_id % 11 = 0 AND page_id >= 64
+  UNION ALL SELECT page_id, page_id FROM pages WHERE page_id % 13 = 0),
+r(id) AS (SELECT * FROM (VALUES (2::BIGINT), (7::BIGINT)) s(id) UNION SELECT e.dst FROM r JOIN e ON e.src = r.id)
+SELECT id FROM r WHERE id NOT IN (7, 9)
+"""
+
+SQL["bounded_crawl"] = f"""
+WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages),
+t AS (SELECT page_id, {_norm('url')} AS norm_url, {_title('html')} AS title FROM pages),
+blocked AS (SELECT page_id FROM t WHERE regexp_matches(norm_url, '(?:spam-farm\\.)|(?:(?i)cheap-PILLS)')),
+stop AS (SELECT page_id FROM t WHERE coalesce(regexp_matches(title, '(?:(?i).*nicht.*)'), false)),
+e AS (SELECT page_id AS src, (7 * page_id + 3) % n.n AS dst FROM pages, n
+      UNION ALL SELECT page_id, (5 * page_id + 1) % n.n FROM pages, n),
+r(id, hop) AS (
+  SELECT s.id, 0 FROM (VALUES (0::BIGINT), (1::BIGINT)) s(id) WHERE s.id NOT IN (SELECT page_id FROM blocked)
+  UNION
+  SELECT e.dst, r.hop + 1 FROM r JOIN e ON e.src = r.id
+  WHERE r.hop < 2 AND r.id NOT IN (SELECT page_id FROM stop) AND e.dst NOT IN (SELECT page_id FROM blocked))
+SELECT id, CAST(min(hop) AS INTEGER) AS hop FROM r WHERE id NOT IN (SELECT page_id FROM stop) GROUP BY id
+"""
