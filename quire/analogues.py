@@ -267,3 +267,149 @@ QUERIES.update({
     "child_page_closure": child_page_closure,
     "bounded_crawl": bounded_crawl,
 })
+
+
+# ---------------------------------------------------------------- issues (L2)
+# orders play issues (key O-<orderkey>), customers epics (C-<custkey>),
+# conversations comments, line items test steps.
+
+from quire.operators import issues as iss  # noqa: E402
+from quire.operators.ordering import number_rows  # noqa: E402
+
+FIELD_MAP = {"K": "k"}  # custom field display name -> key in the field map
+DONE_PRIORITIES = ["1-URGENT", "2-HIGH"]
+TS_FMT = "yyyy-MM-dd HH:mm:ss"
+
+
+def _key(prefix, c):
+    return F.concat(F.lit(prefix), F.col(c).cast("string"))
+
+
+def custom_field_pick(spark, sf):
+    """P5: a custom field picked from each record's field map by the
+    name -> key map."""
+    e = _t(spark, sf, "events").select("event_id", F.from_json("props", "map<string,string>").alias("custom"))
+    return e.select("event_id", iss.pick_custom(F.col("custom"), FIELD_MAP["K"]).alias("k"))
+
+
+ATTACH_PAGE = 16  # landed attachment lists come in pages of this size
+
+
+def nested_attachments(spark, sf):
+    """Landed nested attachment lists (conversation turns, in
+    response pages of 16) reshaped and counted, then summed and listed per
+    record in order."""
+    c = _t(spark, sf, "conversations").select("conv_id", "turn", "role")
+    landed = c.groupBy("conv_id", (F.col("turn") / ATTACH_PAGE).cast("long").alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct(
+            "turn", F.col("role").alias("mimeType"),
+            F.concat(F.lit("turn-"), F.col("turn").cast("string"), F.lit(".txt")).alias("filename"),
+            F.lit(None).cast("string").alias("created"), F.lit(None).cast("string").alias("content")))).alias("att"))
+    att = landed.select("conv_id", "page",
+                        iss.attachment_list(F.transform("att", lambda a: a.dropFields("turn"))).alias("a"),
+                        iss.count_or_zero(F.col("att")).alias("n"))
+    names = att.select("conv_id", "page", "n", F.array_join(F.transform(
+        "a", lambda x: F.concat(x["mimeType"], F.lit(":"), x["filename"])), ",").alias("names"))
+    counts = names.groupBy("conv_id").agg(F.sum("n").alias("n"))
+    listing = ordered_concat(names, ["conv_id"], [("page", True)], lambda n, g: g("names"), ",", "names")
+    return counts.join(listing, "conv_id").select("conv_id", F.col("n").cast("long").alias("n"), "names")
+
+
+def jql_done_stories(spark, sf):
+    """Issues matching status / type / date predicates, ranked
+    by update time descending (key as tie-break)."""
+    o = _t(spark, sf, "orders").where(
+        (F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isin(DONE_PRIORITIES)
+        & (F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp"))).select("o_orderkey", "o_orderdate")
+    return number_rows(o, [], [("o_orderdate", False), ("o_orderkey", True)], "rank").select("o_orderkey", "rank")
+
+
+def _issue_rows(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    n = _t(spark, sf, "nation").select("n_nationkey", "n_name")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, F.col("c_nationkey") == n["n_nationkey"])
+    k = F.col("o_orderkey")
+    labels = (F.when(k % 7 == 0, F.lit(None).cast("array<string>"))
+              .when(k % 3 == 0, F.array().cast("array<string>"))
+              .when(k % 3 == 1, F.array("c_mktsegment"))
+              .otherwise(F.array("c_mktsegment", "o_orderstatus")))
+    desc = (F.when(k % 4 == 0, F.lit(None).cast("string")).when(k % 9 == 0, F.lit(""))
+            .otherwise(F.concat(F.lit("Order of "), F.col("c_name"), F.lit(" in "), F.col("n_name"),
+                                F.lit(" ("), F.col("o_orderstatus"), F.lit(")"))))
+    return j.select(
+        "o_orderkey", _key("O-", "o_orderkey").alias("key"), F.col("o_orderpriority").alias("issue_type"),
+        F.col("c_name").alias("title"), F.col("n_name").alias("project"), labels.alias("labels"),
+        F.date_format("o_orderdate", TS_FMT).alias("created"),
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T12:00:00")).alias("updated"),
+        F.when(F.col("o_custkey") % 2 == 0, _key("C-", "o_custkey")).otherwise(F.lit("")).alias("epic"),
+        ((k % 7) / 2.0).alias("points"), desc.alias("description"))
+
+
+def issue_document(spark, sf):
+    """One rendered document per issue."""
+    r = _issue_rows(spark, sf)
+    body = iss.issue_body(F.col("key"), F.col("issue_type"), F.col("title"), F.col("project"), F.col("labels"),
+                          F.col("created"), F.col("updated"),
+                          [("Epic", F.col("epic"), False), ("Story Points", F.col("points"), True)],
+                          F.col("description"))
+    return r.select("o_orderkey", iss.issue_title(F.col("key"), F.col("title")).alias("title"),
+                    issue_url(BASE_URL, F.col("key")).alias("url"), body.alias("body"))
+
+
+def issue_comments_block(spark, sf):
+    """Documents are the issues, conversation turns their
+    comments; issues without comments get an empty block."""
+    issues = _t(spark, sf, "documents").select(F.col("doc_id").alias("issue_id"))
+    c = _t(spark, sf, "conversations").select(
+        "conv_id", "turn", F.col("role").alias("author"), F.col("text").alias("body"),
+        F.concat(F.lit("turn "), F.col("turn").cast("string")).alias("updated"))
+    blocks = iss.comments_block(c, "conv_id", [("turn", True)], "author", "updated", "body", "block")
+    return iss.attach_blocks(issues, "issue_id", (blocks, "block")).select("issue_id", "block")
+
+
+_STEP_ORDER = [("l_linenumber", True), ("l_partkey", True), ("l_suppkey", True), ("l_quantity", True),
+               ("l_extendedprice", True), ("l_discount", True), ("l_tax", True), ("l_returnflag", True),
+               ("l_linestatus", True), ("l_shipdate", True)]
+
+
+def issue_steps_block(spark, sf):
+    """Line items are test steps (orderId = line number,
+    not unique: ties ordered by the remaining columns); some parts are
+    missing and leave empty elements."""
+    orders = _t(spark, sf, "orders").select("o_orderkey")
+    li = _t(spark, sf, "lineitem")
+    steps = li.select(
+        "l_orderkey", *[c for c, _ in _STEP_ORDER],
+        F.concat(F.lit("Ship part "), F.col("l_partkey").cast("string"), F.lit(" from "),
+                 F.col("l_suppkey").cast("string")).alias("step"),
+        F.when(F.col("l_returnflag") == "R", F.lit(None).cast("string")).otherwise(
+            F.concat(F.lit("qty "), F.col("l_quantity").cast("long").cast("string"))).alias("data"),
+        F.when(F.col("l_linestatus") == "O", F.lit("")).otherwise(
+            F.concat(F.lit("status "), F.col("l_linestatus"))).alias("result"))
+    blocks = iss.steps_block(steps, "l_orderkey", _STEP_ORDER, "step", "data", "result", "block")
+    return iss.attach_blocks(orders, "o_orderkey", (blocks, "block")).select("o_orderkey", "block")
+
+
+def epic_summary(spark, sf):
+    """Customers are epics, their finished orders the
+    done stories, newest first; epics without stories are dropped."""
+    epics = _t(spark, sf, "customer").select("c_custkey", _key("C-", "c_custkey").alias("epic_key"), "c_name")
+    stories = _t(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(
+        _key("C-", "o_custkey").alias("epic_link"), _key("O-", "o_orderkey").alias("story_key"),
+        F.col("o_orderpriority").alias("story_title"), F.date_format("o_orderdate", TS_FMT).alias("updated"),
+        "o_orderdate", "o_orderkey")
+    s = iss.epic_summaries(epics, stories, "epic_key", "c_name", "epic_link", "story_key", "story_title",
+                           "updated", [("o_orderdate", False), ("o_orderkey", True)])
+    return s.select("c_custkey", iss.epic_title(F.col("epic_key"), F.col("c_name")).alias("title"), "body")
+
+
+QUERIES.update({
+    "custom_field_pick": custom_field_pick,
+    "nested_attachments": nested_attachments,
+    "jql_done_stories": jql_done_stories,
+    "issue_document": issue_document,
+    "issue_comments_block": issue_comments_block,
+    "issue_steps_block": issue_steps_block,
+    "epic_summary": epic_summary,
+})

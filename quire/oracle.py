@@ -213,3 +213,99 @@ r(id, hop) AS (
   WHERE r.hop < 2 AND r.id NOT IN (SELECT page_id FROM stop) AND e.dst NOT IN (SELECT page_id FROM blocked))
 SELECT id, CAST(min(hop) AS INTEGER) AS hop FROM r WHERE id NOT IN (SELECT page_id FROM stop) GROUP BY id
 """
+
+SQL["custom_field_pick"] = """
+SELECT event_id, json_extract_string(props, '$.k') AS k FROM events
+"""
+
+SQL["nested_attachments"] = """
+SELECT conv_id, count(*) AS n, string_agg(role || ':turn-' || CAST(turn AS VARCHAR) || '.txt', ',' ORDER BY turn) AS names
+FROM conversations GROUP BY conv_id
+"""
+
+SQL["jql_done_stories"] = """
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS rank
+FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')
+  AND o_orderdate >= TIMESTAMP '1995-01-01'
+"""
+
+_NL2 = "chr(10) || chr(10)"
+
+SQL["issue_document"] = f"""
+WITH j AS (
+  SELECT o.o_orderkey, 'O-' || CAST(o.o_orderkey AS VARCHAR) AS key, o.o_orderpriority AS issue_type,
+    c.c_name AS title, n.n_name AS project,
+    CASE WHEN o.o_orderkey % 7 = 0 THEN NULL WHEN o.o_orderkey % 3 = 0 THEN []::VARCHAR[]
+         WHEN o.o_orderkey % 3 = 1 THEN [c.c_mktsegment] ELSE [c.c_mktsegment, o.o_orderstatus] END AS labels,
+    strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS created,
+    strftime(o.o_orderdate, '%Y-%m-%d') || 'T12:00:00' AS updated,
+    CASE WHEN o.o_custkey % 2 = 0 THEN 'C-' || CAST(o.o_custkey AS VARCHAR) ELSE '' END AS epic,
+    (o.o_orderkey % 7) / 2.0 AS points,
+    CASE WHEN o.o_orderkey % 4 = 0 THEN NULL WHEN o.o_orderkey % 9 = 0 THEN ''
+         ELSE 'Order of ' || c.c_name || ' in ' || n.n_name || ' (' || o.o_orderstatus || ')' END AS description
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+)
+SELECT o_orderkey, '[' || key || '] ' || title AS title, 'https://corp.example.com/browse/' || key AS url,
+  concat_ws({_NL2},
+    'Issue Key: ' || key, 'Issue Type: ' || issue_type, 'Title: ' || title, 'Project Name: ' || project,
+    CASE WHEN len(labels) > 0 THEN 'Labels: ' || array_to_string(labels, ', ') END,
+    'Created Time: ' || created, 'Updated Time: ' || updated,
+    CASE WHEN epic <> '' THEN 'Epic: ' || epic END,
+    CASE WHEN points <> 0 THEN 'Story Points: ' || regexp_replace(CAST(CAST(points AS DOUBLE) AS VARCHAR), '\\.0$', '') END,
+    CASE WHEN coalesce(description, '') <> '' THEN 'Description: ' || chr(10) || description END) AS body
+FROM j
+"""
+
+SQL["issue_comments_block"] = f"""
+WITH c AS (
+  SELECT conv_id, turn, 'Comment Number: ' || CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS VARCHAR)
+    || {_NL2} || 'Comment Author: ' || coalesce(role, '') || {_NL2} || 'Comment Updated Time: turn ' || CAST(turn AS VARCHAR)
+    || {_NL2} || 'Comment Body: ' || chr(10) || coalesce(text, '') AS elem
+  FROM conversations
+), b AS (
+  SELECT conv_id, {_NL2} || 'Comments:' || chr(10) || '=====' || chr(10)
+    || string_agg(elem, chr(10) || '=====' || chr(10) ORDER BY turn) || chr(10) || '=====' || chr(10) AS block
+  FROM c GROUP BY conv_id
+)
+SELECT d.doc_id AS issue_id, coalesce(b.block, '') AS block FROM documents d LEFT JOIN b ON d.doc_id = b.conv_id
+"""
+
+_STEP_ORDER_SQL = ("l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
+                   "l_returnflag, l_linestatus, l_shipdate")
+
+SQL["issue_steps_block"] = f"""
+WITH s AS (
+  SELECT l_orderkey, {_STEP_ORDER_SQL},
+    'Ship part ' || CAST(l_partkey AS VARCHAR) || ' from ' || CAST(l_suppkey AS VARCHAR) AS step,
+    CASE WHEN l_returnflag = 'R' THEN NULL ELSE 'qty ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS data,
+    CASE WHEN l_linestatus = 'O' THEN '' ELSE 'status ' || l_linestatus END AS result
+  FROM lineitem
+), e AS (
+  SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_STEP_ORDER_SQL}) AS n, step, data, result
+  FROM s
+), x AS (
+  SELECT l_orderkey, n, 'Test Number: ' || CAST(n AS VARCHAR) || {_NL2}
+    || CASE WHEN coalesce(step, '') <> '' THEN 'Test Step: ' || chr(10) || step ELSE '' END || {_NL2}
+    || CASE WHEN coalesce(data, '') <> '' THEN 'Test Data: ' || chr(10) || data ELSE '' END || {_NL2}
+    || CASE WHEN coalesce(result, '') <> '' THEN 'Test Result: ' || chr(10) || result ELSE '' END AS elem
+  FROM e
+), b AS (
+  SELECT l_orderkey, {_NL2} || 'Zephyr Tests Scenarios:' || chr(10) || '=====' || chr(10)
+    || string_agg(elem, chr(10) || '===' || chr(10) ORDER BY n) || chr(10) || '=====' || chr(10) AS block
+  FROM x GROUP BY l_orderkey
+)
+SELECT o.o_orderkey, coalesce(b.block, '') AS block FROM orders o LEFT JOIN b ON o.o_orderkey = b.l_orderkey
+"""
+
+SQL["epic_summary"] = """
+WITH s AS (
+  SELECT o_custkey, string_agg('O-' || CAST(o_orderkey AS VARCHAR) || ': ' || o_orderpriority
+    || ' [Last Updated On: ' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ']' || chr(10), ''
+    ORDER BY o_orderdate DESC, o_orderkey) AS listing
+  FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey
+)
+SELECT c.c_custkey, '[C-' || CAST(c.c_custkey AS VARCHAR) || '] Epic: ' || c.c_name AS title,
+  'Epic ID: C-' || CAST(c.c_custkey AS VARCHAR) || chr(10) || 'Epic Title: ' || c.c_name || chr(10) || '=====' || chr(10)
+  || 'Listing of User Stories:' || chr(10) || chr(10) || s.listing AS body
+FROM customer c JOIN s ON c.c_custkey = s.o_custkey
+"""
