@@ -413,3 +413,165 @@ QUERIES.update({
     "issue_steps_block": issue_steps_block,
     "epic_summary": epic_summary,
 })
+
+
+# ---------------------------------------------------------------- catalog
+
+from quire.plans import catalog as cat  # noqa: E402
+from quire.plans import publish as pub  # noqa: E402
+from quire.plans.targets import dispatch, targets_frame  # noqa: E402
+from quire.sources import landed  # noqa: E402
+from quire.operators.dedupe import first_by, latest_by  # noqa: E402
+
+TARGET = "docs"
+TARGETS = {
+    "web-a": {"uploadDestination": "store", "sources": [{"source": "web", "type": "url", "items": ["seed"]}]},
+    "web-b": {"uploadDestination": "store", "sources": [{"source": "web", "type": "url", "items": ["seed"]}]},
+    "wiki": {"uploadDestination": "store", "sources": [{"source": "confluence", "type": "pages", "items": ["1"]}]},
+    "issues": {"uploadDestination": "dataset", "sources": [{"source": "jira", "type": "query", "items": ["q"]}]},
+    "other": {"uploadDestination": "none", "sources": [{"source": "unknown", "type": "x", "items": ["y"]}]},
+}
+
+
+def _doc_metadata(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    fname = wiki.page_file_name(F.col("source"), F.col("doc_id").cast("string"))
+    created = F.concat(F.lit("2024-01-"), F.lpad(((F.col("doc_id") % 28) + 1).cast("string"), 2, "0"),
+                       F.lit("T00:00:00.000Z"))
+    rec = cat.metadata_record(F.col("doc_id"), F.substring_index("text", "\n", 1),
+                              wiki_page_url(BASE_URL, F.concat(F.lit("/spaces/"), F.col("source"), F.lit("/pages/"),
+                                                               F.col("doc_id").cast("string"), F.lit("/x"))),
+                              created, F.lit("text/html"), cat.storage_uri(BUCKET, TARGET, fname),
+                              space_name=F.col("lang"))
+    return d.select("doc_id", "text", fname.alias("filename"), rec.alias("metadata"))
+
+
+def metadata_records(spark, sf):
+    """The NDJSON metadata line of every document."""
+    return _doc_metadata(spark, sf).select("doc_id", cat.metadata_line(F.col("metadata")).alias("json"))
+
+
+def target_union(spark, sf):
+    """Source jobs dispatched to the crawl targets that name
+    them (two targets share the web source, one source is unknown), then
+    counted per target, source and media type."""
+    tg = targets_frame(spark, TARGETS)
+    pages = _t(spark, sf, "pages").select(F.lit("text/html").alias("mime"))
+    docs = _t(spark, sf, "documents").select(F.lit("text/html").alias("mime"))
+    atts = wiki.allowed_attachments(_part_attachments(spark, sf)).select(F.col("mediaType").alias("mime"))
+    orders = _t(spark, sf, "orders").select(F.lit("text/html").alias("mime"))
+    rows = dispatch(tg, {("web", "url"): pages, ("confluence", "pages"): docs.unionByName(atts),
+                         ("jira", "query"): orders})
+    return cat.run_counts(rows, ["crawl_target", "source", "mime"])
+
+
+def catalog_upsert(spark, sf):
+    """A4 P20 K3: latest record per key (user) by (ts, event_id)."""
+    e = _t(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    return latest_by(e, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type")
+
+
+def document_overwrite(spark, sf):
+    """A5: last write wins per (user, event type)."""
+    e = _t(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
+    return latest_by(e, ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
+
+
+def attachment_first_wins(spark, sf):
+    """First write wins per (user, event type)."""
+    e = _t(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
+    return first_by(e, ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
+
+
+# ---------------------------------------------------------------- landed pages
+
+PAGE_SIZE = 50
+
+
+def offset_page_audit(spark, sf):
+    """Orders of each status landed as search pages of 50 (every
+    11th page missing); the audit reports pages, rows, total and gaps."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    ranked = number_rows(o, ["o_orderstatus"], [("o_orderkey", True)], "rn")
+    paged = ranked.withColumn("page", ((F.col("rn") - 1) / PAGE_SIZE).cast("long"))
+    totals = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("total"))
+    resp = paged.where(F.col("page") % 11 != 10).groupBy("o_orderstatus", "page").agg(
+        F.collect_list(F.struct(F.col("o_orderkey").cast("string").alias("id"))).alias("issues"))
+    resp = resp.join(totals, "o_orderstatus").select(
+        F.concat(F.lit("status="), F.col("o_orderstatus")).alias("request"),
+        (F.col("page") * PAGE_SIZE).alias("startAt"), F.lit(PAGE_SIZE).cast("long").alias("maxResults"),
+        F.col("total"), "issues")
+    return landed.offset_audit(resp).select("request", "pages", "rows", "total", "has_gap")
+
+
+CURSOR_PAGE = 100
+
+
+def _event_pages(spark, sf):
+    e = _t(spark, sf, "events").select("event_id")
+    last = e.select(F.max((F.col("event_id") / CURSOR_PAGE).cast("long"))).scalar()
+    return e, last
+
+
+def cursor_page_audit(spark, sf):
+    """S3: events landed as cursor pages of 100 with next links, every 7th
+    page missing; dangling next links are reported."""
+    e, last = _event_pages(spark, sf)
+    p = e.withColumn("p", (F.col("event_id") / CURSOR_PAGE).cast("long"))
+    resp = p.where(F.col("p") % 7 != 3).groupBy("p").agg(F.count(F.lit(1)).alias("n")).select(
+        F.concat(F.lit("/events?page="), F.col("p").cast("string")).alias("request_path"),
+        F.when(F.col("p") < last, F.concat(F.lit("/events?page="), (F.col("p") + 1).cast("string"))).alias("next_link"))
+    return landed.cursor_audit(resp)
+
+
+def purge_id_list(spark, sf):
+    """Document listings in numbered pages that overlap by 10 ids
+    (has_more on all but the last); each id once."""
+    e, last = _event_pages(spark, sf)
+    own = e.select("event_id", (F.col("event_id") / CURSOR_PAGE).cast("long").alias("page"))
+    dup = own.where((F.col("event_id") % CURSOR_PAGE < 10) & (F.col("page") > 0)).select(
+        "event_id", (F.col("page") - 1).alias("page"))
+    resp = own.unionByName(dup).groupBy("page").agg(
+        F.collect_list(F.struct(F.col("event_id").alias("id"))).alias("data")).withColumn(
+        "has_more", F.col("page") < last)
+    return landed.distinct_ids(resp)
+
+
+# ---------------------------------------------------------------- publish
+
+def snapshot_diff(spark, sf):
+    """K5 K4: catalog of the previous run vs this run (documents; prev
+    misses doc_id % 5 = 0, new misses doc_id % 7 = 0, text edited when
+    doc_id % 11 = 0): insert / update / delete / same per document."""
+    d = _t(spark, sf, "documents").select("doc_id", "text")
+    prev = d.where(F.col("doc_id") % 5 != 0)
+    new = d.where(F.col("doc_id") % 7 != 0).withColumn(
+        "text", F.when(F.col("doc_id") % 11 == 0, F.concat(F.col("text"), F.lit(" (edited)"))).otherwise(F.col("text")))
+    return pub.snapshot_diff(prev, new, ["doc_id"], ["text"])
+
+
+def upload_manifest(spark, sf):
+    """Metadata records of targets with a store, matched to
+    the written bodies by file name (every 13th body missing)."""
+    m = _doc_metadata(spark, sf).select(
+        "doc_id", F.concat(F.lit("wiki-"), (F.col("doc_id") % 3).cast("string")).alias("crawl_target"),
+        F.col("metadata.content.uri").alias("uri"))
+    bodies = _doc_metadata(spark, sf).where(F.col("doc_id") % 13 != 0).select(
+        F.concat(F.lit("wiki-"), (F.col("doc_id") % 3).cast("string")).alias("crawl_target"), "filename")
+    stores = literal_frame(spark, [("wiki-0", "store-0"), ("wiki-1", "store-1")], "target string, store_id string")
+    man = pub.upload_manifest(pub.with_store(m, stores), bodies)
+    return man.select("doc_id", "filename", "status")
+
+
+QUERIES.update({
+    "metadata_records": metadata_records,
+    "target_union": target_union,
+    "catalog_upsert": catalog_upsert,
+    "document_overwrite": document_overwrite,
+    "attachment_first_wins": attachment_first_wins,
+    "offset_page_audit": offset_page_audit,
+    "cursor_page_audit": cursor_page_audit,
+    "purge_id_list": purge_id_list,
+    "snapshot_diff": snapshot_diff,
+    "upload_manifest": upload_manifest,
+})

@@ -309,3 +309,92 @@ SELECT c.c_custkey, '[C-' || CAST(c.c_custkey AS VARCHAR) || '] Epic: ' || c.c_n
   || 'Listing of User Stories:' || chr(10) || chr(10) || s.listing AS body
 FROM customer c JOIN s ON c.c_custkey = s.o_custkey
 """
+
+_DOC_STEM = _sanitize("'confluence-cloud ' || source || ' ' || CAST(doc_id AS VARCHAR)")
+_DOC_FILE = _truncate(f"({_DOC_STEM} || '.html')")
+
+SQL["metadata_records"] = f"""
+SELECT doc_id, CAST(to_json({{
+  'id': CAST(doc_id AS VARCHAR),
+  'structData': {{'title': split_part(text, chr(10), 1), 'spaceName': lang,
+     'webUrl': 'https://corp.example.com' || CASE WHEN regexp_matches('/spaces/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '/x', '{_WIKI}')
+          THEN '/wiki' || regexp_extract('/spaces/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '/x', '{_WIKI}', 0)
+          ELSE '/spaces/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '/x' END,
+     'createdAt': '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00.000Z'}},
+  'content': {{'mimeType': 'text/html', 'uri': 'gs://corpus-bucket/docs/' || {_DOC_FILE}}}
+}}) AS VARCHAR) AS json
+FROM documents
+"""
+
+SQL["target_union"] = f"""
+WITH r AS (
+  SELECT 'web' AS source, 'text/html' AS mime FROM pages
+  UNION ALL SELECT 'confluence', 'text/html' FROM documents
+  UNION ALL SELECT 'confluence', p.media FROM ({_PART_MEDIA}) p JOIN ({_ALLOW}) a ON p.media = a.media
+  UNION ALL SELECT 'jira', 'text/html' FROM orders
+), t AS (SELECT * FROM (VALUES ('web-a', 'web'), ('web-b', 'web'), ('wiki', 'confluence'), ('issues', 'jira'),
+                               ('other', 'unknown')) t(crawl_target, source))
+SELECT t.crawl_target, r.source, r.mime, count(*) AS n FROM r JOIN t ON r.source = t.source
+GROUP BY t.crawl_target, r.source, r.mime
+"""
+
+SQL["catalog_upsert"] = """
+SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type
+FROM events GROUP BY user_id
+"""
+
+SQL["document_overwrite"] = """
+SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id, event_type
+"""
+
+SQL["attachment_first_wins"] = """
+SELECT user_id, event_type, arg_min(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id, event_type
+"""
+
+SQL["offset_page_audit"] = """
+WITH r AS (SELECT o_orderkey, o_orderstatus,
+             row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS rn FROM orders),
+p AS (SELECT o_orderstatus, (rn - 1) // 50 AS page, count(*) AS n FROM r GROUP BY 1, 2),
+t AS (SELECT o_orderstatus, count(*) AS total FROM orders GROUP BY 1),
+l AS (SELECT p.o_orderstatus, p.page * 50 AS start_at, p.n, t.total FROM p JOIN t USING (o_orderstatus)
+      WHERE p.page % 11 <> 10),
+g AS (SELECT DISTINCT a.o_orderstatus FROM l a
+      WHERE a.start_at + 50 < a.total
+        AND NOT EXISTS (SELECT 1 FROM l b WHERE b.o_orderstatus = a.o_orderstatus AND b.start_at = a.start_at + 50)
+      UNION SELECT o_orderstatus FROM l GROUP BY 1 HAVING min(start_at) > 0)
+SELECT 'status=' || l.o_orderstatus AS request, count(*) AS pages, sum(l.n) AS rows, max(l.total) AS total,
+  bool_or(g.o_orderstatus IS NOT NULL) AS has_gap
+FROM l LEFT JOIN g USING (o_orderstatus) GROUP BY l.o_orderstatus
+"""
+
+SQL["cursor_page_audit"] = """
+WITH m AS (SELECT max(event_id // 100) AS last FROM events),
+p AS (SELECT DISTINCT event_id // 100 AS p FROM events),
+l AS (SELECT '/events?page=' || CAST(p AS VARCHAR) AS request_path,
+        CASE WHEN p < m.last THEN '/events?page=' || CAST(p + 1 AS VARCHAR) END AS next_link
+      FROM p, m WHERE p % 7 <> 3)
+SELECT request_path, next_link FROM l
+WHERE next_link IS NOT NULL AND next_link NOT IN (SELECT request_path FROM l)
+"""
+
+SQL["purge_id_list"] = """
+SELECT DISTINCT event_id AS id FROM events
+"""
+
+SQL["snapshot_diff"] = """
+WITH p AS (SELECT doc_id, text FROM documents WHERE doc_id % 5 <> 0),
+n AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN text || ' (edited)' ELSE text END AS text
+      FROM documents WHERE doc_id % 7 <> 0)
+SELECT coalesce(p.doc_id, n.doc_id) AS doc_id,
+  CASE WHEN p.doc_id IS NULL THEN 'insert' WHEN n.doc_id IS NULL THEN 'delete'
+       WHEN p.text = n.text THEN 'same' ELSE 'update' END AS action
+FROM p FULL OUTER JOIN n ON p.doc_id = n.doc_id
+"""
+
+SQL["upload_manifest"] = f"""
+WITH m AS (SELECT doc_id, 'wiki-' || CAST(doc_id % 3 AS VARCHAR) AS crawl_target, {_DOC_FILE} AS filename FROM documents),
+b AS (SELECT DISTINCT crawl_target, filename FROM m WHERE doc_id % 13 <> 0)
+SELECT m.doc_id, m.filename, CASE WHEN b.filename IS NULL THEN 'missing_body' ELSE 'ready' END AS status
+FROM m LEFT JOIN b ON m.crawl_target = b.crawl_target AND m.filename = b.filename
+WHERE m.crawl_target IN ('wiki-0', 'wiki-1')
+"""
