@@ -362,7 +362,7 @@ g AS (SELECT DISTINCT a.o_orderstatus FROM l a
       WHERE a.start_at + 50 < a.total
         AND NOT EXISTS (SELECT 1 FROM l b WHERE b.o_orderstatus = a.o_orderstatus AND b.start_at = a.start_at + 50)
       UNION SELECT o_orderstatus FROM l GROUP BY 1 HAVING min(start_at) > 0)
-SELECT 'status=' || l.o_orderstatus AS request, count(*) AS pages, sum(l.n) AS rows, max(l.total) AS total,
+SELECT 'status=' || l.o_orderstatus AS request, count(*) AS pages, CAST(sum(l.n) AS BIGINT) AS rows, max(l.total) AS total,
   bool_or(g.o_orderstatus IS NOT NULL) AS has_gap
 FROM l LEFT JOIN g USING (o_orderstatus) GROUP BY l.o_orderstatus
 """

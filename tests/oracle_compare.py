@@ -28,6 +28,10 @@ def duck(sf: str):
     return con
 
 
+_SPARK2DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+               "double": "DOUBLE", "timestamp": "TIMESTAMP", "date": "DATE"}
+
+
 def _norm(v):
     if v is None:
         return "NULL"
@@ -60,11 +64,16 @@ def compare(spark, con, name, fn, sql, sf):
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
     t2 = time.time()
+    s_types = {f.name: _SPARK2DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    type_diff = {c: (s_types.get(c), d_types.get(c)) for c in s_types if s_types.get(c) != d_types.get(c)}
     sh, sl = digest(s_cols, s_rows)
     dh, dl = digest(d_cols, d_rows)
     ok = sorted(s_cols) == sorted(d_cols) and len(s_rows) == len(d_rows) and sh == dh
     info = dict(name=name, ok=ok, spark_rows=len(s_rows), duck_rows=len(d_rows),
                 cols_ok=sorted(s_cols) == sorted(d_cols), spark_s=round(t1 - t0, 2), duck_s=round(t2 - t1, 2))
+    if type_diff:
+        info["type_diff"] = type_diff
     if not ok:
         info["spark_cols"], info["duck_cols"] = s_cols, d_cols
         only_s = sorted(set(sl) - set(dl))[:3]
