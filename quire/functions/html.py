@@ -46,10 +46,11 @@ def decode_entities(c) -> Column:
     return F.replace(s, F.lit("&amp;"), F.lit("&"))
 
 
-def page_title(html) -> Column:
+def page_title(html, clean: bool = False) -> Column:
     """Text of the first <title> element, entity-decoded and not
-    trimmed; 'No title' when the page has none."""
-    clean = strip_noise(html)
+    trimmed; 'No title' when the page has none. ``clean`` says the input
+    has already been through :func:`strip_noise`."""
+    clean = _c(html) if clean else strip_noise(html)
     raw = F.regexp_extract(clean, _TITLE, 1)
     return F.when(clean.rlike(_TITLE), decode_entities(raw)).otherwise(F.lit(NO_TITLE))
 

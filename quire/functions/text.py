@@ -11,7 +11,8 @@ MAX_FILE_NAME = 255
 _FORBIDDEN = r'[<>:"/\\|?*\x00-\x1f]'
 # JavaScript white space + line terminators (String.prototype.trim); Java's
 # \s and Spark's trim() only know ASCII white space.
-JS_WS = r"[\t-\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+JS_WS_CHARS = ("\t\n\x0b\x0c\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000\ufeff")
 
 
 def _c(c) -> Column:
@@ -29,7 +30,7 @@ def sanitize_filename(c) -> Column:
     s = F.regexp_replace(_c(c), _FORBIDDEN, " ")
     s = F.regexp_replace(s, r"\A\.+|\.+\z", " ")
     s = collapse_spaces(s)
-    return F.regexp_replace(s, rf"\A{JS_WS}+|{JS_WS}+\z", "")
+    return F.btrim(s, F.lit(JS_WS_CHARS))
 
 
 def truncate_filename(full) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.html import href_list, page_title
+from quire.functions.html import href_list, page_title, strip_noise
 from quire.functions.text import file_name
 from quire.functions.urls import normalize_url, resolve_href
 from quire.operators.filters import allow_match, any_match, none_match
@@ -22,7 +22,8 @@ def identify_pages(pages: DataFrame, url: str = "url") -> DataFrame:
 
 def with_titles(pages: DataFrame, html: str = "html", banned_title_patterns: Sequence[str] = ()) -> DataFrame:
     """P16 + C7 flag: page title and whether it hits a banned pattern."""
-    t = pages.withColumn("title", page_title(html))
+    # the noise-free page is computed once and read twice by the title rule
+    t = pages.withColumn("_clean", strip_noise(html)).withColumn("title", page_title("_clean", clean=True)).drop("_clean")
     return t.withColumn("title_banned", F.coalesce(any_match("title", banned_title_patterns), F.lit(False)))
 
 

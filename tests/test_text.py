@@ -10,9 +10,9 @@ def _one(spark, expr, values, typ="string"):
 
 def test_sanitize_edge_rows(spark):
     vals = ["..a?b..", " ..a.. ", "a .. ", "...", "a   b", "name ", "a\x01b\x1fc",
-            'x<y>z:"/\\|?*', "  lead", "trail.  ", "."]
+            'x<y>z:"/\\|?*', "  lead", "trail.  ", ".", "end\u2028", "\xa0\xa0nb\xa0 sp\xa0"]
     got = _one(spark, sanitize_filename, vals)
-    assert got == ["a b", "..a..", "a ..", "", "a b", "name", "a b c", "x y z", "lead", "trail.", ""]
+    assert got == ["a b", "..a..", "a ..", "", "a b", "name", "a b c", "x y z", "lead", "trail.", "", "end", "nb sp"]
 
 
 def test_truncate_lengths(spark):
