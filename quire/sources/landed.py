@@ -26,19 +26,20 @@ def offset_pages(responses: DataFrame) -> DataFrame:
 
 def offset_audit(responses: DataFrame, request: str = "request", items: str = "issues") -> DataFrame:
     """S4 + U2 audit: per request the landed pages, rows and total, and
-    whether a page is missing (the first page, or the page a landed page
-    points to)."""
-    p = offset_pages(responses)
+    whether a page is missing (the first page, or a page a landed page
+    points to). Three passes over the page rows, all keyed by request (a
+    hot request is spread by its page starts in the anti join)."""
+    p = offset_pages(responses).select(request, "startAt", "total", "has_next", "next_start_at",
+                                       F.coalesce(F.size(items), F.lit(0)).alias("_n"))
     starts = p.select(F.col(request).alias("_r"), F.col("startAt").alias("_s"))
-    wanted = p.where("has_next").select(request, F.col("next_start_at").alias("_want"))
-    firsts = p.select(request).distinct().withColumn("_want", F.lit(0).cast("long"))
-    holes = wanted.unionByName(firsts).join(
-        starts, (F.col(request) == F.col("_r")) & (F.col("_want") == F.col("_s")), "left_anti")
-    gaps = holes.select(request).distinct().withColumn("has_gap", F.lit(True))
-    per = p.groupBy(request).agg(F.count(F.lit(1)).alias("pages"),
-                                 F.sum(F.coalesce(F.size(items), F.lit(0))).alias("rows"),
-                                 F.max("total").alias("total"))
-    return per.join(gaps, request, "left").withColumn("has_gap", F.coalesce(F.col("has_gap"), F.lit(False)))
+    holes = p.where("has_next").join(
+        starts, (F.col(request) == F.col("_r")) & (F.col("next_start_at") == F.col("_s")), "left_anti")
+    gaps = holes.select(request).distinct().withColumn("_hole", F.lit(True))
+    per = p.groupBy(request).agg(F.count(F.lit(1)).alias("pages"), F.sum("_n").alias("rows"),
+                                 F.max("total").alias("total"), F.min("startAt").alias("_first"))
+    return per.join(gaps, request, "left").select(
+        request, "pages", "rows", "total",
+        (F.coalesce(F.col("_hole"), F.lit(False)) | (F.col("_first") > 0)).alias("has_gap"))
 
 
 def cursor_audit(responses: DataFrame, path: str = "request_path", next_link: str = "next_link") -> DataFrame:
