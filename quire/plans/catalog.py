@@ -70,8 +70,9 @@ def flatten(records: DataFrame, record: str | None = None) -> DataFrame:
     """P20: catalog columns of a metadata record (spaceName and updatedAt
     are not catalog columns); the key is the file name of the URI."""
     r = (lambda c: F.col(f"{record}.{c}")) if record else F.col
+    catalog_cols = ("filename", "id", "title", "webUrl", "createdAt", "mimeType", "uri", "structData", "content")
     return records.select(
-        *[c for c in records.columns if c != record and c not in ("id", "structData", "content")],
+        *[c for c in records.columns if c != record and c not in catalog_cols],
         basename(r("content.uri")).alias("filename"), r("id").alias("id"),
         r("structData.title").alias("title"), r("structData.webUrl").alias("webUrl"),
         r("structData.createdAt").alias("createdAt"), r("content.mimeType").alias("mimeType"),

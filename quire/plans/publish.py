@@ -43,3 +43,32 @@ def upload_manifest(metadata: DataFrame, bodies: DataFrame, uri: str = "uri", bo
     cond = (m[target] == b["_t"]) & (m["filename"] == b["_f"])
     j = m.join(b, cond, "left")
     return j.withColumn("status", F.when(F.col("_f").isNull(), "missing_body").otherwise("ready")).drop("_t", "_f")
+
+
+def publish_snapshot(documents: DataFrame, metadata: DataFrame, out_dir: str, *,
+                     prev_catalog: DataFrame | None = None, stores: DataFrame | None = None,
+                     order: Sequence[str] = ("run_ord",)) -> dict[str, DataFrame]:
+    """L4: write the target snapshots and return the catalog, the diff
+    against the previous catalog and the upload manifest.
+
+    documents: latest wins per (target, file name) (A5), written as
+    Parquet replacing only the targets present (K2, K4); metadata: the
+    NDJSON log keeps every record (K1); catalog: latest record per
+    (target, file name) (A4, P20, K3)."""
+    from quire.plans import catalog as cat
+    from quire.operators.dedupe import latest_by
+    docs = latest_by(documents, ["crawl_target", "filename"], list(order))
+    cat.write_documents(docs.drop(*order), f"{out_dir}/documents")
+    cat.write_metadata(metadata, f"{out_dir}/metadata")
+    flat = cat.flatten(metadata, "metadata")
+    catalog = cat.build_catalog(flat, list(order)).drop(*order)
+    catalog.write.mode("overwrite").partitionBy("crawl_target").parquet(f"{out_dir}/catalog")
+    catalog = documents.sparkSession.read.parquet(f"{out_dir}/catalog")
+    out = {"catalog": catalog}
+    if prev_catalog is not None:
+        out["diff"] = snapshot_diff(prev_catalog, catalog, ["crawl_target", "filename"],
+                                    ["id", "title", "webUrl", "createdAt", "mimeType", "uri"])
+    published = catalog if stores is None else with_store(catalog, stores)
+    bodies = documents.sparkSession.read.parquet(f"{out_dir}/documents").select("crawl_target", "filename")
+    out["manifest"] = upload_manifest(published, bodies)
+    return out

@@ -52,3 +52,16 @@ def cursor_audit(responses: DataFrame, path: str = "request_path", next_link: st
 def distinct_ids(responses: DataFrame, data: str = "data", id_field: str = "id") -> DataFrame:
     """S5 + A7: ids of page-numbered listings (pages may overlap), once each."""
     return responses.select(F.explode(data).alias("d")).select(F.col(f"d.{id_field}").alias("id")).distinct()
+
+
+def read_json(spark, path: str, schema: str) -> DataFrame:
+    """Landed JSON / NDJSON responses with a declared schema."""
+    return spark.read.schema(schema).json(path)
+
+
+def read_list_responses(spark, path: str, item_schema: str) -> DataFrame:
+    """S1 + S3 + U2: every landed page of a cursor-paginated listing,
+    unpacked to one row per result (request_path kept for the audit)."""
+    from quire.schemas import WIKI_LIST_RESPONSE
+    r = read_json(spark, path, WIKI_LIST_RESPONSE.format(item_schema))
+    return unpack(r, "results", keep=["request_path"])
