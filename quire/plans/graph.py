@@ -3,7 +3,7 @@ depth-bounded crawl (R2).
 
 Spark's recursive CTE accepts UNION ALL only, so cycles need an explicit
 visited set: each hop joins the frontier with the edges, de-duplicates,
-removes what was visited and checkpoints the new frontier to the shared
+removes what was visited and checkpoints the new frontier into the shared
 checkpoint folder (lineage stays one hop long, executors may be lost).
 The driver only sees one row count per hop.
 """
@@ -21,16 +21,19 @@ _COMPACT_EVERY = 8
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage
-    (persisting first was measured slower for these small frontiers)."""
+    """Checkpoint ``df`` into the shared checkpoint folder (lineage cut).
+    Measured against writing each frontier as a Parquet table and against
+    persisting before the checkpoint: the plain eager checkpoint was the
+    fastest of the three for frontier-sized data."""
     return df.checkpoint(eager=True)
 
 
 def _prepare_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where(
         F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct()
-    # hash-partitioned by src and kept for every hop
-    return materialize(e.repartition("src"))
+    # checkpointed once, hash-partitioned by src: the checkpoint keeps that
+    # partitioning, so a large frontier is shuffled to the edges, never the reverse
+    return e.repartition("src").checkpoint(eager=True)
 
 
 def _id_set(ids: DataFrame) -> DataFrame:
