@@ -41,19 +41,23 @@ def _partitions(df: DataFrame, parts: int | None) -> int:
     return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _slices(df: DataFrame, keys: Sequence[str], order: Order, parts: int | None) -> DataFrame:
-    """Range slices of (keys, order) with a local 1-based row number."""
+def _range_slices(df: DataFrame, keys: Sequence[str], order: Order, parts: int | None) -> DataFrame:
+    """Range-partition on (keys, order); each partition is one run of
+    slices, sorted in place, with its partition id and a position that
+    grows in sort order (monotonically_increasing_id after the sort)."""
     sort = [F.col(k).asc_nulls_first() for k in keys] + sort_cols(order)
-    sliced = df.repartitionByRange(_partitions(df, parts), *sort).withColumn(_PART, F.spark_partition_id())
-    local = Window.partitionBy(*keys, _PART).orderBy(*sort_cols(order))
-    return sliced.withColumn(_LOCAL, F.row_number().over(local))
+    return (df.repartitionByRange(_partitions(df, parts), *sort).sortWithinPartitions(*sort)
+            .withColumn(_PART, F.spark_partition_id()).withColumn(_LOCAL, F.monotonically_increasing_id()))
 
 
 def _slice_rows(df: DataFrame, keys: Sequence[str], order: Order, fields: Sequence[str],
                 parts: int | None) -> DataFrame:
-    """One row per (key, slice): its rows as an array ordered by local
-    number, the row count and the count of all earlier slices (offset)."""
-    s = _slices(df, keys, order, parts)
+    """One row per (key, slice): its rows as an array in order, the row
+    count and the row count of all earlier slices of the key (offset).
+    Every (key, slice) group sits in one partition, so the partial
+    aggregate already emits one row per slice and only those rows are
+    shuffled; the offset window runs over slice rows, not data rows."""
+    s = _range_slices(df, keys, order, parts)
     packed = s.groupBy(*keys, _PART).agg(
         F.array_sort(F.collect_list(F.struct(F.col(_LOCAL), *[F.col(f) for f in fields]))).alias(_ROWS),
         F.count(F.lit(1)).alias(_N))
@@ -67,9 +71,9 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Order, out: str = "rn
     empty: one global numbering). ``order`` must be a total order."""
     fields = [c for c in df.columns if c not in keys]
     packed = _slice_rows(df, keys, order, fields, parts)
-    rows = packed.select(*keys, _OFF, F.explode(_ROWS).alias("_q_r"))
+    rows = packed.select(*keys, _OFF, F.posexplode(_ROWS).alias("_q_i", "_q_r"))
     return rows.select(*keys, *[F.col("_q_r")[f].alias(f) for f in fields],
-                       (F.col(_OFF) + F.col("_q_r")[_LOCAL]).cast("long").alias(out))
+                       (F.col(_OFF) + F.col("_q_i") + F.lit(1)).cast("long").alias(out))
 
 
 def ordered_concat(df: DataFrame, keys: Sequence[str], order: Order,
@@ -84,7 +88,7 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], order: Order,
     if numbered:
         packed = _slice_rows(df, keys, order, fields, parts)
         sliced = packed.select(*keys, _PART, F.array_join(F.transform(
-            F.col(_ROWS), lambda x: render(F.col(_OFF) + x[_LOCAL], lambda c: x[c])), sep).alias(_SLICE))
+            F.col(_ROWS), lambda x, i: render(F.col(_OFF) + i + F.lit(1), lambda c: x[c])), sep).alias(_SLICE))
     else:
         sort = [F.col(k).asc_nulls_first() for k in keys] + sort_cols(order)
         parted = df.repartitionByRange(_partitions(df, parts), *sort).withColumn(_PART, F.spark_partition_id())
