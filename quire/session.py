@@ -55,3 +55,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="quire-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:
+    """Suggested settings for a cluster run over ``input_bytes`` of landed
+    data: ~256 MB input splits, enough shuffle partitions for ~200 MB per
+    partition before AQE coalesces them, skew splitting on."""
+    slots = max(1, executors * cores_per_executor)
+    parts = max(slots * 3, input_bytes // (200 << 20))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.session.timeZone": "UTC",
+    }
