@@ -12,7 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.text import file_name, sanitize_filename
-from quire.operators import web
+from quire.functions.urls import attachment_url, issue_url, wiki_page_url
+from quire.operators import issues as iss
+from quire.operators import web, wiki
+from quire.operators.dedupe import first_by, latest_by
+from quire.operators.filters import any_match, literal_frame, none_match
+from quire.operators.ordering import number_rows, ordered_concat
+from quire.plans import catalog as cat
+from quire.plans import publish as pub
+from quire.plans.graph import bounded_crawl as _bounded_crawl
+from quire.plans.graph import closure as _closure
+from quire.plans.targets import dispatch, targets_frame
+from quire.sources import landed
 from quire.sources.tables import read_table
 
 # Fixed values shared with the oracle SQL (analogue configuration).
@@ -87,10 +98,6 @@ QUERIES = {
 # ---------------------------------------------------------------- wiki (L1)
 # nation plays the wiki spaces, documents the pages (space = doc_id % 25)
 
-from quire.functions.urls import attachment_url, issue_url, wiki_page_url  # noqa: E402
-from quire.operators import wiki  # noqa: E402
-from quire.operators.filters import literal_frame  # noqa: E402
-from quire.operators.ordering import ordered_concat  # noqa: E402
 
 TARGET_SPACE_KEYS = ["S3", "S7", "S11", "S4"]
 MISSING_SPACE = 13
@@ -189,7 +196,6 @@ def attachment_allowlist(spark, sf):
 def attachment_banned(spark, sf):
     """Titles hit by any banned pattern (one case-insensitive) are dropped."""
     p = _t(spark, sf, "part").select("p_partkey", F.col("p_name").alias("title"))
-    from quire.operators.filters import none_match
     return p.where(none_match("title", BANNED_ATTACHMENTS)).select("p_partkey", F.col("title").alias("p_name"))
 
 
@@ -218,7 +224,6 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- graphs
 
-from quire.plans.graph import bounded_crawl as _bounded_crawl, closure as _closure  # noqa: E402
 
 CLOSURE_SEEDS = [2, 7]
 CLOSURE_EXCLUDES = [7, 9]
@@ -251,7 +256,6 @@ def bounded_crawl(spark, sf):
     but neither saved nor expanded. Links: i -> (7i+3) mod N, (5i+1) mod N."""
     pages = web.with_titles(web.identify_pages(_t(spark, sf, "pages").select("page_id", "url", "html")),
                             banned_title_patterns=TITLE_BAN)
-    from quire.operators.filters import any_match
     blocked = pages.where(any_match("norm_url", URL_BAN)).select(F.col("page_id").alias("id"))
     stoppers = pages.where(F.col("title_banned")).select(F.col("page_id").alias("id"))
     base = _t(spark, sf, "pages").select(F.col("page_id").alias("i"))
@@ -273,8 +277,6 @@ QUERIES.update({
 # orders play issues (key O-<orderkey>), customers epics (C-<custkey>),
 # conversations comments, line items test steps.
 
-from quire.operators import issues as iss  # noqa: E402
-from quire.operators.ordering import number_rows  # noqa: E402
 
 FIELD_MAP = {"K": "k"}  # custom field display name -> key in the field map
 DONE_PRIORITIES = ["1-URGENT", "2-HIGH"]
@@ -417,11 +419,6 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- catalog
 
-from quire.plans import catalog as cat  # noqa: E402
-from quire.plans import publish as pub  # noqa: E402
-from quire.plans.targets import dispatch, targets_frame  # noqa: E402
-from quire.sources import landed  # noqa: E402
-from quire.operators.dedupe import first_by, latest_by  # noqa: E402
 
 TARGET = "docs"
 TARGETS = {

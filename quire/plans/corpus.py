@@ -125,6 +125,11 @@ def issues_view(issues: DataFrame, base_url: str, custom_fields=iss.CUSTOM_FIELD
     return issues.select(*cols)
 
 
+def issues_by_key(view: DataFrame, keys: DataFrame, key_col: str = "key") -> DataFrame:
+    """Issues looked up by key (left semi join with the key table)."""
+    return view.join(keys.select(F.col(key_col).alias("_k")), F.col("key") == F.col("_k"), "left_semi")
+
+
 def issue_corpus(issues: DataFrame, *, target: str, where: Column | str | None = None,
                  comments: DataFrame | None = None, steps: DataFrame | None = None,
                  include_comments: bool = False, include_steps: bool = False,

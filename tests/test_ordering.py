@@ -57,3 +57,10 @@ def test_latest_and_first_insensitive_to_input_order(spark):
         first = {(r.filename, r.target): r.v for r in first_by(d, ["filename", "target"], ["seq"]).collect()}
         assert last == {("f", "t1"): "c", ("f", "t2"): "x"}
         assert first == {("f", "t1"): "a", ("f", "t2"): "x"}
+
+
+def test_hot_key_is_split_over_slices(spark):
+    from quire.operators.ordering import _PART, _range_slices
+    df, pdf = _skewed(spark, 3000)
+    parts = _range_slices(df, ["k"], [("v", True), ("id", True)], 8).where("k = 0").select(_PART).distinct().count()
+    assert parts >= 3  # key 0 holds a third of the rows and lands in several tasks
