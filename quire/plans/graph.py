@@ -31,9 +31,12 @@ def materialize(df: DataFrame) -> DataFrame:
 def _prepare_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where(
         F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct()
-    # checkpointed once, hash-partitioned by src: the checkpoint keeps that
-    # partitioning, so a large frontier is shuffled to the edges, never the reverse
-    return e.repartition("src").checkpoint(eager=True)
+    # Checkpointed once, spread by (src, dst) from the distinct. It is not
+    # partitioned by src on purpose: a hub node holding a third of all edges
+    # would make one partition (one task) that large on every hop. A small
+    # frontier is broadcast against the balanced edge partitions; a large
+    # one is shuffled and AQE splits a skewed hub partition.
+    return e.checkpoint(eager=True)
 
 
 def _id_set(ids: DataFrame) -> DataFrame:

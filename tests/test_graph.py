@@ -63,3 +63,16 @@ def test_crawl_depths_and_shorter_second_path(spark):
     assert d2 == {0: 0, 1: 1, 3: 1}
     # a banned seed is never visited
     assert bounded_crawl(e, _ids(spark, [0]), 3, blocked=_ids(spark, [0])).count() == 0
+
+
+def test_hub_node_edges_are_not_one_partition(spark):
+    from quire.plans.graph import _prepare_edges
+    hub = [(0, i) for i in range(1, 3001)] + [(i, i + 1) for i in range(1, 3000)]
+    # small test data would be coalesced into one partition by AQE; look at the partitioning itself
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        e = _prepare_edges(_edges(spark, hub), "src", "dst")
+        sizes = [len(p) for p in e.rdd.glom().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(sizes) < 0.6 * len(hub)
