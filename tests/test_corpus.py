@@ -115,3 +115,26 @@ def test_web_crawl_depth_titles_and_missing(spark):
     one = web_corpus(t["web_pages"], ["https://a.example.com/"], target="web", include_links=False, depth=5,
                      bucket=BUCKET)
     assert one.documents.count() == 1
+
+
+def test_command_line_run(spark):
+    import os
+
+    from quire.__main__ import execute
+    base = tempfile.mkdtemp(prefix="quire-cli-", dir="/tmp")
+    landed = {}
+    for name, df in _tables(spark).items():
+        path = os.path.join(base, "landed", name)
+        df.write.json(path)
+        landed[name] = path
+    run = {"crawlTargets": CONFIG, "landed": landed, "baseUrl": BASE, "bucket": BUCKET,
+           "out": os.path.join(base, "out"), "stores": {"wiki": "s-1"}}
+    execute(spark, run)
+    docs = spark.read.parquet(os.path.join(base, "out", "documents"))
+    assert docs.where("crawl_target = 'issues'").count() == 3
+    man = spark.read.parquet(os.path.join(base, "out", "manifest"))
+    assert {r.crawl_target for r in man.collect()} == {"wiki"}
+    run2 = dict(run, out=os.path.join(base, "out2"), previousCatalog=os.path.join(base, "out", "catalog"))
+    execute(spark, run2)
+    diff = spark.read.parquet(os.path.join(base, "out2", "diff"))
+    assert {r.action for r in diff.collect()} == {"same"}
