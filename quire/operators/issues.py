@@ -44,7 +44,7 @@ def attachment_list(attachments: Column) -> Column:
     empty = F.array().cast("array<struct<mimeType:string,filename:string,created:string,content:string>>")
     return F.transform(F.coalesce(attachments, empty), lambda a: F.struct(
         a["mimeType"].alias("mimeType"), a["filename"].alias("filename"),
-        a["created"].alias("createdAt"), a["content"].alias("url")))
+        a["created"].alias("createdAt"), a["content"].alias("contentRestLink")))
 
 
 def count_or_zero(arr: Column) -> Column:

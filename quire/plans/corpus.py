@@ -49,7 +49,10 @@ def wiki_pages_view(pages: DataFrame) -> DataFrame:
 
 
 def wiki_attachments_view(atts: DataFrame, base_url: str) -> DataFrame:
-    """S10 projection with P2 URLs."""
+    """S10 projection with P2 URLs (the page's attachment listing holds
+    current attachments only)."""
+    if "status" in atts.columns:
+        atts = atts.where(F.col("status") == "current")
     return atts.select("id", "title", "mediaType", "pageId", "fileId",
                        attachment_url(base_url, F.col("webuiLink")).alias("webUrl"),
                        attachment_url(base_url, F.col("downloadLink")).alias("downloadUrl"),
@@ -65,13 +68,14 @@ def wiki_corpus(spaces: DataFrame, pages: DataFrame, attachments: DataFrame, *,
     with all descendants; excludes are applied after the expansion)."""
     spark = pages.sparkSession
     listed = wiki.listed_spaces(spaces)
-    pv = wiki_pages_view(pages).where(F.col("status") == "current")
+    pv = wiki_pages_view(pages)
+    listing = pv.where(F.col("status") == "current")  # S7 lists current pages; S8 (by id) does not filter
     extra: dict[str, DataFrame] = {}
     if type == "all":
-        sel = wiki.pages_in_spaces(pv, listed)
+        sel = wiki.pages_in_spaces(listing, listed)
     elif type == "spaces":
         keys = literal_frame(spark, [(k,) for k in items], "key string")
-        sel = wiki.pages_in_spaces(pv, wiki.target_spaces(listed, keys))
+        sel = wiki.pages_in_spaces(listing, wiki.target_spaces(listed, keys))
     elif type == "pages":
         ids = literal_frame(spark, [(str(i),) for i in items], "id string")
         if include_child_pages and children is not None:
