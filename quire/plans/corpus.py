@@ -18,7 +18,7 @@ from quire.functions.urls import attachment_url, issue_url, normalize_url, wiki_
 from quire.operators import issues as iss
 from quire.operators import web, wiki
 from quire.operators.dedupe import latest_by
-from quire.operators.filters import any_match, literal_frame, none_match
+from quire.operators.filters import checked_broadcast, key_in, key_not_in, literal_frame, none_match
 from quire.plans.catalog import metadata_record, storage_uri
 from quire.plans.graph import bounded_crawl, closure
 
@@ -67,7 +67,8 @@ def wiki_corpus(spaces: DataFrame, pages: DataFrame, attachments: DataFrame, *,
     keys in ``items``) or ``pages`` (page ids in ``items``, optionally
     with all descendants; excludes are applied after the expansion)."""
     spark = pages.sparkSession
-    listed = wiki.listed_spaces(spaces)
+    # the space listing is broadcast only when its counted size is small
+    listed = checked_broadcast(wiki.listed_spaces(spaces))
     pv = wiki_pages_view(pages)
     listing = pv.where(F.col("status") == "current")  # S7 lists current pages; S8 (by id) does not filter
     extra: dict[str, DataFrame] = {}
@@ -81,8 +82,8 @@ def wiki_corpus(spaces: DataFrame, pages: DataFrame, attachments: DataFrame, *,
         if include_child_pages and children is not None:
             ids = closure(children, ids, src="parent_id", dst="id")
         if exclude_pages:
-            ids = ids.join(literal_frame(spark, [(str(i),) for i in exclude_pages], "id string"), "id", "left_anti")
-        chosen = pv.join(ids, "id", "left_semi")
+            ids = key_not_in(ids, "id", literal_frame(spark, [(str(i),) for i in exclude_pages], "x string"), "x")
+        chosen = key_in(pv, "id", ids.withColumnRenamed("id", "_id"), "_id")
         sel = wiki.pages_in_spaces(chosen, listed)
         extra["quarantine"] = wiki.pages_without_space(chosen, listed)
     else:
