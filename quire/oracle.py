@@ -76,8 +76,18 @@ SELECT page_id, title FROM (SELECT page_id, {_title('html')} AS title FROM pages
 WHERE NOT coalesce(regexp_matches(title, '(?:(?i).*nicht.*)'), false)
 """
 
-# Links: every anchor href is root-relative in the test pages; the
-# resolution below covers absolute, root-relative and query links.
+
+
+def _dots(x: str) -> str:
+    """Dot-segment removal, same passes as quire.functions.urls."""
+    x = f"regexp_replace({x}, '/(\\./)+', '/', 'g')"
+    for _ in range(4):
+        x = f"regexp_replace({x}, '/[^/?#]+/\\.\\.(/|$)', '/')"
+    return f"regexp_replace({x}, '^/\\.\\.(/|$)', '/')"
+
+
+_BASE_PATH = f"CASE WHEN regexp_extract(url, '{_URL}', 4) = '' THEN '/' ELSE regexp_extract(url, '{_URL}', 4) END"
+
 SQL["page_links"] = f"""
 WITH a AS (
   SELECT page_id, url, regexp_extract_all({_clean('html')}, {_q(_HREF)}, 1) AS hs FROM pages
@@ -91,8 +101,9 @@ WITH a AS (
     WHEN regexp_matches(href, '(?i)^https?://') THEN href
     WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*:') OR href = '' OR starts_with(href, '#') THEN NULL
     WHEN starts_with(href, '//') THEN lower(regexp_extract(url, '{_URL}', 1)) || ':' || href
-    WHEN starts_with(href, '/') THEN {_origin('url')} || href
-    ELSE NULL END AS link
+    WHEN starts_with(href, '/') THEN {_origin('url')} || {_dots('href')}
+    WHEN starts_with(href, '?') THEN {_origin('url')} || {_BASE_PATH} || href
+    ELSE {_origin('url')} || {_dots(f"(regexp_extract({_BASE_PATH}, '^(.*/)', 1) || href)")} END AS link
   FROM r
 )
 SELECT page_id, pos, link FROM l
