@@ -409,3 +409,16 @@ SELECT m.doc_id, m.filename, CASE WHEN b.filename IS NULL THEN 'missing_body' EL
 FROM m LEFT JOIN b ON m.crawl_target = b.crawl_target AND m.filename = b.filename
 WHERE m.crawl_target IN ('wiki-0', 'wiki-1')
 """
+
+SQL["epic_summary_hot_keys"] = """
+WITH s AS (
+  SELECT o_orderstatus, string_agg('O-' || CAST(o_orderkey AS VARCHAR) || ': ' || o_orderpriority
+    || ' [Last Updated On: ' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ']' || chr(10), ''
+    ORDER BY o_orderdate DESC, o_orderkey) AS listing
+  FROM orders GROUP BY o_orderstatus
+), b AS (
+  SELECT o_orderstatus AS status, 'Epic ID: ST-' || o_orderstatus || chr(10) || 'Epic Title: ' || o_orderstatus
+    || chr(10) || '=====' || chr(10) || 'Listing of User Stories:' || chr(10) || chr(10) || listing AS body FROM s
+)
+SELECT status, CAST(length(body) AS BIGINT) AS body_len, md5(body) AS body_md5 FROM b
+"""
