@@ -36,7 +36,7 @@ def _prepare_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
     # would make one partition (one task) that large on every hop. A small
     # frontier is broadcast against the balanced edge partitions; a large
     # one is shuffled and AQE splits a skewed hub partition.
-    return e.checkpoint(eager=True)
+    return materialize(e)
 
 
 def _id_set(ids: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def bounded_crawl(edges: DataFrame, seeds: DataFrame, depth: int, *, blocked: Da
     """R2: pages saved by a crawl of ``depth`` (1 = the seeds only):
     minimum hop < depth, banned-URL pages never visited, banned-title and
     missing pages visited but not expanded."""
-    if depth <= 0:
-        return seeds.sparkSession.createDataFrame([], "id long, hop int")
+    if depth <= 0:  # nothing is visited; keep the id type of the seeds
+        return seeds.select(F.col(seed_col).alias("id"), F.lit(0).alias("hop")).where(F.lit(False))
     return frontier_search(edges, seeds, src=src, dst=dst, seed_col=seed_col, max_hops=depth - 1,
                            blocked=blocked, stoppers=stoppers)
