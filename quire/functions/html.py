@@ -11,17 +11,17 @@ from quire.functions.text import _c
 _NOISE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 _TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 _HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-# the attachment marker of wiki storage bodies
-_ATTACHMENT_REF = r'<ri:attachment ri:filename="([^"]+)"'
 
-# Named HTML entities decoded in titles and links (&amp; last).
+# The attachment marker of wiki storage bodies, the title of a
+# page without <title>, named HTML entities decoded in titles and links (&amp; last).
+_ATTACHMENT_REF = r'<ri:attachment ri:filename="([^"]+)"'
+NO_TITLE = "No title"
 NAMED_ENTITIES = [
     ("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "),
     ("&middot;", "·"), ("&copy;", "©"), ("&reg;", "®"), ("&hellip;", "…"),
     ("&mdash;", "—"), ("&ndash;", "–"), ("&laquo;", "«"), ("&raquo;", "»"),
     ("&euro;", "€"),
 ]
-NO_TITLE = "No title"
 
 
 def strip_noise(html) -> Column:

@@ -12,16 +12,39 @@ from pyspark.sql import functions as F
 from quire.functions.text import file_name, js_number
 from quire.operators.ordering import Order, ordered_concat
 
+# File-name prefix, custom fields (display name -> field key)
+# and the texts of the rendered issue documents, in document order.
 SOURCE_PREFIX = "jira-cloud"
-
-# Custom fields shown in the body (display name -> field key), in order.
 CUSTOM_FIELDS = [("Epic", "customfield_10014"), ("Story Points", "customfield_10036")]
-
-COMMENT_SEP = "\n=====\n"
-COMMENTS_HEAD = "\n\nComments:\n=====\n"
-STEP_SEP = "\n===\n"
+SECTION_SEP = "\n\n"
+ISSUE_KEY = "Issue Key: "
+ISSUE_TYPE = "Issue Type: "
+TITLE = "Title: "
+PROJECT_NAME = "Project Name: "
+LABELS = "Labels: "
+LABEL_SEP = ", "
+CREATED = "Created Time: "
+UPDATED = "Updated Time: "
+DESCRIPTION = "Description: \n"
 STEPS_HEAD = "\n\nZephyr Tests Scenarios:\n=====\n"
+TEST_NUMBER = "Test Number: "
+TEST_STEP = "Test Step: \n"
+TEST_DATA = "Test Data: \n"
+TEST_RESULT = "Test Result: \n"
+STEP_SEP = "\n===\n"
+COMMENTS_HEAD = "\n\nComments:\n=====\n"
+COMMENT_NUMBER = "Comment Number: "
+COMMENT_AUTHOR = "Comment Author: "
+COMMENT_UPDATED = "Comment Updated Time: "
+COMMENT_BODY = "Comment Body: \n"
+COMMENT_SEP = "\n=====\n"
 BLOCK_TAIL = "\n=====\n"
+EPIC_ID = "Epic ID: "
+EPIC_TITLE = "\nEpic Title: "
+EPIC_LISTING = "\n=====\nListing of User Stories:\n\n"
+STORY_UPDATED = " [Last Updated On: "
+STORY_END = "]\n"
+EPIC_MARK = "Epic: "
 
 
 def _s(c: Column) -> Column:
@@ -60,20 +83,21 @@ def issue_body(key: Column, issue_type: Column, title: Column, project: Column,
     description) are left out. ``custom`` holds (display name, value,
     numeric); numeric values print like JavaScript numbers."""
     lab = F.when(F.coalesce(F.size(labels), F.lit(0)) > 0,
-                 F.concat(F.lit("Labels: "), F.array_join(labels, ", ", "")))
-    parts = [F.concat(F.lit("Issue Key: "), _s(key)), F.concat(F.lit("Issue Type: "), _s(issue_type)),
-             F.concat(F.lit("Title: "), _s(title)), F.concat(F.lit("Project Name: "), _s(project)), lab,
-             F.concat(F.lit("Created Time: "), _s(created)), F.concat(F.lit("Updated Time: "), _s(updated))]
+                 F.concat(F.lit(LABELS), F.array_join(labels, LABEL_SEP, "")))
+    parts = [F.concat(F.lit(ISSUE_KEY), _s(key)), F.concat(F.lit(ISSUE_TYPE), _s(issue_type)),
+             F.concat(F.lit(TITLE), _s(title)), F.concat(F.lit(PROJECT_NAME), _s(project)), lab,
+             F.concat(F.lit(CREATED), _s(created)), F.concat(F.lit(UPDATED), _s(updated))]
     for name, value, numeric in custom:
         shown = js_number(value) if numeric else value.cast("string")
         parts.append(F.when(_truthy(value), F.concat(F.lit(f"{name}: "), shown)))
-    parts.append(F.when(_truthy(description), F.concat(F.lit("Description: \n"), description)))
-    return F.concat_ws("\n\n", *parts)
+    parts.append(F.when(_truthy(description), F.concat(F.lit(DESCRIPTION), description)))
+    return F.concat_ws(SECTION_SEP, *parts)
 
 
 def comment_element(n: Column, author: Column, updated: Column, body: Column) -> Column:
-    return F.concat(F.lit("Comment Number: "), n.cast("string"), F.lit("\n\nComment Author: "), _s(author),
-                    F.lit("\n\nComment Updated Time: "), _s(updated), F.lit("\n\nComment Body: \n"), _s(body))
+    return F.concat_ws(SECTION_SEP, F.concat(F.lit(COMMENT_NUMBER), n.cast("string")),
+                       F.concat(F.lit(COMMENT_AUTHOR), _s(author)), F.concat(F.lit(COMMENT_UPDATED), _s(updated)),
+                       F.concat(F.lit(COMMENT_BODY), _s(body)))
 
 
 def step_element(n: Column, step: Column, data: Column, result: Column) -> Column:
@@ -81,8 +105,8 @@ def step_element(n: Column, step: Column, data: Column, result: Column) -> Colum
     blank-line separators stay)."""
     def part(label, c):
         return F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(label), c)).otherwise(F.lit(""))
-    return F.concat_ws("\n\n", F.concat(F.lit("Test Number: "), n.cast("string")),
-                       part("Test Step: \n", step), part("Test Data: \n", data), part("Test Result: \n", result))
+    return F.concat_ws(SECTION_SEP, F.concat(F.lit(TEST_NUMBER), n.cast("string")),
+                       part(TEST_STEP, step), part(TEST_DATA, data), part(TEST_RESULT, result))
 
 
 def comments_block(comments: DataFrame, issue: str, order: Order, author: str, updated: str,
@@ -123,11 +147,11 @@ def epic_summaries(epics: DataFrame, stories: DataFrame, epic_key: str, epic_tit
     """A3 + J5 + C10: an epic document listing its done stories, newest
     update first; epics without stories are dropped (inner join)."""
     line = lambda n, g: F.concat(_s(g(story_key)), F.lit(": "), _s(g(story_title)),
-                                 F.lit(" [Last Updated On: "), _s(g(story_updated)), F.lit("]\n"))
+                                 F.lit(STORY_UPDATED), _s(g(story_updated)), F.lit(STORY_END))
     listing = ordered_concat(stories, [story_epic], order, line, "", "_listing")
     e = epics.join(listing, epics[epic_key] == listing[story_epic], "inner")
-    head = F.concat(F.lit("Epic ID: "), _s(F.col(epic_key)), F.lit("\nEpic Title: "), _s(F.col(epic_title)),
-                    F.lit("\n=====\nListing of User Stories:\n\n"))
+    head = F.concat(F.lit(EPIC_ID), _s(F.col(epic_key)), F.lit(EPIC_TITLE), _s(F.col(epic_title)),
+                    F.lit(EPIC_LISTING))
     return e.withColumn(out, F.concat(head, F.col("_listing"))).drop("_listing", story_epic)
 
 
@@ -138,7 +162,7 @@ def issue_title(key: Column, title: Column) -> Column:
 
 def epic_title(key: Column, title: Column) -> Column:
     """``[KEY] Epic: title``."""
-    return F.concat(F.lit("["), key, F.lit("] Epic: "), _s(title))
+    return F.concat(F.lit("["), key, F.lit("] " + EPIC_MARK), _s(title))
 
 
 def issue_file_name(key: Column) -> Column:

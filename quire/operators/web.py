@@ -12,6 +12,7 @@ from quire.functions.text import file_name
 from quire.functions.urls import normalize_url, resolve_href
 from quire.operators.filters import allow_match, any_match, none_match
 
+# File-name prefix of web pages.
 SOURCE_PREFIX = "web"
 
 

@@ -11,14 +11,15 @@ from quire.functions.html import attachment_refs, decode_entities
 from quire.functions.text import file_name
 from quire.operators.filters import literal_frame, none_match
 
+# File-name prefix of wiki items, attachment media types that
+# become documents (extension, media type), page document = title + blank line + body.
 SOURCE_PREFIX = "confluence-cloud"
-
-# Attachment media types that become documents (extension, media type).
 ALLOWED_MEDIA_TYPES = [
     ("pdf", "application/pdf"),
     ("docx", "application/vnd.openxmlformats-officedocument.wordprocessingml.document"),
     ("pptx", "application/vnd.openxmlformats-officedocument.presentationml.presentation"),
 ]
+PAGE_TITLE_SEP = "\n\n"
 
 
 def listed_spaces(spaces: DataFrame) -> DataFrame:
@@ -48,7 +49,7 @@ def pages_without_space(pages: DataFrame, spaces: DataFrame) -> DataFrame:
 
 def page_body(title, body) -> F.Column:
     """The page document = title, blank line, storage body."""
-    return F.concat(F.coalesce(title, F.lit("")), F.lit("\n\n"), F.coalesce(body, F.lit("")))
+    return F.concat(F.coalesce(title, F.lit("")), F.lit(PAGE_TITLE_SEP), F.coalesce(body, F.lit("")))
 
 
 def page_file_name(space_key, item_id, ext: str = "html") -> F.Column:

@@ -38,7 +38,7 @@ def _norm(u: str) -> str:
 
 _NOISE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 _TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-_ENT = [("&quot;", '"'), ("&apos;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "),
+_ENT = [("&quot;", '"'), ("&apos;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\xa0"),
         ("&middot;", "·"), ("&copy;", "©"), ("&reg;", "®"), ("&hellip;", "…"),
         ("&mdash;", "—"), ("&ndash;", "–"), ("&laquo;", "«"), ("&raquo;", "»"), ("&euro;", "€")]
 
