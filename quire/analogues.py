@@ -322,7 +322,7 @@ def jql_done_stories(spark, sf):
     by update time descending (key as tie-break)."""
     o = _t(spark, sf, "orders").where(
         (F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isin(DONE_PRIORITIES)
-        & (F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp"))).select("o_orderkey", "o_orderdate")
+        & (F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))).select("o_orderkey", "o_orderdate")
     return number_rows(o, [], [("o_orderdate", False), ("o_orderkey", True)], "rank").select("o_orderkey", "rank")
 
 
