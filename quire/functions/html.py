@@ -55,10 +55,11 @@ def page_title(html, clean: bool = False) -> Column:
     return F.when(clean.rlike(_TITLE), decode_entities(raw)).otherwise(F.lit(NO_TITLE))
 
 
-def href_list(html) -> Column:
+def href_list(html, clean: bool = False) -> Column:
     """P17 (first half): every anchor href of the page, in document order,
-    duplicates kept, entity-decoded."""
-    raw = F.regexp_extract_all(strip_noise(html), F.lit(_HREF), F.lit(1))
+    duplicates kept, entity-decoded. ``clean`` says the input has already
+    been through :func:`strip_noise`."""
+    raw = F.regexp_extract_all(_c(html) if clean else strip_noise(html), F.lit(_HREF), F.lit(1))
     return F.transform(raw, lambda h: decode_entities(F.regexp_replace(h, r"""^["']|["']$""", "")))
 
 

@@ -28,18 +28,37 @@ def with_titles(pages: DataFrame, html: str = "html", banned_title_patterns: Seq
     return t.withColumn("title_banned", F.coalesce(any_match("title", banned_title_patterns), F.lit(False)))
 
 
-def page_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-               regex: str | None = None, banned_url_patterns: Sequence[str] = ()) -> DataFrame:
-    """P17 + C8 + C6: one row per anchor (key, pos, link) in document
-    order, duplicates kept; ``pos`` is the 0-based anchor position. Links
-    must match ``regex`` and none of the banned patterns (full URL)."""
-    exploded = pages.select(key, url, F.posexplode(href_list(html)).alias("pos", "href"))
+def page_facts(pages: DataFrame, html: str = "html", banned_title_patterns: Sequence[str] = ()) -> DataFrame:
+    """One pass over the HTML: title, banned-title flag and the href list
+    (P16, C7, P17) next to the other columns; the HTML itself is dropped,
+    so what follows (the crawl) works on narrow rows."""
+    clean = pages.withColumn("_clean", strip_noise(html))
+    facts = clean.select(*[c for c in pages.columns if c != html],
+                         page_title("_clean", clean=True).alias("title"),
+                         href_list(F.col("_clean"), clean=True).alias("hrefs"))
+    return facts.withColumn("title_banned", F.coalesce(any_match("title", banned_title_patterns), F.lit(False)))
+
+
+def links_from_hrefs(df: DataFrame, key: str, url: str, hrefs: str, regex: str | None = None,
+                     banned_url_patterns: Sequence[str] = ()) -> DataFrame:
+    """P17 + C8 + C6 over an href list: one row per anchor (key, pos,
+    link) in document order, duplicates kept; ``pos`` is the 0-based anchor
+    position. Links must match ``regex`` and none of the banned patterns
+    (tested on the full URL)."""
+    exploded = df.select(key, url, F.posexplode(hrefs).alias("pos", "href"))
     links = exploded.select(key, F.col("pos").cast("int").alias("pos"),
                             resolve_href(F.col("href"), F.col(url)).alias("link"))
     return links.where(F.col("link").isNotNull() & allow_match("link", regex)
                        & none_match("link", banned_url_patterns))
 
 
+def page_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
+               regex: str | None = None, banned_url_patterns: Sequence[str] = ()) -> DataFrame:
+    """P17 + C8 + C6 straight from the HTML of each page."""
+    return links_from_hrefs(pages.select(key, url, href_list(html).alias("_hrefs")), key, url, "_hrefs",
+                            regex, banned_url_patterns)
+
+
 def web_file_name(doc_id, title) -> F.Column:
     """P12 for web pages: ``web <md5> <title>.html``."""
     return file_name(F.concat_ws(" ", F.lit(SOURCE_PREFIX), doc_id, title), "html")

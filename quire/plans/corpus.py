@@ -20,7 +20,8 @@ from quire.operators import web, wiki
 from quire.operators.dedupe import latest_by
 from quire.operators.filters import checked_broadcast, key_in, key_not_in, literal_frame, none_match
 from quire.plans.catalog import metadata_record, storage_uri
-from quire.plans.graph import bounded_crawl, closure
+from quire.plans.graph import bounded_crawl, closure, materialize
+from quire.session import ensure_checkpoint_dir
 
 HTML = "text/html"
 
@@ -201,17 +202,26 @@ def web_corpus(web_pages: DataFrame, seeds: Sequence[str], *, target: str, inclu
                regex: str | None = None, banned_url_patterns: Sequence[str] = (),
                banned_title_patterns: Sequence[str] = (), depth: int = 1, bucket: str) -> Corpus:
     """L3: breadth-first crawl over landed pages (minimum hop, §Q1);
-    pages not landed are reported as missing (§Q3)."""
+    pages not landed are reported as missing (§Q3).
+
+    The HTML is read twice in all: once to extract title and hrefs into a
+    narrow checkpointed table the crawl runs on, once to join the bodies
+    of the saved pages at the end."""
     spark = web_pages.sparkSession
-    pages = web.identify_pages(web_pages)
-    pages = latest_by(pages, ["id"], ["fetched_at", "url"])  # one landed copy per normalised URL
-    pages = web.with_titles(pages, banned_title_patterns=banned_title_patterns)
+    ensure_checkpoint_dir(spark)
+    # one landed copy per normalised URL (latest fetch), chosen on narrow columns
+    ident = web.identify_pages(web_pages.select("url", "fetched_at"))
+    winners = latest_by(ident.select("id", "url", "fetched_at"), ["id"], ["fetched_at", "url"])
+    winners = winners.select("id", F.col("url").alias("_w_url"), F.col("fetched_at").alias("_w_at"))
+    cond = (web_pages["url"] == winners["_w_url"]) & web_pages["fetched_at"].eqNullSafe(winners["_w_at"])
+    chosen = web_pages.join(winners, cond, "inner").select("id", "url", "fetched_at", "html")
+    facts = materialize(web.page_facts(chosen, banned_title_patterns=banned_title_patterns))
+
     seed_df = literal_frame(spark, [(u,) for u in seeds], "url string").select(
         "url", normalize_url("url").alias("norm_url"))
     seed_df = seed_df.where(none_match("norm_url", banned_url_patterns)).select(F.md5("norm_url").alias("id"), "url")
     if include_links and depth > 1:
-        links = web.page_links(pages, key="id", url="url", html="html", regex=regex,
-                               banned_url_patterns=banned_url_patterns)
+        links = web.links_from_hrefs(facts, "id", "url", "hrefs", regex, banned_url_patterns)
         links = links.withColumn("dst_norm", normalize_url("link")).where(none_match("dst_norm", banned_url_patterns))
         edges = links.select(F.col("id").alias("src"), F.md5("dst_norm").alias("dst"))
         link_urls = links.select(F.md5("dst_norm").alias("id"), F.col("link").alias("url"))
@@ -219,16 +229,17 @@ def web_corpus(web_pages: DataFrame, seeds: Sequence[str], *, target: str, inclu
         edges = spark.createDataFrame([], "src string, dst string")
         link_urls = spark.createDataFrame([], "id string, url string")
         depth = 1
-    stoppers = pages.where(F.col("title_banned")).select("id")
+    stoppers = facts.where(F.col("title_banned")).select("id")
     visited = bounded_crawl(edges, seed_df.select("id"), depth, stoppers=stoppers)
-    saved = pages.join(visited, "id").where(~F.col("title_banned"))
+    saved = facts.join(visited, "id").where(~F.col("title_banned")).drop("hrefs")
+    bodies = saved.join(chosen.select("id", F.col("html").alias("body")), "id")
     fname = web.web_file_name(F.col("id"), F.col("title"))
-    docs = saved.select(fname.alias("filename"), F.lit(HTML).alias("mime_type"), F.col("html").alias("body"),
-                        "id", "title", "url", "fetched_at")
+    docs = bodies.select(fname.alias("filename"), F.lit(HTML).alias("mime_type"), "body", "id", "title", "url",
+                         "fetched_at")
     rec = metadata_record(F.col("id"), F.col("title"), F.col("url"), F.col("fetched_at").cast("string"), F.lit(HTML),
                           storage_uri(bucket, target, F.col("filename")))
     known = seed_df.unionByName(link_urls)
-    missing = visited.join(pages.select("id"), "id", "left_anti").join(known, "id", "left").groupBy("id", "hop").agg(
+    missing = visited.join(facts.select("id"), "id", "left_anti").join(known, "id", "left").groupBy("id", "hop").agg(
         F.min("url").alias("url")).withColumn("status", F.lit("missing"))
     return Corpus(_out(docs, target), _meta(docs, target, rec), {"missing": missing})
 

@@ -138,3 +138,12 @@ def test_command_line_run(spark):
     execute(spark, run2)
     diff = spark.read.parquet(os.path.join(base, "out2", "diff"))
     assert {r.action for r in diff.collect()} == {"same"}
+
+
+def test_web_latest_fetch_wins_per_normalised_url(spark):
+    t = _tables(spark)
+    again = spark.createDataFrame([("https://A.example.com/b?x=2#f", "<title>B2</title>", "t2")], schemas.WEB_PAGE)
+    c = web_corpus(t["web_pages"].unionByName(again), ["https://a.example.com/"], target="web", include_links=True,
+                   banned_url_patterns=["/spam"], banned_title_patterns=["(?i)verboten"], depth=2, bucket=BUCKET)
+    got = sorted((r.filename.split(" ", 2)[2], r.body) for r in c.documents.collect())
+    assert [g[0] for g in got] == ["A.html", "B2.html"] and got[1][1] == "<title>B2</title>"
