@@ -27,10 +27,13 @@ def offset_pages(responses: DataFrame) -> DataFrame:
 def offset_audit(responses: DataFrame, request: str = "request", items: str = "issues") -> DataFrame:
     """S4 + U2 audit: per request the landed pages, rows and total, and
     whether a page is missing (the first page, or a page a landed page
-    points to). Three passes over the page rows, all keyed by request (a
-    hot request is spread by its page starts in the anti join)."""
+    points to). The narrow page table (one row per landed page, no items)
+    is checkpointed once and read three times, all keyed by request (a hot
+    request is spread by its page starts in the anti join)."""
+    from quire.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(responses.sparkSession)
     p = offset_pages(responses).select(request, "startAt", "total", "has_next", "next_start_at",
-                                       F.coalesce(F.size(items), F.lit(0)).alias("_n"))
+                                       F.coalesce(F.size(items), F.lit(0)).alias("_n")).checkpoint(eager=True)
     starts = p.select(F.col(request).alias("_r"), F.col("startAt").alias("_s"))
     holes = p.where("has_next").join(
         starts, (F.col(request) == F.col("_r")) & (F.col("next_start_at") == F.col("_s")), "left_anti")
