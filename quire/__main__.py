@@ -22,6 +22,7 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.plans.corpus import run_targets
@@ -58,6 +59,11 @@ def execute(spark: SparkSession, run: dict) -> dict:
     if run.get("stores"):
         stores = spark.createDataFrame(sorted(run["stores"].items()), "target string, store_id string")
     res = publish_snapshot(corpus.documents, corpus.metadata, run["out"], prev_catalog=prev, stores=stores)
+    # The run summary (documents and metadata records per target and media type)
+    docs_n = corpus.documents.groupBy("crawl_target", "mime_type").agg(F.count(F.lit(1)).alias("documents"))
+    meta_n = corpus.metadata.groupBy("crawl_target", F.col("metadata.content.mimeType").alias("mime_type")).agg(
+        F.count(F.lit(1)).alias("metadata_records"))
+    res["summary"] = meta_n.join(docs_n, ["crawl_target", "mime_type"], "full_outer").fillna(0)
     for name, df in {**res, **corpus.extra}.items():
         if name != "catalog":
             df.write.mode("overwrite").parquet(f"{run['out']}/{name}")

@@ -132,6 +132,9 @@ def test_command_line_run(spark):
     execute(spark, run)
     docs = spark.read.parquet(os.path.join(base, "out", "documents"))
     assert docs.where("crawl_target = 'issues'").count() == 3
+    summary = {(r.crawl_target, r.mime_type): (r.documents, r.metadata_records)
+               for r in spark.read.parquet(os.path.join(base, "out", "summary")).collect()}
+    assert summary[("wiki", "application/pdf")] == (0, 1) and summary[("issues", "text/html")] == (3, 3)
     man = spark.read.parquet(os.path.join(base, "out", "manifest"))
     assert {r.crawl_target for r in man.collect()} == {"wiki"}
     run2 = dict(run, out=os.path.join(base, "out2"), previousCatalog=os.path.join(base, "out", "catalog"))
