@@ -150,3 +150,18 @@ def test_web_latest_fetch_wins_per_normalised_url(spark):
                    banned_url_patterns=["/spam"], banned_title_patterns=["(?i)verboten"], depth=2, bucket=BUCKET)
     got = sorted((r.filename.split(" ", 2)[2], r.body) for r in c.documents.collect())
     assert [g[0] for g in got] == ["A.html", "B2.html"] and got[1][1] == "<title>B2</title>"
+
+
+def test_issue_query_predicates(spark):
+    from quire.plans.corpus import issues_view
+    v = issues_view(_tables(spark)["issues"], BASE)
+    cases = {
+        "project_key = 'SLS' AND status = 'Done'": {"SLS-1", "SLS-2"},
+        "issue_type IN ('Epic')": {"SLS-8", "SLS-9"},
+        "coalesce(description, '') <> '' AND key IN ('SLS-1', 'SLS-3')": {"SLS-1", "SLS-3"},
+        "sprint_open AND epic_link = 'SLS-9'": {"SLS-1", "SLS-2"},
+        "lower(title) LIKE '%sls-3%'": {"SLS-3"},
+        "array_contains(fix_versions, '2.1')": set(),
+    }
+    for where, want in cases.items():
+        assert {r.key for r in v.where(where).collect()} == want, where
