@@ -2,7 +2,6 @@
 
 import tempfile
 
-from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.plans.corpus import run_targets, web_corpus
