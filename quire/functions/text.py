@@ -28,7 +28,8 @@ def sanitize_filename(c) -> Column:
     """Forbidden characters -> blank, leading and trailing dot runs ->
     blank, blank runs collapsed, JS-style trim."""
     s = F.regexp_replace(_c(c), _FORBIDDEN, " ")
-    s = F.regexp_replace(s, r"\A\.+|\.+\z", " ")
+    # a trailing dot run can only start where no dot precedes (keeps the scan linear)
+    s = F.regexp_replace(s, r"\A\.+|(?<!\.)\.+\z", " ")
     s = collapse_spaces(s)
     return F.btrim(s, F.lit(JS_WS_CHARS))
 
