@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import _c
 
-# comments, scripts and styles hold text that is not document markup
-_NOISE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
-_TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
+# comments, scripts and styles hold text that is not document markup; as in an
+# HTML parser, an unclosed one runs to the end of the page (this also keeps
+# every scan linear: an unclosed opener is matched once, not retried per start)
+_NOISE = r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+_TITLE = r"(?is)<title\b[^>]*>(.*?)(?:</title\s*>|\z)"
 _HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 # The attachment marker of wiki storage bodies, the title of a
@@ -47,8 +49,9 @@ def decode_entities(c) -> Column:
 
 
 def page_title(html, clean: bool = False) -> Column:
-    """Text of the first <title> element, entity-decoded and not
-    trimmed; 'No title' when the page has none. ``clean`` says the input
+    """Text of the first <title> element (an unclosed one runs to the
+    end of the page), entity-decoded and not trimmed; 'No title' when the
+    page has none. ``clean`` says the input
     has already been through :func:`strip_noise`."""
     clean = _c(html) if clean else strip_noise(html)
     raw = F.regexp_extract(clean, _TITLE, 1)

@@ -36,8 +36,8 @@ def _norm(u: str) -> str:
     return f"({_origin(u)} || CASE WHEN {path} = '' THEN '/' ELSE {path} END)"
 
 
-_NOISE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
-_TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
+_NOISE = r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+_TITLE = r"(?is)<title\b[^>]*>(.*?)(?:</title\s*>|\z)"
 _ENT = [("&quot;", '"'), ("&apos;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\xa0"),
         ("&middot;", "·"), ("&copy;", "©"), ("&reg;", "®"), ("&hellip;", "…"),
         ("&mdash;", "—"), ("&ndash;", "–"), ("&laquo;", "«"), ("&raquo;", "»"), ("&euro;", "€")]

@@ -50,3 +50,11 @@ def test_attachment_refs_keep_escaping(spark):
     body = '<ri:attachment ri:filename="A &amp; B.pdf" /><ri:attachment ri:filename="c.docx" />'
     df = spark.createDataFrame([(body,)], "b string")
     assert df.select(attachment_refs(F.col("b"))).first()[0] == ["A &amp; B.pdf", "c.docx"]
+
+
+def test_unclosed_elements_run_to_the_end(spark):
+    pages = ["<title>open title", "<!-- open comment <title>hidden</title>", "<script>x<title>no</title>",
+             "<title>a</title><!-- x"]
+    df = spark.createDataFrame([(h,) for h in pages], "h string")
+    got = [r[0] for r in df.select(page_title("h")).collect()]
+    assert got == ["open title", "No title", "No title", "a"]
