@@ -12,7 +12,7 @@ from quire.functions.text import _c
 # every scan linear: an unclosed opener is matched once, not retried per start)
 _NOISE = r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
 _TITLE = r"(?is)<title\b[^>]*>(.*?)(?:</title\s*>|\z)"
-_HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_HREF = r"""(?is)<a\b[^<>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 # The attachment marker of wiki storage bodies, the title of a
 # page without <title>, named HTML entities decoded in titles and links (&amp; last).

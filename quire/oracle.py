@@ -63,7 +63,7 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_HREF = r"""(?is)<a\b[^<>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 SQL: dict[str, str] = {}
 
