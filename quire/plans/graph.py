@@ -68,6 +68,7 @@ def frontier_search(edges: DataFrame, seeds: DataFrame, *, src: str = "src", dst
     visited = frontier
     hop = 0
     n = frontier.count()
+    seen_total = n
     while n > 0 and (max_hops is None or hop < max_hops):
         hop += 1
         expand = frontier.select("id")
@@ -75,14 +76,27 @@ def frontier_search(edges: DataFrame, seeds: DataFrame, *, src: str = "src", dst
             expand = expand.join(stoppers, "id", "left_anti")
         # the frontier is broadcast only when its counted size is small
         side = F.broadcast(expand) if n <= BROADCAST_MAX_ROWS else expand
-        nxt = side.join(e, side["id"] == e["src"]).select(F.col("dst").alias("id")).distinct()
+        cand = side.join(e, side["id"] == e["src"]).select(F.col("dst").alias("id")).distinct()
         if blocked is not None:
-            nxt = nxt.join(blocked, "id", "left_anti")
-        nxt = nxt.join(visited.select("id"), "id", "left_anti").withColumn("hop", F.lit(hop))
-        frontier = materialize(nxt)
+            cand = cand.join(blocked, "id", "left_anti")
+        if seen_total <= BROADCAST_MAX_ROWS:
+            # small visited set: AQE broadcasts it into the anti join
+            nxt = cand.join(visited.select("id"), "id", "left_anti")
+        else:
+            # large visited set: never shuffle it when the candidates are few;
+            # find the visited candidates by scanning it against the broadcast
+            # candidate set, then remove them (both sides small)
+            cand = materialize(cand)
+            if cand.count() <= BROADCAST_MAX_ROWS:
+                hit = visited.select("id").join(F.broadcast(cand), "id", "left_semi")
+                nxt = cand.join(hit, "id", "left_anti")
+            else:
+                nxt = cand.join(visited.select("id"), "id", "left_anti")
+        frontier = materialize(nxt.withColumn("hop", F.lit(hop)))
         n = frontier.count()
         if n == 0:
             break
+        seen_total += n
         layers.append(frontier)
         visited = visited.unionByName(frontier)
         if len(layers) % _COMPACT_EVERY == 0:

@@ -76,3 +76,14 @@ def test_hub_node_edges_are_not_one_partition(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert max(sizes) < 0.6 * len(hub)
+
+
+def test_large_visited_path_matches_bfs(spark, monkeypatch):
+    import quire.plans.graph as g
+    monkeypatch.setattr(g, "BROADCAST_MAX_ROWS", 5)   # force the large-visited branch
+    rnd = random.Random(21)
+    pairs = [(rnd.randint(0, 90), rnd.randint(0, 90)) for _ in range(260)]
+    want = _bfs(pairs, [0, 1], max_hops=None, blocked={4}, stoppers={7, 8})
+    got = g.frontier_search(_edges(spark, pairs), _ids(spark, [0, 1]), blocked=_ids(spark, [4]),
+                            stoppers=_ids(spark, [7, 8]))
+    assert {r.id: r.hop for r in got.collect()} == want
