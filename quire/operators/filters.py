@@ -3,6 +3,7 @@ key lists (C1, C2) and a broadcast that is taken only behind a size check."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,20 @@ from quire.functions.text import _c
 BROADCAST_MAX_ROWS = 200_000
 
 
+_JS_FLAGS = {"i": "i", "m": "m", "s": "s"}  # g, u, y do not change what test() matches
+
+
+def js_regex(pattern: str) -> str:
+    """A configuration pattern written as a JavaScript literal (``/x/i``)
+    becomes the Java pattern ``(?i)x``; any other string is a pattern as is
+    (like ``new RegExp(string)``)."""
+    m = re.fullmatch(r"/(.*)/([a-z]*)", pattern, flags=re.S)
+    if not m:
+        return pattern
+    flags = "".join(_JS_FLAGS[f] for f in m.group(2) if f in _JS_FLAGS)
+    return (f"(?{flags})" if flags else "") + m.group(1)
+
+
 def any_match(c, patterns: Sequence[str]) -> Column:
     """True when any Java regex of ``patterns`` finds a match (unanchored,
     like JavaScript ``RegExp.test``). One OR-ed literal keeps the filter

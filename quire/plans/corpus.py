@@ -18,7 +18,7 @@ from quire.functions.urls import attachment_url, issue_url, normalize_url, wiki_
 from quire.operators import issues as iss
 from quire.operators import web, wiki
 from quire.operators.dedupe import latest_by
-from quire.operators.filters import checked_broadcast, key_in, key_not_in, literal_frame, none_match
+from quire.operators.filters import js_regex, checked_broadcast, key_in, key_not_in, literal_frame, none_match
 from quire.plans.catalog import metadata_record, storage_uri
 from quire.plans.graph import bounded_crawl, closure, materialize
 from quire.session import ensure_checkpoint_dir
@@ -262,6 +262,11 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
         for src in spec.get("sources", []):
             kind, typ, items = src.get("source"), src.get("type"), list(src.get("items") or [])
             opt = dict(src.get("options") or {})
+            for k in ("bannedAttachmentPatterns", "bannedUrlPatterns", "bannedTitlePatterns"):
+                if k in opt:
+                    opt[k] = [js_regex(x) for x in opt[k]]
+            if opt.get("regex") is not None:
+                opt["regex"] = js_regex(opt["regex"])
             c = None
             if kind == "confluence":
                 c = wiki_corpus(tables["spaces"], tables["pages"], tables["attachments"], target=target, type=typ,

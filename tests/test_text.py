@@ -32,3 +32,11 @@ def test_file_name_composes(spark):
 
 def test_js_number(spark):
     assert _one(spark, js_number, [3.0, 2.5, 0.0], "double") == ["3", "2.5", "0"]
+
+
+def test_js_regex_literals():
+    from quire.operators.filters import js_regex
+    assert js_regex("/.*office 20.*/i") == "(?i).*office 20.*"
+    assert js_regex("/.*TIMES.*(\\.pdf)/") == ".*TIMES.*(\\.pdf)"
+    assert js_regex("https://support\\.example\\.com/.*") == "https://support\\.example\\.com/.*"
+    assert js_regex("/a/gmi") == "(?mi)a"
