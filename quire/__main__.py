@@ -25,6 +25,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from quire import schemas
+from quire.operators.dedupe import first_by
 from quire.plans.corpus import run_targets
 from quire.plans.publish import publish_snapshot
 from quire.session import ensure_checkpoint_dir
@@ -64,7 +65,11 @@ def execute(spark: SparkSession, run: dict) -> dict:
     meta_n = corpus.metadata.groupBy("crawl_target", F.col("metadata.content.mimeType").alias("mime_type")).agg(
         F.count(F.lit(1)).alias("metadata_records"))
     res["summary"] = meta_n.join(docs_n, ["crawl_target", "mime_type"], "full_outer").fillna(0)
-    for name, df in {**res, **corpus.extra}.items():
+    extra = dict(corpus.extra)
+    if "downloads" in extra:
+        # An attachment file that exists already is not overwritten: the first wins
+        extra["downloads"] = first_by(extra["downloads"], ["crawl_target", "filename"], ["run_ord", "downloadUrl"])
+    for name, df in {**res, **extra}.items():
         if name != "catalog":
             df.write.mode("overwrite").parquet(f"{run['out']}/{name}")
     return res

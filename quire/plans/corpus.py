@@ -294,8 +294,10 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
                                banned_title_patterns=opt.get("bannedTitlePatterns", []), depth=opt.get("depth", 1),
                                bucket=bucket)
             if c is not None:
+                n_ord = F.lit(len(docs)).cast("int").alias("run_ord")
                 add(c)
                 for k, v in c.extra.items():
+                    v = v.select("*", n_ord)
                     extra[k] = v if k not in extra else extra[k].unionByName(v, allowMissingColumns=True)
     if not docs:
         empty = spark.createDataFrame([], "crawl_target string, filename string, mime_type string, body string, run_ord int")

@@ -134,6 +134,8 @@ def test_command_line_run(spark):
     summary = {(r.crawl_target, r.mime_type): (r.documents, r.metadata_records)
                for r in spark.read.parquet(os.path.join(base, "out", "summary")).collect()}
     assert summary[("wiki", "application/pdf")] == (0, 1) and summary[("issues", "text/html")] == (3, 3)
+    dl = spark.read.parquet(os.path.join(base, "out", "downloads")).collect()
+    assert [(r.filename, r.run_ord) for r in dl] == [("confluence-cloud AB f1.pdf", 0)]
     man = spark.read.parquet(os.path.join(base, "out", "manifest"))
     assert {r.crawl_target for r in man.collect()} == {"wiki"}
     run2 = dict(run, out=os.path.join(base, "out2"), previousCatalog=os.path.join(base, "out", "catalog"))
