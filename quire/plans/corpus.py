@@ -228,7 +228,7 @@ def web_corpus(web_pages: DataFrame, seeds: Sequence[str], *, target: str, inclu
     else:
         edges = spark.createDataFrame([], "src string, dst string")
         link_urls = spark.createDataFrame([], "id string, url string")
-        depth = 1
+        depth = min(depth, 1)  # without links only the seeds; depth <= 0 crawls nothing
     stoppers = facts.where(F.col("title_banned")).select("id")
     visited = bounded_crawl(edges, seed_df.select("id"), depth, stoppers=stoppers)
     saved = facts.join(visited, "id").where(~F.col("title_banned")).drop("hrefs")

@@ -2,6 +2,7 @@
 
 import tempfile
 
+from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.plans.corpus import run_targets, web_corpus
@@ -166,3 +167,34 @@ def test_issue_query_predicates(spark):
     }
     for where, want in cases.items():
         assert {r.key for r in v.where(where).collect()} == want, where
+
+
+def test_wiki_all_and_web_depth_zero(spark):
+    from quire.plans.corpus import wiki_corpus
+    t = _tables(spark)
+    c = wiki_corpus(t["spaces"], t["pages"], t["attachments"], target="w", type="all", base_url=BASE, bucket=BUCKET)
+    assert sorted(r.filename for r in c.documents.collect()) == [
+        "confluence-cloud AB 1.html", "confluence-cloud AB 2.html", "confluence-cloud CD 3.html",
+        "confluence-cloud CD 5.html"]
+    none = web_corpus(t["web_pages"], ["https://a.example.com/"], target="web", include_links=True, depth=0,
+                      bucket=BUCKET)
+    assert none.documents.count() == 0
+
+
+def test_landed_list_responses_from_json(spark, tmp_path):
+    import json
+
+    from quire import schemas
+    from quire.sources import landed
+    pages = [{"request_path": "/spaces?cursor=0", "_links": {"next": "/spaces?cursor=1"},
+              "results": [{"id": "1", "key": "AB", "name": "A", "type": "global", "status": "current"}]},
+             {"request_path": "/spaces?cursor=1", "_links": {"next": "/spaces?cursor=2"}, "results": []},
+             {"request_path": "/spaces?cursor=9"}]
+    path = tmp_path / "spaces.json"
+    path.write_text("\n".join(json.dumps(p) for p in pages))
+    items = landed.read_list_responses(spark, str(path), schemas.SPACE)
+    assert [(r.request_path, r.key) for r in items.collect()] == [("/spaces?cursor=0", "AB")]
+    raw = landed.read_json(spark, str(path), schemas.WIKI_LIST_RESPONSE.format(schemas.SPACE)).select(
+        "request_path", F.col("_links.next").alias("next_link"))
+    assert [(r.request_path, r.next_link) for r in landed.cursor_audit(raw).collect()] == [
+        ("/spaces?cursor=1", "/spaces?cursor=2")]
