@@ -198,3 +198,24 @@ def test_landed_list_responses_from_json(spark, tmp_path):
         "request_path", F.col("_links.next").alias("next_link"))
     assert [(r.request_path, r.next_link) for r in landed.cursor_audit(raw).collect()] == [
         ("/spaces?cursor=1", "/spaces?cursor=2")]
+
+
+def test_wiki_attachment_options(spark):
+    from quire.plans.corpus import wiki_corpus
+    t = _tables(spark)
+    def names(**kw):
+        c = wiki_corpus(t["spaces"], t["pages"], t["attachments"], target="w", type="all", base_url=BASE,
+                        bucket=BUCKET, **kw)
+        return sorted(r.filename for r in c.extra["downloads"].collect())
+    assert names() == ["confluence-cloud AB f1.pdf"]
+    assert names(decode_refs=True) == ["confluence-cloud AB f1.pdf", "confluence-cloud AB f2.pdf"]
+    assert names(referenced_only=False) == ["confluence-cloud AB f1.pdf", "confluence-cloud AB f2.pdf",
+                                            "confluence-cloud AB f4.pdf"]
+
+
+def test_checked_broadcast_falls_back(spark):
+    from quire.operators.filters import checked_broadcast
+    df = spark.range(10)
+    assert "ResolvedHint" in checked_broadcast(df, 20)._jdf.queryExecution().analyzed().toString() or \
+        "broadcast" in checked_broadcast(df, 20)._jdf.queryExecution().logical().toString().lower()
+    assert checked_broadcast(df, 5) is df
