@@ -57,11 +57,13 @@ def publish_snapshot(documents: DataFrame, metadata: DataFrame, out_dir: str, *,
     (target, file name) (A4, P20, K3)."""
     from quire.plans import catalog as cat
     from quire.operators.dedupe import latest_by
-    docs = latest_by(documents, ["crawl_target", "filename"], list(order))
+    # ties in the run order are broken by content, so a rerun publishes the same rows
+    docs = latest_by(documents.withColumn("_tie", F.md5(F.col("body"))), ["crawl_target", "filename"],
+                     [*order, "_tie"]).drop("_tie")
     cat.write_documents(docs.drop(*order), f"{out_dir}/documents")
     cat.write_metadata(metadata, f"{out_dir}/metadata")
-    flat = cat.flatten(metadata, "metadata")
-    catalog = cat.build_catalog(flat, list(order)).drop(*order)
+    flat = cat.flatten(metadata.withColumn("_tie", F.md5(F.to_json(F.col("metadata")))), "metadata")
+    catalog = cat.build_catalog(flat, [*order, "_tie"]).drop(*order, "_tie")
     catalog.write.mode("overwrite").partitionBy("crawl_target").parquet(f"{out_dir}/catalog")
     catalog = documents.sparkSession.read.parquet(f"{out_dir}/catalog")
     out = {"catalog": catalog}
