@@ -8,6 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# tables whose rows carry whole texts / HTML that every query runs regex work on
+TEXT_TABLES = ("documents", "pages")
+
+
+def spread_if_undersplit(df: DataFrame) -> DataFrame:
+    """A Parquet row group cannot be split, so a file of one row group is
+    one scan task, and all per-row work fused into that stage runs on one
+    core. When a scan has fewer input partitions than task slots, its rows
+    are spread round-robin over the slots; with many splits (any real
+    cluster input) nothing changes."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.rdd().getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    return spread_if_undersplit(df) if name in TEXT_TABLES else df
