@@ -83,7 +83,9 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], order: Order,
     """One row per key: ``render(n, get)`` of every row, in ``order``,
     joined by ``sep``. ``get(name)`` returns a column of the row; ``n`` is
     its 1-based position when ``numbered`` (then ``fields`` lists the
-    columns ``render`` reads), else None."""
+    columns ``render`` reads), else None. ``render`` must not return NULL
+    (a NULL piece is skipped, as by ``listagg``). NULL keys form one group;
+    NULL order values sort first ascending and last descending."""
     sep_sql = sql_literal(sep)
     if numbered:
         packed = _slice_rows(df, keys, order, fields, parts)

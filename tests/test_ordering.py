@@ -64,3 +64,18 @@ def test_hot_key_is_split_over_slices(spark):
     df, pdf = _skewed(spark, 3000)
     parts = _range_slices(df, ["k"], [("v", True), ("id", True)], 8).where("k = 0").select(_PART).distinct().count()
     assert parts >= 2  # key 0 holds a third of the rows and is split over several tasks
+
+
+def test_number_rows_with_null_keys_and_orders(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice([None, 1, 2]), rnd.choice([None, 5, 6, 7]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, v long, id long")
+    got = {r.id: r.rn for r in number_rows(df, ["k"], [("v", False), ("id", True)], "rn", parts=5).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        grp = [r for r in rows if r[0] == k]
+        # descending with NULLs last, then id ascending
+        grp.sort(key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
+        for i, r in enumerate(grp):
+            want[r[2]] = i + 1
+    assert got == want
