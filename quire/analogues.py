@@ -244,7 +244,9 @@ def _child_edges(spark, sf):
 def child_page_closure(spark, sf):
     """All pages below the seed pages (child edges with
     diamonds, cycles and self-loops), excluded pages removed after the
-    expansion so their descendants stay."""
+    expansion so their descendants stay. Back edges start at depth >= 3
+    (ids >= 64) so the closure does not return to the root and cover every
+    page, which a back edge from every node would do."""
     seeds = literal_frame(spark, [(s,) for s in CLOSURE_SEEDS], "id long")
     excl = literal_frame(spark, [(s,) for s in CLOSURE_EXCLUDES], "id long")
     return _closure(_child_edges(spark, sf), seeds).join(excl, "id", "left_anti")

@@ -18,10 +18,12 @@ def spread_if_undersplit(df: DataFrame) -> DataFrame:
     core. When a scan has fewer input partitions than task slots, its rows
     are spread round-robin over the slots; with many splits (any real
     cluster input) nothing changes."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df._jdf.rdd().getNumPartitions()  # planning only, no job
+    except Exception:  # no JVM handle (e.g. a Spark Connect session): leave the scan as is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
