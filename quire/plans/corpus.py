@@ -246,6 +246,25 @@ def web_corpus(web_pages: DataFrame, seeds: Sequence[str], *, target: str, inclu
 
 # ------------------------------------------------------------------ targets
 
+# Options each source accepts (anything else is rejected, so a misplaced key is not silently ignored)
+SOURCE_KEYS = {"source", "type", "items", "options"}
+OPTION_KEYS = {
+    "confluence": {"includeChildPages", "excludePages", "bannedAttachmentPatterns"},
+    "jira": {"includeComments", "includeZephyrTestSteps"},
+    "web": {"includeLinks", "regex", "bannedUrlPatterns", "bannedTitlePatterns", "depth"},
+}
+
+
+def _check_source(target: str, src: Mapping) -> None:
+    extra = set(src) - SOURCE_KEYS
+    if extra:
+        raise ValueError(f"crawl target {target!r}: unknown source keys {sorted(extra)}")
+    known = OPTION_KEYS.get(src.get("source"))
+    bad = set(src.get("options") or {}) - known if known is not None else set()
+    if bad:
+        raise ValueError(f"crawl target {target!r}: unknown {src.get('source')} options {sorted(bad)}")
+
+
 def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataFrame], *,
                 base_url: str, bucket: str) -> Corpus:
     """S18 + U1: run every configured source of every crawl target and
@@ -260,6 +279,7 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
         metas.append(part.metadata.select("*", n))
     for target, spec in config.items():
         for src in spec.get("sources", []):
+            _check_source(target, src)
             kind, typ, items = src.get("source"), src.get("type"), list(src.get("items") or [])
             opt = dict(src.get("options") or {})
             for k in ("bannedAttachmentPatterns", "bannedUrlPatterns", "bannedTitlePatterns"):

@@ -219,3 +219,15 @@ def test_checked_broadcast_falls_back(spark):
     assert "ResolvedHint" in checked_broadcast(df, 20)._jdf.queryExecution().analyzed().toString() or \
         "broadcast" in checked_broadcast(df, 20)._jdf.queryExecution().logical().toString().lower()
     assert checked_broadcast(df, 5) is df
+
+
+def test_unknown_configuration_keys_are_rejected(spark):
+    import pytest
+    t = _tables(spark)
+    bad = {"t": {"sources": [{"source": "web", "type": "url", "items": ["https://a.example.com/"],
+                              "settings": {}, "options": {"depth": 2}}]}}
+    with pytest.raises(ValueError, match="unknown source keys"):
+        run_targets(spark, bad, t, base_url=BASE, bucket=BUCKET)
+    bad2 = {"t": {"sources": [{"source": "web", "type": "url", "items": ["x"], "options": {"includeComments": True}}]}}
+    with pytest.raises(ValueError, match="unknown web options"):
+        run_targets(spark, bad2, t, base_url=BASE, bucket=BUCKET)
