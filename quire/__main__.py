@@ -59,7 +59,8 @@ def execute(spark: SparkSession, run: dict) -> dict:
     stores = None
     if run.get("stores"):
         stores = spark.createDataFrame(sorted(run["stores"].items()), "target string, store_id string")
-    res = publish_snapshot(corpus.documents, corpus.metadata, run["out"], prev_catalog=prev, stores=stores)
+    res = publish_snapshot(corpus.documents, corpus.metadata, run["out"], prev_catalog=prev, stores=stores,
+                           targets=list(targets))
     # The run summary (documents and metadata records per target and media type)
     docs_n = corpus.documents.groupBy("crawl_target", "mime_type").agg(F.count(F.lit(1)).alias("documents"))
     meta_n = corpus.metadata.groupBy("crawl_target", F.col("metadata.content.mimeType").alias("mime_type")).agg(

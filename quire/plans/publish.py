@@ -45,16 +45,28 @@ def upload_manifest(metadata: DataFrame, bodies: DataFrame, uri: str = "uri", bo
     return j.withColumn("status", F.when(F.col("_f").isNull(), "missing_body").otherwise("ready")).drop("_t", "_f")
 
 
+def _clear_partitions(spark, folder: str, column: str, values: Sequence[str]) -> None:
+    """Delete ``folder/column=value`` for each value (Hadoop file system of the folder)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for v in values:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{column}={v}")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            fs.delete(path, True)
+
+
 def publish_snapshot(documents: DataFrame, metadata: DataFrame, out_dir: str, *,
                      prev_catalog: DataFrame | None = None, stores: DataFrame | None = None,
-                     order: Sequence[str] = ("run_ord",)) -> dict[str, DataFrame]:
+                     order: Sequence[str] = ("run_ord",), targets: Sequence[str] = ()) -> dict[str, DataFrame]:
     """L4: write the target snapshots and return the catalog, the diff
     against the previous catalog and the upload manifest.
 
     documents: latest wins per (target, file name) (A5), written as
     Parquet replacing only the targets present (K2, K4); metadata: the
     NDJSON log keeps every record (K1); catalog: latest record per
-    (target, file name) (A4, P20, K3)."""
+    (target, file name) (A4, P20, K3). ``targets`` names every target of
+    the run: one that produced nothing has its old snapshot cleared too."""
     from quire.plans import catalog as cat
     from quire.operators.dedupe import latest_by
     # ties in the run order are broken by content, so a rerun publishes the same rows
@@ -64,7 +76,21 @@ def publish_snapshot(documents: DataFrame, metadata: DataFrame, out_dir: str, *,
     cat.write_metadata(metadata, f"{out_dir}/metadata")
     flat = cat.flatten(metadata.withColumn("_tie", F.md5(F.to_json(F.col("metadata")))), "metadata")
     catalog = cat.build_catalog(flat, [*order, "_tie"]).drop(*order, "_tie")
-    catalog.write.mode("overwrite").partitionBy("crawl_target").parquet(f"{out_dir}/catalog")
+    # the catalog is replaced per target, like the documents
+    spark = documents.sparkSession
+    prev_mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        catalog.write.mode("overwrite").partitionBy("crawl_target").parquet(f"{out_dir}/catalog")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev_mode)
+    if targets:
+        # K4: a configured target without any document this run is emptied (the target list is the
+        # configuration, so collecting the distinct targets that did produce rows is bounded)
+        present = {r[0] for r in docs.select("crawl_target").distinct().collect()}
+        empty = [t for t in targets if t not in present]
+        _clear_partitions(spark, f"{out_dir}/documents", "crawl_target", empty)
+        _clear_partitions(spark, f"{out_dir}/catalog", "crawl_target", empty)
     catalog = documents.sparkSession.read.parquet(f"{out_dir}/catalog")
     out = {"catalog": catalog}
     if prev_catalog is not None:

@@ -80,3 +80,19 @@ def test_unpack_and_cursor_audit(spark):
                               "request_path string, next_link string, results array<struct<id:string>>")
     assert sorted(x.id for x in landed.unpack(r).collect()) == ["a", "b"]
     assert [(x.request_path, x.next_link) for x in landed.cursor_audit(r).collect()] == [("p2", "p9")]
+
+
+def test_publish_replaces_targets_and_clears_empty_ones(spark):
+    base = tempfile.mkdtemp(prefix="quire-pub2-", dir="/tmp")
+    def run(rows, targets):
+        docs = spark.createDataFrame([(t, f, "text/html", b, 0) for t, f, b in rows],
+                                     "crawl_target string, filename string, mime_type string, body string, run_ord int")
+        meta = docs.select("crawl_target", "filename", cat.metadata_record(
+            F.col("filename"), F.col("filename"), F.lit("w"), F.lit("c"), F.lit("text/html"),
+            F.concat(F.lit("gs://b/"), F.col("crawl_target"), F.lit("/"), F.col("filename"))).alias("metadata"),
+            "run_ord")
+        pub.publish_snapshot(docs, meta, base, targets=targets)
+        return sorted((r.crawl_target, r.filename) for r in spark.read.parquet(f"{base}/documents").collect())
+    assert run([("a", "1.html", "x"), ("b", "2.html", "y")], ["a", "b"]) == [("a", "1.html"), ("b", "2.html")]
+    # second run: target a produced nothing, target b a new file; a is emptied, b replaced
+    assert run([("b", "3.html", "z")], ["a", "b"]) == [("b", "3.html")]
