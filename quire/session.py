@@ -18,6 +18,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of frontiers no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -71,4 +73,5 @@ def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int)
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.shuffle.partitions": str(int(parts)),
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
