@@ -61,3 +61,32 @@ def test_closure_is_idempotent(spark):
     once = closure(e, seeds)
     twice = closure(e, once)
     assert sorted(r.id for r in once.collect()) == sorted(r.id for r in twice.collect())
+
+
+def _py_norm(u: str) -> str:
+    from urllib.parse import urlsplit
+    p = urlsplit(u)
+    scheme, host = p.scheme.lower(), (p.hostname or "")
+    port = p.port
+    default = {"http": 80, "https": 443}.get(scheme)
+    origin = f"{scheme}://{host}" + (f":{port}" if port is not None and port != default else "")
+    return origin + (p.path or "/")
+
+
+def test_normalize_url_matches_model_on_random_urls(spark):
+    from quire.functions.urls import normalize_url
+    rnd = random.Random(17)
+    def one():
+        scheme = rnd.choice(["http", "https", "HTTP", "Https"])
+        cred = rnd.choice(["", "user@", "u:p@"])
+        host = rnd.choice(["Example.COM", "a.b.example.org", "X.io"])
+        port = rnd.choice(["", ":80", ":443", ":8080"])
+        path = rnd.choice(["", "/", "/a/b", "/A%20b/c.html", "/x/"])
+        query = rnd.choice(["", "?q=1", "?a=b&c=d"])
+        frag = rnd.choice(["", "#top", "#a?b"])
+        return f"{scheme}://{cred}{host}{port}{path}{query}{frag}"
+    urls = [one() for _ in range(500)]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string")
+    got = {r.i: r.n for r in df.select("i", normalize_url("u").alias("n")).collect()}
+    bad = [(u, got[i], _py_norm(u)) for i, u in enumerate(urls) if got[i] != _py_norm(u)]
+    assert not bad, bad[:5]
