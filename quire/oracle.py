@@ -3,6 +3,10 @@ rows, same column names). Tables are the pre-registered test views."""
 
 from __future__ import annotations
 
+# fixed patterns and entity list come from the Spark side, the SQL around them is written here
+from quire.functions.html import _HREF, _NOISE, _TITLE, NAMED_ENTITIES
+from quire.functions.urls import _URL, _WIKI_PAGE as _WIKI
+
 # JavaScript white space, RE2 syntax (same class as quire.functions.text)
 _WS = r"[\t-\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 
@@ -20,7 +24,6 @@ def _truncate(full: str) -> str:
             f"ELSE {full} END")
 
 
-_URL = r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^@/?#]*@)?([^/?#:]*)(?::([0-9]*))?([^?#]*)"
 
 
 def _origin(u: str) -> str:
@@ -36,11 +39,7 @@ def _norm(u: str) -> str:
     return f"({_origin(u)} || CASE WHEN {path} = '' THEN '/' ELSE {path} END)"
 
 
-_NOISE = r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-_TITLE = r"(?is)<title\b[^>]*>(.*?)(?:</title\s*>|\z)"
-_ENT = [("&quot;", '"'), ("&apos;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\xa0"),
-        ("&middot;", "·"), ("&copy;", "©"), ("&reg;", "®"), ("&hellip;", "…"),
-        ("&mdash;", "—"), ("&ndash;", "–"), ("&laquo;", "«"), ("&raquo;", "»"), ("&euro;", "€")]
+_ENT = [(e, c.replace("'", "''")) for e, c in NAMED_ENTITIES]  # SQL-quoted
 
 
 def _decode(x: str) -> str:
@@ -63,7 +62,6 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_HREF = r"""(?is)<a\b[^<>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 SQL: dict[str, str] = {}
 
@@ -122,7 +120,6 @@ WITH f AS (SELECT doc_id, {_truncate(f"({_sanitize('text')} || '.html')")} AS fi
 SELECT doc_id, filename, split_part('gs://corpus-bucket/docs/' || filename, '/', -1) AS base FROM f
 """
 
-_WIKI = r"/spaces/\w+/pages/\d+"
 
 SQL["web_url_canonical"] = f"""
 WITH d AS (
