@@ -6,6 +6,12 @@ from __future__ import annotations
 # fixed patterns and entity list come from the Spark side, the SQL around them is written here
 from quire.functions.html import _HREF, _NOISE, _TITLE, NAMED_ENTITIES
 from quire.functions.urls import _URL, _WIKI_PAGE as _WIKI
+from quire.analogues import BASE_URL, BUCKET, LINK_BAN, TITLE_BAN, URL_BAN
+
+
+def _any(patterns) -> str:
+    """The OR-ed pattern of quire.operators.filters.any_match, as a SQL literal."""
+    return "'" + "|".join(f"(?:{p})" for p in patterns).replace("'", "''") + "'"
 
 # JavaScript white space, RE2 syntax (same class as quire.functions.text)
 _WS = r"[\t-\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
@@ -71,7 +77,7 @@ SELECT page_id, {_norm('url')} AS norm_url, md5({_norm('url')}) AS id FROM pages
 
 SQL["page_title"] = f"""
 SELECT page_id, title FROM (SELECT page_id, {_title('html')} AS title FROM pages)
-WHERE NOT coalesce(regexp_matches(title, '(?:(?i).*nicht.*)'), false)
+WHERE NOT coalesce(regexp_matches(title, {_any(TITLE_BAN)}), false)
 """
 
 
@@ -106,7 +112,7 @@ WITH a AS (
 )
 SELECT page_id, pos, link FROM l
 WHERE link IS NOT NULL AND regexp_matches(link, '^https?://')
-  AND NOT regexp_matches(link, '(?:/the$)|(?:(?i)/AND$)')
+  AND NOT regexp_matches(link, {_any(LINK_BAN)})
 """
 
 SQL["sanitize_filename"] = f"""
@@ -117,7 +123,7 @@ SELECT 'page' AS kind, page_id AS id, {_sanitize(_title('html'))} AS name FROM p
 
 SQL["truncate_filename"] = f"""
 WITH f AS (SELECT doc_id, {_truncate(f"({_sanitize('text')} || '.html')")} AS filename FROM documents)
-SELECT doc_id, filename, split_part('gs://corpus-bucket/docs/' || filename, '/', -1) AS base FROM f
+SELECT doc_id, filename, split_part('gs://{BUCKET}/docs/' || filename, '/', -1) AS base FROM f
 """
 
 
@@ -131,10 +137,10 @@ WITH d AS (
   FROM documents
 )
 SELECT doc_id,
-  'https://corp.example.com' || CASE WHEN contains(coalesce(link, ''), '/pages/') AND regexp_matches(coalesce(link, ''), '{_WIKI}')
+  '{BASE_URL}' || CASE WHEN contains(coalesce(link, ''), '/pages/') AND regexp_matches(coalesce(link, ''), '{_WIKI}')
        THEN '/wiki' || regexp_extract(link, '{_WIKI}', 0) ELSE coalesce(link, '') END AS web_url,
-  'https://corp.example.com/wiki/download/attachments/' || sid || '/' || source || '.pdf' AS download_url,
-  'https://corp.example.com/browse/S' || n || '-' || sid AS issue_url
+  '{BASE_URL}/wiki/download/attachments/' || sid || '/' || source || '.pdf' AS download_url,
+  '{BASE_URL}/browse/S' || n || '-' || sid AS issue_url
 FROM d
 """
 
@@ -210,8 +216,8 @@ SELECT id FROM r WHERE id NOT IN (7, 9)
 SQL["bounded_crawl"] = f"""
 WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages),
 t AS (SELECT page_id, {_norm('url')} AS norm_url, {_title('html')} AS title FROM pages),
-blocked AS (SELECT page_id FROM t WHERE regexp_matches(norm_url, '(?:spam-farm\\.)|(?:(?i)cheap-PILLS)')),
-stop AS (SELECT page_id FROM t WHERE coalesce(regexp_matches(title, '(?:(?i).*nicht.*)'), false)),
+blocked AS (SELECT page_id FROM t WHERE regexp_matches(norm_url, {_any(URL_BAN)})),
+stop AS (SELECT page_id FROM t WHERE coalesce(regexp_matches(title, {_any(TITLE_BAN)}), false)),
 e AS (SELECT page_id AS src, (7 * page_id + 3) % n.n AS dst FROM pages, n
       UNION ALL SELECT page_id, (5 * page_id + 1) % n.n FROM pages, n),
 r(id, hop) AS (
@@ -253,7 +259,7 @@ WITH j AS (
          ELSE 'Order of ' || c.c_name || ' in ' || n.n_name || ' (' || o.o_orderstatus || ')' END AS description
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 )
-SELECT o_orderkey, '[' || key || '] ' || title AS title, 'https://corp.example.com/browse/' || key AS url,
+SELECT o_orderkey, '[' || key || '] ' || title AS title, '{BASE_URL}/browse/' || key AS url,
   concat_ws({_NL2},
     'Issue Key: ' || key, 'Issue Type: ' || issue_type, 'Title: ' || title, 'Project Name: ' || project,
     CASE WHEN len(labels) > 0 THEN 'Labels: ' || array_to_string(labels, ', ') END,
@@ -325,11 +331,11 @@ SQL["metadata_records"] = f"""
 SELECT doc_id, CAST(to_json({{
   'id': CAST(doc_id AS VARCHAR),
   'structData': {{'title': split_part(text, chr(10), 1), 'spaceName': lang,
-     'webUrl': 'https://corp.example.com' || CASE WHEN regexp_matches('/spaces/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '/x', '{_WIKI}')
+     'webUrl': '{BASE_URL}' || CASE WHEN regexp_matches('/spaces/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '/x', '{_WIKI}')
           THEN '/wiki' || regexp_extract('/spaces/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '/x', '{_WIKI}', 0)
           ELSE '/spaces/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '/x' END,
      'createdAt': '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00.000Z'}},
-  'content': {{'mimeType': 'text/html', 'uri': 'gs://corpus-bucket/docs/' || {_DOC_FILE}}}
+  'content': {{'mimeType': 'text/html', 'uri': 'gs://{BUCKET}/docs/' || {_DOC_FILE}}}
 }}) AS VARCHAR) AS json
 FROM documents
 """
