@@ -1,9 +1,12 @@
 """End-to-end corpus jobs (L1-L4): landed snapshots -> one document and
 one metadata record per item, per crawl target.
 
-Each job returns a :class:`Corpus` of lazy DataFrames; nothing is
-collected. ``run_targets`` walks the crawl-target configuration (a few
-rows on the driver) and unions the jobs per target (S18, U1).
+Each job returns a :class:`Corpus` of DataFrames; no rows reach the
+driver. Eager steps are limited to a bounded row count (the checked
+broadcast of the space listing), the narrow page-facts checkpoint of the
+web job and the per-hop counts of the graph loops. ``run_targets`` walks
+the crawl-target configuration (a few rows on the driver) and unions the
+jobs per target (S18, U1).
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from quire.functions.urls import attachment_url, issue_url, normalize_url, wiki_
 from quire.operators import issues as iss
 from quire.operators import web, wiki
 from quire.operators.dedupe import latest_by
-from quire.operators.filters import js_regex, checked_broadcast, key_in, key_not_in, literal_frame, none_match
+from quire.operators.filters import checked_broadcast, js_regex, key_in, key_not_in, literal_frame, none_match
 from quire.plans.catalog import metadata_record, storage_uri
 from quire.plans.graph import bounded_crawl, closure, materialize
 from quire.session import ensure_checkpoint_dir
