@@ -58,3 +58,16 @@ def test_unclosed_elements_run_to_the_end(spark):
     df = spark.createDataFrame([(h,) for h in pages], "h string")
     got = [r[0] for r in df.select(page_title("h")).collect()]
     assert got == ["open title", "No title", "No title", "a"]
+
+
+def test_attachment_filters_case_and_media_type(spark):
+    from quire.operators import wiki
+    rows = [("1", "Report.PDF", "application/pdf"), ("2", "report draft.pdf", "application/pdf"),
+            ("3", "SECRET plan.docx", "application/vnd.openxmlformats-officedocument.wordprocessingml.document"),
+            ("4", "Secret plan.docx", "application/vnd.openxmlformats-officedocument.wordprocessingml.document"),
+            ("5", "photo.png", "image/png"),
+            ("6", "deck.pptx", "application/vnd.openxmlformats-officedocument.presentationml.presentation")]
+    df = spark.createDataFrame(rows, "id string, title string, mediaType string")
+    got = {r.id: r.ext for r in wiki.allowed_attachments(df, ["SECRET", "(?i)draft"]).collect()}
+    # "SECRET" is case-sensitive (4 stays), "(?i)draft" is not; png is not an allowed media type
+    assert got == {"1": "pdf", "4": "docx", "6": "pptx"}
