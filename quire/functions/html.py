@@ -31,11 +31,15 @@ def strip_noise(html) -> Column:
 
 
 def _decode_numeric(s: Column) -> Column:
+    """Numeric references (&#NN; / &#xHH;) to characters; a code point that is
+    0, a surrogate or above U+10FFFF becomes U+FFFD (as an HTML parser does)."""
     toks = F.regexp_extract_all(s, F.lit(r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|[^&]+|&"), F.lit(0))
+
     def one(t):
-        hexval = F.when(t.rlike("^&#[xX]"), F.regexp_extract(t, r"^&#[xX]([0-9a-fA-F]+);$", 1)).otherwise(
-            F.hex(F.regexp_extract(t, r"^&#([0-9]+);$", 1).cast("bigint")))
-        as_char = F.decode(F.unhex(F.lpad(hexval, 8, "0")), "UTF-32")
+        cp = F.when(t.rlike("^&#[xX]"), F.conv(F.regexp_extract(t, r"^&#[xX]([0-9a-fA-F]+);$", 1), 16, 10)).otherwise(
+            F.regexp_extract(t, r"^&#([0-9]+);$", 1)).cast("bigint")
+        valid = (cp >= 1) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
+        as_char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")).otherwise(F.lit("\uFFFD"))
         return F.when(t.rlike(r"^&#([0-9]+|[xX][0-9a-fA-F]+);$"), as_char).otherwise(t)
     return F.when(s.contains("&#"), F.array_join(F.transform(toks, one), "")).otherwise(s)
 

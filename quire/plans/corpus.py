@@ -152,7 +152,8 @@ def issue_corpus(issues: DataFrame, *, target: str, where: Column | str | None =
     custom = []
     for name, _ in custom_fields:
         numeric = name == "Story Points"
-        value = F.coalesce(F.col(name).cast("double"), F.lit(0.0)) if numeric else F.col(name)
+        # landed values are text: a non-number must not fail the job (ANSI mode)
+        value = F.coalesce(F.col(name).try_cast("double"), F.lit(0.0)) if numeric else F.col(name)
         custom.append((name, value, numeric))
     body = iss.issue_body(F.col("key"), F.col("issue_type"), F.col("title"), F.col("project_name"), F.col("labels"),
                           F.col("created"), F.col("updated"), custom, F.col("description"))

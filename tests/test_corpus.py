@@ -41,7 +41,8 @@ def _tables(spark):
     issues = spark.createDataFrame([
         issue("SLS-1", "Story", "Done", "SLS-9", "2024-02-03T00:00:00", sp="2.0"),
         issue("SLS-2", "Story", "Done", "SLS-9", "2024-02-04T00:00:00"),
-        issue("SLS-3", "Bug", "Open"), issue("SLS-9", "Epic", "Open"), issue("SLS-8", "Epic", "Open")], schemas.ISSUE)
+        issue("SLS-3", "Bug", "Open", sp="n/a"), issue("SLS-9", "Epic", "Open"), issue("SLS-8", "Epic", "Open")],
+        schemas.ISSUE)
     comments = spark.createDataFrame([("SLS-1", 0, 2, 2, [({"displayName": "Ann"}, "<p>hi</p>", "c", "u1"),
                                                          ({"displayName": "Bob"}, "<p>yo</p>", "c", "u2")])],
                                      schemas.COMMENTS_RESPONSE)
@@ -91,6 +92,10 @@ def test_run_targets_end_to_end(spark):
                     "SLS-2: S SLS-2 [Last Updated On: 2024-02-04T00:00:00]\n"
                     "SLS-1: S SLS-1 [Last Updated On: 2024-02-03T00:00:00]\n")
     assert ("issues", "jira-cloud SLS-8.html") not in docs
+    # a non-numeric story-point value gives no line instead of failing the job
+    from quire.plans.corpus import issue_corpus
+    bug = issue_corpus(t["issues"], target="x", where="key = 'SLS-3'", base_url=BASE, bucket=BUCKET)
+    assert "Story Points" not in bug.documents.first().body
     meta = {r.filename: r.metadata for r in c.metadata.where("crawl_target = 'wiki'").collect()}
     m = meta["confluence-cloud AB 1.html"]
     assert m.structData.webUrl == BASE + "/wiki/spaces/AB/pages/1" and m.structData.spaceName == "Alpha"

@@ -71,3 +71,11 @@ def test_attachment_filters_case_and_media_type(spark):
     got = {r.id: r.ext for r in wiki.allowed_attachments(df, ["SECRET", "(?i)draft"]).collect()}
     # "SECRET" is case-sensitive (4 stays), "(?i)draft" is not; png is not an allowed media type
     assert got == {"1": "pdf", "4": "docx", "6": "pptx"}
+
+
+def test_numeric_entities_out_of_range_do_not_fail(spark):
+    from quire.functions.html import decode_entities
+    vals = ["&#65;&#x263A;", "&#0;", "&#55296;", "&#1114112;", "&#x110000;", "&#xD800;", "a&amp;#39;b"]
+    df = spark.createDataFrame([(v,) for v in vals], "x string")
+    got = [r[0] for r in df.select(decode_entities(F.col("x"))).collect()]
+    assert got == ["A☺", "�", "�", "�", "�", "�", "a&#39;b"]
