@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import file_name, js_number
-from quire.operators.ordering import Order, ordered_concat
+from quire.operators.ordering import Order, ordered_concat, ordered_parts
 
 # File-name prefix, custom fields (display name -> field key)
 # and the texts of the rendered issue documents, in document order.
@@ -146,15 +146,35 @@ def epic_summaries(epics: DataFrame, stories: DataFrame, epic_key: str, epic_tit
                    order: Order, out: str = "body") -> DataFrame:
     """A3 + J5 + C10: an epic document listing its done stories, newest
     update first; epics without stories are dropped (inner join)."""
-    line = lambda n, g: F.concat(_s(g(story_key)), F.lit(": "), _s(g(story_title)),
-                                 F.lit(STORY_UPDATED), _s(g(story_updated)), F.lit(STORY_END))
-    listing = ordered_concat(stories, [story_epic], order, line, "", "_listing")
+    listing = ordered_concat(stories, [story_epic], order, _story_line(story_key, story_title, story_updated),
+                             "", "_listing")
     e = epics.join(listing, epics[epic_key] == listing[story_epic], "inner")
     head = F.concat(F.lit(EPIC_ID), _s(F.col(epic_key)), F.lit(EPIC_TITLE), _s(F.col(epic_title)),
                     F.lit(EPIC_LISTING))
     return e.withColumn(out, F.concat(head, F.col("_listing"))).drop("_listing", story_epic)
 
 
+def _story_line(story_key: str, story_title: str, story_updated: str):
+    return lambda n, g: F.concat(_s(g(story_key)), F.lit(": "), _s(g(story_title)),
+                                 F.lit(STORY_UPDATED), _s(g(story_updated)), F.lit(STORY_END))
+
+
+def epic_summary_parts(epics: DataFrame, stories: DataFrame, epic_key: str, epic_title: str,
+                       story_epic: str, story_key: str, story_title: str, story_updated: str,
+                       order: Order) -> DataFrame:
+    """A3 for epics whose listing may outgrow one string value: rows
+    (epic key, part, text); part 0 is the header, parts 1.. the listing in
+    order. Joined in part order they equal :func:`epic_summaries`."""
+    listing = ordered_parts(stories, [story_epic], order, _story_line(story_key, story_title, story_updated),
+                            "", "text")
+    with_stories = epics.join(listing.select(story_epic).distinct(), epics[epic_key] == listing[story_epic],
+                              "left_semi")
+    head = with_stories.select(F.col(epic_key), F.lit(0).alias("part"), F.concat(
+        F.lit(EPIC_ID), _s(F.col(epic_key)), F.lit(EPIC_TITLE), _s(F.col(epic_title)), F.lit(EPIC_LISTING)).alias("text"))
+    body = listing.select(F.col(story_epic).alias(epic_key), "part", "text")
+    return head.unionByName(body)
+
+
 def issue_title(key: Column, title: Column) -> Column:
     """``[KEY] title``."""
     return F.concat(F.lit("["), key, F.lit("] "), _s(title))

@@ -76,6 +76,23 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Order, out: str = "rn
                        (F.col(_OFF) + F.col("_q_i") + F.lit(1)).cast("long").alias(out))
 
 
+def _slices_text(df: DataFrame, keys: Sequence[str], order: Order,
+                 render: Callable[[Column | None, Getter], Column], sep: str,
+                 numbered: bool, fields: Sequence[str], parts: int | None) -> DataFrame:
+    """(keys, slice id, slice text): each range slice of a key rendered and
+    joined in order on its own task."""
+    sep_sql = sql_literal(sep)
+    if numbered:
+        packed = _slice_rows(df, keys, order, fields, parts)
+        return packed.select(*keys, _PART, F.array_join(F.transform(
+            F.col(_ROWS), lambda x, i: render(F.col(_OFF) + i + F.lit(1), lambda c: x[c])), sep).alias(_SLICE))
+    sort = [F.col(k).asc_nulls_first() for k in keys] + sort_cols(order)
+    parted = df.repartitionByRange(_partitions(df, parts), *sort).withColumn(_PART, F.spark_partition_id())
+    pieces = parted.withColumn("_q_piece", render(None, F.col))
+    return pieces.groupBy(*keys, _PART).agg(
+        F.expr(f"listagg(_q_piece, {sep_sql}) WITHIN GROUP (ORDER BY {_order_sql(order)})").alias(_SLICE))
+
+
 def ordered_concat(df: DataFrame, keys: Sequence[str], order: Order,
                    render: Callable[[Column | None, Getter], Column], sep: str, out: str,
                    numbered: bool = False, fields: Sequence[str] = (),
@@ -86,16 +103,20 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], order: Order,
     columns ``render`` reads), else None. ``render`` must not return NULL
     (a NULL piece is skipped, as by ``listagg``). NULL keys form one group;
     NULL order values sort first ascending and last descending."""
-    sep_sql = sql_literal(sep)
-    if numbered:
-        packed = _slice_rows(df, keys, order, fields, parts)
-        sliced = packed.select(*keys, _PART, F.array_join(F.transform(
-            F.col(_ROWS), lambda x, i: render(F.col(_OFF) + i + F.lit(1), lambda c: x[c])), sep).alias(_SLICE))
-    else:
-        sort = [F.col(k).asc_nulls_first() for k in keys] + sort_cols(order)
-        parted = df.repartitionByRange(_partitions(df, parts), *sort).withColumn(_PART, F.spark_partition_id())
-        pieces = parted.withColumn("_q_piece", render(None, F.col))
-        sliced = pieces.groupBy(*keys, _PART).agg(
-            F.expr(f"listagg(_q_piece, {sep_sql}) WITHIN GROUP (ORDER BY {_order_sql(order)})").alias(_SLICE))
+    sliced = _slices_text(df, keys, order, render, sep, numbered, fields, parts)
     return sliced.groupBy(*keys).agg(
-        F.expr(f"listagg({_SLICE}, {sep_sql}) WITHIN GROUP (ORDER BY {_PART} ASC)").alias(out))
+        F.expr(f"listagg({_SLICE}, {sql_literal(sep)}) WITHIN GROUP (ORDER BY {_PART} ASC)").alias(out))
+
+
+def ordered_parts(df: DataFrame, keys: Sequence[str], order: Order,
+                  render: Callable[[Column | None, Getter], Column], sep: str, out: str = "text",
+                  numbered: bool = False, fields: Sequence[str] = (),
+                  parts: int | None = None) -> DataFrame:
+    """Like :func:`ordered_concat`, for outputs that may outgrow one string
+    value (Spark strings stop near 2 GB; a key holding a third of 100 TB
+    would): one row per (key, part) with ``part`` = 1, 2, ... in order.
+    The document is the parts joined by ``sep`` in part order; no value
+    grows with the size of the group."""
+    sliced = _slices_text(df, keys, order, render, sep, numbered, fields, parts)
+    w = Window.partitionBy(*keys).orderBy(_PART)
+    return sliced.select(*keys, F.row_number().over(w).cast("int").alias("part"), F.col(_SLICE).alias(out))

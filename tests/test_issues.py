@@ -61,3 +61,18 @@ def test_epic_summary_drops_empty_epics_and_breaks_ties(spark):
     assert out[0].body == ("Epic ID: E1\nEpic Title: One\n=====\nListing of User Stories:\n\n"
                            "S3: c [Last Updated On: 2024-01-03]\nS1: a [Last Updated On: 2024-01-02]\n"
                            "S2: b [Last Updated On: 2024-01-02]\n")
+
+
+def test_epic_summary_parts_rejoin(spark):
+    epics = spark.createDataFrame([("E1", "One"), ("E2", "Two"), ("E3", "none")], "key string, title string")
+    stories = spark.createDataFrame([(f"E{1 + i % 2}", f"S{i:03d}", f"t{i}", f"2024-01-{1 + i % 28:02d}", i)
+                                     for i in range(300)],
+                                    "epic string, skey string, stitle string, upd string, seq long")
+    order = [("upd", False), ("skey", True)]
+    whole = {r.key: r.body for r in iss.epic_summaries(epics, stories, "key", "title", "epic", "skey", "stitle",
+                                                         "upd", order).collect()}
+    parts = iss.epic_summary_parts(epics, stories, "key", "title", "epic", "skey", "stitle", "upd", order).collect()
+    joined = {}
+    for r in sorted(parts, key=lambda r: (r.key, r.part)):
+        joined[r.key] = joined.get(r.key, "") + r.text
+    assert joined == whole and set(whole) == {"E1", "E2"}

@@ -79,3 +79,18 @@ def test_number_rows_with_null_keys_and_orders(spark):
         for i, r in enumerate(grp):
             want[r[2]] = i + 1
     assert got == want
+
+
+def test_ordered_parts_rejoin_to_ordered_concat(spark):
+    from quire.operators.ordering import ordered_parts
+    df, pdf = _skewed(spark, 900)
+    render = lambda n, g: F.concat(n.cast("string"), F.lit("="), g("s"))
+    whole = {r.k: r.o for r in ordered_concat(df, ["k"], [("v", True), ("id", True)], render, ";", "o",
+                                                numbered=True, fields=["s"], parts=6).collect()}
+    parts = ordered_parts(df, ["k"], [("v", True), ("id", True)], render, ";", numbered=True, fields=["s"],
+                          parts=6).collect()
+    joined = {}
+    for r in sorted(parts, key=lambda r: (r.k, r.part)):
+        joined[r.k] = r.text if r.k not in joined else joined[r.k] + ";" + r.text
+    assert joined == whole
+    assert max(r.part for r in parts if r.k == 0) >= 2  # the hot key comes in several parts
