@@ -236,3 +236,13 @@ def test_unknown_configuration_keys_are_rejected(spark):
     bad2 = {"t": {"sources": [{"source": "web", "type": "url", "items": ["x"], "options": {"includeComments": True}}]}}
     with pytest.raises(ValueError, match="unknown web options"):
         run_targets(spark, bad2, t, base_url=BASE, bucket=BUCKET)
+
+
+def test_old_configuration_shape_is_rejected(spark):
+    import pytest
+
+    from quire.__main__ import execute
+    old = {"crawlTargets": {"t": [{"source": "web", "type": "url", "items": ["https://a.example.com/"]}]},
+           "landed": {}, "baseUrl": BASE, "bucket": BUCKET, "out": "/tmp/unused"}
+    with pytest.raises(ValueError, match="expected"):
+        execute(spark, old)
