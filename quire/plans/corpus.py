@@ -21,9 +21,9 @@ from quire.functions.urls import attachment_url, issue_url, normalize_url, wiki_
 from quire.operators import issues as iss
 from quire.operators import web, wiki
 from quire.operators.dedupe import latest_by
-from quire.operators.filters import checked_broadcast, js_regex, key_in, key_not_in, literal_frame, none_match
+from quire.operators.filters import any_match, checked_broadcast, js_regex, key_in, key_not_in, literal_frame, none_match
 from quire.plans.catalog import metadata_record, storage_uri
-from quire.plans.graph import bounded_crawl, closure, materialize
+from quire.plans.graph import closure, grouped_frontier_search, materialize
 from quire.session import ensure_checkpoint_dir
 
 HTML = "text/html"
@@ -202,15 +202,17 @@ def epic_summary_corpus(issues: DataFrame, *, target: str, project: str, base_ur
 
 # ------------------------------------------------------------------ web (L3)
 
-def web_corpus(web_pages: DataFrame, seeds: Sequence[str], *, target: str, include_links: bool = False,
-               regex: str | None = None, banned_url_patterns: Sequence[str] = (),
-               banned_title_patterns: Sequence[str] = (), depth: int = 1, bucket: str) -> Corpus:
-    """L3: breadth-first crawl over landed pages (minimum hop, §Q1);
-    pages not landed are reported as missing (§Q3).
-
-    The HTML is read twice in all: once to extract title and hrefs into a
-    narrow checkpointed table the crawl runs on, once to join the bodies
-    of the saved pages at the end."""
+def web_crawls(web_pages: DataFrame, crawls: Sequence[Mapping], *, bucket: str) -> Corpus:
+    """L3 for many crawls at once (e.g. every web source of every target).
+
+    Each crawl is a mapping with ``target``, ``seeds`` and optionally
+    ``include_links``, ``regex``, ``banned_url_patterns``,
+    ``banned_title_patterns`` and ``depth``. The HTML is read twice in all,
+    whatever the number of crawls: once to extract titles and hrefs into a
+    narrow checkpointed table, once to join the bodies of saved pages. The
+    crawls run as one breadth-first search keyed by crawl (visited set,
+    depth, bans and link filters per crawl; minimum hop, §Q1); pages not
+    landed are reported as missing (§Q3)."""
     spark = web_pages.sparkSession
     ensure_checkpoint_dir(spark)
     # one landed copy per normalised URL (latest fetch), chosen on narrow columns
@@ -219,33 +221,65 @@ def web_corpus(web_pages: DataFrame, seeds: Sequence[str], *, target: str, inclu
     winners = winners.select("id", F.col("url").alias("_w_url"), F.col("fetched_at").alias("_w_at"))
     cond = (web_pages["url"] == winners["_w_url"]) & web_pages["fetched_at"].eqNullSafe(winners["_w_at"])
     chosen = web_pages.join(winners, cond, "inner").select("id", "url", "fetched_at", "html")
-    facts = materialize(web.page_facts(chosen, banned_title_patterns=banned_title_patterns))
-
-    seed_df = literal_frame(spark, [(u,) for u in seeds], "url string").select(
-        "url", normalize_url("url").alias("norm_url"))
-    seed_df = seed_df.where(none_match("norm_url", banned_url_patterns)).select(F.md5("norm_url").alias("id"), "url")
-    if include_links and depth > 1:
-        links = web.links_from_hrefs(facts, "id", "url", "hrefs", regex, banned_url_patterns)
-        links = links.withColumn("dst_norm", normalize_url("link")).where(none_match("dst_norm", banned_url_patterns))
-        edges = links.select(F.col("id").alias("src"), F.md5("dst_norm").alias("dst"))
-        link_urls = links.select(F.md5("dst_norm").alias("id"), F.col("link").alias("url"))
-    else:
-        edges = spark.createDataFrame([], "src string, dst string")
-        link_urls = spark.createDataFrame([], "id string, url string")
-        depth = min(depth, 1)  # without links only the seeds; depth <= 0 crawls nothing
-    stoppers = facts.where(F.col("title_banned")).select("id")
-    visited = bounded_crawl(edges, seed_df.select("id"), depth, stoppers=stoppers)
-    saved = facts.join(visited, "id").where(~F.col("title_banned")).drop("hrefs")
-    bodies = saved.join(chosen.select("id", F.col("html").alias("body")), "id")
+    facts = materialize(web.page_facts(chosen))
+
+    seeds, stoppers, edges, link_urls, bounds, names = [], [], [], [], [], []
+    for k, c in enumerate(crawls):
+        g = F.lit(k).alias("g")
+        depth = int(c.get("depth", 1))
+        links = bool(c.get("include_links", False)) and depth > 1
+        banned_url = list(c.get("banned_url_patterns", ()))
+        names.append((k, c["target"]))
+        bounds.append((k, depth - 1 if links else 0))
+        if depth <= 0:
+            continue  # a crawl of depth <= 0 visits nothing
+        sd = literal_frame(spark, [(u,) for u in c.get("seeds", ())], "url string").select(
+            "url", normalize_url("url").alias("norm_url"))
+        seeds.append(sd.where(none_match("norm_url", banned_url)).select(g, F.md5("norm_url").alias("id"), "url"))
+        stoppers.append(facts.where(any_match("title", list(c.get("banned_title_patterns", ())))).select(g, "id"))
+        if links:
+            lk = web.links_from_hrefs(facts, "id", "url", "hrefs", c.get("regex"), banned_url)
+            lk = lk.withColumn("dst_norm", normalize_url("link")).where(none_match("dst_norm", banned_url))
+            edges.append(lk.select(g, F.col("id").alias("src"), F.md5("dst_norm").alias("dst")))
+            link_urls.append(lk.select(g, F.md5("dst_norm").alias("id"), F.col("link").alias("url")))
+
+    def union(parts: list, schema: str) -> DataFrame:
+        if not parts:
+            return spark.createDataFrame([], schema)
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    seed_df = union(seeds, "g int, id string, url string")
+    stop_df = union(stoppers, "g int, id string")
+    edge_df = union(edges, "g int, src string, dst string")
+    known = seed_df.unionByName(union(link_urls, "g int, id string, url string"))
+    targets = literal_frame(spark, names, "g int, crawl_target string")
+    visited = grouped_frontier_search(edge_df, seed_df.select("g", "id"),
+                                      literal_frame(spark, bounds, "g int, max_hop int"), group="g", stoppers=stop_df)
+    saved = facts.drop("hrefs").join(visited, "id").join(stop_df, ["g", "id"], "left_anti")
+    bodies = saved.join(chosen.select("id", F.col("html").alias("body")), "id").join(targets, "g")
     fname = web.web_file_name(F.col("id"), F.col("title"))
-    docs = bodies.select(fname.alias("filename"), F.lit(HTML).alias("mime_type"), "body", "id", "title", "url",
-                         "fetched_at")
+    docs = bodies.select("crawl_target", fname.alias("filename"), F.lit(HTML).alias("mime_type"), "body", "id",
+                         "title", "url", "fetched_at")
     rec = metadata_record(F.col("id"), F.col("title"), F.col("url"), F.col("fetched_at").cast("string"), F.lit(HTML),
-                          storage_uri(bucket, target, F.col("filename")))
-    known = seed_df.unionByName(link_urls)
-    missing = visited.join(facts.select("id"), "id", "left_anti").join(known, "id", "left").groupBy("id", "hop").agg(
-        F.min("url").alias("url")).withColumn("status", F.lit("missing"))
-    return Corpus(_out(docs, target), _meta(docs, target, rec), {"missing": missing})
+                          storage_uri(bucket, F.col("crawl_target"), F.col("filename")))
+    missing = (visited.join(facts.select("id"), "id", "left_anti").join(known, ["g", "id"], "left")
+               .groupBy("g", "id", "hop").agg(F.min("url").alias("url")).join(targets, "g")
+               .select("crawl_target", "id", "hop", "url", F.lit("missing").alias("status")))
+    return Corpus(docs.select("crawl_target", "filename", "mime_type", "body"),
+                  docs.select("crawl_target", "filename", rec.alias("metadata")), {"missing": missing})
+
+
+def web_corpus(web_pages: DataFrame, seeds: Sequence[str], *, target: str, include_links: bool = False,
+               regex: str | None = None, banned_url_patterns: Sequence[str] = (),
+               banned_title_patterns: Sequence[str] = (), depth: int = 1, bucket: str) -> Corpus:
+    """L3 for one crawl target (see :func:`web_crawls`)."""
+    return web_crawls(web_pages, [dict(target=target, seeds=list(seeds), include_links=include_links, regex=regex,
+                                       banned_url_patterns=list(banned_url_patterns),
+                                       banned_title_patterns=list(banned_title_patterns), depth=depth)],
+                      bucket=bucket)
 
 
 # ------------------------------------------------------------------ targets
@@ -275,6 +309,7 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
     union the results; an unknown (source, type) is skipped."""
     docs, metas = [], []
     extra: dict[str, DataFrame] = {}
+    web_specs: list[dict] = []
 
     def add(part: Corpus) -> None:
         # run order = precedence for latest-wins (configuration order, then item order)
@@ -313,16 +348,24 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
                                                base_url=base_url, bucket=bucket)
                     add(part)
             elif kind == "web" and typ == "url":
-                c = web_corpus(tables["web_pages"], items, target=target, include_links=opt.get("includeLinks", False),
-                               regex=opt.get("regex"), banned_url_patterns=opt.get("bannedUrlPatterns", []),
-                               banned_title_patterns=opt.get("bannedTitlePatterns", []), depth=opt.get("depth", 1),
-                               bucket=bucket)
+                # all web crawls of all targets run together below (one HTML pass, one search)
+                web_specs.append(dict(target=target, seeds=items, include_links=opt.get("includeLinks", False),
+                                      regex=opt.get("regex"), banned_url_patterns=opt.get("bannedUrlPatterns", []),
+                                      banned_title_patterns=opt.get("bannedTitlePatterns", []),
+                                      depth=opt.get("depth", 1)))
             if c is not None:
                 n_ord = F.lit(len(docs)).cast("int").alias("run_ord")
                 add(c)
                 for k, v in c.extra.items():
                     v = v.select("*", n_ord)
                     extra[k] = v if k not in extra else extra[k].unionByName(v, allowMissingColumns=True)
+    if web_specs:
+        c = web_crawls(tables["web_pages"], web_specs, bucket=bucket)
+        n_ord = F.lit(len(docs)).cast("int").alias("run_ord")
+        add(c)
+        for k, v in c.extra.items():
+            v = v.select("*", n_ord)
+            extra[k] = v if k not in extra else extra[k].unionByName(v, allowMissingColumns=True)
     if not docs:
         empty = spark.createDataFrame([], "crawl_target string, filename string, mime_type string, body string, run_ord int")
         return Corpus(empty, spark.createDataFrame(

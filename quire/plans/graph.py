@@ -120,3 +120,42 @@ def bounded_crawl(edges: DataFrame, seeds: DataFrame, depth: int, *, blocked: Da
         return seeds.select(F.col(seed_col).alias("id"), F.lit(0).alias("hop")).where(F.lit(False))
     return frontier_search(edges, seeds, src=src, dst=dst, seed_col=seed_col, max_hops=depth - 1,
                            blocked=blocked, stoppers=stoppers)
+
+
+def grouped_frontier_search(edges: DataFrame, seeds: DataFrame, max_hops: DataFrame, *, group: str = "g",
+                            stoppers: DataFrame | None = None) -> DataFrame:
+    """Many breadth-first searches in one loop: every row carries a group
+    (e.g. a crawl target) with its own edges, seeds, stoppers, hop bound and
+    visited set. ``edges`` (group, src, dst), ``seeds`` (group, id),
+    ``max_hops`` (group, max_hop: a small configuration table, broadcast),
+    ``stoppers`` (group, id). Returns (group, id, hop), minimum hop per group."""
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
+    keys = [group, "id"]
+    e = materialize(edges.select(group, "src", "dst").where(
+        F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct())
+    bounds = F.broadcast(max_hops.select(group, F.col("max_hop").cast("int").alias("_max")))
+    if stoppers is not None:
+        stoppers = materialize(stoppers.select(group, F.col(stoppers.columns[1]).alias("id")).distinct())
+    start = seeds.select(group, F.col(seeds.columns[1]).alias("id")).where(F.col("id").isNotNull()).distinct()
+    frontier = materialize(start.withColumn("hop", F.lit(0)))
+    visited, hop, n, layers = frontier, 0, frontier.count(), 1
+    while n > 0:
+        hop += 1
+        # only groups whose bound allows another hop expand
+        expand = frontier.join(bounds, group).where(F.col("hop") < F.col("_max")).select(*keys)
+        if stoppers is not None:
+            expand = expand.join(stoppers, keys, "left_anti")
+        side = F.broadcast(expand) if n <= BROADCAST_MAX_ROWS else expand
+        cand = side.join(e, (side[group] == e[group]) & (side["id"] == e["src"])).select(
+            side[group], F.col("dst").alias("id")).distinct()
+        nxt = cand.join(visited.select(*keys), keys, "left_anti").withColumn("hop", F.lit(hop))
+        frontier = materialize(nxt)
+        n = frontier.count()
+        if n == 0:
+            break
+        visited = visited.unionByName(frontier)
+        layers += 1
+        if layers % _COMPACT_EVERY == 0:
+            visited = materialize(visited)
+    return visited

@@ -246,3 +246,17 @@ def test_old_configuration_shape_is_rejected(spark):
            "landed": {}, "baseUrl": BASE, "bucket": BUCKET, "out": "/tmp/unused"}
     with pytest.raises(ValueError, match="expected"):
         execute(spark, old)
+
+
+def test_web_targets_batched_equal_separate_runs(spark):
+    t = _tables(spark)
+    a = {"source": "web", "type": "url", "items": ["https://a.example.com/"],
+         "options": {"includeLinks": True, "depth": 3, "bannedTitlePatterns": ["(?i)verboten"]}}
+    b = {"source": "web", "type": "url", "items": ["https://a.example.com/b"], "options": {"depth": 1}}
+    both = run_targets(spark, {"ta": {"sources": [a]}, "tb": {"sources": [b]}}, t, base_url=BASE, bucket=BUCKET)
+    got = sorted((r.crawl_target, r.filename) for r in both.documents.collect())
+    one = sorted((r.crawl_target, r.filename) for r in
+                 run_targets(spark, {"ta": {"sources": [a]}}, t, base_url=BASE, bucket=BUCKET).documents.collect())
+    two = sorted((r.crawl_target, r.filename) for r in
+                 run_targets(spark, {"tb": {"sources": [b]}}, t, base_url=BASE, bucket=BUCKET).documents.collect())
+    assert got == sorted(one + two) and len(one) == 2 and len(two) == 1

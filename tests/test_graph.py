@@ -87,3 +87,25 @@ def test_large_visited_path_matches_bfs(spark, monkeypatch):
     got = g.frontier_search(_edges(spark, pairs), _ids(spark, [0, 1]), blocked=_ids(spark, [4]),
                             stoppers=_ids(spark, [7, 8]))
     assert {r.id: r.hop for r in got.collect()} == want
+
+
+def test_grouped_search_equals_one_search_per_group(spark):
+    from quire.plans.graph import grouped_frontier_search
+    rnd = random.Random(8)
+    groups = {"a": (3, {5}), "b": (1, set()), "c": (None, {2, 3})}  # group -> (max hops, stoppers)
+    edge_rows, seed_rows, bound_rows, stop_rows, want = [], [], [], [], {}
+    for gname, (mh, stops) in groups.items():
+        pairs = [(rnd.randint(0, 30), rnd.randint(0, 30)) for _ in range(60)]
+        seeds = [0, 1]
+        edge_rows += [(gname, s, d) for s, d in pairs]
+        seed_rows += [(gname, s) for s in seeds]
+        bound_rows.append((gname, 1000 if mh is None else mh))
+        stop_rows += [(gname, s) for s in stops]
+        for node, h in _bfs(pairs, seeds, max_hops=mh, stoppers=stops).items():
+            want[(gname, node)] = h
+    got = grouped_frontier_search(
+        spark.createDataFrame(edge_rows, "g string, src long, dst long"),
+        spark.createDataFrame(seed_rows, "g string, id long"),
+        spark.createDataFrame(bound_rows, "g string, max_hop int"),
+        stoppers=spark.createDataFrame(stop_rows, "g string, id long"))
+    assert {(r.g, r.id): r.hop for r in got.collect()} == want
