@@ -140,6 +140,7 @@ def grouped_frontier_search(edges: DataFrame, seeds: DataFrame, max_hops: DataFr
     start = seeds.select(group, F.col(seeds.columns[1]).alias("id")).where(F.col("id").isNotNull()).distinct()
     frontier = materialize(start.withColumn("hop", F.lit(0)))
     visited, hop, n, layers = frontier, 0, frontier.count(), 1
+    seen_total = n
     while n > 0:
         hop += 1
         # only groups whose bound allows another hop expand
@@ -149,11 +150,19 @@ def grouped_frontier_search(edges: DataFrame, seeds: DataFrame, max_hops: DataFr
         side = F.broadcast(expand) if n <= BROADCAST_MAX_ROWS else expand
         cand = side.join(e, (side[group] == e[group]) & (side["id"] == e["src"])).select(
             side[group], F.col("dst").alias("id")).distinct()
-        nxt = cand.join(visited.select(*keys), keys, "left_anti").withColumn("hop", F.lit(hop))
-        frontier = materialize(nxt)
+        if seen_total <= BROADCAST_MAX_ROWS:
+            nxt = cand.join(visited.select(*keys), keys, "left_anti")
+        else:  # as in frontier_search: a large visited set is scanned, never shuffled, for few candidates
+            cand = materialize(cand)
+            if cand.count() <= BROADCAST_MAX_ROWS:
+                nxt = cand.join(visited.select(*keys).join(F.broadcast(cand), keys, "left_semi"), keys, "left_anti")
+            else:
+                nxt = cand.join(visited.select(*keys), keys, "left_anti")
+        frontier = materialize(nxt.withColumn("hop", F.lit(hop)))
         n = frontier.count()
         if n == 0:
             break
+        seen_total += n
         visited = visited.unionByName(frontier)
         layers += 1
         if layers % _COMPACT_EVERY == 0:

@@ -89,8 +89,14 @@ def test_large_visited_path_matches_bfs(spark, monkeypatch):
     assert {r.id: r.hop for r in got.collect()} == want
 
 
-def test_grouped_search_equals_one_search_per_group(spark):
+import pytest
+
+
+@pytest.mark.parametrize("threshold", [200_000, 4])
+def test_grouped_search_equals_one_search_per_group(spark, monkeypatch, threshold):
+    import quire.plans.graph as gmod
     from quire.plans.graph import grouped_frontier_search
+    monkeypatch.setattr(gmod, "BROADCAST_MAX_ROWS", threshold)  # 4 forces the large-visited path
     rnd = random.Random(8)
     groups = {"a": (3, {5}), "b": (1, set()), "c": (None, {2, 3})}  # group -> (max hops, stoppers)
     edge_rows, seed_rows, bound_rows, stop_rows, want = [], [], [], [], {}
