@@ -139,16 +139,31 @@ def issues_by_key(view: DataFrame, keys: DataFrame, key_col: str = "key") -> Dat
     return view.join(keys.select(F.col(key_col).alias("_k")), F.col("key") == F.col("_k"), "left_semi")
 
 
-def issue_corpus(issues: DataFrame, *, target: str, where: Column | str | None = None,
-                 comments: DataFrame | None = None, steps: DataFrame | None = None,
-                 include_comments: bool = False, include_steps: bool = False,
-                 base_url: str, bucket: str, custom_fields=iss.CUSTOM_FIELDS) -> Corpus:
-    """L2: issues matching ``where`` (C9 as a Spark predicate), rendered
-    with optional test-step and comment blocks (left joins of per-issue
-    aggregates, J3/J4)."""
+def _predicate(where: Column | str | None) -> Column:
+    if where is None:
+        return F.lit(True)
+    return F.expr(where) if isinstance(where, str) else where
+
+
+def issue_queries(issues: DataFrame, specs: Sequence[Mapping], *, comments: DataFrame | None = None,
+                  steps: DataFrame | None = None, base_url: str, bucket: str,
+                  custom_fields=iss.CUSTOM_FIELDS) -> Corpus:
+    """L2 for many issue queries at once (e.g. every query of every target).
+
+    Each spec has ``target``, ``where`` (C9 as a Spark predicate or SQL
+    string), optionally ``include_comments``, ``include_steps`` and ``ord``
+    (precedence, default: position). One scan of the issues tags each issue
+    with every query it matches; the comment and test-step blocks (A1, A2)
+    are aggregated once, only for issues matched by a query that asks for
+    them, and joined once (J3, J4). Documents carry ``run_ord``."""
+    spark = issues.sparkSession
     v = issues_view(issues, base_url, custom_fields)
-    if where is not None:
-        v = v.where(where)
+    tags = F.array(*[F.when(_predicate(sp.get("where")), F.lit(k)) for k, sp in enumerate(specs)])
+    v = v.withColumn("_q", F.explode(F.filter(tags, lambda x: x.isNotNull())))
+    conf = literal_frame(spark, [(k, sp["target"], bool(sp.get("include_steps")), bool(sp.get("include_comments")),
+                                  int(sp.get("ord", k))) for k, sp in enumerate(specs)],
+                         "_q int, crawl_target string, _with_steps boolean, _with_comments boolean, run_ord int")
+    v = v.join(conf, "_q")
     custom = []
     for name, _ in custom_fields:
         numeric = name == "Story Points"
@@ -158,27 +173,42 @@ def issue_corpus(issues: DataFrame, *, target: str, where: Column | str | None =
     body = iss.issue_body(F.col("key"), F.col("issue_type"), F.col("title"), F.col("project_name"), F.col("labels"),
                           F.col("created"), F.col("updated"), custom, F.col("description"))
     v = v.withColumn("body", body)
-    blocks = []
-    if include_steps and steps is not None:
-        s = steps.select("issue_key", F.posexplode("testSteps").alias("arrival", "s")).select(
-            "issue_key", "arrival", "s.orderId", "s.step", "s.data", "s.result")
-        blocks.append((iss.steps_block(s, "issue_key", [("orderId", True), ("arrival", True)],
+    blocks, parts = [], [F.col("body")]
+    if steps is not None and any(sp.get("include_steps") for sp in specs):
+        wanted = v.where("_with_steps").select(F.col("key").alias("issue_key")).distinct()
+        st = steps.select("issue_key", F.posexplode("testSteps").alias("arrival", "s")).select(
+            "issue_key", "arrival", "s.orderId", "s.step", "s.data", "s.result").join(wanted, "issue_key", "left_semi")
+        blocks.append((iss.steps_block(st, "issue_key", [("orderId", True), ("arrival", True)],
                                        "step", "data", "result"), "steps_block"))
-    if include_comments and comments is not None:
-        c = comments.select("issue_key", "startAt", F.posexplode("comments").alias("pos", "c")).select(
+        parts.append(F.when(F.col("_with_steps"), F.col("steps_block")).otherwise(F.lit("")))
+    if comments is not None and any(sp.get("include_comments") for sp in specs):
+        wanted = v.where("_with_comments").select(F.col("key").alias("issue_key")).distinct()
+        cm = comments.select("issue_key", "startAt", F.posexplode("comments").alias("pos", "c")).select(
             "issue_key", (F.coalesce(F.col("startAt"), F.lit(0)) + F.col("pos")).alias("seq"),
             F.col("c.author.displayName").alias("author"), F.col("c.updated").alias("updated_c"),
-            F.col("c.renderedBody").alias("content"))
-        blocks.append((iss.comments_block(c, "issue_key", [("seq", True)], "author", "updated_c", "content"),
+            F.col("c.renderedBody").alias("content")).join(wanted, "issue_key", "left_semi")
+        blocks.append((iss.comments_block(cm, "issue_key", [("seq", True)], "author", "updated_c", "content"),
                        "comments_block"))
+        parts.append(F.when(F.col("_with_comments"), F.col("comments_block")).otherwise(F.lit("")))
     v = iss.attach_blocks(v, "key", *blocks)
-    full = F.concat(F.col("body"), *[F.col(b) for _, b in blocks])
-    docs = v.select(iss.issue_file_name(F.col("key")).alias("filename"), F.lit(HTML).alias("mime_type"),
-                    full.alias("body"), "key", "title", "web_url", "created", "updated")
+    docs = v.select("crawl_target", iss.issue_file_name(F.col("key")).alias("filename"), F.lit(HTML).alias("mime_type"),
+                    F.concat(*parts).alias("body"), "run_ord", "key", "title", "web_url", "created", "updated")
     rec = metadata_record(F.col("key"), iss.issue_title(F.col("key"), F.col("title")), F.col("web_url"),
-                          F.col("created"), F.lit(HTML), storage_uri(bucket, target, F.col("filename")),
+                          F.col("created"), F.lit(HTML), storage_uri(bucket, F.col("crawl_target"), F.col("filename")),
                           updated_at=F.col("updated"))
-    return Corpus(_out(docs, target), _meta(docs, target, rec), {})
+    return Corpus(docs.select("crawl_target", "filename", "mime_type", "body", "run_ord"),
+                  docs.select("crawl_target", "filename", rec.alias("metadata"), "run_ord"), {})
+
+
+def issue_corpus(issues: DataFrame, *, target: str, where: Column | str | None = None,
+                 comments: DataFrame | None = None, steps: DataFrame | None = None,
+                 include_comments: bool = False, include_steps: bool = False,
+                 base_url: str, bucket: str, custom_fields=iss.CUSTOM_FIELDS) -> Corpus:
+    """L2 for one issue query (see :func:`issue_queries`)."""
+    c = issue_queries(issues, [dict(target=target, where=where, include_comments=include_comments,
+                                    include_steps=include_steps)], comments=comments, steps=steps,
+                      base_url=base_url, bucket=bucket, custom_fields=custom_fields)
+    return Corpus(c.documents.drop("run_ord"), c.metadata.drop("run_ord"), c.extra)
 
 
 def epic_summary_corpus(issues: DataFrame, *, target: str, project: str, base_url: str, bucket: str) -> Corpus:
@@ -310,12 +340,28 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
     docs, metas = [], []
     extra: dict[str, DataFrame] = {}
     web_specs: list[dict] = []
+    issue_specs: list[dict] = []
+
+    counter = [0]
 
-    def add(part: Corpus) -> None:
+    def next_ord() -> int:
         # run order = precedence for latest-wins (configuration order, then item order)
-        n = F.lit(len(docs)).cast("int").alias("run_ord")
-        docs.append(part.documents.select("*", n))
-        metas.append(part.metadata.select("*", n))
+        counter[0] += 1
+        return counter[0]
+
+    def add(part: Corpus, extras: bool = False) -> None:
+        if "run_ord" in part.documents.columns:  # batched parts carry their own order
+            docs.append(part.documents)
+            metas.append(part.metadata)
+            n = F.lit(counter[0]).cast("int").alias("run_ord")
+        else:
+            n = F.lit(next_ord()).cast("int").alias("run_ord")
+            docs.append(part.documents.select("*", n))
+            metas.append(part.metadata.select("*", n))
+        if extras:
+            for k, v in part.extra.items():
+                v = v.select("*", n)
+                extra[k] = v if k not in extra else extra[k].unionByName(v, allowMissingColumns=True)
     for target, spec in config.items():
         for src in spec.get("sources", []):
             _check_source(target, src)
@@ -335,13 +381,11 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
                                 banned_attachment_patterns=opt.get("bannedAttachmentPatterns", []),
                                 base_url=base_url, bucket=bucket)
             elif kind == "jira" and typ == "query":
+                # all issue queries of all targets run together below (one scan, blocks aggregated once)
                 for q in items:
-                    part = issue_corpus(tables["issues"], target=target, where=q, comments=tables.get("comments"),
-                                        steps=tables.get("test_steps"),
-                                        include_comments=opt.get("includeComments", False),
-                                        include_steps=opt.get("includeZephyrTestSteps", False),
-                                        base_url=base_url, bucket=bucket)
-                    add(part)
+                    issue_specs.append(dict(target=target, where=q, ord=next_ord(),
+                                            include_comments=opt.get("includeComments", False),
+                                            include_steps=opt.get("includeZephyrTestSteps", False)))
             elif kind == "jira" and typ == "epic-issue-summary":
                 for project in items:
                     part = epic_summary_corpus(tables["issues"], target=target, project=project,
@@ -354,18 +398,12 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
                                       banned_title_patterns=opt.get("bannedTitlePatterns", []),
                                       depth=opt.get("depth", 1)))
             if c is not None:
-                n_ord = F.lit(len(docs)).cast("int").alias("run_ord")
-                add(c)
-                for k, v in c.extra.items():
-                    v = v.select("*", n_ord)
-                    extra[k] = v if k not in extra else extra[k].unionByName(v, allowMissingColumns=True)
+                add(c, extras=True)
+    if issue_specs:
+        add(issue_queries(tables["issues"], issue_specs, comments=tables.get("comments"),
+                          steps=tables.get("test_steps"), base_url=base_url, bucket=bucket))
     if web_specs:
-        c = web_crawls(tables["web_pages"], web_specs, bucket=bucket)
-        n_ord = F.lit(len(docs)).cast("int").alias("run_ord")
-        add(c)
-        for k, v in c.extra.items():
-            v = v.select("*", n_ord)
-            extra[k] = v if k not in extra else extra[k].unionByName(v, allowMissingColumns=True)
+        add(web_crawls(tables["web_pages"], web_specs, bucket=bucket), extras=True)
     if not docs:
         empty = spark.createDataFrame([], "crawl_target string, filename string, mime_type string, body string, run_ord int")
         return Corpus(empty, spark.createDataFrame(

@@ -141,7 +141,7 @@ def test_command_line_run(spark):
                for r in spark.read.parquet(os.path.join(base, "out", "summary")).collect()}
     assert summary[("wiki", "application/pdf")] == (0, 1) and summary[("issues", "text/html")] == (3, 3)
     dl = spark.read.parquet(os.path.join(base, "out", "downloads")).collect()
-    assert [(r.filename, r.run_ord) for r in dl] == [("confluence-cloud AB f1.pdf", 0)]
+    assert [(r.filename, r.run_ord) for r in dl] == [("confluence-cloud AB f1.pdf", 1)]
     man = spark.read.parquet(os.path.join(base, "out", "manifest"))
     assert {r.crawl_target for r in man.collect()} == {"wiki"}
     run2 = dict(run, out=os.path.join(base, "out2"), previousCatalog=os.path.join(base, "out", "catalog"))
@@ -260,3 +260,21 @@ def test_web_targets_batched_equal_separate_runs(spark):
     two = sorted((r.crawl_target, r.filename) for r in
                  run_targets(spark, {"tb": {"sources": [b]}}, t, base_url=BASE, bucket=BUCKET).documents.collect())
     assert got == sorted(one + two) and len(one) == 2 and len(two) == 1
+
+
+def test_issue_queries_batched_and_precedence(spark):
+    t = _tables(spark)
+    q1 = {"source": "jira", "type": "query", "items": ["status = 'Done'"], "options": {"includeComments": True}}
+    q2 = {"source": "jira", "type": "query", "items": ["issue_type = 'Bug'"], "options": {"includeZephyrTestSteps": True}}
+    both = run_targets(spark, {"a": {"sources": [q1]}, "b": {"sources": [q2]}}, t, base_url=BASE, bucket=BUCKET)
+    sep = [run_targets(spark, {"a": {"sources": [q1]}}, t, base_url=BASE, bucket=BUCKET),
+           run_targets(spark, {"b": {"sources": [q2]}}, t, base_url=BASE, bucket=BUCKET)]
+    rows = lambda c: sorted((r.crawl_target, r.filename, r.body) for r in c.documents.collect())
+    assert rows(both) == sorted(rows(sep[0]) + rows(sep[1]))
+    # one target, the same issue from two queries: the later query (with comments) wins after publishing
+    plain = {"source": "jira", "type": "query", "items": ["key = 'SLS-1'"]}
+    out = tempfile.mkdtemp(prefix="quire-prec-", dir="/tmp")
+    c = run_targets(spark, {"x": {"sources": [plain, q1]}}, t, base_url=BASE, bucket=BUCKET)
+    publish_snapshot(c.documents, c.metadata, out)
+    body = spark.read.parquet(f"{out}/documents").where("filename = 'jira-cloud SLS-1.html'").first().body
+    assert "Comments:" in body
