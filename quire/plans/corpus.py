@@ -63,56 +63,110 @@ def wiki_attachments_view(atts: DataFrame, base_url: str) -> DataFrame:
                        F.col("version.createdAt").alias("createdAt"))
 
 
-def wiki_corpus(spaces: DataFrame, pages: DataFrame, attachments: DataFrame, *, target: str, type: str,
-                items: Sequence[str] = (), children: DataFrame | None = None, include_child_pages: bool = False,
-                exclude_pages: Sequence[str] = (), banned_attachment_patterns: Sequence[str] = (),
-                base_url: str, bucket: str, referenced_only: bool = True, decode_refs: bool = False) -> Corpus:
-    """L1: ``type`` is ``all`` (every listed space), ``spaces`` (space
-    keys in ``items``) or ``pages`` (page ids in ``items``, optionally
-    with all descendants; excludes are applied after the expansion)."""
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def wiki_crawls(spaces: DataFrame, pages: DataFrame, attachments: DataFrame, specs: Sequence[Mapping], *,
+                children: DataFrame | None = None, base_url: str, bucket: str, referenced_only: bool = True,
+                decode_refs: bool = False) -> Corpus:
+    """L1 for many wiki crawls at once (e.g. every wiki source of every target).
+
+    Each spec has ``target``, ``type`` (``all``: every listed space;
+    ``spaces``: space keys in ``items``; ``pages``: page ids in ``items``,
+    with all descendants when ``include_child_pages``, ``exclude_pages``
+    removed after the expansion), optionally ``banned_attachment_patterns``
+    and ``ord`` (precedence). The selections are small tagged joins, the
+    child-page closures run as one grouped search over the shared edge
+    table, and the attachment references are extracted once per distinct
+    selected page body. Documents carry ``run_ord``."""
     spark = pages.sparkSession
     # the space listing is broadcast only when its counted size is small
     listed = checked_broadcast(wiki.listed_spaces(spaces))
     pv = wiki_pages_view(pages)
     listing = pv.where(F.col("status") == "current")  # S7 lists current pages; S8 (by id) does not filter
+    sels: list[DataFrame] = []
     extra: dict[str, DataFrame] = {}
-    if type == "all":
-        sel = wiki.pages_in_spaces(listing, listed)
-    elif type == "spaces":
-        keys = literal_frame(spark, [(k,) for k in items], "key string")
-        sel = wiki.pages_in_spaces(listing, wiki.target_spaces(listed, keys))
-    elif type == "pages":
-        ids = literal_frame(spark, [(str(i),) for i in items], "id string")
-        if include_child_pages and children is not None:
-            ids = closure(children, ids, src="parent_id", dst="id")
-        if exclude_pages:
-            ids = key_not_in(ids, "id", literal_frame(spark, [(str(i),) for i in exclude_pages], "x string"), "x")
-        chosen = key_in(pv, "id", ids.withColumnRenamed("id", "_id"), "_id")
-        sel = wiki.pages_in_spaces(chosen, listed)
+    kinds = {sp["type"] for sp in specs}
+    if kinds - {"all", "spaces", "pages"}:
+        raise ValueError(f"unknown wiki crawl type(s) {sorted(kinds - {'all', 'spaces', 'pages'})}")
+    g_all = [k for k, sp in enumerate(specs) if sp["type"] == "all"]
+    if g_all:  # every "all" crawl gets every listed page (fan-out by a literal list, no join)
+        sels.append(wiki.pages_in_spaces(listing, listed).withColumn("g", F.explode(F.array(*[F.lit(k) for k in g_all]))))
+    space_keys = [(k, str(key)) for k, sp in enumerate(specs) if sp["type"] == "spaces" for key in sp.get("items", ())]
+    if space_keys:
+        wanted = listed.join(literal_frame(spark, space_keys, "g int, key string"), "key")
+        sels.append(wiki.pages_in_spaces(listing, wanted.drop("g").dropDuplicates(["id"])).join(
+            wanted.select(F.col("id").alias("spaceId"), "g"), "spaceId"))
+    page_specs = [(k, sp) for k, sp in enumerate(specs) if sp["type"] == "pages"]
+    if page_specs:
+        ids = literal_frame(spark, [(k, str(i)) for k, sp in page_specs for i in sp.get("items", ())], "g int, id string")
+        if children is not None and any(sp.get("include_child_pages") for _, sp in page_specs):
+            bounds = literal_frame(spark, [(k, 2 ** 30 if sp.get("include_child_pages") else 0) for k, sp in page_specs],
+                                   "g int, max_hop int")
+            edges = children.select(F.col("parent_id").alias("src"), F.col("id").alias("dst"))
+            ids = grouped_frontier_search(edges, ids, bounds, group="g").select("g", "id")
+        excl = [(k, str(x)) for k, sp in page_specs for x in sp.get("exclude_pages", ())]
+        if excl:
+            ids = ids.join(literal_frame(spark, excl, "g int, id string"), ["g", "id"], "left_anti")
+        chosen = pv.join(ids, "id")
+        sels.append(wiki.pages_in_spaces(chosen, listed))
         extra["quarantine"] = wiki.pages_without_space(chosen, listed)
-    else:
-        raise ValueError(f"unknown wiki crawl type {type!r}")
+    conf = literal_frame(spark, [(k, sp["target"], int(sp.get("ord", k))) for k, sp in enumerate(specs)],
+                         "g int, crawl_target string, run_ord int")
+    sel = _union(sels).join(conf, "g")
+    if "quarantine" in extra:
+        extra["quarantine"] = extra["quarantine"].join(conf, "g").drop("g", "run_ord")
+
     fname = wiki.page_file_name(F.col("space_key"), F.col("id"), "html")
-    docs = sel.select(fname.alias("filename"), F.lit(HTML).alias("mime_type"),
+    docs = sel.select("crawl_target", "run_ord", fname.alias("filename"), F.lit(HTML).alias("mime_type"),
                       wiki.page_body(F.col("title"), F.col("body")).alias("body"), "id", "title", "space_name",
                       "link", "createdAt")
     rec = metadata_record(F.col("id"), F.col("title"), wiki_page_url(base_url, F.col("link")), F.col("createdAt"),
-                          F.lit(HTML), storage_uri(bucket, target, F.col("filename")), space_name=F.col("space_name"))
-    page_meta = _meta(docs, target, rec)
+                          F.lit(HTML), storage_uri(bucket, F.col("crawl_target"), F.col("filename")),
+                          space_name=F.col("space_name"))
+    page_meta = docs.select("crawl_target", "filename", rec.alias("metadata"), "run_ord")
 
+    # attachments: references extracted once per selected page body, then fanned out to the crawls
+    page_ids = sel.select("id").distinct()
     av = wiki_attachments_view(attachments, base_url)
     if referenced_only:
-        av = wiki.referenced_attachments(av, sel, "id", "body", decode_refs)
+        bodies = pv.join(page_ids, "id", "left_semi").select("id", "body")
+        av = wiki.referenced_attachments(av, bodies, "id", "body", decode_refs)
     else:
-        av = av.join(sel.select(F.col("id").alias("_p")), F.col("pageId") == F.col("_p"), "left_semi")
-    allowed = wiki.allowed_attachments(av, banned_attachment_patterns)
-    owners = sel.select(F.col("id").alias("_owner"), "space_key", "space_name")
+        av = av.join(page_ids.withColumnRenamed("id", "_p"), F.col("pageId") == F.col("_p"), "left_semi")
+    allowed = wiki.allowed_attachments(av)
+    owners = sel.select(F.col("id").alias("_owner"), "g", "crawl_target", "run_ord", "space_key", "space_name")
     a = allowed.join(owners, allowed["pageId"] == owners["_owner"]).drop("_owner")
+    banned = F.lit(False)
+    for k, sp in enumerate(specs):  # per-crawl banned titles (C3), one literal pattern per crawl
+        pats = list(sp.get("banned_attachment_patterns", ()))
+        if pats:
+            banned = F.when(F.col("g") == k, any_match("title", pats)).otherwise(banned)
+    a = a.where(~F.coalesce(banned, F.lit(False)))
     a = a.withColumn("filename", wiki.page_file_name(F.col("space_key"), F.col("fileId"), F.col("ext")))
     arec = metadata_record(F.col("id"), F.col("title"), F.col("webUrl"), F.col("createdAt"), F.col("mediaType"),
-                           storage_uri(bucket, target, F.col("filename")), space_name=F.col("space_name"))
-    extra["downloads"] = a.select(F.lit(target).alias("crawl_target"), "filename", "downloadUrl")
-    return Corpus(_out(docs, target), page_meta.unionByName(_meta(a, target, arec)), extra)
+                           storage_uri(bucket, F.col("crawl_target"), F.col("filename")), space_name=F.col("space_name"))
+    extra["downloads"] = a.select("crawl_target", "filename", "downloadUrl", "run_ord")
+    return Corpus(docs.select("crawl_target", "filename", "mime_type", "body", "run_ord"),
+                  page_meta.unionByName(a.select("crawl_target", "filename", arec.alias("metadata"), "run_ord")), extra)
+
+
+def wiki_corpus(spaces: DataFrame, pages: DataFrame, attachments: DataFrame, *, target: str, type: str,
+                items: Sequence[str] = (), children: DataFrame | None = None, include_child_pages: bool = False,
+                exclude_pages: Sequence[str] = (), banned_attachment_patterns: Sequence[str] = (),
+                base_url: str, bucket: str, referenced_only: bool = True, decode_refs: bool = False) -> Corpus:
+    """L1 for one wiki crawl (see :func:`wiki_crawls`)."""
+    c = wiki_crawls(spaces, pages, attachments,
+                    [dict(target=target, type=type, items=list(items), include_child_pages=include_child_pages,
+                          exclude_pages=list(exclude_pages), banned_attachment_patterns=list(banned_attachment_patterns))],
+                    children=children, base_url=base_url, bucket=bucket, referenced_only=referenced_only,
+                    decode_refs=decode_refs)
+    extra = {k: (v.drop("run_ord") if "run_ord" in v.columns else v) for k, v in c.extra.items()}
+    return Corpus(c.documents.drop("run_ord"), c.metadata.drop("run_ord"), extra)
 
 
 # ------------------------------------------------------------------ issues (L2)
@@ -341,6 +395,7 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
     extra: dict[str, DataFrame] = {}
     web_specs: list[dict] = []
     issue_specs: list[dict] = []
+    wiki_specs: list[dict] = []
 
     counter = [0]
 
@@ -360,7 +415,7 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
             metas.append(part.metadata.select("*", n))
         if extras:
             for k, v in part.extra.items():
-                v = v.select("*", n)
+                v = v if "run_ord" in v.columns else v.select("*", n)
                 extra[k] = v if k not in extra else extra[k].unionByName(v, allowMissingColumns=True)
     for target, spec in config.items():
         for src in spec.get("sources", []):
@@ -374,12 +429,11 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
                 opt["regex"] = js_regex(opt["regex"])
             c = None
             if kind == "confluence":
-                c = wiki_corpus(tables["spaces"], tables["pages"], tables["attachments"], target=target, type=typ,
-                                items=items, children=tables.get("page_children"),
-                                include_child_pages=opt.get("includeChildPages", False),
-                                exclude_pages=opt.get("excludePages", []),
-                                banned_attachment_patterns=opt.get("bannedAttachmentPatterns", []),
-                                base_url=base_url, bucket=bucket)
+                # all wiki crawls of all targets run together below (one closure loop, one reference pass)
+                wiki_specs.append(dict(target=target, type=typ, items=items, ord=next_ord(),
+                                       include_child_pages=opt.get("includeChildPages", False),
+                                       exclude_pages=opt.get("excludePages", []),
+                                       banned_attachment_patterns=opt.get("bannedAttachmentPatterns", [])))
             elif kind == "jira" and typ == "query":
                 # all issue queries of all targets run together below (one scan, blocks aggregated once)
                 for q in items:
@@ -399,6 +453,9 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
                                       depth=opt.get("depth", 1)))
             if c is not None:
                 add(c, extras=True)
+    if wiki_specs:
+        add(wiki_crawls(tables["spaces"], tables["pages"], tables["attachments"], wiki_specs,
+                        children=tables.get("page_children"), base_url=base_url, bucket=bucket), extras=True)
     if issue_specs:
         add(issue_queries(tables["issues"], issue_specs, comments=tables.get("comments"),
                           steps=tables.get("test_steps"), base_url=base_url, bucket=bucket))

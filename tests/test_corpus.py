@@ -278,3 +278,18 @@ def test_issue_queries_batched_and_precedence(spark):
     publish_snapshot(c.documents, c.metadata, out)
     body = spark.read.parquet(f"{out}/documents").where("filename = 'jira-cloud SLS-1.html'").first().body
     assert "Comments:" in body
+
+
+def test_wiki_crawls_batched_equal_separate_runs(spark):
+    t = _tables(spark)
+    a = {"source": "confluence", "type": "all", "items": [], "options": {"bannedAttachmentPatterns": ["^a\\."]}}
+    b = {"source": "confluence", "type": "spaces", "items": ["CD", "AB"]}
+    c = {"source": "confluence", "type": "pages", "items": ["2"], "options": {"includeChildPages": True}}
+    conf = {"ta": {"sources": [a]}, "tb": {"sources": [b]}, "tc": {"sources": [c]}}
+    rows = lambda x: sorted((r.crawl_target, r.filename, r.body) for r in x.documents.collect())
+    dl = lambda x: sorted((r.crawl_target, r.filename) for r in x.extra["downloads"].collect())
+    both = run_targets(spark, conf, t, base_url=BASE, bucket=BUCKET)
+    seps = [run_targets(spark, {k: v}, t, base_url=BASE, bucket=BUCKET) for k, v in conf.items()]
+    assert rows(both) == sorted(sum((rows(x) for x in seps), []))
+    assert dl(both) == sorted(sum((dl(x) for x in seps), []))
+    assert ("ta", "confluence-cloud AB f1.pdf") not in dl(both) and ("tb", "confluence-cloud AB f1.pdf") in dl(both)

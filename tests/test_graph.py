@@ -115,3 +115,19 @@ def test_grouped_search_equals_one_search_per_group(spark, monkeypatch, threshol
         spark.createDataFrame(bound_rows, "g string, max_hop int"),
         stoppers=spark.createDataFrame(stop_rows, "g string, id long"))
     assert {(r.g, r.id): r.hop for r in got.collect()} == want
+
+
+def test_grouped_search_with_shared_edges(spark):
+    from quire.plans.graph import grouped_frontier_search
+    rnd = random.Random(12)
+    pairs = [(rnd.randint(0, 40), rnd.randint(0, 40)) for _ in range(90)]
+    seeds = {"a": [0], "b": [5, 9], "c": [33]}
+    want = {}
+    for g, sd in seeds.items():
+        for node, h in _bfs(pairs, sd).items():
+            want[(g, node)] = h
+    got = grouped_frontier_search(
+        spark.createDataFrame(pairs, "src long, dst long"),
+        spark.createDataFrame([(g, s) for g, sd in seeds.items() for s in sd], "g string, id long"),
+        spark.createDataFrame([(g, 10 ** 6) for g in seeds], "g string, max_hop int"))
+    assert {(r.g, r.id): r.hop for r in got.collect()} == want
