@@ -265,23 +265,39 @@ def issue_corpus(issues: DataFrame, *, target: str, where: Column | str | None =
     return Corpus(c.documents.drop("run_ord"), c.metadata.drop("run_ord"), c.extra)
 
 
-def epic_summary_corpus(issues: DataFrame, *, target: str, project: str, base_url: str, bucket: str) -> Corpus:
-    """L2 sibling: one summary document per epic of ``project`` listing
-    its done stories, newest update first (S14, S15, C10, J5, A3)."""
-    v = issues_view(issues, base_url).withColumn("updated_ts", F.try_to_timestamp(F.col("updated")))
-    epics = v.where((F.col("project_key") == project) & (F.col("issue_type") == "Epic")).select(
-        F.col("key").alias("epic_key"), F.col("title").alias("epic_title"), "web_url", "created", "updated")
-    stories = v.where((F.col("project_key") == project) & (F.col("status") == "Done") & F.col("epic_link").isNotNull())
-    stories = stories.select("epic_link", F.col("key").alias("story_key"), F.col("title").alias("story_title"),
-                             F.col("updated").alias("story_updated"), "updated_ts")
+def epic_summaries_for(issues: DataFrame, specs: Sequence[Mapping], *, base_url: str, bucket: str) -> Corpus:
+    """L2 sibling for many (target, project) specs at once: one summary per
+    epic of each project listing its done stories, newest update first
+    (S14, S15, C10, J5, A3). Epic keys are unique across projects, so one
+    ordered aggregation serves every spec; a small table maps each project
+    to its target(s). Documents carry ``run_ord``."""
+    spark = issues.sparkSession
+    conf = literal_frame(spark, [(sp["target"], sp["project"], int(sp.get("ord", k))) for k, sp in enumerate(specs)],
+                         "crawl_target string, project_key string, run_ord int")
+    projects = conf.select("project_key").distinct()
+    v = issues_view(issues, base_url).join(projects, "project_key", "left_semi").withColumn(
+        "updated_ts", F.try_to_timestamp(F.col("updated")))
+    epics = v.where(F.col("issue_type") == "Epic").select(
+        "project_key", F.col("key").alias("epic_key"), F.col("title").alias("epic_title"), "web_url", "created", "updated")
+    stories = v.where((F.col("status") == "Done") & F.col("epic_link").isNotNull()).select(
+        "epic_link", F.col("key").alias("story_key"), F.col("title").alias("story_title"),
+        F.col("updated").alias("story_updated"), "updated_ts")
     s = iss.epic_summaries(epics, stories, "epic_key", "epic_title", "epic_link", "story_key", "story_title",
                            "story_updated", [("updated_ts", False), ("story_updated", False), ("story_key", True)])
-    docs = s.select(iss.issue_file_name(F.col("epic_key")).alias("filename"), F.lit(HTML).alias("mime_type"),
-                    "body", "epic_key", "epic_title", "web_url", "created", "updated")
+    s = s.join(conf, "project_key")
+    docs = s.select("crawl_target", "run_ord", iss.issue_file_name(F.col("epic_key")).alias("filename"),
+                    F.lit(HTML).alias("mime_type"), "body", "epic_key", "epic_title", "web_url", "created", "updated")
     rec = metadata_record(F.col("epic_key"), iss.epic_title(F.col("epic_key"), F.col("epic_title")), F.col("web_url"),
-                          F.col("created"), F.lit(HTML), storage_uri(bucket, target, F.col("filename")),
+                          F.col("created"), F.lit(HTML), storage_uri(bucket, F.col("crawl_target"), F.col("filename")),
                           updated_at=F.col("updated"))
-    return Corpus(_out(docs, target), _meta(docs, target, rec), {})
+    return Corpus(docs.select("crawl_target", "filename", "mime_type", "body", "run_ord"),
+                  docs.select("crawl_target", "filename", rec.alias("metadata"), "run_ord"), {})
+
+
+def epic_summary_corpus(issues: DataFrame, *, target: str, project: str, base_url: str, bucket: str) -> Corpus:
+    """L2 sibling for one project (see :func:`epic_summaries_for`)."""
+    c = epic_summaries_for(issues, [dict(target=target, project=project)], base_url=base_url, bucket=bucket)
+    return Corpus(c.documents.drop("run_ord"), c.metadata.drop("run_ord"), c.extra)
 
 
 # ------------------------------------------------------------------ web (L3)
@@ -390,12 +406,16 @@ def _check_source(target: str, src: Mapping) -> None:
 def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataFrame], *,
                 base_url: str, bucket: str) -> Corpus:
     """S18 + U1: run every configured source of every crawl target and
-    union the results; an unknown (source, type) is skipped."""
+    union the results; an unknown (source, type) is skipped. Each kind of
+    source runs once for all targets (wiki crawls, epic summaries, issue
+    queries, web crawls), keyed by target inside; ``run_ord`` keeps the
+    configuration order for latest-wins."""
     docs, metas = [], []
     extra: dict[str, DataFrame] = {}
     web_specs: list[dict] = []
     issue_specs: list[dict] = []
     wiki_specs: list[dict] = []
+    epic_specs: list[dict] = []
 
     counter = [0]
 
@@ -427,7 +447,6 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
                     opt[k] = [js_regex(x) for x in opt[k]]
             if opt.get("regex") is not None:
                 opt["regex"] = js_regex(opt["regex"])
-            c = None
             if kind == "confluence":
                 # all wiki crawls of all targets run together below (one closure loop, one reference pass)
                 wiki_specs.append(dict(target=target, type=typ, items=items, ord=next_ord(),
@@ -442,17 +461,15 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
                                             include_steps=opt.get("includeZephyrTestSteps", False)))
             elif kind == "jira" and typ == "epic-issue-summary":
                 for project in items:
-                    part = epic_summary_corpus(tables["issues"], target=target, project=project,
-                                               base_url=base_url, bucket=bucket)
-                    add(part)
+                    epic_specs.append(dict(target=target, project=str(project), ord=next_ord()))
             elif kind == "web" and typ == "url":
                 # all web crawls of all targets run together below (one HTML pass, one search)
                 web_specs.append(dict(target=target, seeds=items, include_links=opt.get("includeLinks", False),
                                       regex=opt.get("regex"), banned_url_patterns=opt.get("bannedUrlPatterns", []),
                                       banned_title_patterns=opt.get("bannedTitlePatterns", []),
                                       depth=opt.get("depth", 1)))
-            if c is not None:
-                add(c, extras=True)
+    if epic_specs:
+        add(epic_summaries_for(tables["issues"], epic_specs, base_url=base_url, bucket=bucket))
     if wiki_specs:
         add(wiki_crawls(tables["spaces"], tables["pages"], tables["attachments"], wiki_specs,
                         children=tables.get("page_children"), base_url=base_url, bucket=bucket), extras=True)
