@@ -293,3 +293,12 @@ def test_wiki_crawls_batched_equal_separate_runs(spark):
     assert rows(both) == sorted(sum((rows(x) for x in seps), []))
     assert dl(both) == sorted(sum((dl(x) for x in seps), []))
     assert ("ta", "confluence-cloud AB f1.pdf") not in dl(both) and ("tb", "confluence-cloud AB f1.pdf") in dl(both)
+
+
+def test_epic_summaries_for_several_targets(spark):
+    from quire.plans.corpus import epic_summaries_for
+    t = _tables(spark)
+    c = epic_summaries_for(t["issues"], [dict(target="a", project="SLS", ord=1), dict(target="b", project="SLS", ord=2),
+                                         dict(target="c", project="NONE", ord=3)], base_url=BASE, bucket=BUCKET)
+    got = sorted((r.crawl_target, r.filename, r.run_ord) for r in c.documents.collect())
+    assert got == [("a", "jira-cloud SLS-9.html", 1), ("b", "jira-cloud SLS-9.html", 2)]
