@@ -21,9 +21,9 @@ from quire.functions.urls import attachment_url, issue_url, normalize_url, wiki_
 from quire.operators import issues as iss
 from quire.operators import web, wiki
 from quire.operators.dedupe import latest_by
-from quire.operators.filters import any_match, checked_broadcast, js_regex, key_in, key_not_in, literal_frame, none_match
+from quire.operators.filters import any_match, checked_broadcast, js_regex, literal_frame, none_match
 from quire.plans.catalog import metadata_record, storage_uri
-from quire.plans.graph import closure, grouped_frontier_search, materialize
+from quire.plans.graph import grouped_frontier_search, materialize
 from quire.session import ensure_checkpoint_dir
 
 HTML = "text/html"
