@@ -9,21 +9,41 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import minhash, mixing, pieces, secrets, toxicity
+from quire.llm import chat, hilbert, itq, minhash, mixing, pages, pieces, secrets, toxicity, wordpiece
 from quire.llm.common import tables
 
 PIECES = "piece_bpe_32k.model"
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(tables(sf_dir, spark, "documents"), public_tokenizers.path(PIECES))
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_turns(spark, tables(sf_dir, spark, "conversations"))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, tables(sf_dir, spark, "documents"), shingle_words=4).select(
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(spark, tables(sf_dir, spark, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(spark, tables(sf_dir, spark, "documents"), tables(sf_dir, spark, "labels"))
 
 
+def op6_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.nearest(spark, tables(sf_dir, spark, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+
+
+def op7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(spark, tables(sf_dir, spark, "pages"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.encode(tables(sf_dir, spark, "documents"), public_tokenizers.path(PIECES)))
 
@@ -39,4 +59,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_minhash, op5_toxicity, op8_sentencepiece, op9_mixing, op10_secrets)}
+    f.__name__: f for f in (
+        op1_token_counts, op2_chat, op3_minhash, op4_itq, op5_toxicity, op6_hilbert, op7_pages, op8_sentencepiece,
+        op9_mixing, op10_secrets)}
