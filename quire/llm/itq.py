@@ -33,8 +33,7 @@ def rotations(sample: np.ndarray, bits: int, seed: int = 5) -> np.ndarray:
     random start by alternating signs and rotation."""
     d = sample.shape[1]
     rng = np.random.default_rng(seed)
-    x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-    x = x - x.mean(0)
+    x = sample / np.linalg.norm(sample, axis=1, keepdims=True)     # not centred: a bit flips by the angle alone
     out = []
     for _ in range(-(-bits // d)):
         r = np.linalg.qr(rng.standard_normal((d, d)))[0]
@@ -53,15 +52,14 @@ def shape(n: int, cosine: float) -> tuple[int, int]:
     return k, max(1, math.ceil(math.log(MISS) / math.log(1 - p ** k)))
 
 
-def _encode(models: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
+def _encode(models: dict[int, np.ndarray], k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = np.asarray(batch.column(2).value_lengths())
             for d in np.unique(size).tolist():
                 part = batch.filter(pa.array(size == d))
                 v = matrix(part.column(2), d)
-                mean, turn = models[d]
-                on = ((v / np.linalg.norm(v, axis=1, keepdims=True) - mean) @ turn >= 0).reshape(len(v), -1, k)
+                on = (v @ models[d] >= 0).reshape(len(v), -1, k)
                 keys = (on * (1 << np.arange(k))).sum(2).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(np.full(len(v), d, np.int32)), binary([x.tobytes() for x in v]),
@@ -127,8 +125,7 @@ def near_duplicates(spark: SparkSession, df: DataFrame, id_col: str = "vec_id",
             part = own.where(F.size("v") == d).where(
                 F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 20)) <= int((1 << 20) * min(1.0, SAMPLE_ROWS / n)))
             sample = np.array([r[0] for r in part.select("v").limit(2 * SAMPLE_ROWS).collect()] or [[1.0] * d])
-            unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-            models[d] = unit.mean(0), rotations(sample, k * tables)
+            models[d] = rotations(sample, k * tables)
         coded = table(spark, own.select("id", "label", "v").mapInArrow(
             _encode(models, k), "id long, label string, dim int, vec binary, keys array<int>"))
         spot = ["label", "dim", "at", "key"]
