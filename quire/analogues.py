@@ -236,7 +236,7 @@ def _child_edges(spark, sf):
     i = F.col("i")
     tree = p.where(i >= 1).select((i / 4).cast("long").alias("src"), i.alias("dst"))
     diamond = p.where((i % 6 == 0) & (i > 0)).select((i / 3).cast("long").alias("src"), i.alias("dst"))
-    back = p.where((i % 11 == 0) & (i >= 64)).select(i.alias("src"), (i / 16).cast("long").alias("dst"))
+    back = p.where(i % 11 == 0).select(i.alias("src"), (i / 16).cast("long").alias("dst"))
     loops = p.where(i % 13 == 0).select(i.alias("src"), i.alias("dst"))
     return tree.unionByName(diamond).unionByName(back).unionByName(loops)
 
@@ -244,9 +244,8 @@ def _child_edges(spark, sf):
 def child_page_closure(spark, sf):
     """All pages below the seed pages (child edges with
     diamonds, cycles and self-loops), excluded pages removed after the
-    expansion so their descendants stay. Back edges start at depth >= 3
-    (ids >= 64) so the closure does not return to the root and cover every
-    page, which a back edge from every node would do."""
+    expansion so their descendants stay. Back edges leave pages of every
+    depth, so the closure may return to the root."""
     seeds = literal_frame(spark, [(s,) for s in CLOSURE_SEEDS], "id long")
     excl = literal_frame(spark, [(s,) for s in CLOSURE_EXCLUDES], "id long")
     return _closure(_child_edges(spark, sf), seeds).join(excl, "id", "left_anti")

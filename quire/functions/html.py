@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,41 +17,42 @@ _TITLE = r"(?is)<title\b[^>]*>(.*?)(?:</title\s*>|\z)"
 _HREF = r"""(?is)<a\b[^<>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 # The attachment marker of wiki storage bodies, the title of a
-# page without <title>, named HTML entities decoded in titles and links (&amp; last).
+# page without <title>.
 _ATTACHMENT_REF = r'<ri:attachment ri:filename="([^"]+)"'
 NO_TITLE = "No title"
-NAMED_ENTITIES = [
-    ("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "),
-    ("&middot;", "·"), ("&copy;", "©"), ("&reg;", "®"), ("&hellip;", "…"),
-    ("&mdash;", "—"), ("&ndash;", "–"), ("&laquo;", "«"), ("&raquo;", "»"),
-    ("&euro;", "€"),
-]
 
 
 def strip_noise(html) -> Column:
     return F.regexp_replace(_c(html), _NOISE, "")
 
 
-def _decode_numeric(s: Column) -> Column:
-    """Numeric references (&#NN; / &#xHH;) to characters; a code point that is
-    0, a surrogate or above U+10FFFF becomes U+FFFD (as an HTML parser does)."""
-    toks = F.regexp_extract_all(s, F.lit(r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|[^&]+|&"), F.lit(0))
+# named references: the HTML 4 names of the standard library; code points 128-159 read as windows-1252
+_NAMES = {**{n: chr(c) for n, c in name2codepoint.items()}, "apos": "'"}
+_C1 = {c: bytes([c]).decode("cp1252") for c in range(128, 160) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 
-    def one(t):
-        cp = F.when(t.rlike("^&#[xX]"), F.conv(F.regexp_extract(t, r"^&#[xX]([0-9a-fA-F]+);$", 1), 16, 10)).otherwise(
-            F.regexp_extract(t, r"^&#([0-9]+);$", 1)).cast("bigint")
-        valid = (cp >= 1) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
-        as_char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")).otherwise(F.lit("\uFFFD"))
-        return F.when(t.rlike(r"^&#([0-9]+|[xX][0-9a-fA-F]+);$"), as_char).otherwise(t)
-    return F.when(s.contains("&#"), F.array_join(F.transform(toks, one), "")).otherwise(s)
+
+def _table(pairs) -> Column:
+    return F.create_map(*[F.lit(x) for kv in pairs for x in kv])
 
 
 def decode_entities(c) -> Column:
+    """Character references to characters in one pass (what a reference
+    gives is not read again). Numeric ones may have any number of digits;
+    a code point that is 0, a surrogate or above U+10FFFF becomes U+FFFD."""
     s = _c(c)
-    for ent, ch in NAMED_ENTITIES:
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    s = _decode_numeric(s)
-    return F.replace(s, F.lit("&amp;"), F.lit("&"))
+    toks = F.regexp_extract_all(s, F.lit(r"&#[0-9]+;|&#[xX][0-9a-fA-F]+;|&[A-Za-z][A-Za-z0-9]*;|[^&]+|&"), F.lit(0))
+
+    def one(t):
+        name = F.regexp_extract(t, r"^&([A-Za-z][A-Za-z0-9]*);$", 1)
+        digits = F.regexp_extract(t, r"^&#[xX]?0*([0-9a-fA-F]*);$", 1)
+        small = F.when((F.length(digits) > 0) & (F.length(digits) <= 8), digits)
+        cp = F.when(t.rlike("^&#[xX]"), F.conv(small, 16, 10)).otherwise(small).cast("bigint")
+        valid = (cp >= 1) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
+        as_char = F.when(cp.between(128, 159), F.coalesce(F.element_at(_table(_C1.items()), cp.cast("int")), F.chr(cp))).when(
+            valid, F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")).otherwise(F.lit("\uFFFD"))
+        return (F.when(t.startswith("&#") & t.endswith(";"), as_char)
+                .when(name != "", F.coalesce(F.element_at(_table(_NAMES.items()), name), t)).otherwise(t))
+    return F.when(s.contains("&"), F.array_join(F.transform(toks, one), "")).otherwise(s)
 
 
 def page_title(html, clean: bool = False) -> Column:

@@ -57,5 +57,7 @@ def basename(c) -> Column:
 
 def js_number(c) -> Column:
     """Render a double the way JavaScript prints it for integral values
-    (3.0 -> '3', 2.5 -> '2.5')."""
-    return F.regexp_replace(_c(c).cast("string"), r"\.0$", "")
+    (3.0 -> '3', 2.5 -> '2.5', 1.2E7 -> '12000000')."""
+    s = _c(c).cast("string")
+    plain = F.regexp_replace(_c(c).try_cast("decimal(38,12)").cast("string"), r"\.?0+$", "")
+    return F.when(s.contains("E"), F.coalesce(plain, s)).otherwise(F.regexp_replace(s, r"\.0$", ""))

@@ -34,8 +34,9 @@ def url_origin(url) -> Column:
 
 def normalize_url(url) -> Column:
     """Origin + pathname -- lower-case scheme and host, no
-    credentials, no default port, no query, no fragment, empty path '/'."""
-    path = url_parts(url)["path"]
+    credentials, no default port, no dot segments, no query, no fragment,
+    empty path '/'."""
+    path = _remove_dot_segments(url_parts(url)["path"])
     return F.concat(url_origin(url), F.when(path == "", F.lit("/")).otherwise(path))
 
 
@@ -64,17 +65,30 @@ def issue_url(base: str, key) -> Column:
     return F.concat(F.lit(base), F.lit("/browse/"), _c(key))
 
 
-def _remove_dot_segments(path: Column, passes: int = 4) -> Column:
-    p = F.regexp_replace(path, r"/(\./)+", "/")
-    for _ in range(passes):
-        p = F.regexp_replace(p, r"/[^/?#]+/\.\.(/|$)", "/")
-    return F.regexp_replace(p, r"^/\.\.(/|$)", "/")
+def _remove_dot_segments(ref: Column) -> Column:
+    """``ref`` (a path from its first '/', maybe with query and fragment)
+    without '.' and '..' segments, at any depth; only the path changes."""
+    path = F.regexp_extract(ref, r"^[^?#]*", 0)
+    segs = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(segs, F.lit(2), F.size(segs)), F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
+    end = F.when(F.element_at(segs, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    clean = F.concat(F.lit("/"), F.array_join(end, "/"), F.substring(ref, F.length(path) + 1, F.length(ref)))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), clean).otherwise(ref)
+
+
+def _canonical(url: Column) -> Column:
+    """An absolute http(s) URL with its normalised part and its query and
+    fragment as they are."""
+    return F.concat(normalize_url(url), F.regexp_extract(url, r"^[^?#]*([?#].*)?$", 1))
 
 
 def resolve_href(href, base_url) -> Column:
     """Resolve an href against the page URL.
 
-    absolute http(s) links are kept, ``//host`` takes the page scheme,
+    absolute http(s) links are made canonical (scheme, host, port, dots), ``//host`` takes the page scheme,
     ``/path`` the page origin, ``?q`` the page path, relative paths the
     page directory. Fragment-only, empty and non-http(s) links give NULL.
     """
@@ -85,9 +99,9 @@ def resolve_href(href, base_url) -> Column:
     base_dir = F.regexp_extract(base_path, r"^(.*/)", 1)
     is_abs = h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
     return (
-        F.when(h.rlike(r"(?i)^https?://"), h)
+        F.when(h.rlike(r"(?i)^https?://"), _canonical(h))
         .when(is_abs | (h == "") | h.startswith("#"), F.lit(None).cast("string"))
-        .when(h.startswith("//"), F.concat(parts["scheme"], F.lit(":"), h))
+        .when(h.startswith("//"), _canonical(F.concat(parts["scheme"], F.lit(":"), F.regexp_replace(h, "^/+", "//"))))
         .when(h.startswith("/"), F.concat(origin, _remove_dot_segments(h)))
         .when(h.startswith("?"), F.concat(origin, base_path, h))
         .otherwise(F.concat(origin, _remove_dot_segments(F.concat(base_dir, h))))

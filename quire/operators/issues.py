@@ -90,7 +90,7 @@ def issue_body(key: Column, issue_type: Column, title: Column, project: Column,
     for name, value, numeric in custom:
         shown = js_number(value) if numeric else value.cast("string")
         parts.append(F.when(_truthy(value), F.concat(F.lit(f"{name}: "), shown)))
-    parts.append(F.when(_truthy(description), F.concat(F.lit(DESCRIPTION), description)))
+    parts.append(F.when(description.isNotNull() & (description != ""), F.concat(F.lit(DESCRIPTION), description)))
     return F.concat_ws(SECTION_SEP, *parts)
 
 

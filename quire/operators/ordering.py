@@ -2,11 +2,10 @@
 whole key group to one task.
 
 Rows are range-partitioned on (keys, order), so a hot key spans several
-contiguous range slices. Each slice is numbered / concatenated on its own
-task; a window over the (few) slice rows of a key then adds the row count
-of the earlier slices, and the slice strings are joined in slice order.
-Every row flows through one chain of exchanges (no self-join), so the
-slice of a row is decided exactly once.
+contiguous range slices. Numbering fixes the slices once (a table in the
+shared checkpoint folder); the rows stay rows: their counts per (key,
+slice) are summed over the earlier slices -- a window over counts only --
+and joined back. Strings are joined per slice, then in slice order.
 """
 
 from __future__ import annotations
@@ -16,10 +15,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.session import shared_table
+
 Order = Sequence[tuple[str, bool]]  # (column, ascending)
 Getter = Callable[[str], Column]
 
-_PART, _LOCAL, _ROWS, _N, _OFF, _SLICE = "_q_part", "_q_local", "_q_rows", "_q_n", "_q_off", "_q_slice"
+_PART, _LOCAL, _FIRST, _N, _OFF, _SLICE, _RN = ("_q_part", "_q_local", "_q_first", "_q_n", "_q_off", "_q_slice", "_q_rn")
 
 
 def sort_cols(order: Order) -> list[Column]:
@@ -50,30 +51,27 @@ def _range_slices(df: DataFrame, keys: Sequence[str], order: Order, parts: int |
             .withColumn(_PART, F.spark_partition_id()).withColumn(_LOCAL, F.monotonically_increasing_id()))
 
 
-def _slice_rows(df: DataFrame, keys: Sequence[str], order: Order, fields: Sequence[str],
-                parts: int | None) -> DataFrame:
-    """One row per (key, slice): its rows as an array in order, the row
-    count and the row count of all earlier slices of the key (offset).
-    Every (key, slice) group sits in one partition, so the partial
-    aggregate already emits one row per slice and only those rows are
-    shuffled; the offset window runs over slice rows, not data rows."""
-    s = _range_slices(df, keys, order, parts)
-    packed = s.groupBy(*keys, _PART).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(_LOCAL), *[F.col(f) for f in fields]))).alias(_ROWS),
-        F.count(F.lit(1)).alias(_N))
+def _numbered(df: DataFrame, keys: Sequence[str], order: Order, out: str, parts: int | None) -> DataFrame:
+    """``df`` with its slice and ``out``, the 1-based position in the key
+    group. The only rows that meet by key are counts of slices."""
+    t = shared_table(df.sparkSession, _range_slices(df, keys, order, parts))
+    counts = t.groupBy(*keys, _PART).agg(F.count(F.lit(1)).alias(_N), F.min(_LOCAL).alias(_FIRST))
     earlier = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    return packed.withColumn(_OFF, F.coalesce(F.sum(_N).over(earlier), F.lit(0)))
+    offsets = counts.select(*[F.col(k).alias(f"_q_k{i}") for i, k in enumerate(keys)], F.col(_PART).alias("_q_p"), _FIRST,
+                            F.coalesce(F.sum(_N).over(earlier), F.lit(0)).alias(_OFF))
+    same = F.col(_PART) == F.col("_q_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_q_k{i}"))
+    return t.join(offsets, same).select(
+        *df.columns, _PART, (F.col(_OFF) + F.col(_LOCAL) - F.col(_FIRST) + F.lit(1)).cast("long").alias(out))
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Order, out: str = "rn",
                 parts: int | None = None) -> DataFrame:
     """1-based position of each row inside its key group (``keys`` may be
     empty: one global numbering). ``order`` must be a total order."""
-    fields = [c for c in df.columns if c not in keys]
-    packed = _slice_rows(df, keys, order, fields, parts)
-    rows = packed.select(*keys, _OFF, F.posexplode(_ROWS).alias("_q_i", "_q_r"))
-    return rows.select(*keys, *[F.col("_q_r")[f].alias(f) for f in fields],
-                       (F.col(_OFF) + F.col("_q_i") + F.lit(1)).cast("long").alias(out))
+    rest = [c for c in df.columns if c not in keys]
+    return _numbered(df, keys, order, out, parts).select(*keys, *rest, out)
 
 
 def _slices_text(df: DataFrame, keys: Sequence[str], order: Order,
@@ -83,9 +81,9 @@ def _slices_text(df: DataFrame, keys: Sequence[str], order: Order,
     joined in order on its own task."""
     sep_sql = sql_literal(sep)
     if numbered:
-        packed = _slice_rows(df, keys, order, fields, parts)
-        return packed.select(*keys, _PART, F.array_join(F.transform(
-            F.col(_ROWS), lambda x, i: render(F.col(_OFF) + i + F.lit(1), lambda c: x[c])), sep).alias(_SLICE))
+        pieces = _numbered(df, keys, order, _RN, parts).withColumn("_q_piece", render(F.col(_RN), F.col))
+        return pieces.groupBy(*keys, _PART).agg(
+            F.expr(f"listagg(_q_piece, {sep_sql}) WITHIN GROUP (ORDER BY {_RN} ASC)").alias(_SLICE))
     sort = [F.col(k).asc_nulls_first() for k in keys] + sort_cols(order)
     parted = df.repartitionByRange(_partitions(df, parts), *sort).withColumn(_PART, F.spark_partition_id())
     pieces = parted.withColumn("_q_piece", render(None, F.col))

@@ -41,11 +41,12 @@ def metadata_line(record: Column) -> Column:
     return F.to_json(record)
 
 
-def write_metadata(records: DataFrame, path: str, record: str = "metadata", target: str = "crawl_target") -> None:
+def write_metadata(records: DataFrame, path: str, record: str = "metadata", target: str = "crawl_target",
+                   mode: str = "append") -> None:
     """K1: append the metadata log as NDJSON, one folder per crawl target
     (duplicates are kept, as in an append-only log)."""
     (records.select(target, metadata_line(F.col(record)).alias("value"))
-     .write.mode("append").partitionBy(target).text(path))
+     .write.mode(mode).partitionBy(target).text(path))
 
 
 def write_documents(docs: DataFrame, path: str, target: str = "crawl_target") -> None:

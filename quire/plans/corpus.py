@@ -279,7 +279,10 @@ def epic_summaries_for(issues: DataFrame, specs: Sequence[Mapping], *, base_url:
         "updated_ts", F.try_to_timestamp(F.col("updated")))
     epics = v.where(F.col("issue_type") == "Epic").select(
         "project_key", F.col("key").alias("epic_key"), F.col("title").alias("epic_title"), "web_url", "created", "updated")
-    stories = v.where((F.col("status") == "Done") & F.col("epic_link").isNotNull()).select(
+    # a story counts for an epic of its own project only, whatever other targets name
+    done = v.where((F.col("status") == "Done") & F.col("epic_link").isNotNull())
+    own = epics.select("project_key", F.col("epic_key").alias("epic_link"))
+    stories = done.join(own, ["project_key", "epic_link"], "left_semi").select(
         "epic_link", F.col("key").alias("story_key"), F.col("title").alias("story_title"),
         F.col("updated").alias("story_updated"), "updated_ts")
     s = iss.epic_summaries(epics, stories, "epic_key", "epic_title", "epic_link", "story_key", "story_title",
@@ -316,11 +319,14 @@ def web_crawls(web_pages: DataFrame, crawls: Sequence[Mapping], *, bucket: str)
     spark = web_pages.sparkSession
     ensure_checkpoint_dir(spark)
     # one landed copy per normalised URL (latest fetch), chosen on narrow columns
-    ident = web.identify_pages(web_pages.select("url", "fetched_at"))
-    winners = latest_by(ident.select("id", "url", "fetched_at"), ["id"], ["fetched_at", "url"])
-    winners = winners.select("id", F.col("url").alias("_w_url"), F.col("fetched_at").alias("_w_at"))
-    cond = (web_pages["url"] == winners["_w_url"]) & web_pages["fetched_at"].eqNullSafe(winners["_w_at"])
-    chosen = web_pages.join(winners, cond, "inner").select("id", "url", "fetched_at", "html")
+    # ties by content, so titles and bodies come from one row and repeated rows count once
+    print_ = F.sha2(F.coalesce(F.col("html"), F.lit("")).cast("binary"), 256)
+    ident = web.identify_pages(web_pages.select("url", "fetched_at", print_.alias("_print")))
+    winners = latest_by(ident.select("id", "url", "fetched_at", "_print"), ["id"], ["fetched_at", "url", "_print"])
+    winners = winners.select("id", F.col("url").alias("_w_url"), F.col("fetched_at").alias("_w_at"), F.col("_print").alias("_w_print"))
+    cond = ((web_pages["url"] == winners["_w_url"]) & web_pages["fetched_at"].eqNullSafe(winners["_w_at"])
+            & (F.sha2(F.coalesce(web_pages["html"], F.lit("")).cast("binary"), 256) == winners["_w_print"]))
+    chosen = web_pages.join(winners, cond, "inner").select("id", "url", "fetched_at", "html").dropDuplicates(["id"])
     facts = materialize(web.page_facts(chosen))
 
     seeds, stoppers, edges, link_urls, bounds, names = [], [], [], [], [], []

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import basename
+from quire.session import shared_table
 
 
 def row_hash(cols: Sequence[str]) -> F.Column:
@@ -50,7 +51,8 @@ def _clear_partitions(spark, folder: str, column: str, values: Sequence[str]) ->
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in values:
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{column}={v}")
+        name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(v)
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{column}={name}")
         fs = path.getFileSystem(conf)
         if fs.exists(path):
             fs.delete(path, True)
@@ -64,7 +66,7 @@ def publish_snapshot(documents: DataFrame, metadata: DataFrame, out_dir: str, *,
 
     documents: latest wins per (target, file name) (A5), written as
     Parquet replacing only the targets present (K2, K4); metadata: the
-    NDJSON log keeps every record (K1); catalog: latest record per
+    NDJSON log keeps every record of the run (K1); catalog: latest record per
     (target, file name) (A4, P20, K3). ``targets`` names every target of
     the run: one that produced nothing has its old snapshot cleared too."""
     from quire.plans import catalog as cat
@@ -73,29 +75,29 @@ def publish_snapshot(documents: DataFrame, metadata: DataFrame, out_dir: str, *,
     docs = latest_by(documents.withColumn("_tie", F.md5(F.col("body"))), ["crawl_target", "filename"],
                      [*order, "_tie"]).drop("_tie")
     cat.write_documents(docs.drop(*order), f"{out_dir}/documents")
-    cat.write_metadata(metadata, f"{out_dir}/metadata")
     flat = cat.flatten(metadata.withColumn("_tie", F.md5(F.to_json(F.col("metadata")))), "metadata")
-    catalog = cat.build_catalog(flat, [*order, "_tie"]).drop(*order, "_tie")
-    # the catalog is replaced per target, like the documents
     spark = documents.sparkSession
+    new = shared_table(spark, cat.build_catalog(flat, [*order, "_tie"]).drop(*order, "_tie"))
+    out = {}
+    if prev_catalog is not None:  # before the previous catalog may be replaced below
+        out["diff"] = shared_table(spark, snapshot_diff(prev_catalog, new, ["crawl_target", "filename"],
+                                                        ["id", "title", "webUrl", "createdAt", "mimeType", "uri"]))
+    # the catalog and the log are replaced per target, like the documents
     prev_mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        catalog.write.mode("overwrite").partitionBy("crawl_target").parquet(f"{out_dir}/catalog")
+        cat.write_metadata(metadata, f"{out_dir}/metadata", mode="overwrite")
+        new.write.mode("overwrite").partitionBy("crawl_target").parquet(f"{out_dir}/catalog")
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev_mode)
     if targets:
         # K4: a configured target without any document this run is emptied (the target list is the
         # configuration, so collecting the distinct targets that did produce rows is bounded)
-        present = {r[0] for r in docs.select("crawl_target").distinct().collect()}
+        present = {r[0] for r in new.select("crawl_target").distinct().collect()}
         empty = [t for t in targets if t not in present]
-        _clear_partitions(spark, f"{out_dir}/documents", "crawl_target", empty)
-        _clear_partitions(spark, f"{out_dir}/catalog", "crawl_target", empty)
-    catalog = documents.sparkSession.read.parquet(f"{out_dir}/catalog")
-    out = {"catalog": catalog}
-    if prev_catalog is not None:
-        out["diff"] = snapshot_diff(prev_catalog, catalog, ["crawl_target", "filename"],
-                                    ["id", "title", "webUrl", "createdAt", "mimeType", "uri"])
+        for part in ("documents", "catalog", "metadata"):
+            _clear_partitions(spark, f"{out_dir}/{part}", "crawl_target", empty)
+    catalog = out["catalog"] = spark.read.parquet(f"{out_dir}/catalog")
     published = catalog if stores is None else with_store(catalog, stores)
     bodies = documents.sparkSession.read.parquet(f"{out_dir}/documents").select("crawl_target", "filename")
     out["manifest"] = upload_manifest(published, bodies)

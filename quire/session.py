@@ -4,7 +4,9 @@ checkpoint folder used to cut lineage in iterative jobs."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,13 +54,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for iterative jobs")
         conf_dir = tempfile.mkdtemp(prefix="quire-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def shared_table(spark: SparkSession, df):
+    """Write ``df`` once to the shared checkpoint folder and read it back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:
     """Suggested settings for a cluster run over ``input_bytes`` of landed
     data: ~256 MB input splits, enough shuffle partitions for ~200 MB per

@@ -8,6 +8,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.oracle_compare import compare, duck
 
+from quire.analogues import QUERIES
+
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
@@ -17,7 +19,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sql = entry.oracle_sql()
     assert name in sql

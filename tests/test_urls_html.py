@@ -79,3 +79,21 @@ def test_numeric_entities_out_of_range_do_not_fail(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x string")
     got = [r[0] for r in df.select(decode_entities(F.col("x"))).collect()]
     assert got == ["A☺", "�", "�", "�", "�", "�", "a&#39;b"]
+
+
+def test_dot_segments_and_references(spark):
+    from quire.functions.html import decode_entities
+    from quire.functions.urls import normalize_url, resolve_href
+    base = "http://h/a/b/c/d/e"
+    want = {"../../../../x": "http://h/x", "../../../../../../x": "http://h/x", "/x?u=/a/../b": "http://h/x?u=/a/../b",
+            "/x/.": "http://h/x/", "/a/b/..": "http://h/a/", "./y": "http://h/a/b/c/d/y", "HTTP://EX.com": "http://ex.com/",
+            "https://Ex.com:443/a/../b?q#f": "https://ex.com/b?q#f", "/..x/.y": "http://h/..x/.y"}
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([(h, base) for h in want], "h string, b string")
+    assert {r.h: r.x for r in rows.select("h", resolve_href(F.col("h"), F.col("b")).alias("x")).collect()} == want
+    one = spark.createDataFrame([("http://h/a/../b",)], "u string").select(normalize_url(F.col("u")).alias("x")).first().x
+    assert one == "http://h/b"
+    refs = {"&#99999999;": "�", "&#00000065;": "A", "&#38;amp;": "&amp;", "&#150;": "–", "&eacute;&Auml;": "éÄ",
+            "&bogus; &": "&bogus; &", "&#x1F98A;": "🦊", "&amp;lt;": "&lt;", "&#0;": "�"}
+    got = spark.createDataFrame([(k,) for k in refs], "t string").select("t", decode_entities(F.col("t")).alias("x")).collect()
+    assert {r.t: r.x for r in got} == refs
