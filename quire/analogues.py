@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import file_name, sanitize_filename
 from quire.functions.urls import attachment_url, issue_url, wiki_page_url
+from quire import job_queries
 from quire.operators import issues as iss
 from quire.operators import web, wiki
 from quire.operators.dedupe import first_by, latest_by
@@ -590,3 +591,6 @@ QUERIES.update({
     "snapshot_diff": snapshot_diff,
     "upload_manifest": upload_manifest,
 })
+
+# the batched jobs of real runs
+QUERIES.update(job_queries.QUERIES)

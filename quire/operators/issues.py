@@ -51,10 +51,10 @@ def _s(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-def _truthy(c: Column) -> Column:
-    """JavaScript truthiness of a field value: NULL, '' and 0 are false."""
-    s = c.cast("string")
-    return s.isNotNull() & (s != "") & ~s.rlike(r"^-?0+(\.0*)?$")
+def _truthy(c: Column, numeric: bool) -> Column:
+    """JavaScript truthiness of a field value: NULL, '' and the number 0
+    are false; the string '0' is true."""
+    return F.coalesce(c != F.lit(0) if numeric else c.cast("string") != "", F.lit(False))
 
 
 def pick_custom(custom: Column, field_key: str) -> Column:
@@ -89,7 +89,7 @@ def issue_body(key: Column, issue_type: Column, title: Column, project: Column,
              F.concat(F.lit(CREATED), _s(created)), F.concat(F.lit(UPDATED), _s(updated))]
     for name, value, numeric in custom:
         shown = js_number(value) if numeric else value.cast("string")
-        parts.append(F.when(_truthy(value), F.concat(F.lit(f"{name}: "), shown)))
+        parts.append(F.when(_truthy(value, numeric), F.concat(F.lit(f"{name}: "), shown)))
     parts.append(F.when(description.isNotNull() & (description != ""), F.concat(F.lit(DESCRIPTION), description)))
     return F.concat_ws(SECTION_SEP, *parts)
 

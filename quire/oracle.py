@@ -6,6 +6,7 @@ from __future__ import annotations
 # fixed patterns come from the Spark side, the SQL around them is written here
 from quire.functions.html import _HREF, _NOISE, _TITLE
 from quire.functions.urls import _URL, _WIKI_PAGE as _WIKI
+from quire import job_oracle
 from quire.analogues import BASE_URL, BUCKET, LINK_BAN, TITLE_BAN, URL_BAN
 
 
@@ -426,3 +427,5 @@ WITH s AS (
 )
 SELECT status, CAST(length(body) AS BIGINT) AS body_len, md5(body) AS body_md5 FROM b
 """
+
+SQL.update(job_oracle.SQL)

@@ -105,7 +105,7 @@ def wiki_crawls(spaces: DataFrame, pages: DataFrame, attachments: DataFrame, spe
     if page_specs:
         ids = literal_frame(spark, [(k, str(i)) for k, sp in page_specs for i in sp.get("items", ())], "g int, id string")
         if children is not None and any(sp.get("include_child_pages") for _, sp in page_specs):
-            bounds = literal_frame(spark, [(k, 2 ** 30 if sp.get("include_child_pages") else 0) for k, sp in page_specs],
+            bounds = literal_frame(spark, [(k, None if sp.get("include_child_pages") else 0) for k, sp in page_specs],
                                    "g int, max_hop int")
             edges = children.select(F.col("parent_id").alias("src"), F.col("id").alias("dst"))
             ids = grouped_frontier_search(edges, ids, bounds, group="g").select("g", "id")
@@ -117,6 +117,8 @@ def wiki_crawls(spaces: DataFrame, pages: DataFrame, attachments: DataFrame, spe
         extra["quarantine"] = wiki.pages_without_space(chosen, listed)
     conf = literal_frame(spark, [(k, sp["target"], int(sp.get("ord", k))) for k, sp in enumerate(specs)],
                          "g int, crawl_target string, run_ord int")
+    if not sels:  # no crawl names a space or a page
+        sels.append(wiki.pages_in_spaces(listing, listed).withColumn("g", F.lit(0)).where(F.lit(False)))
     sel = _union(sels).join(conf, "g")
     if "quarantine" in extra:
         extra["quarantine"] = extra["quarantine"].join(conf, "g").drop("g", "run_ord")

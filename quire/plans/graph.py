@@ -128,7 +128,7 @@ def grouped_frontier_search(edges: DataFrame, seeds: DataFrame, max_hops: DataFr
     (e.g. a crawl target) with its own edges, seeds, stoppers, hop bound and
     visited set. ``edges`` (group, src, dst), or (src, dst) shared by all
     groups, ``seeds`` (group, id),
-    ``max_hops`` (group, max_hop: a small configuration table, broadcast),
+    ``max_hops`` (group, max_hop: a small configuration table, broadcast; null = no bound),
     ``stoppers`` (group, id). Returns (group, id, hop), minimum hop per group."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -146,7 +146,7 @@ def grouped_frontier_search(edges: DataFrame, seeds: DataFrame, max_hops: DataFr
     while n > 0:
         hop += 1
         # only groups whose bound allows another hop expand
-        expand = frontier.join(bounds, group).where(F.col("hop") < F.col("_max")).select(*keys)
+        expand = frontier.join(bounds, group).where(F.col("_max").isNull() | (F.col("hop") < F.col("_max"))).select(*keys)
         if stoppers is not None:
             expand = expand.join(stoppers, keys, "left_anti")
         side = F.broadcast(expand) if n <= BROADCAST_MAX_ROWS else expand
