@@ -120,12 +120,42 @@ def _rows(issues: str | None = None, epics: str | None = None, wiki: tuple[str,
     return "SELECT kind, crawl_target, CAST(run_ord AS INTEGER) AS run_ord, filename, value FROM (" + " UNION ALL ".join(parts) + ")"
 
 
+_DECODED = "regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"
+for _name, _char in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
+    _DECODED = f"replace({_DECODED}, '{_name}', '{_char}')"
+
+_WEB = f"""
+WITH RECURSIVE p AS (SELECT page_id AS id, {_DECODED} AS title, html || '<a href=''../a/./../p/' || (4 * page_id + 1)
+    || '''>x</a><a href=''/p/' || (4 * page_id + 2) || '?q=/a/../b''>x</a><a href=''HTTPS://W.example.com:443/p/'
+    || (4 * page_id + 3) || '''>x</a>' AS body FROM pages),
+c AS (SELECT * FROM (VALUES ('team-a', 3, true), ('team-b', 0, false), ('team-c', 2, false)) c(crawl_target, hops, bans)),
+r(crawl_target, id, hop) AS (
+  SELECT * FROM (VALUES ('team-a', 0::BIGINT, 0), ('team-a', 2, 0), ('team-a', 5, 0), ('team-b', 0, 0), ('team-b', 7, 0),
+                        ('team-b', -1, 0), ('team-c', 1, 0)) s(crawl_target, id, hop)
+  UNION
+  SELECT r.crawl_target, 4 * r.id + n, r.hop + 1 FROM r JOIN c USING (crawl_target) JOIN p ON p.id = r.id,
+    (VALUES (1), (2), (3)) k(n)
+  -- a link with a query does not end in 9, but its page does
+  WHERE r.hop < c.hops AND NOT (c.bans AND (lower(p.title) LIKE '%nicht%' OR (4 * r.id + n) % 10 = 9))),
+v AS (SELECT crawl_target, id, min(hop) AS hop FROM r GROUP BY ALL),
+u AS (SELECT *, 'https://w.example.com/p/' || CASE WHEN id < 0 THEN 'x' ELSE CAST(id AS VARCHAR) END AS url FROM v),
+d AS (SELECT u.*, p.title, p.body FROM u JOIN p USING (id) JOIN c USING (crawl_target)
+      WHERE NOT (c.bans AND lower(p.title) LIKE '%nicht%'))
+SELECT 'document' AS kind, crawl_target, md5(body) AS value FROM d
+UNION ALL SELECT 'record', crawl_target,
+  concat_ws('|', md5(url), title, url || CASE WHEN id % 7 = 0 THEN '#z' ELSE '' END, '2024-05-05') FROM d
+UNION ALL SELECT 'missing', crawl_target, concat_ws('|', md5(url),
+  CASE WHEN id % 4 = 2 AND hop > 0 THEN url || '?q=/a/../b' ELSE url END, CAST(hop AS VARCHAR))
+FROM u WHERE id NOT IN (SELECT id FROM p)
+"""
+
 _THREE = [("team-a", 0, 0), ("team-b", 1, 1), ("team-b", 2, 2)]
 
 SQL: dict[str, str] = {
     "issue_job": _rows(issues=_issues(_THREE)),
     "epic_job": _rows(epics=_epics([("team-a", 0, "P0"), ("team-a", 1, "P1"), ("team-b", 2, "P1")])),
     "wiki_job": _rows(wiki=_wiki([("team-a", 0, "spaces"), ("team-b", 2, "pages"), ("team-c", 3, "all")])),
+    "web_job": _WEB,
     # precedence counts from 1 in the order of the configuration
     "targets_job": _rows(
         issues=_issues([("team-a", 1, 0), ("team-b", 5, 1), ("team-b", 6, 2)]),

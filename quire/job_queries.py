@@ -135,6 +135,35 @@ def landed_wiki(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {"spaces": spaces, "pages": pages, "page_children": children, "attachments": atts}
 
 
+WEB = "https://w.example.com/p/"
+WEB_CRAWLS = [
+    {"target": "team-a", "seeds": [WEB + "0", WEB + "2", WEB + "./5?x=1"], "include_links": True, "depth": 4,
+     "regex": r"^https://w\.example\.com/p/", "banned_url_patterns": [r"/p/\d*9$"],
+     "banned_title_patterns": ["(?i)nicht"]},
+    {"target": "team-b", "seeds": [WEB + "0", WEB + "7", WEB + "x"], "depth": 1},
+    {"target": "team-c", "seeds": [WEB + "1"], "include_links": True, "depth": 3, "regex": r"^https://w\.example\.com/p/"},
+]
+
+
+def landed_web(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages (whole HTML) under short URLs, each with links to three more
+    pages; every fifth is landed a second time, older and with other HTML,
+    every seventh twice in the same row and once under a URL with a
+    fragment."""
+    p = _t(spark, sf, "pages").select("page_id", "html")
+    i = F.col("page_id")
+
+    def link(before: str, n: int, after: str = ""):
+        return F.concat(F.lit(f"<a href='{before}"), (i * 4 + n).cast("string"), F.lit(f"{after}'>x</a>"))
+    html = F.concat("html", link("../a/./../p/", 1), link("/p/", 2, "?q=/a/../b"), link("HTTPS://W.example.com:443/p/", 3))
+    now = p.select("page_id", F.concat(F.lit(WEB), i.cast("string")).alias("url"), html.alias("html"),
+                   F.lit("2024-05-05").alias("fetched_at"))
+    old = now.where(i % 5 == 0).withColumn("html", F.lit("<title>old</title>")).withColumn("fetched_at", F.lit("2023-01-01"))
+    twice = now.where(i % 7 == 0)
+    return now.unionByName(old).unionByName(twice).unionByName(
+        twice.withColumn("url", F.concat("url", F.lit("#z")))).select("url", "html", "fetched_at")
+
+
 def _result(c: corpus.Corpus) -> DataFrame:
     """Documents (md5 of the whole body) and metadata records of a run."""
     docs = c.documents.select(F.lit("document").alias("kind"), "crawl_target", "run_ord", "filename", F.md5("body").alias("value"))
@@ -165,6 +194,19 @@ def wiki_job(spark, sf):
         children=landed_wiki(spark, sf)["page_children"], base_url=BASE_URL, bucket=BUCKET))
 
 
+def web_job(spark, sf):
+    """Three crawls of landed pages with
+    repeated copies; links that no crawl may follow, banned URLs and
+    titles, and pages that were not landed."""
+    c = corpus.web_crawls(landed_web(spark, sf), WEB_CRAWLS, bucket=BUCKET)
+    m = c.metadata.select("crawl_target", "metadata.*")
+    return (c.documents.select(F.lit("document").alias("kind"), "crawl_target", F.md5("body").alias("value"))
+            .unionByName(m.select(F.lit("record").alias("kind"), "crawl_target", F.concat_ws(
+                "|", "id", "structData.title", "structData.webUrl", "structData.createdAt").alias("value")))
+            .unionByName(c.extra["missing"].select(F.lit("missing").alias("kind"), "crawl_target", F.concat_ws(
+                "|", "id", "url", _s("hop")).alias("value"))))
+
+
 RUN = {
     "team-a": {"uploadDestination": "gcp", "sources": [
         {"source": "jira", "type": "query", "items": [ISSUE_QUERIES[0]["where"]],
@@ -202,4 +244,4 @@ def catalog_job(spark, sf):
         "crawl_target", "filename", "run_ord", "id", "title", F.col("webUrl").alias("web_url"), "uri")
 
 
-QUERIES = {f.__name__: f for f in (issue_job, epic_job, wiki_job, targets_job, catalog_job)}
+QUERIES = {f.__name__: f for f in (issue_job, epic_job, wiki_job, web_job, targets_job, catalog_job)}

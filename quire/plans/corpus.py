@@ -21,7 +21,7 @@ from quire.functions.urls import attachment_url, issue_url, normalize_url, wiki_
 from quire.operators import issues as iss
 from quire.operators import web, wiki
 from quire.operators.dedupe import latest_by
-from quire.operators.filters import any_match, checked_broadcast, js_regex, literal_frame, none_match
+from quire.operators.filters import allow_match, any_match, checked_broadcast, js_regex, literal_frame, none_match
 from quire.plans.catalog import metadata_record, storage_uri
 from quire.plans.graph import grouped_frontier_search, materialize
 from quire.session import ensure_checkpoint_dir
@@ -314,67 +314,63 @@ def web_crawls(web_pages: DataFrame, crawls: Sequence[Mapping], *, bucket: str)
     ``include_links``, ``regex``, ``banned_url_patterns``,
     ``banned_title_patterns`` and ``depth``. The HTML is read twice in all,
     whatever the number of crawls: once to extract titles and hrefs into a
-    narrow checkpointed table, once to join the bodies of saved pages. The
+    narrow checkpointed table, once to read the bodies of saved pages. The
     crawls run as one breadth-first search keyed by crawl (visited set,
     depth, bans and link filters per crawl; minimum hop, §Q1); pages not
     landed are reported as missing (§Q3)."""
     spark = web_pages.sparkSession
     ensure_checkpoint_dir(spark)
-    # one landed copy per normalised URL (latest fetch), chosen on narrow columns
-    # ties by content, so titles and bodies come from one row and repeated rows count once
     print_ = F.sha2(F.coalesce(F.col("html"), F.lit("")).cast("binary"), 256)
-    ident = web.identify_pages(web_pages.select("url", "fetched_at", print_.alias("_print")))
-    winners = latest_by(ident.select("id", "url", "fetched_at", "_print"), ["id"], ["fetched_at", "url", "_print"])
-    winners = winners.select("id", F.col("url").alias("_w_url"), F.col("fetched_at").alias("_w_at"), F.col("_print").alias("_w_print"))
-    cond = ((web_pages["url"] == winners["_w_url"]) & web_pages["fetched_at"].eqNullSafe(winners["_w_at"])
-            & (F.sha2(F.coalesce(web_pages["html"], F.lit("")).cast("binary"), 256) == winners["_w_print"]))
-    chosen = web_pages.join(winners, cond, "inner").select("id", "url", "fetched_at", "html").dropDuplicates(["id"])
-    facts = materialize(web.page_facts(chosen))
-
-    seeds, stoppers, edges, link_urls, bounds, names = [], [], [], [], [], []
+    landed = web_pages.select("url", "fetched_at", "html", print_.alias("_print"))
+    # titles and hrefs are extracted where a page is read; only narrow rows are shuffled
+    read = web.page_facts(web.identify_pages(landed).drop("norm_url")).drop("title_banned")
+    # one landed copy per normalised URL: latest fetch, ties by content, so title and body come from one row
+    facts = materialize(latest_by(read, ["id"], ["fetched_at", "url", "_print"]))
+
+    def by_crawl(df: DataFrame, conditions: Mapping[int, Column]) -> DataFrame:
+        """The rows tagged with every crawl whose condition they meet."""
+        tags = F.array(F.lit(None).cast("int"), *[F.when(cond, F.lit(k)) for k, cond in conditions.items()])
+        return df.withColumn("g", F.explode(F.filter(tags, lambda x: x.isNotNull())))
+
+    seeds, bounds, stop_if, link_if = [], [], {}, {}
     for k, c in enumerate(crawls):
-        g = F.lit(k).alias("g")
         depth = int(c.get("depth", 1))
         links = bool(c.get("include_links", False)) and depth > 1
         banned_url = list(c.get("banned_url_patterns", ()))
-        names.append((k, c["target"]))
         bounds.append((k, depth - 1 if links else 0))
         if depth <= 0:
             continue  # a crawl of depth <= 0 visits nothing
-        sd = literal_frame(spark, [(u,) for u in c.get("seeds", ())], "url string").select(
-            "url", normalize_url("url").alias("norm_url"))
-        seeds.append(sd.where(none_match("norm_url", banned_url)).select(g, F.md5("norm_url").alias("id"), "url"))
-        stoppers.append(facts.where(any_match("title", list(c.get("banned_title_patterns", ())))).select(g, "id"))
+        sd = literal_frame(spark, [(k, u) for u in c.get("seeds", ())], "g int, url string").select(
+            "g", "url", normalize_url("url").alias("norm_url"))
+        seeds.append(sd.where(none_match("norm_url", banned_url)).select("g", F.md5("norm_url").alias("id"), "url"))
+        stop_if[k] = any_match("title", list(c.get("banned_title_patterns", ())))
         if links:
-            lk = web.links_from_hrefs(facts, "id", "url", "hrefs", c.get("regex"), banned_url)
-            lk = lk.withColumn("dst_norm", normalize_url("link")).where(none_match("dst_norm", banned_url))
-            edges.append(lk.select(g, F.col("id").alias("src"), F.md5("dst_norm").alias("dst")))
-            link_urls.append(lk.select(g, F.md5("dst_norm").alias("id"), F.col("link").alias("url")))
-
-    def union(parts: list, schema: str) -> DataFrame:
-        if not parts:
-            return spark.createDataFrame([], schema)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    seed_df = union(seeds, "g int, id string, url string")
-    stop_df = union(stoppers, "g int, id string")
-    edge_df = union(edges, "g int, src string, dst string")
-    known = seed_df.unionByName(union(link_urls, "g int, id string, url string"))
-    targets = literal_frame(spark, names, "g int, crawl_target string")
-    visited = grouped_frontier_search(edge_df, seed_df.select("g", "id"),
+            link_if[k] = (allow_match("link", c.get("regex")) & none_match("link", banned_url)
+                          & none_match("dst_norm", banned_url))
+
+    seed_df = _union(seeds) if seeds else spark.createDataFrame([], "g int, id string, url string")
+    stop_df = by_crawl(facts, stop_if).select("g", "id")
+    # every link is resolved once and tagged with the crawls that may follow it
+    lk = by_crawl(web.links_from_hrefs(facts, "id", "url", "hrefs").withColumn("dst_norm", normalize_url("link")), link_if)
+    lk = lk.select("g", F.col("id").alias("src"), F.md5("dst_norm").alias("dst"), "link")
+    targets = literal_frame(spark, [(k, c["target"]) for k, c in enumerate(crawls)], "g int, crawl_target string")
+    visited = grouped_frontier_search(lk.select("g", "src", "dst"), seed_df.select("g", "id"),
                                       literal_frame(spark, bounds, "g int, max_hop int"), group="g", stoppers=stop_df)
     saved = facts.drop("hrefs").join(visited, "id").join(stop_df, ["g", "id"], "left_anti")
-    bodies = saved.join(chosen.select("id", F.col("html").alias("body")), "id").join(targets, "g")
+    # bodies are read only for saved pages; a repeated landed row gives its body once
+    chosen = facts.join(saved.select("id").distinct(), "id", "left_semi").select(
+        "id", F.col("url").alias("_url"), F.col("fetched_at").alias("_at"), F.col("_print").alias("_p"))
+    same = ((landed["url"] == F.col("_url")) & landed["fetched_at"].eqNullSafe(F.col("_at")) & (landed["_print"] == F.col("_p")))
+    body = landed.join(chosen, same).select("id", F.col("html").alias("body")).dropDuplicates(["id"])
+    bodies = saved.drop("_print").join(body, "id").join(targets, "g")
     fname = web.web_file_name(F.col("id"), F.col("title"))
     docs = bodies.select("crawl_target", fname.alias("filename"), F.lit(HTML).alias("mime_type"), "body", "id",
                          "title", "url", "fetched_at")
     rec = metadata_record(F.col("id"), F.col("title"), F.col("url"), F.col("fetched_at").cast("string"), F.lit(HTML),
                           storage_uri(bucket, F.col("crawl_target"), F.col("filename")))
-    missing = (visited.join(facts.select("id"), "id", "left_anti").join(known, ["g", "id"], "left")
-               .groupBy("g", "id", "hop").agg(F.min("url").alias("url")).join(targets, "g")
+    known = seed_df.unionByName(lk.select("g", F.col("dst").alias("id"), F.col("link").alias("url"))).groupBy(
+        "g", "id").agg(F.min("url").alias("url"))
+    missing = (visited.join(facts.select("id"), "id", "left_anti").join(known, ["g", "id"], "left").join(targets, "g")
                .select("crawl_target", "id", "hop", "url", F.lit("missing").alias("status")))
     return Corpus(docs.select("crawl_target", "filename", "mime_type", "body"),
                   docs.select("crawl_target", "filename", rec.alias("metadata")), {"missing": missing})
@@ -446,7 +442,9 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
                 v = v if "run_ord" in v.columns else v.select("*", n)
                 extra[k] = v if k not in extra else extra[k].unionByName(v, allowMissingColumns=True)
     for target, spec in config.items():
-        for src in spec.get("sources", []):
+        if not isinstance(spec, Mapping) or "sources" not in spec:
+            raise ValueError(f"crawl target {target!r}: expected {{'uploadDestination': ..., 'sources': [...]}}")
+        for src in spec["sources"]:
             _check_source(target, src)
             kind, typ, items = src.get("source"), src.get("type"), list(src.get("items") or [])
             opt = dict(src.get("options") or {})
