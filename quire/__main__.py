@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.operators.dedupe import first_by
-from quire.plans.corpus import run_targets
+from quire.plans.corpus import Corpus, run_targets
 from quire.plans.publish import publish_snapshot
-from quire.session import ensure_checkpoint_dir
+from quire.session import ensure_checkpoint_dir, shared_table
 
 LANDED = {
     "spaces": schemas.SPACE, "pages": schemas.PAGE, "page_children": schemas.CHILD,
@@ -55,6 +55,8 @@ def execute(spark: SparkSession, run: dict) -> dict:
     ensure_checkpoint_dir(spark)
     tables = load_tables(spark, run["landed"])
     corpus = run_targets(spark, targets, tables, base_url=run["baseUrl"], bucket=run["bucket"])
+    # the jobs run once: publishing and the summary read what they gave
+    corpus = Corpus(shared_table(spark, corpus.documents), shared_table(spark, corpus.metadata), corpus.extra)
     prev = spark.read.parquet(run["previousCatalog"]) if run.get("previousCatalog") else None
     stores = None
     if run.get("stores"):

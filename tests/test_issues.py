@@ -76,3 +76,21 @@ def test_epic_summary_parts_rejoin(spark):
     for r in sorted(parts, key=lambda r: (r.key, r.part)):
         joined[r.key] = joined.get(r.key, "") + r.text
     assert joined == whole and set(whole) == {"E1", "E2"}
+
+
+def test_text_zero_is_a_value_and_number_zero_is_not(spark):
+    df = spark.createDataFrame([("0", 0.0, "0"), ("", 12000000.0, None), (None, None, "")],
+                               "epic string, points double, d string")
+    none = F.lit(None).cast("array<string>")
+    body = iss.issue_body(F.lit("k"), F.lit("t"), F.lit("s"), F.lit("p"), none, F.lit("c"), F.lit("u"),
+                          [("Epic", F.col("epic"), False), ("Story Points", F.col("points"), True)], F.col("d"))
+    tails = [r[0].split("Updated Time: u")[1] for r in df.select(body).collect()]
+    assert tails == ["\n\nEpic: 0\n\nDescription: \n0", "\n\nStory Points: 12000000", ""]
+
+
+def test_a_target_without_sources_is_rejected(spark):
+    import pytest
+
+    from quire.plans.corpus import run_targets
+    with pytest.raises(ValueError, match="expected"):
+        run_targets(spark, {"t": {"uploadDestination": "gcp", "targets": []}}, {}, base_url="b", bucket="b")
