@@ -21,11 +21,12 @@ MASK = "[SECRET]"
 
 # What a candidate looks like.
 _KEY_BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?"
-_RUN = (r"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z0-9+/_=\-]{16})(?=[A-Za-z+/_=\-]*[0-9])[A-Za-z0-9+/_=\-]{16,}"
-        r"(?:\.[A-Za-z0-9_\-]{16,})*")
+# '=' belongs to a run as padding at its end only: KEY=value is a name and, after '=', a value
+_RUN = (r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z0-9+/_\-]{16})(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}"
+        r"(?:\.[A-Za-z0-9_\-]{16,})*(?:={1,2}(?![\"']?[A-Za-z0-9+/_=\-]))?")
 _VALUE = (r"(?<=[=:\"']|[=:] )(?<=(?i:password|passwd|pwd|secret|passphrase)[\"']?\s{0,2}[:=]\s{0,2}[\"']?)"
           r"[^\s\"'<>]{8,64}")
-CANDIDATE = f"{_KEY_BLOCK}|{_RUN}|{_VALUE}"
+CANDIDATE = f"{_KEY_BLOCK}|{_VALUE}|{_RUN}"     # beside a password word the whole value, not a run inside it
 _NO_VALUE = f"{_KEY_BLOCK}|{_RUN}"         # the same for a text without one of these words
 _VALUE_WORDS = ("passw", "pwd", "secret", "passphrase")
 
@@ -111,6 +112,8 @@ def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
     folder = one("https://example.org/", "/usr/share/", "src/main/", "C:\\data\\", "http://www.site.com/a/", tag="f")
     beside = F.concat(prose, mark, glue)
     size = (F.pmod(F.xxhash64("id", F.lit("z")), F.lit(4)) * 8 + 20).cast("int")
+    phrase = F.concat(one("password", "PASSWORD", "db_passwd", "pwd", "secret", tag="pw"), one("=", ": ", ' = "', '="', tag="pg"))
+    typed = F.translate(b64("pv", (F.pmod(F.xxhash64("id", F.lit("pz")), F.lit(5)) * 12 + 10).cast("int")), "+/aeQ7", "!&#$%@")
     kinds = [  # (label, value, before, after)
         (1, hexes("a", 40), beside, close), (1, F.upper(hexes("b", 40)), F.upper(beside), close),
         (1, b64("c", size), beside, close),
@@ -118,7 +121,7 @@ def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
         (1, F.concat(one("ghp_", "sk-", "xoxb-", "glpat-", tag="i"), F.regexp_replace(b64("e", 36), "[+/]", "x")), prose, close),
         (1, F.concat(F.lit("eyJ"), b64("f", 30), F.lit("."), b64("g", 40), F.lit("."), b64("h", 30)), one("Bearer ", "auth: ", "", tag="j"), close),
         (1, F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\n"), b64("k", 80)), prose, F.lit("\n")),
-        (1, hexes("l", 32), beside, close),
+        (1, hexes("l", 32), beside, close), (1, typed, F.concat(prose, phrase), close),
         (0, hexes("m", 40), F.concat(prose, plain), one(" ", "\n", ")", tag="c")), (0, hexes("n", 32), F.concat(prose, plain), F.lit(" ")),
         (0, hexes("r", 64), F.concat(prose, plain), F.lit(" ")),
         (0, F.concat_ws("-", hexes("s", 8), hexes("t", 4), hexes("u", 4), hexes("v", 4), hexes("x", 12)), F.concat(prose, plain), F.lit(" ")),
@@ -126,7 +129,7 @@ def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
         (0, F.concat(one("YOUR_", "example-", "xxxxxxxx", "changeme", "sample_", tag="h"), word, F.lit("_1234567890")), beside, close),
         (0, F.concat(F.lit("2024-0"), F.pmod(n, F.lit(9)).cast("string"), F.lit("-11T10-15-00")), prose, F.lit(" ")),
         (0, F.conv(hexes("y", 14), 16, 10), F.concat(prose, plain), F.lit(" ")),
-        (0, name, beside, close), (0, F.repeat(F.substring(hexes("z", 2), 1, 2), 12), prose, F.lit(" ")),
+        (0, name, beside, close), (0, F.upper(F.concat(F.translate(name, "-./", "___"), F.lit("_KEY"))), prose, F.lit("=")), (0, F.repeat(F.substring(hexes("z", 2), 1, 2), 12), prose, F.lit(" ")),
     ]
     pick = F.element_at(F.array(*(F.struct(F.lit(k).cast("double").alias("label"), v.alias("value"), b.alias("before"),
                                            a.alias("after")) for k, v, b, a in kinds)),
@@ -134,16 +137,30 @@ def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
     return spark.range(0, rows, numPartitions=2).select(pick.alias("f")).select("f.*")
 
 
+def recut(labelled: DataFrame) -> DataFrame:
+    """Labelled findings as a scan would find them: the candidates of
+    before + value + after that meet the value, with its label."""
+    def given(c: str) -> Column:
+        return F.coalesce(labelled[c], F.lit(""))
+    whole = labelled.select("label", F.concat(given("before"), given("value"), given("after")).alias("text"),
+                            F.length(given("before")).alias("first"),
+                            (F.length(given("before")) + F.length(given("value"))).alias("last"))
+    found = spans(candidates(whole, "text", [whole["label"], whole["first"], whole["last"]]))
+    return found.where("start < last and stop > first").select("value", "before", "after", "label")
+
+
 def fit(spark: SparkSession, labelled: DataFrame | None = None, trees: int = 20,
         depth: int = 8) -> RandomForestClassificationModel:
     """A forest from labelled findings (value, before, after, label)."""
-    known = measured(labelled if labelled is not None else labelled_findings(spark))
+    given = (labelled if labelled is not None else labelled_findings(spark)).persist()   # else made again for each of its uses
+    known = measured(recut(given))
     known = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(known).select("x", "label").persist()
     try:
         return RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=trees, maxDepth=depth,
                                       featureSubsetStrategy="sqrt", seed=11).fit(known)
     finally:
         known.unpersist()
+        given.unpersist()
 
 
 def pattern(text: Column) -> Column:
@@ -165,19 +182,27 @@ def matched(text: Column) -> Column:
 def candidates(docs: DataFrame, text_col: str, keep: list[Column]) -> DataFrame:
     """One row per candidate of the rows that have any: ``keep``, rid
     (number of the row), pos, gap (the text before it, from the last
-    candidate on), value, before, after."""
+    candidate on), value, before (with the last candidate), after."""
     text = docs[text_col]
     cut = (docs.where(matched(text))
            .select(*keep, F.monotonically_increasing_id().alias("rid"),
                    F.regexp_extract_all(text, pattern(text), F.lit(0)).alias("values"),
                    F.split(text, pattern(text), -1).alias("gaps")))
     held = [c for c in cut.columns if c not in ("values", "gaps")]
-    rows = cut.select(*held, F.posexplode(F.arrays_zip("gaps", "values", F.slice("gaps", 2, F.size("gaps")).alias("next"))).alias("pos", "z"))
+    rows = cut.select(*held, F.posexplode(F.arrays_zip(
+        "gaps", "values", F.slice("gaps", 2, F.size("gaps")).alias("next"), F.concat(F.array(F.lit("")), "values").alias("last_value"))).alias("pos", "z"))
     return rows.select(*held, "pos", F.col("z.gaps").alias("gap"), F.col("z.values").alias("value"),
-                       F.substring(F.col("z.gaps"), -64, 64).alias("before"),
+                       F.substring(F.concat("z.last_value", "z.gaps"), -64, 64).alias("before"),
                        F.substring(F.coalesce("z.next", F.lit("")), 1, 24).alias("after"))
 
 
+def spans(found: DataFrame) -> DataFrame:
+    """Candidates with their start and stop (code points, stop excluded)."""
+    found = found.where("value is not null")
+    stop = F.sum(F.length("gap") + F.length("value")).over(W.partitionBy("rid").orderBy("pos"))
+    return found.withColumn("stop", stop).withColumn("start", F.col("stop") - F.length("value"))
+
+
 def judged(found: DataFrame, model: RandomForestClassificationModel, threshold: float = THRESHOLD) -> DataFrame:
     """Candidates with score and the decision ``secret``."""
     x = VectorAssembler(inputCols=list(FEATURES), outputCol="x", handleInvalid="keep").transform(measured(found))
@@ -201,12 +226,8 @@ def scan(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     scanned one by one and give their own findings. Other columns are
     not read.
     """
-    found = candidates(docs, text_col, [docs[id_col].cast("long").alias("doc_id")]).where("value is not null")
-    before = W.partitionBy("rid").orderBy("pos")
-    size = F.length("gap") + F.length("value")
-    stop = F.sum(size).over(before)
-    spans = found.withColumn("stop", stop).withColumn("start", F.col("stop") - F.length("value"))
-    return judged(spans, fit(spark, labelled), threshold).select(
+    found = spans(candidates(docs, text_col, [docs[id_col].cast("long").alias("doc_id")]))
+    return judged(found, fit(spark, labelled), threshold).select(
         "doc_id", "start", "stop", kind(F.col("value")).alias("kind"), "value", "score", "secret")
 
 
