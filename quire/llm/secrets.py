@@ -25,7 +25,7 @@ _KEY_BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----E
 _RUN = (r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z0-9+/_\-]{16})(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}"
         r"(?:\.[A-Za-z0-9_\-]{16,})*(?:={1,2}(?![\"']?[A-Za-z0-9+/_=\-]))?")
 _VALUE = (r"(?<=[=:\"']|[=:] )(?<=(?i:password|passwd|pwd|secret|passphrase)[\"']?\s{0,2}[:=]\s{0,2}[\"']?)"
-          r"[^\s\"'<>]{8,64}")
+          r"[^\s\"'<>]{8,}")
 CANDIDATE = f"{_KEY_BLOCK}|{_VALUE}|{_RUN}"     # beside a password word the whole value, not a run inside it
 _NO_VALUE = f"{_KEY_BLOCK}|{_RUN}"         # the same for a text without one of these words
 _VALUE_WORDS = ("passw", "pwd", "secret", "passphrase")

@@ -32,3 +32,10 @@ def test_env_lines(spark):
     assert got[3][-1] == (TOKEN, "hex token", True) and clean[3] == "AWS_S3_SECRET_ACCESS_KEY_2=[SECRET]\n"
     assert got[4][0][0] == "q8Zt2LmX" * 4 + "==" and clean[4] == "token=[SECRET];"
     assert got[5] == [(TOKEN, "hex token", False)] and clean[5] == texts[5]
+
+
+def test_long_password(spark):
+    phrase = "!".join(hashlib.sha256(bytes([i])).hexdigest()[:9] for i in range(12))
+    got, clean = values(spark, [f'password = "{phrase}" end', f"pwd={phrase}\n"])
+    assert got[0][0][0] == got[1][0][0] == phrase
+    assert clean == ['password = "[SECRET]" end', "pwd=[SECRET]\n"]
