@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quire.llm.common import binary, cells_of, table
+from quire.llm.common import binary, table
 from quire.llm.vectors import matrix, valid
 
 CURVES, DIMS, BITS = 4, 6, 10
@@ -134,21 +134,30 @@ def _runs(batches: Iterator[pa.RecordBatch], size: int, edge: int):
 
 
 def _packed(size: int, queries: bool):
-    """Runs of rows of a sorted partition as one row each: dim, ids,
-    vectors, and centre and radius (or the bounds of the queries)."""
+    """Runs of ``size`` rows of one dim of a sorted partition as one row
+    each: dim, ids, vectors, and centre and radius (or the bounds of the
+    queries). One run is held at a time."""
+    def packed(part: list[tuple]) -> pa.RecordBatch:
+        v = np.frombuffer(b"".join(r[2] for r in part), np.float64).reshape(len(part), -1)
+        if queries:
+            more = np.array([r[3] for r in part])
+        else:
+            centre = v.mean(0)
+            more = np.append(centre, np.sqrt(((v - centre) ** 2).sum(1)).max())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part[0][0]], pa.int32()), binary([np.array([r[1] for r in part]).tobytes()]),
+             binary([v.tobytes()]), binary([more.tobytes()])], names=["dim", "ids", "vecs", "more"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in cells_of(batches, 1):
-            for a in range(0, len(rows), size):
-                part = rows[a:a + size]
-                v = np.frombuffer(b"".join(r[2] for r in part), np.float64).reshape(len(part), -1)
-                if queries:
-                    more = np.array([r[3] for r in part])
-                else:
-                    centre = v.mean(0)
-                    more = np.append(centre, np.sqrt(((v - centre) ** 2).sum(1)).max())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part[0][0]], pa.int32()), binary([np.array([r[1] for r in part]).tobytes()]),
-                     binary([v.tobytes()]), binary([more.tobytes()])], names=["dim", "ids", "vecs", "more"])
+        part: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if part and (len(part) >= size or part[0][0] != row[0]):
+                    yield packed(part)
+                    part = []
+                part.append(row)
+        if part:
+            yield packed(part)
     return run
 
 
@@ -182,7 +191,7 @@ def windows(spark: SparkSession, df: DataFrame, is_query, k: int, id_col: str, v
     own = valid(df, id_col, vec_col).select("id", "v", is_query(F.col("id")).alias("query"))
     placed = table(spark, own.mapInArrow(_keys, "curve int, dim int, key long, id long, query boolean, vec binary"))
     n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + placed.count() // (64 * WINDOW)))
-    near = (placed.repartitionByRange(n, "curve", "dim", "key").sortWithinPartitions("curve", "dim", "key", "id")
+    near = (placed.repartitionByRange(n, "curve", "dim", "key", "id").sortWithinPartitions("curve", "dim", "key", "id")
             .select("curve", "dim", "key", "id", "query", "vec")
             .mapInArrow(_windows(k), "query_id long, vec_id long, score double"))
     return placed, _best(table(spark, near).distinct(), k)
@@ -205,12 +214,12 @@ def nearest(spark: SparkSession, df: DataFrame, is_query, k: int = 20, id_col: s
         floor = best.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
         first = placed.where("curve = 0")
         n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + first.count() // (4 * BLOCK)))
-        blocks = table(spark, first.repartitionByRange(n, "dim", "key").sortWithinPartitions("dim", "key", "id")
+        blocks = table(spark, first.repartitionByRange(n, "dim", "key", "id").sortWithinPartitions("dim", "key", "id")
                        .select("dim", "id", "vec").mapInArrow(_packed(BLOCK, False), "dim int, ids binary, vecs binary, more binary")
                        .withColumn("chunk", F.monotonically_increasing_id()))
         chunks = max(1, blocks.count() // CHUNK)
         asked = (first.where("query").join(floor, "id", "left").select("dim", "key", "id", "vec", F.coalesce("least", F.lit(float("-inf"))).alias("least")))
-        groups = table(spark, asked.repartitionByRange(max(1, n // 4), "dim", "key").sortWithinPartitions("dim", "key", "id")
+        groups = table(spark, asked.repartitionByRange(max(1, n // 4), "dim", "key", "id").sortWithinPartitions("dim", "key", "id")
                        .select("dim", "id", "vec", "least").mapInArrow(_packed(QUERIES, True), "dim int, ids binary, vecs binary, more binary"))
         groups = groups.select(F.col("dim").alias("qdim"), F.col("ids").alias("qids"), F.col("vecs").alias("qvecs"),
                                F.col("more").alias("least"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("part"))
