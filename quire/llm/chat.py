@@ -35,20 +35,35 @@ _MARK = re.compile(r"^\s*(?:[#>*\[<|(-]*\s*)(" + "|".join(sorted(MARKERS, key=le
                    r")\s*(?:[\])>*|]*)\s*[:：]\s*", re.I)
 
 
+WEAK = "weak "             # before the marker of a line inside a row whose role is known
+
+
 def lines(text: str | None, speaker: str | None) -> list[tuple[str, str]]:
-    """(marker, text) of the lines of one row: the row's speaker marks
-    the first line, a line's own marker goes before it and is cut off."""
+    """(marker, text) of the lines of one row. The row's speaker marks
+    the first line. In a row without a known speaker a line's own marker
+    goes before it and is cut off; in a row with one it is weak evidence
+    and the line stays as it is."""
     out = []
+    own = MARKERS.get((speaker or "").strip().lower(), NONE)
     for n, line in enumerate((text or "").split("\n")):
         m = _MARK.match(line)
-        if m:
+        if m and own == NONE:
             out.append((MARKERS[m[1].lower()], line[m.end():]))
+        elif m and n > 0:
+            out.append((WEAK + MARKERS[m[1].lower()], line))
         else:
-            mark = MARKERS.get((speaker or "").strip().lower(), NONE) if n == 0 else "same"
-            out.append((mark, line))
+            out.append((own if n == 0 else "same", line))
     return out
 
 
+def cut(marker: str, line: str, role: str, last: str | None) -> str:
+    """The line without its weak marker where the recovered role changes
+    to the marker's role, else the line."""
+    if marker == WEAK + role and last is not None and last != role:
+        return line[_MARK.match(line).end():]
+    return line
+
+
 def symbol(marker: str, text: str, first: bool) -> str:
     size = min(6, int(math.log2(len(text) + 1)) // 2 * 2)
     shape = "ask" if text.rstrip().endswith("?") else "list" if re.match(r"\s*(?:[-*•]|\d+[.)])\s", text) else "text"
@@ -59,8 +74,11 @@ class Model:
     """Log weights: start[role], step[from, to], seen[symbol part][role].
     The parts of a symbol are taken as independent given the role."""
 
-    def __init__(self, counts: dict[tuple[str, str], float], steps: np.ndarray, starts: np.ndarray):
+    def __init__(self, counts: dict[tuple[str, str], float], steps: np.ndarray, starts: np.ndarray, inner: np.ndarray | None = None):
         k = len(ROLES)
+        inner = np.zeros((k, k)) if inner is None else inner
+        weak = np.log((inner + 0.5) / (inner + 0.5).sum(1, keepdims=True))     # [role of the row, role of a marker inside it]
+        self.weak = {WEAK + r: weak[:, i] for i, r in enumerate(ROLES)}
         self.start = np.log((starts + 1) / (starts + 1).sum())
         self.step = np.log((steps + 1) / (steps + 1).sum(1, keepdims=True))
         total = starts + steps.sum(0)
@@ -78,6 +96,8 @@ class Model:
         e = self.other.copy()
         if marker == "same":                   # an unmarked line after the first of a row tells nothing
             return e
+        if marker in self.weak:
+            return self.weak[marker]
         if marker in ROLES:
             e = e + self.seen[f"mark={marker}"]
         for part in symbol(marker, text, first).split("|")[1:]:
@@ -113,7 +133,14 @@ def learn(spark: SparkSession, turns: DataFrame) -> Model:
             starts[ROLES.index(role)] += n
         else:
             steps[ROLES.index(last), ROLES.index(role)] += n
-    return Model(counts, steps, starts)
+    # markers at the start of later lines of these rows
+    later = turns.where(F.col("role").isin(*ROLES) & F.contains("text", F.lit("\n"))).select(
+        "role", F.split("text", "\\n").alias("lines")).select("role", F.explode(F.slice("lines", 2, F.size("lines"))).alias("line"))
+    inner = np.zeros((3, 3))
+    word = F.lower(F.regexp_extract("line", "(?i)" + _MARK.pattern, 1)).alias("word")
+    for role, w, n in later.select("role", word).where("word <> ''").groupBy("role", "word").count().collect():
+        inner[ROLES.index(role), ROLES.index(MARKERS[w])] += n
+    return Model(counts, steps, starts, inner)
 
 
 def _block_lines(part: list[tuple]) -> list[tuple]:
@@ -128,7 +155,7 @@ def _block_lines(part: list[tuple]) -> list[tuple]:
 def _steps(model: Model, found: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     stay, start = model.stay(), np.tile(model.start, (len(ROLES), 1))
     for _, marker, text, first in found:
-        yield start if first else stay if marker == "same" else model.step, model.emission(marker, text, first)
+        yield start if first else stay if marker == "same" or marker in model.weak else model.step, model.emission(marker, text, first)
 
 
 def _matrices(model: Model):
@@ -179,10 +206,11 @@ def _traced(model: Model):
             path.reverse()
             out: list[list] = []               # [row, state, lines]
             for (i, marker, text, _), state in zip(found, path):
-                if out and out[-1][0] == i and out[-1][1] == state and marker == "same":
+                inside = out and out[-1][0] == i
+                if inside and out[-1][1] == state and (marker == "same" or marker in model.weak):
                     out[-1][2].append(text)
                 else:
-                    out.append([i, state, [text]])
+                    out.append([i, state, [cut(marker, text, ROLES[state], ROLES[out[-1][1]] if inside else None)]])
             place, last, cols = 0, None, []
             for i, state, body in out:
                 place = place + 1 if i == last else 0
@@ -204,8 +232,11 @@ def format_turns(spark: SparkSession, turns: DataFrame, conv_col: str = "conv_id
     """Canonical turns: conv_id, turn, part (number of the turn within
     its row, from 0), role, text and rendered.
 
-    The row's role is the speaker marker of its first line; it may be
-    null or unknown, and a line's own marker ("Human: ...") overrules it.
+    The row's role is the speaker marker of its first line. Where it is
+    null or unknown, a line's own marker ("Human: ...") counts instead;
+    in a row with a known role a marker inside is weak evidence, weighed
+    as often as rows of each role hold it, and stays in the text unless
+    the recovered role changes to the marker's role there.
     Consecutive lines of a row with one recovered role are one turn. Rows
     are ordered by turn, then by role and text (ties and repeated rows
     stay); null turns come first; null conversations are one. Null and
