@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, hilbert, itq, minhash, mixing, pages, pieces, secrets, toxicity, wordpiece
+from quire.llm import (
+    chat, hilbert, itq, merkle, minhash, mixing, pages, pieces, repeats, secrets, spelling, toxicity, wordpiece)
 from quire.llm.common import tables
 
 PIECES = "piece_bpe_32k.model"
@@ -58,7 +59,29 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "stop", "kind", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "score", "secret")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found = merkle.versions(spark, tables(sf_dir, spark, "documents"), tampered, F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    siblings = F.transform("path", lambda step: F.concat(step["before"], step["after"]))
+    folded = F.element_at("version", -1)
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join(siblings, ""), 256).alias("proof_sha256"),
+                        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(sf_dir, spark, "documents")
+    texts = repeats.cleaned(spark, docs, length=35).select(
+        "text_key", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return repeats.by_document(docs, texts).select(
+        "doc_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_words", "n_removed")],
+        F.coalesce("kept_sha256", F.sha2(F.lit(""), 256)).alias("kept_sha256"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, tables(sf_dir, spark, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_chat, op3_minhash, op4_itq, op5_toxicity, op6_hilbert, op7_pages, op8_sentencepiece,
-        op9_mixing, op10_secrets)}
+        op9_mixing, op10_secrets, op11_merkle, op12_repeats, op13_spelling)}
