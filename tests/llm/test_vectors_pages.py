@@ -116,7 +116,7 @@ def test_pages(spark):
     got = pages.extract(spark, df).collect()
     assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
     by = {r.page_id: r.text for r in got}
-    assert by[2] == by[3] == "" and by[11] == "1 stays here" and by[20] == f"{line} own text number 0 stays here"
+    assert by[2] == by[3] == "" and by[11] == "own text number 1 stays here" and by[20] == f"{line} own text number 0 stays here"
     assert by[None] == " ".join(["long"] * 40000)
     assert pages.extract(spark, df.limit(0)).count() == 0
 
