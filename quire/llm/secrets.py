@@ -21,9 +21,10 @@ MASK = "[SECRET]"
 
 # What a candidate looks like.
 _KEY_BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?"
+# possessive: the segments of a run may be many, and a group that can give back nests once for each
 # '=' belongs to a run as padding at its end only: KEY=value is a name and, after '=', a value
 _RUN = (r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z0-9+/_\-]{16})(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}"
-        r"(?:\.[A-Za-z0-9_\-]{16,})*(?:={1,2}(?![\"']?[A-Za-z0-9+/_=\-]))?")
+        r"(?:\.[A-Za-z0-9_\-]{16,}+)*+(?:={1,2}(?![\"']?[A-Za-z0-9+/_=\-]))?")
 _VALUE = (r"(?<=[=:\"']|[=:] )(?<=(?i:password|passwd|pwd|secret|passphrase)[\"']?\s{0,2}[:=]\s{0,2}[\"']?)"
           r"[^\s\"'<>]{8,}")
 CANDIDATE = f"{_KEY_BLOCK}|{_VALUE}|{_RUN}"     # beside a password word the whole value, not a run inside it
