@@ -74,6 +74,25 @@ JOIN (SELECT link, project, string_agg(key || ': ' || title || ' [Last Updated O
 """
 
 
+def _epic_parts(projects: list[tuple[str, int, str]], part_bytes: int) -> str:
+    """Records of the epics, and their documents cut by byte offsets."""
+    whole = _epics(projects)
+    line = "key || ': ' || title || ' [Last Updated On: ' || made || ']' || chr(10)"
+    return f"""
+WITH e AS ({whole}),
+s AS (SELECT link, project, made, key, {line} AS line FROM ({_STORY}) WHERE done),
+o AS (SELECT *, coalesce(sum(strlen(line)) OVER (PARTITION BY link, project ORDER BY made DESC, key
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {part_bytes} AS cell FROM s),
+p AS (SELECT o.link, CAST(1 + cell AS INTEGER) AS part, string_agg(line, '' ORDER BY o.made DESC, o.key) AS text
+      FROM o JOIN ({_EPIC}) x ON x.key = o.link AND x.project = o.project GROUP BY o.link, cell)
+SELECT 'record' AS kind, crawl_target, CAST(run_ord AS INTEGER) AS run_ord, filename, concat_ws('|', key, shown, web_url, made, uri) AS value,
+  CAST(NULL AS INTEGER) AS part FROM e
+UNION ALL SELECT 'document', crawl_target, CAST(run_ord AS INTEGER), filename, p.text, p.part FROM e JOIN p ON p.link = e.key
+UNION ALL SELECT 'document', crawl_target, CAST(run_ord AS INTEGER), filename,
+  substr(body, 1, position('Stories:' IN body) + 9), 0 FROM e
+"""
+
+
 _PAGES = """
 SELECT doc_id, CAST(doc_id AS VARCHAR) AS id, lang AS title, doc_id % 19 <> 0 AS current, s.key AS space, s.name AS space_name,
   coalesce(text, '') || CASE WHEN doc_id % 2 = 0 THEN '<ri:attachment ri:filename="part-' || doc_id || '.pdf" />' ELSE '' END AS body
@@ -153,7 +172,7 @@ _THREE = [("team-a", 0, 0), ("team-b", 1, 1), ("team-b", 2, 2)]
 
 SQL: dict[str, str] = {
     "issue_job": _rows(issues=_issues(_THREE)),
-    "epic_job": _rows(epics=_epics([("team-a", 0, "P0"), ("team-a", 1, "P1"), ("team-b", 2, "P1")])),
+    "epic_job": _epic_parts([("team-a", 0, "P0"), ("team-a", 1, "P1"), ("team-b", 2, "P1")], 200),
     "wiki_job": _rows(wiki=_wiki([("team-a", 0, "spaces"), ("team-b", 2, "pages"), ("team-c", 3, "all")])),
     "web_job": _WEB,
     # precedence counts from 1 in the order of the configuration

@@ -181,9 +181,14 @@ def issue_job(spark, sf):
 
 
 def epic_job(spark, sf):
-    """Summaries for projects that two targets name; done
-    stories of another project than their epic's do not count."""
-    return _result(corpus.epic_summaries_for(landed_issues(spark, sf), EPIC_PROJECTS, base_url=BASE_URL, bucket=BUCKET))
+    """Summaries for projects that two targets name, as
+    ordered parts of at most 200 bytes and one line; done stories of
+    another project than their epic's do not count."""
+    c = corpus.epic_parts_for(landed_issues(spark, sf), EPIC_PROJECTS, base_url=BASE_URL, bucket=BUCKET, part_bytes=200)
+    none = F.lit(None).cast("int")
+    records = _result(corpus.Corpus(c.documents, c.metadata, {})).where("kind = 'record'").withColumn("part", none)
+    return records.unionByName(c.documents.select(
+        F.lit("document").alias("kind"), "crawl_target", "run_ord", "filename", F.col("body").alias("value"), "part"))
 
 
 def wiki_job(spark, sf):

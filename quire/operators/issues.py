@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import file_name, js_number
-from quire.operators.ordering import Order, ordered_concat, ordered_parts
+from quire.operators.ordering import PART_BYTES, Order, ordered_concat, ordered_parts
 
 # File-name prefix, custom fields (display name -> field key)
 # and the texts of the rendered issue documents, in document order.
@@ -161,14 +161,15 @@ def _story_line(story_key: str, story_title: str, story_updated: str):
 
 def epic_summary_parts(epics: DataFrame, stories: DataFrame, epic_key: str, epic_title: str,
                        story_epic: str, story_key: str, story_title: str, story_updated: str,
-                       order: Order) -> DataFrame:
+                       order: Order, part_bytes: int = PART_BYTES) -> DataFrame:
     """A3 for epics whose listing may outgrow one string value: rows
-    (epic key, part, text); part 0 is the header, parts 1.. the listing in
-    order. Joined in part order they equal :func:`epic_summaries`."""
-    listing = ordered_parts(stories, [story_epic], order, _story_line(story_key, story_title, story_updated),
-                            "", "text")
-    with_stories = epics.join(listing.select(story_epic).distinct(), epics[epic_key] == listing[story_epic],
-                              "left_semi")
+    (epic key, part, text); part 0 is the header, the others the listing in
+    order, of ``part_bytes`` each (see :func:`ordered_parts`). Joined in
+    part order they equal :func:`epic_summaries`."""
+    own = stories.join(epics.select(F.col(epic_key).alias("_q_epic")), F.col(story_epic) == F.col("_q_epic"), "left_semi")
+    listing = ordered_parts(own, [story_epic], order, _story_line(story_key, story_title, story_updated),
+                            "", "text", part_bytes=part_bytes)
+    with_stories = epics.join(own.select(F.col(story_epic).alias("_q_epic")).distinct(), F.col(epic_key) == F.col("_q_epic"), "left_semi")
     head = with_stories.select(F.col(epic_key), F.lit(0).alias("part"), F.concat(
         F.lit(EPIC_ID), _s(F.col(epic_key)), F.lit(EPIC_TITLE), _s(F.col(epic_title)), F.lit(EPIC_LISTING)).alias("text"))
     body = listing.select(F.col(story_epic).alias(epic_key), "part", "text")

@@ -10,13 +10,17 @@ and joined back. Strings are joined per slice, then in slice order.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.filters import BROADCAST_MAX_ROWS
 from quire.session import shared_table
 
+GROUP_ROWS = 10_000            # rows of a key that one aggregate joins; more are split over slices
+PART_BYTES = 64 << 20          # bytes of one part of an ordered document
+
 Order = Sequence[tuple[str, bool]]  # (column, ascending)
 Getter = Callable[[str], Column]
 
@@ -91,6 +95,49 @@ def _slices_text(df: DataFrame, keys: Sequence[str], order: Order,
         F.expr(f"listagg(_q_piece, {sep_sql}) WITHIN GROUP (ORDER BY {_order_sql(order)})").alias(_SLICE))
 
 
+def _null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & a[k].eqNullSafe(b[k])
+    return same
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], most: int = GROUP_ROWS) -> DataFrame | None:
+    """The keys with more than ``most`` rows, written once; None if there
+    are none. Counts are summed before the shuffle."""
+    found = shared_table(df.sparkSession, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N)).where(F.col(_N) > most).select(*keys))
+    return found if found.limit(1).count() else None
+
+
+def prefix_sums(df: DataFrame, keys: Sequence[str], order: Order, sums: Mapping[str, Column],
+                following: Mapping[str, str] | None = None, parts: int | None = None) -> DataFrame:
+    """``df`` with, for each name of ``sums``, the sum of that (non-null)
+    value over the earlier rows of the same key, and for each name of
+    ``following`` the value of that column in the next row (null in the
+    last). Two levels: sums inside range slices of (key, order), and sums
+    of whole slices, so a key of any size is spread over its slices. The
+    result does not depend on the number of slices if ``order`` is total.
+    """
+    following = following or {}
+    names = {out: f"_q_v{i}" for i, out in enumerate(sums)}
+    t = shared_table(df.sparkSession, _range_slices(df.withColumns({names[out]: v for out, v in sums.items()}), keys, order, parts))
+    stats = t.groupBy(*keys, _PART).agg(
+        F.min(_LOCAL).alias(_FIRST), *[F.sum(v).alias(f"{v}s") for v in names.values()],
+        *[F.min_by(c, _LOCAL).alias(f"_q_f{i}") for i, c in enumerate(following.values())])
+    by_slice = Window.partitionBy(*keys).orderBy(_PART)
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    above = stats.select(*keys, _PART, *[F.coalesce(F.sum(f"{v}s").over(earlier), F.lit(0)).alias(f"{v}s") for v in names.values()],
+                         *[F.lead(f"_q_f{i}").over(by_slice).alias(f"_q_f{i}") for i in range(len(following))])
+    within = Window.partitionBy(*keys, _PART).orderBy(_LOCAL)
+    before, last = within.rowsBetween(Window.unboundedPreceding, -1), F.lead(F.lit(1)).over(within).isNull()
+    local = t.select("*", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"{v}l") for v in names.values()],
+                     *[F.lead(c).over(within).alias(f"_q_n{i}") for i, c in enumerate(following.values())], last.alias("_q_last"))
+    joined = local.join(above, _null_safe(local, above, [*keys, _PART]))
+    return joined.select(
+        *[local[c] for c in df.columns], *[(local[f"{v}l"] + above[f"{v}s"]).alias(out) for out, v in names.items()],
+        *[F.when(local["_q_last"], above[f"_q_f{i}"]).otherwise(local[f"_q_n{i}"]).alias(out) for i, out in enumerate(following)])
+
+
 def ordered_concat(df: DataFrame, keys: Sequence[str], order: Order,
                    render: Callable[[Column | None, Getter], Column], sep: str, out: str,
                    numbered: bool = False, fields: Sequence[str] = (),
@@ -100,21 +147,52 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], order: Order,
     its 1-based position when ``numbered`` (then ``fields`` lists the
     columns ``render`` reads), else None. ``render`` must not return NULL
     (a NULL piece is skipped, as by ``listagg``). NULL keys form one group;
-    NULL order values sort first ascending and last descending."""
-    sliced = _slices_text(df, keys, order, render, sep, numbered, fields, parts)
-    return sliced.groupBy(*keys).agg(
-        F.expr(f"listagg({_SLICE}, {sql_literal(sep)}) WITHIN GROUP (ORDER BY {_PART} ASC)").alias(out))
+    NULL order values sort first ascending and last descending. Keys of at
+    most ``GROUP_ROWS`` rows are one aggregate; larger ones are built from
+    range slices, with the same result."""
+    def sliced(rows: DataFrame) -> DataFrame:
+        return _slices_text(rows, keys, order, render, sep, numbered, fields, parts).groupBy(*keys).agg(
+            F.expr(f"listagg({_SLICE}, {sql_literal(sep)}) WITHIN GROUP (ORDER BY {_PART} ASC)").alias(out))
+
+    hot = hot_keys(df, keys, GROUP_ROWS) if keys else None
+    if not keys:
+        return sliced(df)
+    small = df if hot is None else df.join(F.broadcast(hot) if hot.count() <= BROADCAST_MAX_ROWS else hot, _null_safe(df, hot, keys), "left_anti")
+    if numbered:
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*sort_cols(order))).cast("long")
+        by = f"{_RN} ASC"
+        small = small.withColumn(_RN, number)
+        small = small.withColumn("_q_piece", render(F.col(_RN), F.col))
+    else:
+        by = _order_sql(order)
+        small = small.withColumn("_q_piece", render(None, F.col))
+    joined = small.groupBy(*keys).agg(F.expr(f"listagg(_q_piece, {sql_literal(sep)}) WITHIN GROUP (ORDER BY {by})").alias(out))
+    if hot is None:
+        return joined
+    large = df.join(hot, _null_safe(df, hot, keys), "left_semi")
+    return joined.unionByName(sliced(large))
 
 
 def ordered_parts(df: DataFrame, keys: Sequence[str], order: Order,
                   render: Callable[[Column | None, Getter], Column], sep: str, out: str = "text",
                   numbered: bool = False, fields: Sequence[str] = (),
-                  parts: int | None = None) -> DataFrame:
+                  parts: int | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
     """Like :func:`ordered_concat`, for outputs that may outgrow one string
     value (Spark strings stop near 2 GB; a key holding a third of 100 TB
-    would): one row per (key, part) with ``part`` = 1, 2, ... in order.
-    The document is the parts joined by ``sep`` in part order; no value
-    grows with the size of the group."""
-    sliced = _slices_text(df, keys, order, render, sep, numbered, fields, parts)
-    w = Window.partitionBy(*keys).orderBy(_PART)
-    return sliced.select(*keys, F.row_number().over(w).cast("int").alias("part"), F.col(_SLICE).alias(out))
+    would): one row per (key, part) in order. The document is the parts
+    joined by ``sep`` in part order.
+
+    A piece belongs to part ``1 + offset div part_bytes``, where its offset
+    is the number of bytes (pieces and separators) before it, so a part
+    holds at most ``part_bytes`` bytes and one piece, whatever the number
+    of partitions; a piece larger than that leaves part numbers out."""
+    if numbered:
+        pieces = _numbered(df, keys, order, _RN, parts).drop(_PART).withColumn("_q_piece", render(F.col(_RN), F.col))
+    else:
+        pieces = df.withColumn("_q_piece", render(None, F.col))
+    named = list(dict.fromkeys([*keys, *[c for c, _ in order], "_q_piece"]))
+    size = F.octet_length("_q_piece").cast("long") + len(sep.encode())
+    placed = prefix_sums(pieces.select(*named).where(F.col("_q_piece").isNotNull()), keys, order, {_OFF: size}, parts=parts)
+    part = (F.expr(f"{_OFF} div {int(part_bytes)}") + 1).cast("int").alias("part")
+    return placed.withColumn("part", part).groupBy(*keys, "part").agg(
+        F.expr(f"listagg(_q_piece, {sql_literal(sep)}) WITHIN GROUP (ORDER BY {_OFF} ASC)").alias(out))

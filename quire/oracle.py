@@ -417,15 +417,17 @@ WHERE m.crawl_target IN ('wiki-0', 'wiki-1')
 
 SQL["epic_summary_hot_keys"] = """
 WITH s AS (
-  SELECT o_orderstatus, string_agg('O-' || CAST(o_orderkey AS VARCHAR) || ': ' || o_orderpriority
-    || ' [Last Updated On: ' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ']' || chr(10), ''
-    ORDER BY o_orderdate DESC, o_orderkey) AS listing
-  FROM orders GROUP BY o_orderstatus
-), b AS (
-  SELECT o_orderstatus AS status, 'Epic ID: ST-' || o_orderstatus || chr(10) || 'Epic Title: ' || o_orderstatus
-    || chr(10) || '=====' || chr(10) || 'Listing of User Stories:' || chr(10) || chr(10) || listing AS body FROM s
+  SELECT o_orderstatus AS status, o_orderdate, o_orderkey, 'O-' || CAST(o_orderkey AS VARCHAR) || ': ' || o_orderpriority
+    || ' [Last Updated On: ' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ']' || chr(10) AS line FROM orders
+), o AS (
+  SELECT *, coalesce(sum(strlen(line)) OVER (PARTITION BY status ORDER BY o_orderdate DESC, o_orderkey
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s
 )
-SELECT status, CAST(length(body) AS BIGINT) AS body_len, md5(body) AS body_md5 FROM b
+SELECT status, CAST(1 + before // 65536 AS INTEGER) AS part, string_agg(line, '' ORDER BY o_orderdate DESC, o_orderkey) AS text
+FROM o GROUP BY status, before // 65536
+UNION ALL
+SELECT DISTINCT status, 0 AS part, 'Epic ID: ST-' || status || chr(10) || 'Epic Title: ' || status
+  || chr(10) || '=====' || chr(10) || 'Listing of User Stories:' || chr(10) || chr(10) AS text FROM s
 """
 
 SQL.update(job_oracle.SQL)

@@ -22,6 +22,7 @@ from quire.operators import issues as iss
 from quire.operators import web, wiki
 from quire.operators.dedupe import latest_by
 from quire.operators.filters import allow_match, any_match, checked_broadcast, js_regex, literal_frame, none_match
+from quire.operators.ordering import PART_BYTES
 from quire.plans.catalog import metadata_record, storage_uri
 from quire.plans.graph import grouped_frontier_search, materialize
 from quire.session import ensure_checkpoint_dir
@@ -267,15 +268,11 @@ def issue_corpus(issues: DataFrame, *, target: str, where: Column | str | None =
     return Corpus(c.documents.drop("run_ord"), c.metadata.drop("run_ord"), c.extra)
 
 
-def epic_summaries_for(issues: DataFrame, specs: Sequence[Mapping], *, base_url: str, bucket: str) -> Corpus:
-    """L2 sibling for many (target, project) specs at once: one summary per
-    epic of each project listing its done stories, newest update first
-    (S14, S15, C10, J5, A3). Epic keys are unique across projects, so one
-    ordered aggregation serves every spec; a small table maps each project
-    to its target(s). Documents carry ``run_ord``."""
-    spark = issues.sparkSession
-    conf = literal_frame(spark, [(sp["target"], sp["project"], int(sp.get("ord", k))) for k, sp in enumerate(specs)],
-                         "crawl_target string, project_key string, run_ord int")
+_EPIC_ORDER = [("updated_ts", False), ("story_updated", False), ("story_key", True)]
+
+
+def _epics_and_stories(issues: DataFrame, conf: DataFrame, base_url: str) -> tuple[DataFrame, DataFrame]:
+    """The epics of the configured projects and their done stories."""
     projects = conf.select("project_key").distinct()
     v = issues_view(issues, base_url).join(projects, "project_key", "left_semi").withColumn(
         "updated_ts", F.try_to_timestamp(F.col("updated")))
@@ -287,16 +284,50 @@ def epic_summaries_for(issues: DataFrame, specs: Sequence[Mapping], *, base_url:
     stories = done.join(own, ["project_key", "epic_link"], "left_semi").select(
         "epic_link", F.col("key").alias("story_key"), F.col("title").alias("story_title"),
         F.col("updated").alias("story_updated"), "updated_ts")
+    return epics, stories
+
+
+def _epic_conf(issues: DataFrame, specs: Sequence[Mapping]) -> DataFrame:
+    return literal_frame(issues.sparkSession, [(sp["target"], sp["project"], int(sp.get("ord", k))) for k, sp in enumerate(specs)],
+                         "crawl_target string, project_key string, run_ord int")
+
+
+def _epic_records(epics: DataFrame, bucket: str) -> DataFrame:
+    rec = metadata_record(F.col("epic_key"), iss.epic_title(F.col("epic_key"), F.col("epic_title")), F.col("web_url"),
+                          F.col("created"), F.lit(HTML), storage_uri(bucket, F.col("crawl_target"), F.col("filename")),
+                          updated_at=F.col("updated"))
+    return epics.select("crawl_target", "filename", rec.alias("metadata"), "run_ord")
+
+
+def epic_parts_for(issues: DataFrame, specs: Sequence[Mapping], *, base_url: str, bucket: str,
+                   part_bytes: int = PART_BYTES) -> Corpus:
+    """:func:`epic_summaries_for` for epics of any size: a document is its
+    rows (part, body) in part order, each of bounded size."""
+    conf = _epic_conf(issues, specs)
+    epics, stories = _epics_and_stories(issues, conf, base_url)
+    parts = iss.epic_summary_parts(epics, stories, "epic_key", "epic_title", "epic_link", "story_key", "story_title",
+                                   "story_updated", _EPIC_ORDER, part_bytes)
+    named = epics.join(conf, "project_key").withColumn("filename", iss.issue_file_name(F.col("epic_key")))
+    listed = named.join(stories.select(F.col("epic_link").alias("epic_key")).distinct(), "epic_key", "left_semi")
+    docs = parts.join(named.select("epic_key", "crawl_target", "run_ord", "filename"), "epic_key").select(
+        "crawl_target", "filename", F.lit(HTML).alias("mime_type"), "part", F.col("text").alias("body"), "run_ord")
+    return Corpus(docs, _epic_records(listed, bucket), {})
+
+
+def epic_summaries_for(issues: DataFrame, specs: Sequence[Mapping], *, base_url: str, bucket: str) -> Corpus:
+    """L2 sibling for many (target, project) specs at once: one summary per
+    epic of each project listing its done stories, newest update first
+    (S14, S15, C10, J5, A3). Epic keys are unique across projects, so one
+    ordered aggregation serves every spec; a small table maps each project
+    to its target(s). Documents carry ``run_ord``."""
+    conf = _epic_conf(issues, specs)
+    epics, stories = _epics_and_stories(issues, conf, base_url)
     s = iss.epic_summaries(epics, stories, "epic_key", "epic_title", "epic_link", "story_key", "story_title",
-                           "story_updated", [("updated_ts", False), ("story_updated", False), ("story_key", True)])
+                           "story_updated", _EPIC_ORDER)
     s = s.join(conf, "project_key")
     docs = s.select("crawl_target", "run_ord", iss.issue_file_name(F.col("epic_key")).alias("filename"),
                     F.lit(HTML).alias("mime_type"), "body", "epic_key", "epic_title", "web_url", "created", "updated")
-    rec = metadata_record(F.col("epic_key"), iss.epic_title(F.col("epic_key"), F.col("epic_title")), F.col("web_url"),
-                          F.col("created"), F.lit(HTML), storage_uri(bucket, F.col("crawl_target"), F.col("filename")),
-                          updated_at=F.col("updated"))
-    return Corpus(docs.select("crawl_target", "filename", "mime_type", "body", "run_ord"),
-                  docs.select("crawl_target", "filename", rec.alias("metadata"), "run_ord"), {})
+    return Corpus(docs.select("crawl_target", "filename", "mime_type", "body", "run_ord"), _epic_records(docs, bucket), {})
 
 
 def epic_summary_corpus(issues: DataFrame, *, target: str, project: str, base_url: str, bucket: str) -> Corpus:

@@ -66,6 +66,37 @@ def test_hot_key_is_split_over_slices(spark):
     assert parts >= 2  # key 0 holds a third of the rows and is split over several tasks
 
 
+def test_hot_keys_and_small_groups_give_equal_texts(spark, monkeypatch):
+    from quire.operators import ordering
+    df, _ = _skewed(spark, 900)
+    df = df.withColumn("k", F.when(F.col("k") != 1, F.col("k")))  # a null key is a group, too
+    want = None
+    for most in (0, 100, 10_000):
+        monkeypatch.setattr(ordering, "GROUP_ROWS", most)
+        for numbered in (True, False):
+            render = (lambda n, g: F.concat(n.cast("string"), g("s"))) if numbered else (lambda n, g: F.concat(F.lit("-"), g("s")))
+            got = {r.k: r.o for r in ordered_concat(df, ["k"], [("v", True), ("id", True)], render, ";", "o", numbered=numbered,
+                                                    fields=["s"], parts=6).collect()}
+            want = want or {}
+            assert want.setdefault(numbered, got) == got
+
+
+def test_prefix_sums_do_not_depend_on_slices(spark):
+    from quire.operators.ordering import prefix_sums
+    rnd = random.Random(11)
+    rows = [(rnd.choice([None, 1, 1, 1, 2]), i, rnd.randint(-3, 9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "k long, id long, v long")
+    want = {}
+    for k in {r[0] for r in rows}:
+        group = [r for r in rows if r[0] == k]
+        for i, r in enumerate(group):
+            want[r[1]] = (sum(x[2] for x in group[:i]), i, group[i + 1][1] if i + 1 < len(group) else None)
+    for n in (1, 4, 37):
+        got = prefix_sums(df, ["k"], [("id", True)], {"s": F.col("v"), "c": F.lit(1)}, {"next": "id"}, parts=n).collect()
+        assert {r.id: (r.s, r.c, r.next) for r in got} == want
+    assert prefix_sums(df.limit(0), ["k"], [("id", True)], {"s": F.col("v")}).count() == 0
+
+
 def test_number_rows_with_null_keys_and_orders(spark):
     rnd = random.Random(4)
     rows = [(rnd.choice([None, 1, 2]), rnd.choice([None, 5, 6, 7]), i) for i in range(400)]
@@ -87,8 +118,11 @@ def test_ordered_parts_rejoin_to_ordered_concat(spark):
     render = lambda n, g: F.concat(n.cast("string"), F.lit("="), g("s"))
     whole = {r.k: r.o for r in ordered_concat(df, ["k"], [("v", True), ("id", True)], render, ";", "o",
                                                 numbered=True, fields=["s"], parts=6).collect()}
-    parts = ordered_parts(df, ["k"], [("v", True), ("id", True)], render, ";", numbered=True, fields=["s"],
-                          parts=6).collect()
+    found = [ordered_parts(df, ["k"], [("v", True), ("id", True)], render, ";", numbered=True, fields=["s"],
+                           parts=n, part_bytes=500).collect() for n in (4, 211)]
+    parts = found[0]
+    assert sorted(found[1]) == sorted(parts)  # cut by bytes, whatever the partitions
+    assert all(len(r.text.encode()) <= 500 + 20 for r in parts)
     joined = {}
     for r in sorted(parts, key=lambda r: (r.k, r.part)):
         joined[r.k] = r.text if r.k not in joined else joined[r.k] + ";" + r.text
