@@ -8,8 +8,9 @@ near words the one whose prefix ends earlier has a pivot that lies in the
 other's prefix. Pivots are looked up among prefix grams under position
 limits: an edit behind the gram leaves the word up to the gram as it is,
 an edit before it leaves the word from the gram on as it is. The unchanged
-side is part of the key, so a frequent gram is no large group. Candidates
-are verified by edit distance.
+side is part of the key, and so is the near or the far end of the other
+side, as one edit leaves one of them: a frequent gram is no large group.
+Candidates are verified by edit distance.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ RUN = "[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SLIPS = 97                    # one run in so many loses a code point
 PREFIX = 3                    # 2 letters a gram * 1 edit + 1
+END = 2                       # letters at an end of the side with the edit
 
 _ROLE = "gram_key string, word string, n long, bound int"
 
@@ -79,6 +81,18 @@ def pivots(grams: list[tuple[int, int, int]]) -> list[int]:
     return list(best[-1][2][1])
 
 
+def keys(word: str, at: int) -> Iterator[str]:
+    """Index keys of a word for its gram at ``at``: the edit is behind the
+    gram or before it, and in the side with the edit one of two ends of
+    ``END`` letters stays, if the side is long enough for both."""
+    for mark, same, side in (("<", word[:at + 2], word[at + 2:]), (">", word[at:], word[:at][::-1])):
+        if len(side) >= 2 * END:
+            yield f"{mark}{same}|{side[:END]}"
+            yield f"{mark}{same}||{side[-END:]}"
+        if len(side) <= 2 * END:
+            yield mark + same
+
+
 def _role(order: dict[str, tuple[int, int]], pivot: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,8 +100,7 @@ def _role(order: dict[str, tuple[int, int]], pivot: bool) -> Callable[[Iterator[
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 grams = prefix(word, order)
                 places = pivots(grams) if pivot else [at for _, at, _ in grams]
-                keys = {f"<{word[:at + 2]}" for at in places} | {f">{word[at:]}" for at in places}
-                for key in keys:
+                for key in {key for at in places for key in keys(word, at)}:
                     for col, v in zip(out, (key, word, n, grams[-1][0])):
                         col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.string(), pa.string(), pa.int64(), pa.int32()))],
