@@ -7,5 +7,5 @@ from quire.functions.urls import (  # noqa: F401
     attachment_url, issue_url, normalize_url, resolve_href, url_id, wiki_page_url,
 )
 from quire.functions.html import (  # noqa: F401
-    attachment_refs, decode_entities, href_list, page_title, strip_noise,
+    attachment_refs, decode_entities, href_list, page_title,
 )

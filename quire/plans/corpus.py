@@ -363,7 +363,7 @@ def web_crawls(web_pages: DataFrame, crawls: Sequence[Mapping], *, bucket: str)
         tags = F.array(F.lit(None).cast("int"), *[F.when(cond, F.lit(k)) for k, cond in conditions.items()])
         return df.withColumn("g", F.explode(F.filter(tags, lambda x: x.isNotNull())))
 
-    seeds, bounds, stop_if, link_if = [], [], {}, {}
+    seeds, start_if, bounds, stop_if, link_if = [], F.lit(False), [], {}, {}
     for k, c in enumerate(crawls):
         depth = int(c.get("depth", 1))
         links = bool(c.get("include_links", False)) and depth > 1
@@ -371,18 +371,18 @@ def web_crawls(web_pages: DataFrame, crawls: Sequence[Mapping], *, bucket: str)
         bounds.append((k, depth - 1 if links else 0))
         if depth <= 0:
             continue  # a crawl of depth <= 0 visits nothing
-        sd = literal_frame(spark, [(k, u) for u in c.get("seeds", ())], "g int, url string").select(
-            "g", "url", normalize_url("url").alias("norm_url"))
-        seeds.append(sd.where(none_match("norm_url", banned_url)).select("g", F.md5("norm_url").alias("id"), "url"))
+        seeds += [(k, u) for u in c.get("seeds", ())]
+        start_if = start_if | ((F.col("g") == k) & none_match("norm_url", banned_url))
         stop_if[k] = any_match("title", list(c.get("banned_title_patterns", ())))
         if links:
             link_if[k] = (allow_match("link", c.get("regex")) & none_match("link", banned_url)
                           & none_match("dst_norm", banned_url))
 
-    seed_df = _union(seeds) if seeds else spark.createDataFrame([], "g int, id string, url string")
+    seed_df = (materialize(literal_frame(spark, seeds, "g int, url string").withColumn("norm_url", normalize_url("url")))
+               .where(start_if).select("g", F.md5("norm_url").alias("id"), "url").where("id is not null"))
     stop_df = by_crawl(facts, stop_if).select("g", "id")
     # every link is resolved once and tagged with the crawls that may follow it
-    lk = by_crawl(web.links_from_hrefs(facts, "id", "url", "hrefs").withColumn("dst_norm", normalize_url("link")), link_if)
+    lk = by_crawl(web.links_from_hrefs(facts, "id", "url", "hrefs").withColumnRenamed("norm", "dst_norm"), link_if)
     lk = lk.select("g", F.col("id").alias("src"), F.md5("dst_norm").alias("dst"), "link")
     targets = literal_frame(spark, [(k, c["target"]) for k, c in enumerate(crawls)], "g int, crawl_target string")
     visited = grouped_frontier_search(lk.select("g", "src", "dst"), seed_df.select("g", "id"),
