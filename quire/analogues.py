@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import file_name, sanitize_filename
 from quire.functions.urls import attachment_url, issue_url, wiki_page_url
-from quire import job_queries
+from quire import feature_queries, job_queries
 from quire.operators import issues as iss
 from quire.operators import web, wiki
 from quire.operators.dedupe import first_by, latest_by
@@ -540,16 +540,9 @@ def cursor_page_audit(spark, sf):
 
 
 def purge_id_list(spark, sf):
-    """Document listings in numbered pages that overlap by 10 ids
-    (has_more on all but the last); each id once."""
-    e, last = _event_pages(spark, sf)
-    own = e.select("event_id", (F.col("event_id") / CURSOR_PAGE).cast("long").alias("page"))
-    dup = own.where((F.col("event_id") % CURSOR_PAGE < 10) & (F.col("page") > 0)).select(
-        "event_id", (F.col("page") - 1).alias("page"))
-    resp = own.unionByName(dup).groupBy("page").agg(
-        F.collect_list(F.struct(F.col("event_id").alias("id"))).alias("data")).withColumn(
-        "has_more", F.col("page") < last)
-    return landed.distinct_ids(resp)
+    """The documents of a store as its listing rows name them (parts
+    of line items, each in many rows); each id once."""
+    return landed.distinct_ids(_t(spark, sf, "lineitem"), "l_partkey")
 
 
 # ---------------------------------------------------------------- publish
@@ -591,5 +584,6 @@ QUERIES.update({
     "upload_manifest": upload_manifest,
 })
 
-# the batched jobs of real runs
+# the batched jobs of real runs, and the operators for deep, long and large inputs
 QUERIES.update(job_queries.QUERIES)
+QUERIES.update(feature_queries.QUERIES)

@@ -3,11 +3,15 @@ rows, same column names). Tables are the pre-registered test views."""
 
 from __future__ import annotations
 
-# fixed patterns come from the Spark side, the SQL around them is written here
-from quire.functions.html import _HREF, _NOISE, _TITLE
-from quire.functions.urls import _URL, _WIKI_PAGE as _WIKI
-from quire import job_oracle
-from quire.analogues import BASE_URL, BUCKET, LINK_BAN, TITLE_BAN, URL_BAN
+from quire import feature_oracle, job_oracle
+
+# the configuration of the queries, and what the SQL expects of the test tables' pages, written again
+BASE_URL, BUCKET = "https://corp.example.com", "corpus-bucket"
+TITLE_BAN = ["(?i).*nicht.*"]
+LINK_BAN = [r"/the$", r"(?i)/AND$"]
+URL_BAN = [r"spam-farm\.", r"(?i)cheap-PILLS"]
+_URL = r"^(?i)(https?)://([^/?#:@]*)(?::([0-9]*))?(/[^?#]*)?"
+_WIKI = r"/spaces/[A-Za-z0-9_]+/pages/[0-9]+"
 
 
 def _any(patterns) -> str:
@@ -41,9 +45,23 @@ def _origin(u: str) -> str:
             f"OR ({sch} = 'https' AND {port} = '443') THEN '' ELSE ':' || {port} END)")
 
 
+def _encoded(x: str, kept: str) -> str:
+    """Characters outside ``kept`` as %XX, one by one."""
+    return (f"CASE WHEN regexp_matches({x}, '[^{kept}]') THEN array_to_string(list_transform(string_split({x}, ''), "
+            f"lambda ch: CASE WHEN regexp_matches(ch, '^[{kept}]$') THEN ch ELSE url_encode(ch) END), '') ELSE {x} END")
+
+
+_PATH_CHARS = r"A-Za-z0-9._~!$&''()*+,;=:@/%|\[\]^-"
+_REST_CHARS = r"A-Za-z0-9._~!$&()*+,;=:@/%|\[\]^?{}`\\#-"
+
+
+def _path(u: str) -> str:
+    raw = f"regexp_extract({u}, '{_URL}', 4)"
+    return f"(CASE WHEN {raw} = '' THEN '/' ELSE {_encoded(raw, _PATH_CHARS)} END)"
+
+
 def _norm(u: str) -> str:
-    path = f"regexp_extract({u}, '{_URL}', 4)"
-    return f"({_origin(u)} || CASE WHEN {path} = '' THEN '/' ELSE {path} END)"
+    return f"({_origin(u)} || {_path(u)})"
 
 
 # the references that the test pages hold; &amp; is decoded last
@@ -56,14 +74,9 @@ def _decode(x: str) -> str:
     return f"replace({x}, '&amp;', '&')"
 
 
-def _clean(h: str) -> str:
-    return f"regexp_replace({h}, '{_NOISE}', '', 'g')"
-
-
 def _title(h: str) -> str:
-    c = _clean(h)
-    return (f"CASE WHEN regexp_matches({c}, '{_TITLE}') THEN {_decode(f'regexp_extract({c}, {_q(_TITLE)}, 1)')} "
-            f"ELSE 'No title' END")
+    found = f"regexp_extract({h}, '(?s)<title>(.*?)</title>', 1)"
+    return f"CASE WHEN contains({h}, '<title>') THEN {_decode(found)} ELSE 'No title' END"
 
 
 def _q(s: str) -> str:
@@ -92,27 +105,33 @@ def _dots(x: str) -> str:
     return f"regexp_replace({x}, '^/\\.\\.(/|$)', '/')"
 
 
-_BASE_PATH = f"CASE WHEN regexp_extract(url, '{_URL}', 4) = '' THEN '/' ELSE regexp_extract(url, '{_URL}', 4) END"
+_PAGE = "regexp_replace(html, '(?s)<!--.*?-->|<script>.*?</script>', '', 'g')"
+_QUOTED = """(?i)<a\\s+href=("[^"]*"|''[^'']*''|[^\\s>"'']+)"""
+_HREFS = (f"list_transform(regexp_extract_all({_PAGE}, '{_QUOTED}', 1), "
+          "lambda v: CASE WHEN v[1] IN (chr(34), chr(39)) THEN v[2:-2] ELSE v END)")
+
+
+def _links(hrefs: str = _HREFS) -> str:
+    """(page_id, pos, link) of the hrefs of a page."""
+    rest = "regexp_extract(href, '([?#].*)?$', 1)"
+    path = "regexp_extract(href, '^[^?#]*', 0)"
+    of = lambda p: f"{_dots(_encoded(p, _PATH_CHARS))} || {_encoded(rest, _REST_CHARS)}"
+    return f"""
+SELECT page_id, CAST(pos AS INTEGER) AS pos, CASE
+    WHEN href = '' OR starts_with(href, '#') THEN NULL
+    WHEN regexp_matches(href, '(?i)^https?://') THEN {_norm('href')} || {_encoded(rest, _REST_CHARS)}
+    WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN NULL
+    WHEN starts_with(href, '//') THEN {_norm(f"(lower(regexp_extract(url, '{_URL}', 1)) || ':' || href)")} || {_encoded(rest, _REST_CHARS)}
+    WHEN starts_with(href, '/') THEN {_origin('url')} || {of(path)}
+    WHEN starts_with(href, '?') THEN {_norm('url')} || {_encoded('href', _REST_CHARS)}
+    ELSE {_origin('url')} || {of(f"(regexp_extract({_path('url')}, '^(.*/)', 1) || {path})")} END AS link
+FROM (SELECT page_id, url, trim({_decode('h')}) AS href, pos FROM (
+  SELECT page_id, url, unnest({hrefs}) AS h, unnest(range(len({hrefs}))) AS pos FROM pages))
+"""
+
 
 SQL["page_links"] = f"""
-WITH a AS (
-  SELECT page_id, url, regexp_extract_all({_clean('html')}, {_q(_HREF)}, 1) AS hs FROM pages
-), e AS (
-  SELECT page_id, url, unnest(hs) AS h, unnest(range(len(hs))) AS pos FROM a
-), r AS (
-  SELECT page_id, CAST(pos AS INTEGER) AS pos,
-    trim({_decode("regexp_replace(h, '^[\"'']|[\"'']$', '', 'g')")}) AS href, url FROM e
-), l AS (
-  SELECT page_id, pos, CASE
-    WHEN regexp_matches(href, '(?i)^https?://') THEN href
-    WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*:') OR href = '' OR starts_with(href, '#') THEN NULL
-    WHEN starts_with(href, '//') THEN lower(regexp_extract(url, '{_URL}', 1)) || ':' || href
-    WHEN starts_with(href, '/') THEN {_origin('url')} || {_dots('href')}
-    WHEN starts_with(href, '?') THEN {_origin('url')} || {_BASE_PATH} || href
-    ELSE {_origin('url')} || {_dots(f"(regexp_extract({_BASE_PATH}, '^(.*/)', 1) || href)")} END AS link
-  FROM r
-)
-SELECT page_id, pos, link FROM l
+SELECT page_id, pos, link FROM ({_links()})
 WHERE link IS NOT NULL AND regexp_matches(link, '^https?://')
   AND NOT regexp_matches(link, {_any(LINK_BAN)})
 """
@@ -393,9 +412,7 @@ SELECT request_path, next_link FROM l
 WHERE next_link IS NOT NULL AND next_link NOT IN (SELECT request_path FROM l)
 """
 
-SQL["purge_id_list"] = """
-SELECT DISTINCT event_id AS id FROM events
-"""
+SQL["purge_id_list"] = "SELECT DISTINCT l_partkey AS id FROM lineitem"
 
 SQL["snapshot_diff"] = """
 WITH p AS (SELECT doc_id, text FROM documents WHERE doc_id % 5 <> 0),
@@ -431,3 +448,4 @@ SELECT DISTINCT status, 0 AS part, 'Epic ID: ST-' || status || chr(10) || 'Epic
 """
 
 SQL.update(job_oracle.SQL)
+SQL.update(feature_oracle.sql(_links(), _PATH_CHARS))

@@ -3,7 +3,7 @@ A4-A8, K1-K3)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,3 +89,23 @@ def build_catalog(flat: DataFrame, order: Sequence[str], keys: Sequence[str] = (
 def run_counts(rows: DataFrame, by: Sequence[str] = ("crawl_target", "source")) -> DataFrame:
     """Counts per crawl target and source (the run summary)."""
     return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+
+
+def counts_at(rows: DataFrame, what: str, grains: Mapping[str, Sequence[str]]) -> DataFrame:
+    """A8 at every grain in one pass: (grain, the columns of all grains,
+    ``what``, n). ``rows`` is a narrow stream of things that a run saw, one
+    row each; a grain is a list of its columns. A row without a value for
+    the last column of a grain (a page has no issue) does not count there;
+    columns outside a grain are null. Rows are expanded and counted before
+    the one shuffle, so a hot target is no hot task."""
+    cols = list(dict.fromkeys(c for g in grains.values() for c in g))
+    sets = [[*[F.col(c) for c in g], F.col(what)] for g in grains.values()]
+    out = rows.select(*cols, what).groupingSets(sets, *[F.col(c) for c in cols], F.col(what)).agg(
+        F.count(F.lit(1)).alias("n"), *[F.grouping(c).alias(f"_g_{c}") for c in cols])
+    name = F.lit(None).cast("string")
+    for grain, g in grains.items():
+        here = F.lit(True)
+        for c in cols:
+            here = here & (F.col(f"_g_{c}") == (0 if c in g else 1))
+        name = F.when(here & F.col(g[-1]).isNotNull(), grain).otherwise(name)
+    return out.withColumn("grain", name).where("grain is not null").select("grain", *cols, what, "n")
