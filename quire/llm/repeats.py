@@ -9,8 +9,9 @@ automaton of the distinct passages of its shard, with the number of places
 of every sequence, and streams the passages through it: where the matched
 length reaches ``length`` and the sequence has another place, the window
 is repeated. Automata hold ``SHARD_WORDS`` words or the passages of one
-anchor; an anchor with more than ``HOT`` places would not fit, and its
-windows are told apart by a full digest, counted before the shuffle.
+anchor; an anchor with more than ``HOT`` places would not fit: its equal
+passages collapse, and the windows of the distinct ones are told apart by
+a full digest, counted before the shuffle.
 """
 
 from __future__ import annotations
@@ -154,19 +155,39 @@ def _passages(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 
 def _windows(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    mark = lambda words: hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, copies, text, places in zip(*(c.to_pylist() for c in batch.columns)):
                 words = text.encode().split()
-                for p in places:
-                    starts = range(p["first"], p["first"] + p["many"])
-                    marks = [hashlib.blake2b(b" ".join(words[s:s + length]), digest_size=16).digest() for s in starts]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(marks, pa.binary()), pa.array([key] * len(marks), pa.binary()), pa.array(starts, pa.int64()),
-                         pa.array([copies == 1] * len(marks))], ["mark", "text_key", "start", "single"])
+                out = [(mark(words[p["first"]:p["first"] + p["many"] + length - 1]),
+                        [mark(words[s:s + length]) for s in range(p["first"], p["first"] + p["many"])], key, p["first"], copies == 1)
+                       for p in places]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.list_(pa.binary()), pa.binary(), pa.int64(), pa.bool_()))],
+                    ["passage", "marks", "text_key", "first", "single"])
     return rows
 
 
+def _far(spark: SparkSession, places: DataFrame, length: int) -> DataFrame:
+    """Repeated spans around anchors of many places: equal passages
+    collapse, their windows are counted by digest, and every place takes
+    the spans of its passage. All windows of a passage with two places are
+    repeated."""
+    distinct = table(spark, places.groupBy("passage").agg(F.count(F.lit(1)).alias("n"), F.any_value("marks").alias("marks")))
+    windows = distinct.select("passage", "n", F.posexplode("marks").alias("at", "mark"))
+    again = windows.groupBy("mark").agg(F.sum("n").alias("n")).where("n > 1").select("mark")
+    some = windows.where("n = 1").join(again, "mark").groupBy("passage").agg(F.collect_list("at").alias("at"))
+    spans = F.arrays_zip(
+        F.array_sort(F.filter("at", lambda i: ~F.array_contains("at", i - 1))).alias("start"),
+        F.array_sort(F.filter("at", lambda i: ~F.array_contains("at", i + 1))).alias("stop"))
+    found = some.select("passage", spans.alias("spans")).unionByName(distinct.where("n > 1").select(
+        "passage", F.expr("array(struct(0 AS start, size(marks) - 1 AS stop))").alias("spans")))
+    return (places.where("single").join(found, "passage").select("text_key", "first", F.explode("spans").alias("s"))
+            .select("text_key", (F.col("first") + F.col("s.start")).alias("start"), (F.col("first") + F.col("s.stop") + length).alias("stop")))
+
+
 def _found(shard: list[list[tuple]], length: int) -> pa.RecordBatch:
     """The repeated spans in the passages of one shard; each cell holds
     the places of one passage."""
@@ -271,9 +292,8 @@ def cleaned(spark: SparkSession, docs: DataFrame, length: int = 35) -> DataFrame
     near = around(False, _passages, "anchor long, passage binary, text_key binary, first long, single boolean")
     near = near.repartition("anchor").sortWithinPartitions("anchor", "passage").mapInArrow(
         _shards(length), "text_key binary, start long, stop long")
-    windows = table(spark, around(True, _windows, "mark binary, text_key binary, start long, single boolean"))
-    again = windows.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
-    far = windows.where("single").join(again, "mark").select("text_key", "start", (F.col("start") + length).alias("stop"))
+    far = _far(spark, table(spark, around(
+        True, _windows, "passage binary, marks array<binary>, text_key binary, first long, single boolean")), length)
     spans = near.unionByName(far).groupBy("text_key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return texts.select("text_key", "copies", "text").join(spans, "text_key", "left").mapInArrow(
         _kept(length), "text_key binary, n_words long, n_removed long, spans array<struct<start: long, stop: long>>, kept string")
