@@ -36,11 +36,13 @@ _MARK = re.compile(r"^\s*(?:[#>*\[<|(-]*\s*)(" + "|".join(sorted(MARKERS, key=le
 
 
 WEAK = "weak "             # before the marker of a line inside a row whose role is known
+KNOWN = "known "           # before the marker of the first line of such a row
+NEVER = -1e12              # the weight of any other role there
 
 
 def lines(text: str | None, speaker: str | None) -> list[tuple[str, str]]:
-    """(marker, text) of the lines of one row. The row's speaker marks
-    the first line. In a row without a known speaker a line's own marker
+    """(marker, text) of the lines of one row. The row's speaker, if it
+    is known, is the role of the first line. In a row without a known speaker a line's own marker
     goes before it and is cut off; in a row with one it is weak evidence
     and the line stays as it is."""
     out = []
@@ -52,7 +54,7 @@ def lines(text: str | None, speaker: str | None) -> list[tuple[str, str]]:
         elif m and n > 0:
             out.append((WEAK + MARKERS[m[1].lower()], line))
         else:
-            out.append((own if n == 0 else "same", line))
+            out.append((own if n == 0 and own == NONE else KNOWN + own if n == 0 else "same", line))
     return out
 
 
@@ -96,6 +98,10 @@ class Model:
         e = self.other.copy()
         if marker == "same":                   # an unmarked line after the first of a row tells nothing
             return e
+        if marker.startswith(KNOWN):           # nothing that is learned outweighs a given role
+            e = np.full(len(ROLES), NEVER)
+            e[ROLES.index(marker.removeprefix(KNOWN))] = 0.0
+            return e
         if marker in self.weak:
             return self.weak[marker]
         if marker in ROLES:
@@ -232,8 +238,9 @@ def format_turns(spark: SparkSession, turns: DataFrame, conv_col: str = "conv_id
     """Canonical turns: conv_id, turn, part (number of the turn within
     its row, from 0), role, text and rendered.
 
-    The row's role is the speaker marker of its first line. Where it is
-    null or unknown, a line's own marker ("Human: ...") counts instead;
+    A row's known role is the role of its first line, whatever the model
+    holds of such conversations. Where it is null or unknown, roles are
+    recovered, and a line's own marker ("Human: ...") is strong evidence;
     in a row with a known role a marker inside is weak evidence, weighed
     as often as rows of each role hold it, and stays in the text unless
     the recovered role changes to the marker's role there.
