@@ -138,9 +138,9 @@ def _signatures(k: int, bands: int, rows: int):
                 b = (mix(s).reshape(bands, rows) * _WORD[:rows]).sum(1, dtype=np.uint64)
                 keys.append(mix(b + np.arange(bands, dtype=np.uint64) * U(0x9E3779B97F4A7C15)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(size, pa.int64()), binary(digest), binary(marks),
+                [batch.column(0).cast(pa.int64()), batch.column(2), pa.array(size, pa.int64()), binary(digest), binary(marks),
                  pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "node", "marks", "bands"])
+                names=["doc_id", "print", "n_shingles", "node", "marks", "bands"])
     return run
 
 
@@ -198,7 +198,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     """Near-duplicate classes of ``docs`` by shingle-set similarity.
 
     Returns one row per input row: doc_id, n_shingles, node (digest of
-    the shingle set), component_id (the smallest id reachable) and kept.
+    the shingle set), root (a node that names the class; null without
+    words), print (MD5 of the text), component_id (the smallest id
+    reachable) and kept.
 
     Null or blank texts have an empty set and link with nothing. A row
     with a null id takes part; it never names a component unless no row
@@ -207,9 +209,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     """
     t = bands * band_rows
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    sig = table(spark, src.mapInArrow(
+    sig = table(spark, src.select("doc_id", "text", F.unhex(F.md5("text")).alias("print")).mapInArrow(
         _signatures(shingle_words, bands, band_rows),
-        "doc_id long, n_shingles long, node binary, marks binary, bands array<long>"))
+        "doc_id long, print binary, n_shingles long, node binary, marks binary, bands array<long>"))
     nodes = table(spark, sig.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("low"), F.any_value("n_shingles").alias("n"),
         F.any_value("marks").alias("marks"), F.any_value("bands").alias("bands")))
@@ -238,11 +240,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     root = table(spark, components(spark, links))
 
     low = root.join(nodes.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("component"))
-    label = root.join(low, "root").select("node", "component")
+    label = root.join(low, "root").select("node", "root", "component")
     own = nodes.select("node", "low").join(label, "node", "left").select(
-        "node", F.coalesce("component", "low").alias("component_id"))
-    return (sig.select("doc_id", "n_shingles", "node").join(own, "node", "left")
-            .select("doc_id", "n_shingles", "node",
+        "node", F.coalesce("root", "node").alias("root"), F.coalesce("component", "low").alias("component_id"))
+    return (sig.select("doc_id", "print", "n_shingles", "node").join(own, "node", "left")
+            .select("doc_id", "n_shingles", "node", "root", "print",
                     F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
@@ -327,15 +329,17 @@ def _cells(percent: int, t: int):
 
 def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each class: the row that carries the
-    smallest id. Rows of equal id and equal shingle set are one document;
-    blank texts are no duplicates of each other. All columns are kept."""
-    found = near_duplicates(spark, docs, id_col, text_col, shingle_words, percent)
-    ids = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("m"))
-    ids = table(spark, ids)
-    key = docs[id_col].cast("long")
-    single = docs.join(ids.where("m = 1").select(F.col("doc_id").alias("__kept_id")),
-                       key.eqNullSafe(F.col("__kept_id")), "left_semi")
-    several = docs.join(ids.where("m > 1").select(F.col("doc_id").alias("__kept_id")),
-                        key.eqNullSafe(F.col("__kept_id")), "left_semi").dropDuplicates([id_col, text_col])
-    return single.unionByName(several)
+    """``docs`` with one row of each class: the one with the smallest id,
+    by its text if several of the class have that id (a null id comes
+    last). Every row is judged by its id and its text, whatever other rows
+    share the id. Rows without words are no duplicates and all stay. All
+    columns are kept."""
+    found = near_duplicates(spark, docs, id_col, text_col, shingle_words, percent).where("node is not null")
+    first = (found.groupBy("root", "doc_id", "print").agg(F.count(F.lit(1)).alias("m")).groupBy("root")
+             .agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "print", "m")).alias("first")))
+    first = table(spark, first.select(F.col("first.doc_id").alias("__id"), F.col("first.print").alias("__print"), F.col("first.m").alias("__m")))
+    same = docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.unhex(F.md5(docs[text_col])) == F.col("__print"))
+    single = docs.join(first.where("__m = 1"), same, "left_semi")
+    several = docs.join(first.where("__m > 1"), same, "left_semi").dropDuplicates([id_col, text_col])
+    blank = docs.where(~F.coalesce(docs[text_col].rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return single.unionByName(several).unionByName(blank)

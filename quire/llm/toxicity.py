@@ -23,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quire.llm.common import table
 
@@ -106,8 +107,8 @@ def _measure(learned: frozenset[str]):
         for batch in batches:
             rows = [features(t.as_py(), learned, begins) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([r[i] for r in rows], pa.float64()) for i in range(len(FEATURES)))],
-                names=["doc_id", *FEATURES])
+                [batch.column(0), *batch.columns[2:], *(pa.array([r[i] for r in rows], pa.float64()) for i in range(len(FEATURES)))],
+                names=["doc_id", *batch.schema.names[2:], *FEATURES])
     return run
 
 
@@ -151,10 +152,13 @@ def learn_lexicon(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str)
 
 
 def extract(docs: DataFrame, learned: frozenset[str] = frozenset(), id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """doc_id and one column for each name of FEATURES, one row per row."""
-    src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return src.mapInArrow(_measure(learned), "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES))
+            text_col: str = "text", whole: bool = False) -> DataFrame:
+    """doc_id and one column for each name of FEATURES, one row per row;
+    ``whole`` adds ``own``, the row itself."""
+    src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"),
+                      *([F.struct(*(docs[c] for c in docs.columns)).alias("own")] if whole else []))
+    kept = StructType([f for f in src.schema if f.name != "text"] + [StructField(f, DoubleType()) for f in FEATURES])
+    return src.mapInArrow(_measure(learned), kept)
 
 
 class Toxicity:
@@ -165,14 +169,15 @@ class Toxicity:
         self.trees, self.curve, self.base = trees, curve, base
 
     def score(self, found: DataFrame) -> DataFrame:
-        """``extract``'s rows -> doc_id, score (0 to 1)."""
+        """``extract``'s rows -> the same without the numbers, score (0 to 1)."""
+        own = [c for c in found.columns if c not in FEATURES]
         if self.trees is None:
-            return found.select("doc_id", F.lit(self.base).alias("score"))
+            return found.select(*own, F.lit(self.base).alias("score"))
         p = self.trees.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(found))
-        p = p.select("doc_id", vector_to_array("probability")[1].alias("raw"))
+        p = p.select(*own, vector_to_array("probability")[1].alias("raw"))
         if self.curve is None:
-            return p.select("doc_id", F.col("raw").alias("score"))
-        return self.curve.transform(p).select("doc_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score"))
+            return p.select(*own, F.col("raw").alias("score"))
+        return self.curve.transform(p).select(*own, F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score"))
 
 
 def training_fold(doc_id: Column) -> Column:
@@ -225,10 +230,11 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str =
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-               text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that ``score`` predicts toxic. A row goes
-    by its id; rows without an id go only if all of them are toxic."""
-    marks = score(spark, docs, labels, id_col, text_col, threshold)
-    bad = marks.groupBy("doc_id").agg(F.min("predicted").alias("bad")).where("bad = 1").select(
-        F.col("doc_id").alias("__toxic_id"))
-    return docs.join(bad, docs[id_col].cast("long").eqNullSafe(F.col("__toxic_id")), "left_anti")
+               text_col: str = "text", threshold: float = THRESHOLD, label_col: str = "toxic") -> DataFrame:
+    """``docs`` without the rows that ``score`` predicts toxic. Every row
+    is judged by its own text, whatever other rows share its id: the rows
+    are carried beside their numbers, not joined again."""
+    marks = marks_of(labels, id_col, label_col)
+    found = table(spark, extract(docs, learn_lexicon(docs, marks, id_col, text_col), id_col, text_col, whole=True))
+    scored = fit(found.drop("own"), marks).score(found)
+    return scored.where(F.col("score") < threshold).select("own.*")
