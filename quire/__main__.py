@@ -12,6 +12,9 @@
      "out": "s3://bucket/runs/2024-06-01", "previousCatalog": "s3://bucket/runs/2024-05-31/catalog",
      "stores": {"target-a": "store-id"}}
 
+``crawlTargets`` may also have the shape that ``plans.targets.from_settings``
+reads; ``queries`` then gives the predicate of each issue query.
+
 Landed files are JSON lines with the declared schemas of quire.schemas
 (Parquet is read as is when the path ends with .parquet).
 """
@@ -28,6 +31,7 @@ from quire import schemas
 from quire.operators.dedupe import first_by
 from quire.plans.corpus import Corpus, run_targets
 from quire.plans.publish import publish_snapshot
+from quire.plans.targets import destinations_frame, from_settings
 from quire.session import ensure_checkpoint_dir, shared_table
 
 LANDED = {
@@ -49,6 +53,8 @@ def load_tables(spark: SparkSession, landed: dict[str, str]):
 def execute(spark: SparkSession, run: dict) -> dict:
     """Run one configuration; returns the published DataFrames."""
     targets = run["crawlTargets"]
+    if targets and all(isinstance(s, dict) and "targets" in s and "sources" not in s for s in targets.values()):
+        targets = from_settings(targets, run.get("queries"))
     for name, spec in targets.items():  # only the current configuration shape is accepted
         if not isinstance(spec, dict) or "sources" not in spec:
             raise ValueError(f"crawl target {name!r}: expected {{'uploadDestination': ..., 'sources': [...]}}")
@@ -62,7 +68,7 @@ def execute(spark: SparkSession, run: dict) -> dict:
     if run.get("stores"):
         stores = spark.createDataFrame(sorted(run["stores"].items()), "target string, store_id string")
     res = publish_snapshot(corpus.documents, corpus.metadata, run["out"], prev_catalog=prev, stores=stores,
-                           targets=list(targets))
+                           targets=list(targets), destinations=destinations_frame(spark, targets))
     # The run summary (documents and metadata records per target and media type)
     docs_n = corpus.documents.groupBy("crawl_target", "mime_type").agg(F.count(F.lit(1)).alias("documents"))
     meta_n = corpus.metadata.groupBy("crawl_target", F.col("metadata.content.mimeType").alias("mime_type")).agg(

@@ -101,8 +101,33 @@ SELECT page_id, 'A & B ✓ ¬it; ¬in <xAB≂̸&bogus;&' || page_id AS title, 'a
 """
 
 
+_SNAPSHOT = """
+WITH p AS (SELECT doc_id, text FROM documents WHERE doc_id % 5 <> 0),
+n AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN text || ' (edited)' ELSE text END AS text FROM documents WHERE doc_id % 7 <> 0)
+SELECT coalesce(p.doc_id, n.doc_id) AS doc_id, CASE WHEN p.doc_id IS NULL THEN 'insert' WHEN n.doc_id IS NULL THEN 'delete'
+  WHEN p.text IS NOT DISTINCT FROM n.text THEN 'same' ELSE 'update' END AS action
+FROM p FULL JOIN n ON n.doc_id = p.doc_id
+"""
+
+_STREAM = """
+SELECT user_id, event_id, event_type FROM (
+  SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+WHERE event_type <> 'error'
+"""
+
+_UPLOADS = """
+WITH d AS (SELECT doc_id, 'docs-' || lang AS crawl_target, lang, doc_id || '.html' AS filename, coalesce(length(text), 0) > 300 AS body FROM documents),
+l AS (SELECT d.*, row_number() OVER (PARTITION BY lang ORDER BY n * 1000000000 - doc_id) AS seq FROM d, (VALUES (0), (1)) v(n) WHERE lang = 'en')
+SELECT crawl_target, 'gcp' AS destination, CASE lang WHEN 'de' THEN 'store-de' END AS store_id,
+  CAST(row_number() OVER (PARTITION BY lang ORDER BY filename) AS BIGINT) AS seq, filename, CAST(NULL AS VARCHAR) AS title, 'ready' AS status
+FROM d WHERE body AND lang IN ('de', 'fr')
+UNION ALL SELECT crawl_target, 'dify', 'store-en', CAST(seq AS BIGINT), filename, 'Title ' || doc_id,
+  CASE WHEN body THEN 'ready' ELSE 'missing_body' END FROM l
+"""
+
+
 def sql(links: str, path_chars: str) -> dict[str, str]:
     """``links``: SQL of all resolved links of the pages; ``path_chars``:
     the characters that stay in a path."""
-    return {"deep_closure": _CLOSURE, "cursor_chain": _CHAIN, "offset_coverage": _COVERAGE, "pattern_table": _PATTERNS, "query_index": _QUERIES,
+    return {"snapshot_tree": _SNAPSHOT, "catalog_stream": _STREAM, "upload_order": _UPLOADS, "deep_closure": _CLOSURE, "cursor_chain": _CHAIN, "offset_coverage": _COVERAGE, "pattern_table": _PATTERNS, "query_index": _QUERIES,
             "run_counts": _counts(links), "url_class": _url_class(path_chars), "link_lexer": _LINKS, "title_decode": _TITLES}

@@ -4,6 +4,8 @@ pattern tables, query indexes, run counts, URLs and markup of any kind."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,13 +13,17 @@ from quire.functions.html import decode_entities, href_list, page_title
 from quire.functions.urls import normalize_url, resolve_hrefs
 from quire.operators import patterns, predicates, web
 from quire.operators.ordering import prefix_sums
-from quire.plans import catalog
+from quire.operators.filters import literal_frame
+from quire.plans import catalog, publish, targets, versions
 from quire.plans.pointers import below
+from quire.session import ensure_checkpoint_dir
 from quire.sources import landed
 from quire.sources.tables import read_table as _t
+from quire.streaming import leveled_catalog
 
 # hosts as they are written and number hosts; the SQL has their ASCII forms
 HOSTS = ["BÜCHER.de", "münchen.Example:080", "日本。jp", "0x7f.1", "3232235777", "b%C3%BCcher.DE", "faß.de:0443", "u:p@H.example:00080", "1.2.3.256"]
+UPLOADS = {"en": "dify", "de": "gcp", "fr": "gcp", "es": "dify"}
 MORE_PATTERNS = ["^(?:The|Die) ", "(?i)r[io]n?g ", "x{3}", r"\bgear\b|zzz"]
 
 
@@ -141,5 +147,45 @@ def title_decode(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("page_id", page_title("html").alias("title"), decode_entities(F.lit("a&copy=1&copy;&copyx&amp"), attribute=True).alias("value"))
 
 
+def snapshot_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """K4 K5 by versions: the two catalogs of ``snapshot_diff`` published
+    one after the other, compared by digests of buckets first."""
+    d = _t(spark, sf, "documents").select("doc_id", "text")
+    prev = d.where(F.col("doc_id") % 5 != 0)
+    new = d.where(F.col("doc_id") % 7 != 0).withColumn(
+        "text", F.when(F.col("doc_id") % 11 == 0, F.concat(F.col("text"), F.lit(" (edited)"))).otherwise(F.col("text")))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapshots/{uuid.uuid4().hex}"
+    versions.publish(prev, folder, ["doc_id"], ["text"], buckets=256)
+    return versions.publish(new, folder, ["doc_id"], ["text"], buckets=256)
+
+
+def catalog_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as a stream of 24 files, one a batch; the latest
+    event of a user wins, and an error as the latest deletes the user."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
+    e = _t(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    e.repartition(24, "event_id").write.parquet(f"{folder}/landed")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+    keys, order = ["user_id"], ["ts", "event_id"]
+    leveled_catalog.start(stream, f"{folder}/catalog", f"{folder}/progress", keys, order, F.col("event_type") == "error").awaitTermination()
+    return leveled_catalog.current(spark, f"{folder}/catalog", keys, order).select("user_id", "event_id", "event_type")
+
+
+def upload_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as records of four targets (by language)
+    with two kinds of destination; every record is in the log twice, two
+    of the targets have a store, bodies exist where there is a text."""
+    d = _t(spark, sf, "documents").select("doc_id", "lang", "text")
+    target = F.concat(F.lit("docs-"), F.col("lang"))
+    rec = catalog.metadata_record(F.col("doc_id"), F.concat(F.lit("Title "), _s("doc_id")), F.lit("w"), F.lit("c"), F.lit("text/html"),
+                                  F.concat(F.lit("gs://b/x/"), _s("doc_id"), F.lit(".html")))
+    log = d.select(target.alias("crawl_target"), rec.alias("metadata"), F.explode(F.array(F.lit(0), F.lit(1))).alias("n"), "doc_id").select(
+        "crawl_target", "metadata", (F.col("n") * 10**9 - F.col("doc_id")).alias("run_ord"))
+    bodies = d.where("length(text) > 300").select(target.alias("crawl_target"), F.concat(_s("doc_id"), F.lit(".html")).alias("filename"))
+    conf = targets.destinations_frame(spark, {f"docs-{x}": {"uploadDestination": y} for x, y in UPLOADS.items()})
+    stores = literal_frame(spark, [("docs-en", "store-en"), ("docs-de", "store-de")], "target string, store_id string")
+    return publish.destination_manifest(log, bodies, conf, stores)
+
+
 QUERIES = {f.__name__: f for f in (
-    deep_closure, cursor_chain, offset_coverage, pattern_table, query_index, run_counts, url_class, link_lexer, title_decode)}
+    snapshot_tree, catalog_stream, upload_order, deep_closure, cursor_chain, offset_coverage, pattern_table, query_index, run_counts, url_class, link_lexer, title_decode)}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import basename
+from quire.operators.ordering import number_rows
 from quire.session import shared_table
 
 
@@ -46,6 +47,35 @@ def upload_manifest(metadata: DataFrame, bodies: DataFrame, uri: str = "uri", bo
     return j.withColumn("status", F.when(F.col("_f").isNull(), "missing_body").otherwise("ready")).drop("_t", "_f")
 
 
+def destination_manifest(metadata: DataFrame, bodies: DataFrame, destinations: DataFrame, stores: DataFrame,
+                         order: Sequence[str] = ("run_ord",)) -> DataFrame:
+    """What each target sends where: (crawl_target, destination,
+    store_id, seq, filename, title, status).
+
+    ``destinations`` (crawl_target, destination) and ``stores`` (target,
+    store_id) are configuration. A ``gcp`` target uploads every written
+    body, by name; its store, if it has one, is refreshed afterwards. A
+    ``dify`` target is uploaded only if it has a store, record by record in
+    the order of its metadata log (repeated records included), with the
+    record's title; a record without a written body is ``missing_body``.
+    Targets with another destination send nothing. Sequences are numbered
+    in range slices, so a target of any size is spread."""
+    conf = destinations.join(stores.select(F.col(stores.columns[0]).alias("crawl_target"), "store_id"), "crawl_target", "left")
+    files = bodies.select("crawl_target", "filename").distinct()
+    to = lambda name: F.broadcast(conf.where(F.col("destination") == name))
+    folder = number_rows(files.join(to("gcp"), "crawl_target"), ["crawl_target"], [("filename", True)], "seq").select(
+        "crawl_target", "destination", "store_id", "seq", "filename", F.lit(None).cast("string").alias("title"), F.lit("ready").alias("status"))
+    records = metadata.join(to("dify").where("store_id is not null"), "crawl_target").select(
+        "crawl_target", "destination", "store_id", *order, basename("metadata.content.uri").alias("filename"),
+        F.col("metadata.structData.title").alias("title"), F.to_json("metadata").alias("_line"))
+    listed = number_rows(records, ["crawl_target"], [*[(c, True) for c in order], ("_line", True)], "seq")
+    there = files.withColumn("_there", F.lit(True))
+    listed = listed.join(there, ["crawl_target", "filename"], "left").select(
+        "crawl_target", "destination", "store_id", "seq", "filename", "title",
+        F.when(F.col("_there"), "ready").otherwise("missing_body").alias("status"))
+    return folder.unionByName(listed)
+
+
 def _clear_partitions(spark, folder: str, column: str, values: Sequence[str]) -> None:
     """Delete ``folder/column=value`` for each value (Hadoop file system of the folder)."""
     jvm = spark.sparkContext._jvm
@@ -60,7 +90,8 @@ def _clear_partitions(spark, folder: str, column: str, values: Sequence[str]) ->
 
 def publish_snapshot(documents: DataFrame, metadata: DataFrame, out_dir: str, *,
                      prev_catalog: DataFrame | None = None, stores: DataFrame | None = None,
-                     order: Sequence[str] = ("run_ord",), targets: Sequence[str] = ()) -> dict[str, DataFrame]:
+                     order: Sequence[str] = ("run_ord",), targets: Sequence[str] = (),
+                     destinations: DataFrame | None = None) -> dict[str, DataFrame]:
     """L4: write the target snapshots and return the catalog, the diff
     against the previous catalog and the upload manifest.
 
@@ -68,12 +99,13 @@ def publish_snapshot(documents: DataFrame, metadata: DataFrame, out_dir: str, *,
     Parquet replacing only the targets present (K2, K4); metadata: the
     NDJSON log keeps every record of the run (K1); catalog: latest record per
     (target, file name) (A4, P20, K3). ``targets`` names every target of
-    the run: one that produced nothing has its old snapshot cleared too."""
+    the run: one that produced nothing has its old snapshot cleared too.
+    With ``destinations`` (and ``stores``), ``uploads`` lists what each
+    target sends where (see :func:`destination_manifest`)."""
     from quire.plans import catalog as cat
-    from quire.operators.dedupe import latest_by
+    from quire.operators.dedupe import latest_rows
     # ties in the run order are broken by content, so a rerun publishes the same rows
-    docs = latest_by(documents.withColumn("_tie", F.md5(F.col("body"))), ["crawl_target", "filename"],
-                     [*order, "_tie"]).drop("_tie")
+    docs = latest_rows(documents, ["crawl_target", "filename"], list(order), "body")
     cat.write_documents(docs.drop(*order), f"{out_dir}/documents")
     flat = cat.flatten(metadata.withColumn("_tie", F.md5(F.to_json(F.col("metadata")))), "metadata")
     spark = documents.sparkSession
@@ -101,4 +133,7 @@ def publish_snapshot(documents: DataFrame, metadata: DataFrame, out_dir: str, *,
     published = catalog if stores is None else with_store(catalog, stores)
     bodies = documents.sparkSession.read.parquet(f"{out_dir}/documents").select("crawl_target", "filename")
     out["manifest"] = upload_manifest(published, bodies)
+    if destinations is not None:
+        none = spark.createDataFrame([], "target string, store_id string")
+        out["uploads"] = destination_manifest(metadata, bodies, destinations, none if stores is None else stores, order)
     return out

@@ -26,6 +26,46 @@ def targets_frame(spark, config: Mapping[str, Mapping]) -> DataFrame:
     return literal_frame(spark, rows, TARGET_SCHEMA)
 
 
+# names of sources and types in settings of the service, and here
+_SOURCES = {"confluence-cloud": "confluence", "jira-cloud": "jira", "web": "web"}
+_EPICS = "epic-issue-summary-"
+
+
+def from_settings(config: Mapping[str, Mapping], queries: Mapping[str, str] | None = None) -> dict[str, dict]:
+    """A configuration written as ``{target: {"uploadDestination": d,
+    "targets": [{"source": s, "settings": {"type": t, "items": [...],
+    "options": {...}}}]}}`` in the shape of :func:`targets_frame`.
+
+    Issue queries are text of another language: ``queries`` gives the
+    predicate for each (a ValueError names those without one). The type
+    ``epic-issue-summary-<project>`` becomes a summary of that project.
+    Options keep their names; unknown sources and types produce nothing,
+    as in a run."""
+    queries, out = queries or {}, {}
+    for target, spec in config.items():
+        sources = []
+        for entry in spec.get("targets", []):
+            settings = entry.get("settings") or {}
+            kind, typ, items = _SOURCES.get(entry.get("source")), settings.get("type") or "", list(settings.get("items") or [])
+            if kind == "jira" and typ.startswith(_EPICS):
+                typ, items = _EPICS[:-1], [typ.removeprefix(_EPICS)]
+            elif kind == "jira" and typ == "jql":
+                missing = [q for q in items if q not in queries]
+                if missing:
+                    raise ValueError(f"crawl target {target!r}: no predicate for the issue queries {missing}")
+                typ, items = "query", [queries[q] for q in items]
+            known = {"confluence": ("all", "spaces", "pages"), "jira": ("query", _EPICS[:-1]), "web": ("url",)}
+            if kind and typ in known[kind]:
+                sources.append({"source": kind, "type": typ, "items": items, "options": dict(settings.get("options") or {})})
+        out[target] = {"uploadDestination": spec.get("uploadDestination"), "sources": sources}
+    return out
+
+
+def destinations_frame(spark, config: Mapping[str, Mapping]) -> DataFrame:
+    """(crawl_target, destination) of a configuration."""
+    return literal_frame(spark, [(t, s.get("uploadDestination")) for t, s in config.items()], "crawl_target string, destination string")
+
+
 def dispatch(targets: DataFrame, outputs: Mapping[tuple[str, str | None], DataFrame]) -> DataFrame:
     """S18 + U1: the rows of each source job go to every target that names
     that (source, type); unknown pairs produce nothing. This is an
