@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INF = float("inf")
 
 
+def finite(x: Column) -> Column:
+    """A number of a vector is there and finite."""
+    return x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < INF)
+
+
 def valid(df: DataFrame, id_col: str, vec_col: str, *more: str) -> DataFrame:
     """id, the columns ``more`` and v (array<double>) of the vectors that
     are not null, not zero and have finite components only. Of several

@@ -58,6 +58,23 @@ def test_embedding_near_duplicates(spark):
     assert len(twice) == 2 and {r.n_links for r in twice} == {got[0].n_links}
 
 
+def test_rows_of_one_id_and_equal_vectors(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [0.0, 1.0], 1), (2, [-0.0, 1.0], 1), (3, [0.0, 1.0], 2), (4, [0.0, 2.0], 1), (4, [0.0, 2.0], 1)]
+    got = itq.near_duplicates(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [
+        (1, 0, 1, True), (1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False), (3, 0, 3, True), (4, 2, 1, False), (4, 2, 1, False)]
+
+
+def test_a_third_of_equal_vectors(spark):
+    rng = np.random.default_rng(7)
+    v = rng.standard_normal((3000, 16))
+    v[:1000] = v[0]
+    v[1000:1010] = v[0] * 2
+    df = spark.createDataFrame([(i, [float(x) for x in r], 1) for i, r in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in itq.near_duplicates(spark, df).collect()}
+    assert {(got[i].n_links, got[i].component_id) for i in range(1010)} == {(1009, 0)}
+
+
 def test_hot_bucket_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(itq, "BLOCK", 16)
     v = np.ones((100, 8)) + 1e-3 * np.random.default_rng(0).standard_normal((100, 8))
