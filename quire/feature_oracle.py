@@ -109,6 +109,16 @@ SELECT coalesce(p.doc_id, n.doc_id) AS doc_id, CASE WHEN p.doc_id IS NULL THEN '
 FROM p FULL JOIN n ON n.doc_id = p.doc_id
 """
 
+_LISTS = """
+SELECT '/c/' || conv_id || '?page=' || (turn // 16) AS request_path, CAST(turn AS BIGINT) AS turn, role, md5(text) AS text_md5 FROM conversations
+"""
+
+_BY_KEY = """
+SELECT 'O-' || o_orderkey AS key, o_orderpriority || ' order' AS title, CASE WHEN o_orderstatus = 'F' THEN 'Done' ELSE 'Open' END AS status,
+  'https://corp.example.com/browse/O-' || o_orderkey AS web_url
+FROM orders WHERE o_orderkey IN (SELECT conv_id FROM conversations)
+"""
+
 _STREAM = """
 SELECT user_id, event_id, event_type FROM (
   SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
@@ -129,5 +139,5 @@ UNION ALL SELECT crawl_target, 'dify', 'store-en', CAST(seq AS BIGINT), filename
 def sql(links: str, path_chars: str) -> dict[str, str]:
     """``links``: SQL of all resolved links of the pages; ``path_chars``:
     the characters that stay in a path."""
-    return {"snapshot_tree": _SNAPSHOT, "catalog_stream": _STREAM, "upload_order": _UPLOADS, "deep_closure": _CLOSURE, "cursor_chain": _CHAIN, "offset_coverage": _COVERAGE, "pattern_table": _PATTERNS, "query_index": _QUERIES,
+    return {"landed_lists": _LISTS, "issue_by_key": _BY_KEY, "snapshot_tree": _SNAPSHOT, "catalog_stream": _STREAM, "upload_order": _UPLOADS, "deep_closure": _CLOSURE, "cursor_chain": _CHAIN, "offset_coverage": _COVERAGE, "pattern_table": _PATTERNS, "query_index": _QUERIES,
             "run_counts": _counts(links), "url_class": _url_class(path_chars), "link_lexer": _LINKS, "title_decode": _TITLES}

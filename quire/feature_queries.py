@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from quire.functions.html import decode_entities, href_list, page_title
 from quire.functions.urls import normalize_url, resolve_hrefs
+from quire.job_queries import BASE_URL, landed_issues
 from quire.operators import patterns, predicates, web
 from quire.operators.ordering import prefix_sums
 from quire.operators.filters import literal_frame
-from quire.plans import catalog, publish, targets, versions
+from quire.plans import catalog, corpus, publish, targets, versions
 from quire.plans.pointers import below
 from quire.session import ensure_checkpoint_dir
 from quire.sources import landed
@@ -187,5 +188,26 @@ def upload_order(spark: SparkSession, sf: str) -> DataFrame:
     return publish.destination_manifest(log, bodies, conf, stores)
 
 
+def landed_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns landed as JSON list responses of 16, read with a
+    declared schema, unpacked to one row a result."""
+    c = _t(spark, sf, "conversations")
+    one = F.struct(F.col("turn"), F.struct(_s("turn").alias("id"), "role", "text").alias("item"))
+    pages = c.groupBy("conv_id", (F.col("turn") / 16).cast("long").alias("page")).agg(F.array_sort(F.collect_list(one)).alias("l")).select(
+        F.concat(F.lit("/c/"), _s("conv_id"), F.lit("?page="), _s("page")).alias("request_path"),
+        F.struct(F.lit(None).cast("string").alias("next")).alias("_links"), F.transform("l", lambda x: x["item"]).alias("results"))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed/{uuid.uuid4().hex}"
+    pages.write.json(folder)
+    rows = landed.read_list_responses(spark, folder, "id: string, role: string, text: string")
+    return rows.select("request_path", F.col("id").cast("long").alias("turn"), "role", F.md5("text").alias("text_md5"))
+
+
+def issue_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """The issues that conversations name, looked up by a key table."""
+    keys = _t(spark, sf, "conversations").select(F.concat(F.lit("O-"), _s("conv_id")).alias("key"))
+    found = corpus.issues_by_key(corpus.issues_view(landed_issues(spark, sf), BASE_URL), keys)
+    return found.select("key", "title", "status", "web_url")
+
+
 QUERIES = {f.__name__: f for f in (
-    snapshot_tree, catalog_stream, upload_order, deep_closure, cursor_chain, offset_coverage, pattern_table, query_index, run_counts, url_class, link_lexer, title_decode)}
+    landed_lists, issue_by_key, snapshot_tree, catalog_stream, upload_order, deep_closure, cursor_chain, offset_coverage, pattern_table, query_index, run_counts, url_class, link_lexer, title_decode)}
