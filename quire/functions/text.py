@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # The output file-name rules.
 MAX_FILE_NAME = 255
 # characters that may not appear in a file name: < > : " / \ | ? * and C0 controls
-_FORBIDDEN = r'[<>:"/\\|?*\x00-\x1f]'
+_FORBIDDEN = r'<>:"/\\|?*\x00-\x1f'
 # JavaScript white space + line terminators (String.prototype.trim); Java's
 # \s and Spark's trim() only know ASCII white space.
 JS_WS_CHARS = ("\t\n\x0b\x0c\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -26,11 +26,12 @@ def collapse_spaces(c) -> Column:
 
 def sanitize_filename(c) -> Column:
     """Forbidden characters -> blank, leading and trailing dot runs ->
-    blank, blank runs collapsed, JS-style trim."""
-    s = F.regexp_replace(_c(c), _FORBIDDEN, " ")
-    # a trailing dot run can only start where no dot precedes (keeps the scan linear)
-    s = F.regexp_replace(s, r"\A\.+|(?<!\.)\.+\z", " ")
-    s = collapse_spaces(s)
+    blank, blank runs collapsed, JS-style trim.
+
+    One pass over the text: blanks at the ends go anyway, so dots there
+    are trimmed first, and a run of forbidden characters and blanks is one
+    blank (a lone blank is left alone)."""
+    s = F.regexp_replace(F.btrim(_c(c), F.lit(".")), rf"[{_FORBIDDEN}\xA0][{_FORBIDDEN}\xA0 ]*+| [{_FORBIDDEN}\xA0 ]++", " ")
     return F.btrim(s, F.lit(JS_WS_CHARS))
 
 
