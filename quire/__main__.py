@@ -10,7 +10,8 @@
                 "test_steps": "...", "web_pages": "..."},
      "baseUrl": "https://corp.example.com", "bucket": "my-bucket",
      "out": "s3://bucket/runs/2024-06-01", "previousCatalog": "s3://bucket/runs/2024-05-31/catalog",
-     "stores": {"target-a": "store-id"}}
+     "stores": {"target-a": "store-id"},
+     "customFields": [["Epic", "customfield_10014"], ["Story Points", "customfield_10036"]]}
 
 ``crawlTargets`` may also have the shape that ``plans.targets.from_settings``
 reads; ``queries`` then gives the predicate of each issue query.
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.operators.dedupe import first_by
+from quire.operators.issues import CUSTOM_FIELDS
 from quire.plans.corpus import Corpus, run_targets
 from quire.plans.publish import publish_snapshot
 from quire.plans.targets import destinations_frame, from_settings
@@ -60,7 +62,8 @@ def execute(spark: SparkSession, run: dict) -> dict:
             raise ValueError(f"crawl target {name!r}: expected {{'uploadDestination': ..., 'sources': [...]}}")
     ensure_checkpoint_dir(spark)
     tables = load_tables(spark, run["landed"])
-    corpus = run_targets(spark, targets, tables, base_url=run["baseUrl"], bucket=run["bucket"])
+    fields = [tuple(f) for f in run["customFields"]] if "customFields" in run else CUSTOM_FIELDS
+    corpus = run_targets(spark, targets, tables, base_url=run["baseUrl"], bucket=run["bucket"], custom_fields=fields)
     # the jobs run once: publishing and the summary read what they gave
     corpus = Corpus(shared_table(spark, corpus.documents), shared_table(spark, corpus.metadata), corpus.extra)
     prev = spark.read.parquet(run["previousCatalog"]) if run.get("previousCatalog") else None

@@ -237,7 +237,7 @@ def _child_edges(spark, sf):
     i = F.col("i")
     tree = p.where(i >= 1).select((i / 4).cast("long").alias("src"), i.alias("dst"))
     diamond = p.where((i % 6 == 0) & (i > 0)).select((i / 3).cast("long").alias("src"), i.alias("dst"))
-    back = p.where(i % 11 == 0).select(i.alias("src"), (i / 16).cast("long").alias("dst"))
+    back = p.select(i.alias("src"), (i / 16).cast("long").alias("dst"))
     loops = p.where(i % 13 == 0).select(i.alias("src"), i.alias("dst"))
     return tree.unionByName(diamond).unionByName(back).unionByName(loops)
 
@@ -453,7 +453,7 @@ def _doc_metadata(spark, sf):
     fname = wiki.page_file_name(F.col("source"), F.col("doc_id").cast("string"))
     created = F.concat(F.lit("2024-01-"), F.lpad(((F.col("doc_id") % 28) + 1).cast("string"), 2, "0"),
                        F.lit("T00:00:00.000Z"))
-    rec = cat.metadata_record(F.col("doc_id"), F.substring_index("text", "\n", 1),
+    rec = cat.metadata_record(F.col("doc_id"), F.col("text"),
                               wiki_page_url(BASE_URL, F.concat(F.lit("/spaces/"), F.col("source"), F.lit("/pages/"),
                                                                F.col("doc_id").cast("string"), F.lit("/x"))),
                               created, F.lit("text/html"), cat.storage_uri(BUCKET, TARGET, fname),

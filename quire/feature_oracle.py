@@ -113,6 +113,11 @@ _LISTS = """
 SELECT '/c/' || conv_id || '?page=' || (turn // 16) AS request_path, CAST(turn AS BIGINT) AS turn, role, md5(text) AS text_md5 FROM conversations
 """
 
+_DOCUMENTS = """
+SELECT lang AS crawl_target, doc_id || '.html' AS filename, CAST(length(body) AS INTEGER) AS size, md5(body) AS body_md5
+FROM (SELECT *, CASE WHEN lang = 'en' THEN text || '!' ELSE text END AS body FROM documents) WHERE lang IS NOT NULL AND (lang <> 'en' OR length(text) > 1000)
+"""
+
 _BY_KEY = """
 SELECT 'O-' || o_orderkey AS key, o_orderpriority || ' order' AS title, CASE WHEN o_orderstatus = 'F' THEN 'Done' ELSE 'Open' END AS status,
   'https://corp.example.com/browse/O-' || o_orderkey AS web_url
@@ -139,5 +144,5 @@ UNION ALL SELECT crawl_target, 'dify', 'store-en', CAST(seq AS BIGINT), filename
 def sql(links: str, path_chars: str) -> dict[str, str]:
     """``links``: SQL of all resolved links of the pages; ``path_chars``:
     the characters that stay in a path."""
-    return {"landed_lists": _LISTS, "issue_by_key": _BY_KEY, "snapshot_tree": _SNAPSHOT, "catalog_stream": _STREAM, "upload_order": _UPLOADS, "deep_closure": _CLOSURE, "cursor_chain": _CHAIN, "offset_coverage": _COVERAGE, "pattern_table": _PATTERNS, "query_index": _QUERIES,
+    return {"document_snapshot": _DOCUMENTS, "landed_lists": _LISTS, "issue_by_key": _BY_KEY, "snapshot_tree": _SNAPSHOT, "catalog_stream": _STREAM, "upload_order": _UPLOADS, "deep_closure": _CLOSURE, "cursor_chain": _CHAIN, "offset_coverage": _COVERAGE, "pattern_table": _PATTERNS, "query_index": _QUERIES,
             "run_counts": _counts(links), "url_class": _url_class(path_chars), "link_lexer": _LINKS, "title_decode": _TITLES}

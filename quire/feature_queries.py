@@ -209,5 +209,17 @@ def issue_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("key", "title", "status", "web_url")
 
 
+def document_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """K2 K4: whole documents written by target (language), then English
+    ones once more as another run has them; the other targets stay."""
+    d = _t(spark, sf, "documents").where("lang is not null").select(
+        F.col("lang").alias("crawl_target"), F.concat(_s("doc_id"), F.lit(".html")).alias("filename"), F.col("text").alias("body"))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/documents/{uuid.uuid4().hex}"
+    catalog.write_documents(d, folder)
+    catalog.write_documents(d.where("crawl_target = 'en' and length(body) > 1000").withColumn("body", F.concat("body", F.lit("!"))), folder)
+    now = spark.read.schema("filename string, body string, crawl_target string").parquet(folder)
+    return now.select("crawl_target", "filename", F.length("body").alias("size"), F.md5("body").alias("body_md5"))
+
+
 QUERIES = {f.__name__: f for f in (
-    landed_lists, issue_by_key, snapshot_tree, catalog_stream, upload_order, deep_closure, cursor_chain, offset_coverage, pattern_table, query_index, run_counts, url_class, link_lexer, title_decode)}
+    document_snapshot, landed_lists, issue_by_key, snapshot_tree, catalog_stream, upload_order, deep_closure, cursor_chain, offset_coverage, pattern_table, query_index, run_counts, url_class, link_lexer, title_decode)}

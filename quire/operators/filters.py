@@ -58,9 +58,10 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 
 
 def literal_frame(spark, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small configuration table (target keys, allow-lists, seeds). Its
-    size is bounded by the configuration, so it is broadcast."""
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """A configuration table (target keys, allow-lists, seeds), broadcast
+    if it has at most ``BROADCAST_MAX_ROWS`` rows."""
+    df = spark.createDataFrame(list(rows), schema)
+    return F.broadcast(df) if len(rows) <= BROADCAST_MAX_ROWS else df
 
 
 def key_in(df: DataFrame, col: str, keys: DataFrame, key_col: str) -> DataFrame:

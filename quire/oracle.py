@@ -228,7 +228,7 @@ SQL["child_page_closure"] = """
 WITH RECURSIVE e AS (
   SELECT page_id // 4 AS src, page_id AS dst FROM pages WHERE page_id >= 1
   UNION ALL SELECT page_id // 3, page_id FROM pages WHERE page_id % 6 = 0 AND page_id > 0
-  UNION ALL SELECT page_id, page_id // 16 FROM pages WHERE page_id % 11 = 0
+  UNION ALL SELECT page_id, page_id // 16 FROM pages
   UNION ALL SELECT page_id, page_id FROM pages WHERE page_id % 13 = 0),
 r(id) AS (SELECT * FROM (VALUES (2::BIGINT), (7::BIGINT)) s(id) UNION SELECT e.dst FROM r JOIN e ON e.src = r.id)
 SELECT id FROM r WHERE id NOT IN (7, 9)
@@ -351,7 +351,7 @@ _DOC_FILE = _truncate(f"({_DOC_STEM} || '.html')")
 SQL["metadata_records"] = f"""
 SELECT doc_id, CAST(to_json({{
   'id': CAST(doc_id AS VARCHAR),
-  'structData': {{'title': split_part(text, chr(10), 1), 'spaceName': lang,
+  'structData': {{'title': text, 'spaceName': lang,
      'webUrl': '{BASE_URL}' || CASE WHEN regexp_matches('/spaces/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '/x', '{_WIKI}')
           THEN '/wiki' || regexp_extract('/spaces/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '/x', '{_WIKI}', 0)
           ELSE '/spaces/' || source || '/pages/' || CAST(doc_id AS VARCHAR) || '/x' END,

@@ -439,7 +439,7 @@ def _check_source(target: str, src: Mapping) -> None:
 
 
 def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataFrame], *,
-                base_url: str, bucket: str) -> Corpus:
+                base_url: str, bucket: str, custom_fields=iss.CUSTOM_FIELDS) -> Corpus:
     """S18 + U1: run every configured source of every crawl target and
     union the results; an unknown (source, type) is skipped. Each kind of
     source runs once for all targets (wiki crawls, epic summaries, issue
@@ -512,7 +512,7 @@ def run_targets(spark, config: Mapping[str, Mapping], tables: Mapping[str, DataF
                         children=tables.get("page_children"), base_url=base_url, bucket=bucket), extras=True)
     if issue_specs:
         add(issue_queries(tables["issues"], issue_specs, comments=tables.get("comments"),
-                          steps=tables.get("test_steps"), base_url=base_url, bucket=bucket))
+                          steps=tables.get("test_steps"), base_url=base_url, bucket=bucket, custom_fields=custom_fields))
     if web_specs:
         add(web_crawls(tables["web_pages"], web_specs, bucket=bucket), extras=True)
     if not docs:
