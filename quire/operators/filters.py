@@ -63,12 +63,3 @@ def literal_frame(spark, rows: Sequence[tuple], schema: str) -> DataFrame:
     df = spark.createDataFrame(list(rows), schema)
     return F.broadcast(df) if len(rows) <= BROADCAST_MAX_ROWS else df
 
-
-def key_in(df: DataFrame, col: str, keys: DataFrame, key_col: str) -> DataFrame:
-    """Keep rows whose ``col`` is in the key table (left semi)."""
-    return df.join(keys, df[col] == keys[key_col], "left_semi")
-
-
-def key_not_in(df: DataFrame, col: str, keys: DataFrame, key_col: str) -> DataFrame:
-    """Drop rows whose ``col`` is in the key table (left anti)."""
-    return df.join(keys, df[col] == keys[key_col], "left_anti")

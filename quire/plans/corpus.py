@@ -358,10 +358,10 @@ def web_crawls(web_pages: DataFrame, crawls: Sequence[Mapping], *, bucket: str)
     # one landed copy per normalised URL: latest fetch, ties by content, so title and body come from one row
     facts = materialize(latest_by(read, ["id"], ["fetched_at", "url", "_print"]))
 
-    def by_crawl(df: DataFrame, conditions: Mapping[int, Column]) -> DataFrame:
-        """The rows tagged with every crawl whose condition they meet."""
+    def crawls_of(conditions: Mapping[int, Column]) -> Column:
+        """The crawls whose condition a row meets."""
         tags = F.array(F.lit(None).cast("int"), *[F.when(cond, F.lit(k)) for k, cond in conditions.items()])
-        return df.withColumn("g", F.explode(F.filter(tags, lambda x: x.isNotNull())))
+        return F.filter(tags, lambda x: x.isNotNull())
 
     seeds, start_if, bounds, stop_if, link_if = [], F.lit(False), [], {}, {}
     for k, c in enumerate(crawls):
@@ -380,12 +380,13 @@ def web_crawls(web_pages: DataFrame, crawls: Sequence[Mapping], *, bucket: str)
 
     seed_df = (materialize(literal_frame(spark, seeds, "g int, url string").withColumn("norm_url", normalize_url("url")))
                .where(start_if).select("g", F.md5("norm_url").alias("id"), "url").where("id is not null"))
-    stop_df = by_crawl(facts, stop_if).select("g", "id")
-    # every link is resolved once and tagged with the crawls that may follow it
-    lk = by_crawl(web.links_from_hrefs(facts, "id", "url", "hrefs").withColumnRenamed("norm", "dst_norm"), link_if)
-    lk = lk.select("g", F.col("id").alias("src"), F.md5("dst_norm").alias("dst"), "link")
+    stop_df = facts.select(F.explode(crawls_of(stop_if)).alias("g"), "id")
+    # every link is resolved and stored once, with the list of the crawls that may follow it
+    lk = web.links_from_hrefs(facts, "id", "url", "hrefs").withColumnRenamed("norm", "dst_norm")
+    lk = materialize(lk.select(crawls_of(link_if).alias("groups"), F.col("id").alias("src"), F.md5("dst_norm").alias("dst"), "link")
+                     .where(F.size("groups") > 0))
     targets = literal_frame(spark, [(k, c["target"]) for k, c in enumerate(crawls)], "g int, crawl_target string")
-    visited = grouped_frontier_search(lk.select("g", "src", "dst"), seed_df.select("g", "id"),
+    visited = grouped_frontier_search(lk.select("groups", "src", "dst"), seed_df.select("g", "id"),
                                       literal_frame(spark, bounds, "g int, max_hop int"), group="g", stoppers=stop_df)
     saved = facts.drop("hrefs").join(visited, "id").join(stop_df, ["g", "id"], "left_anti")
     # bodies are read only for saved pages; a repeated landed row gives its body once
@@ -399,9 +400,11 @@ def web_crawls(web_pages: DataFrame, crawls: Sequence[Mapping], *, bucket: str)
                          "title", "url", "fetched_at")
     rec = metadata_record(F.col("id"), F.col("title"), F.col("url"), F.col("fetched_at").cast("string"), F.lit(HTML),
                           storage_uri(bucket, F.col("crawl_target"), F.col("filename")))
-    known = seed_df.unionByName(lk.select("g", F.col("dst").alias("id"), F.col("link").alias("url"))).groupBy(
-        "g", "id").agg(F.min("url").alias("url"))
-    missing = (visited.join(facts.select("id"), "id", "left_anti").join(known, ["g", "id"], "left").join(targets, "g")
+    absent = visited.join(facts.select("id"), "id", "left_anti")
+    named = lk.join(absent.select(F.col("id").alias("dst")).distinct(), "dst", "left_semi").select(
+        F.explode("groups").alias("g"), F.col("dst").alias("id"), F.col("link").alias("url"))
+    known = seed_df.unionByName(named).groupBy("g", "id").agg(F.min("url").alias("url"))
+    missing = (absent.join(known, ["g", "id"], "left").join(targets, "g")
                .select("crawl_target", "id", "hop", "url", F.lit("missing").alias("status")))
     return Corpus(docs.select("crawl_target", "filename", "mime_type", "body"),
                   docs.select("crawl_target", "filename", rec.alias("metadata")), {"missing": missing})

@@ -126,15 +126,17 @@ def grouped_frontier_search(edges: DataFrame, seeds: DataFrame, max_hops: DataFr
                             stoppers: DataFrame | None = None) -> DataFrame:
     """Many breadth-first searches in one loop: every row carries a group
     (e.g. a crawl target) with its own edges, seeds, stoppers, hop bound and
-    visited set. ``edges`` (group, src, dst), or (src, dst) shared by all
-    groups, ``seeds`` (group, id),
+    visited set. ``edges`` (group, src, dst), (src, dst) shared by all
+    groups, or (groups, src, dst) with the list of groups that may follow
+    the edge; ``seeds`` (group, id),
     ``max_hops`` (group, max_hop: a small configuration table, broadcast; null = no bound),
     ``stoppers`` (group, id). Returns (group, id, hop), minimum hop per group."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     keys = [group, "id"]
     shared = group not in edges.columns  # one edge table for every group (e.g. the child-page tree)
-    e = materialize(edges.select(*([] if shared else [group]), "src", "dst").where(
+    listed = ["groups"] if "groups" in edges.columns else []
+    e = materialize(edges.select(*([] if shared else [group]), *listed, "src", "dst").where(
         F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct())
     bounds = F.broadcast(max_hops.select(group, F.col("max_hop").cast("int").alias("_max")))
     if stoppers is not None:
@@ -151,6 +153,8 @@ def grouped_frontier_search(edges: DataFrame, seeds: DataFrame, max_hops: DataFr
             expand = expand.join(stoppers, keys, "left_anti")
         side = F.broadcast(expand) if n <= BROADCAST_MAX_ROWS else expand
         match = side["id"] == e["src"] if shared else (side[group] == e[group]) & (side["id"] == e["src"])
+        if listed:
+            match = match & F.array_contains(e["groups"], side[group])
         cand = side.join(e, match).select(side[group], F.col("dst").alias("id")).distinct()
         if seen_total <= BROADCAST_MAX_ROWS:
             nxt = cand.join(visited.select(*keys), keys, "left_anti")

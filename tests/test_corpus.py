@@ -33,20 +33,20 @@ def _tables(spark):
         ("a4", "unref.pdf", PDF, "2", "f4", "/a4", "/d/a4", {"createdAt": "t"}, "current")], schemas.ATTACHMENT)
 
     def issue(k, typ, status, epic=None, upd="2024-02-01T00:00:00", desc="<p>d</p>", sp=None):
-        return (k, k, {"issuetype": {"name": typ}, "project": {"id": "p1", "name": "Proj", "key": "SLS"},
+        return (k, k, {"issuetype": {"name": typ}, "project": {"id": "p1", "name": "Proj", "key": "PRJ"},
                        "labels": ["l1"], "summary": "S " + k, "created": "2024-01-01T00:00:00", "updated": upd,
                        "attachment": None, "comment": None, "status": {"name": status}, "sprint_open": True,
                        "epic_link": epic, "fix_versions": []},
                 {"customfield_10036": sp} if sp else {}, {"description": desc})
     issues = spark.createDataFrame([
-        issue("SLS-1", "Story", "Done", "SLS-9", "2024-02-03T00:00:00", sp="2.0"),
-        issue("SLS-2", "Story", "Done", "SLS-9", "2024-02-04T00:00:00"),
-        issue("SLS-3", "Bug", "Open", sp="n/a"), issue("SLS-9", "Epic", "Open"), issue("SLS-8", "Epic", "Open")],
+        issue("PRJ-1", "Story", "Done", "PRJ-9", "2024-02-03T00:00:00", sp="2.0"),
+        issue("PRJ-2", "Story", "Done", "PRJ-9", "2024-02-04T00:00:00"),
+        issue("PRJ-3", "Bug", "Open", sp="n/a"), issue("PRJ-9", "Epic", "Open"), issue("PRJ-8", "Epic", "Open")],
         schemas.ISSUE)
-    comments = spark.createDataFrame([("SLS-1", 0, 2, 2, [({"displayName": "Ann"}, "<p>hi</p>", "c", "u1"),
+    comments = spark.createDataFrame([("PRJ-1", 0, 2, 2, [({"displayName": "Ann"}, "<p>hi</p>", "c", "u1"),
                                                          ({"displayName": "Bob"}, "<p>yo</p>", "c", "u2")])],
                                      schemas.COMMENTS_RESPONSE)
-    steps = spark.createDataFrame([("SLS-1", [(2, "s2", None, "r2"), (1, "s1", "d1", None)])], schemas.TEST_STEPS_RESPONSE)
+    steps = spark.createDataFrame([("PRJ-1", [(2, "s2", None, "r2"), (1, "s1", "d1", None)])], schemas.TEST_STEPS_RESPONSE)
     web = spark.createDataFrame([
         ("https://a.example.com/", '<title>A</title><a href="/b">b</a><a href="/c?x=1">c</a><a href="/spam">s</a>', "t1"),
         ("https://a.example.com/b", "<title>B</title><a href='/d'>d</a>", "t1"),
@@ -62,9 +62,9 @@ CONFIG = {
          "options": {"includeChildPages": True, "excludePages": ["2"], "bannedAttachmentPatterns": ["(?i)^IMG"]}},
         {"source": "confluence", "type": "spaces", "items": ["CD"]}]},
     "issues": {"uploadDestination": "dify", "sources": [
-        {"source": "jira", "type": "query", "items": ["project_key = 'SLS' AND status = 'Done'"],
+        {"source": "jira", "type": "query", "items": ["project_key = 'PRJ' AND status = 'Done'"],
          "options": {"includeComments": True, "includeZephyrTestSteps": True}},
-        {"source": "jira", "type": "epic-issue-summary", "items": ["SLS"]},
+        {"source": "jira", "type": "epic-issue-summary", "items": ["PRJ"]},
         {"source": "nowhere", "type": "x", "items": ["y"]}]},
 }
 
@@ -83,18 +83,18 @@ def test_run_targets_end_to_end(spark):
     assert [r.id for r in c.extra["quarantine"].collect()] == ["4"]
     # only the referenced, allowed and not banned attachment (escaped name never matches)
     assert [r.filename for r in c.extra["downloads"].collect()] == ["confluence-cloud AB f1.pdf"]
-    body = docs[("issues", "jira-cloud SLS-1.html")]
+    body = docs[("issues", "jira-cloud PRJ-1.html")]
     assert "Story Points: 2\n\nDescription: \n<p>d</p>" in body
     assert "Zephyr Tests Scenarios:\n=====\nTest Number: 1\n\nTest Step: \ns1\n\nTest Data: \nd1\n\n\n===\n" in body
     assert body.endswith("Comment Number: 2\n\nComment Author: Bob\n\nComment Updated Time: u2\n\nComment Body: \n<p>yo</p>\n=====\n")
-    epic = docs[("issues", "jira-cloud SLS-9.html")]
-    assert epic == ("Epic ID: SLS-9\nEpic Title: S SLS-9\n=====\nListing of User Stories:\n\n"
-                    "SLS-2: S SLS-2 [Last Updated On: 2024-02-04T00:00:00]\n"
-                    "SLS-1: S SLS-1 [Last Updated On: 2024-02-03T00:00:00]\n")
-    assert ("issues", "jira-cloud SLS-8.html") not in docs
+    epic = docs[("issues", "jira-cloud PRJ-9.html")]
+    assert epic == ("Epic ID: PRJ-9\nEpic Title: S PRJ-9\n=====\nListing of User Stories:\n\n"
+                    "PRJ-2: S PRJ-2 [Last Updated On: 2024-02-04T00:00:00]\n"
+                    "PRJ-1: S PRJ-1 [Last Updated On: 2024-02-03T00:00:00]\n")
+    assert ("issues", "jira-cloud PRJ-8.html") not in docs
     # a non-numeric story-point value gives no line instead of failing the job
     from quire.plans.corpus import issue_corpus
-    bug = issue_corpus(t["issues"], target="x", where="key = 'SLS-3'", base_url=BASE, bucket=BUCKET)
+    bug = issue_corpus(t["issues"], target="x", where="key = 'PRJ-3'", base_url=BASE, bucket=BUCKET)
     assert "Story Points" not in bug.documents.first().body
     meta = {r.filename: r.metadata for r in c.metadata.where("crawl_target = 'wiki'").collect()}
     m = meta["confluence-cloud AB 1.html"]
@@ -163,11 +163,11 @@ def test_issue_query_predicates(spark):
     from quire.plans.corpus import issues_view
     v = issues_view(_tables(spark)["issues"], BASE)
     cases = {
-        "project_key = 'SLS' AND status = 'Done'": {"SLS-1", "SLS-2"},
-        "issue_type IN ('Epic')": {"SLS-8", "SLS-9"},
-        "coalesce(description, '') <> '' AND key IN ('SLS-1', 'SLS-3')": {"SLS-1", "SLS-3"},
-        "sprint_open AND epic_link = 'SLS-9'": {"SLS-1", "SLS-2"},
-        "lower(title) LIKE '%sls-3%'": {"SLS-3"},
+        "project_key = 'PRJ' AND status = 'Done'": {"PRJ-1", "PRJ-2"},
+        "issue_type IN ('Epic')": {"PRJ-8", "PRJ-9"},
+        "coalesce(description, '') <> '' AND key IN ('PRJ-1', 'PRJ-3')": {"PRJ-1", "PRJ-3"},
+        "sprint_open AND epic_link = 'PRJ-9'": {"PRJ-1", "PRJ-2"},
+        "lower(title) LIKE '%prj-3%'": {"PRJ-3"},
         "array_contains(fix_versions, '2.1')": set(),
     }
     for where, want in cases.items():
@@ -272,11 +272,11 @@ def test_issue_queries_batched_and_precedence(spark):
     rows = lambda c: sorted((r.crawl_target, r.filename, r.body) for r in c.documents.collect())
     assert rows(both) == sorted(rows(sep[0]) + rows(sep[1]))
     # one target, the same issue from two queries: the later query (with comments) wins after publishing
-    plain = {"source": "jira", "type": "query", "items": ["key = 'SLS-1'"]}
+    plain = {"source": "jira", "type": "query", "items": ["key = 'PRJ-1'"]}
     out = tempfile.mkdtemp(prefix="quire-prec-", dir="/tmp")
     c = run_targets(spark, {"x": {"sources": [plain, q1]}}, t, base_url=BASE, bucket=BUCKET)
     publish_snapshot(c.documents, c.metadata, out)
-    body = spark.read.parquet(f"{out}/documents").where("filename = 'jira-cloud SLS-1.html'").first().body
+    body = spark.read.parquet(f"{out}/documents").where("filename = 'jira-cloud PRJ-1.html'").first().body
     assert "Comments:" in body
 
 
@@ -298,7 +298,7 @@ def test_wiki_crawls_batched_equal_separate_runs(spark):
 def test_epic_summaries_for_several_targets(spark):
     from quire.plans.corpus import epic_summaries_for
     t = _tables(spark)
-    c = epic_summaries_for(t["issues"], [dict(target="a", project="SLS", ord=1), dict(target="b", project="SLS", ord=2),
+    c = epic_summaries_for(t["issues"], [dict(target="a", project="PRJ", ord=1), dict(target="b", project="PRJ", ord=2),
                                          dict(target="c", project="NONE", ord=3)], base_url=BASE, bucket=BUCKET)
     got = sorted((r.crawl_target, r.filename, r.run_ord) for r in c.documents.collect())
-    assert got == [("a", "jira-cloud SLS-9.html", 1), ("b", "jira-cloud SLS-9.html", 2)]
+    assert got == [("a", "jira-cloud PRJ-9.html", 1), ("b", "jira-cloud PRJ-9.html", 2)]

@@ -26,8 +26,8 @@ def test_truncate_lengths(spark):
 
 
 def test_file_name_composes(spark):
-    got = _one(spark, lambda c: file_name(c, "html"), ["jira-cloud SLS-1", "web ab/cd ..x.."])
-    assert got == ["jira-cloud SLS-1.html", "web ab cd ..x.html"]
+    got = _one(spark, lambda c: file_name(c, "html"), ["jira-cloud PRJ-1", "web ab/cd ..x.."])
+    assert got == ["jira-cloud PRJ-1.html", "web ab cd ..x.html"]
 
 
 def test_js_number(spark):
