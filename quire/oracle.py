@@ -79,9 +79,6 @@ def _title(h: str) -> str:
     return f"CASE WHEN contains({h}, '<title>') THEN {_decode(found)} ELSE 'No title' END"
 
 
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
 
 
 SQL: dict[str, str] = {}

@@ -7,7 +7,6 @@ import re
 import pytest
 
 from quire.operators import patterns, predicates
-from quire.operators import ordering
 from quire.plans import graph, pointers
 from quire.sources import landed
 
