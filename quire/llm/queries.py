@@ -38,7 +38,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hilbert.nearest(spark, tables(sf_dir, spark, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+    return hilbert.nearest(spark, tables(sf_dir, spark, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20, exact=False)
 
 
 def op7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
