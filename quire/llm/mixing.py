@@ -3,7 +3,8 @@
 Sizes are summed per source; the target of a source is its share by
 weight, at most ``most`` times its size, with the excess shared again
 among the others. Each document is taken floor(rate) times, and once more
-by a draw that is seeded by a hash of its id and its text.
+by a draw that is seeded by a hash of its id and its text; the second and
+later ones of equal rows have draws of their own.
 """
 
 from __future__ import annotations
@@ -13,11 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quire.llm.common import table
+from quire.operators.filters import checked_broadcast
+from quire.operators.ordering import number_rows
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST = 3.0
-BINS = 1 << 16
+CHUNK = 4096               # equal rows that one task numbers
+KEY = ("source", "doc_id", "u", "v")       # of equal rows: u is their draw, v more of the same digest
 
 
 def words(text: Column) -> Column:
@@ -25,10 +29,18 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def digest(*cols: Column) -> Column:
+    return F.md5(F.concat_ws("|", *(F.coalesce(c.cast("string"), F.lit("")) for c in cols)).cast("binary"))
+
+
 def draw(*cols: Column) -> Column:
     """A uniform number of [0, 2**32) from a hash of the columns."""
-    text = F.concat_ws("|", *(F.coalesce(c.cast("string"), F.lit("")) for c in cols))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(digest(*cols), 1, 8), 16, 10).cast("long")
+
+
+def _again(at: Column) -> Column:
+    """The draw of the equal row number ``at``, from 0."""
+    return F.when(at == 0, F.col("u")).otherwise(draw(F.col("doc_id"), F.col("u"), F.col("v"), at))
 
 
 def targets(spark: SparkSession, sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS,
@@ -85,9 +97,29 @@ def copies(u: Column, goal: DataFrame) -> Column:
     return goal["whole"] + (F.shiftright(u, 16) < goal["cut"]).cast("long")
 
 
-def _narrow(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].alias("source"),
-                       words(docs[text_col]).alias("size"), draw(docs[id_col], docs[text_col]).alias("u"))
+def _key(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
+    more = F.conv(F.substring(digest(docs[id_col], docs[text_col]), 9, 15), 16, 10).cast("long")
+    return [docs[source_col].alias("source"), docs[id_col].cast("long").alias("doc_id"),
+            draw(docs[id_col], docs[text_col]).alias("u"), more.alias("v")]
+
+
+def _groups(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """Equal rows as one: their key, size and number."""
+    rows = docs.select(*_key(docs, id_col, text_col, source_col), words(docs[text_col]).alias("size"))
+    return table(spark, rows.groupBy(*KEY).agg(F.max("size").alias("size"), F.count("*").alias("many")))
+
+
+def _drawn(spark: SparkSession, groups: DataFrame) -> DataFrame:
+    """doc_id, source, size and u of every row. Equal rows are numbered in
+    chunks, so a hot group is spread over tasks."""
+    columns = ("doc_id", "source", "size", _again(F.col("at")).alias("u"))
+    single = groups.where("many = 1").select("doc_id", "source", "size", "u")
+    few = groups.where(F.col("many").between(2, CHUNK)).withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1)))
+    chunks = (groups.where(F.col("many") > CHUNK)
+              .withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1, F.lit(CHUNK).cast("long")))).repartition(*KEY, "first"))
+    last = F.least(F.col("first") + CHUNK, F.col("many")) - 1
+    many = chunks.withColumn("at", F.explode(F.sequence(F.col("first"), last)))
+    return table(spark, single.unionByName(few.select(*columns)).unionByName(many.select(*columns)))
 
 
 def mix(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -104,10 +136,10 @@ def mix(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     handled through sums over 65,536 classes of draws.
 
     Null or blank texts have size 0; their copies follow the draw as
-    well. Null sources are one source. Repeated rows (equal id and text)
-    have equal draws. Other columns are not read.
+    well. Null sources are one source. Repeated rows (equal source, id and
+    text) are numbered and draw one by one. Other columns are not read.
     """
-    d = table(spark, _narrow(docs, id_col, text_col, source_col))
+    d = _drawn(spark, _groups(spark, docs, id_col, text_col, source_col))
     goal = cuts(spark, d, weights, most)
     return d.join(goal, d.source.eqNullSafe(goal.of)).select(
         "doc_id", "source", "size", "source_size", "target", copies(F.col("u"), goal).alias("copies"))
@@ -116,10 +148,19 @@ def mix(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
 def emit(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """``docs`` with each row as often as ``mix`` takes it, all columns
-    kept; a row that is not taken is left out."""
-    goal = cuts(spark, table(spark, _narrow(docs, id_col, text_col, source_col)), weights, most)
-    n = copies(draw(docs[id_col], docs[text_col]), goal)
-    rows = docs.join(goal, docs[source_col].eqNullSafe(goal.of)).where(n > 0)
-    names = [docs[c] for c in docs.columns]
-    return (rows.select(F.struct(*names).alias("own"), n.alias("n"))
-            .select("own", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("own.*"))
+    kept; a row that is not taken is left out. Rows of equal source, id
+    and text are numbered in the order of a digest of all their columns."""
+    groups = _groups(spark, docs, id_col, text_col, source_col)
+    goal = cuts(spark, _drawn(spark, groups), weights, most)
+    packed = docs.select(*_key(docs, id_col, text_col, source_col), F.struct(*(docs[c] for c in docs.columns)).alias("own"))
+    repeated = table(spark, groups.where("many > 1").select(*(F.col(c).alias(f"r_{c}") for c in KEY)))
+    if not repeated.isEmpty():
+        keys = checked_broadcast(repeated)
+        same = [packed[c].eqNullSafe(keys[f"r_{c}"]) for c in KEY]
+        ordered = (packed.join(keys, same).select(*KEY, "own").withColumn("whole_row", F.md5(F.to_json("own").cast("binary")))
+                   .withColumn("rid", F.monotonically_increasing_id()))
+        numbered = number_rows(ordered, KEY, [("whole_row", True), ("rid", True)], "at")
+        packed = (packed.join(keys, same, "left_anti").select("source", "u", "own")
+                  .unionByName(numbered.select("source", _again(F.col("at") - 1).alias("u"), "own")))
+    rows = packed.join(goal, packed.source.eqNullSafe(goal.of)).withColumn("n", copies(F.col("u"), goal)).where("n > 0")
+    return rows.select("own", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("own.*")

@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 MIXING = r"""
-WITH d AS (
-  SELECT doc_id, source,
-         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')), 1, 8) AS BIGINT) >> 16 AS bin
+WITH h AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')) AS digest,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY source, doc_id, substr(digest, 1, 23)) - 1 AS nth FROM h),
+d AS (
+  SELECT doc_id, source, size,
+         CAST('0x' || substr(CASE WHEN nth = 0 THEN digest ELSE
+           md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || CAST(CAST('0x' || substr(digest, 1, 8) AS BIGINT) AS VARCHAR) || '|'
+               || CAST(CAST('0x' || substr(digest, 9, 15) AS BIGINT) AS VARCHAR) || '|' || CAST(nth AS VARCHAR)) END, 1, 8) AS BIGINT) >> 16 AS bin
+  FROM n),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
          CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS DOUBLE) AS weight
