@@ -109,9 +109,22 @@ def offset_coverage(ranges: DataFrame, request: str = "request", start: str = "s
             .withColumn("kind", kind).where("kind is not null").select("request", "first", "stop", "times", "kind"))
 
 
-def distinct_ids(rows: DataFrame, id_field: str = "id") -> DataFrame:
-    """S5 + A7: the ids of unpacked listings (pages may overlap), once each."""
-    return rows.select(F.col(id_field).alias("id")).distinct()
+def listing_pages(responses: DataFrame, page: str = "page", has_more: str = "has_more", keep: Sequence[str] = ()) -> DataFrame:
+    """The landed pages of a page-numbered listing that a reader meets:
+    those up to the first page without ``has_more`` (a null is none), per
+    listing of ``keep``. A listing whose last page was not landed has all
+    of its pages. Only the page numbers of ends are joined, one a listing."""
+    more = F.coalesce(F.col(has_more), F.lit(False))
+    ends = responses.where(~more).groupBy(*[F.col(k).alias(f"_q_{k}") for k in keep]).agg(F.min(page).alias("_q_last"))
+    same = F.lit(True)
+    for k in keep:
+        same = same & F.col(k).eqNullSafe(F.col(f"_q_{k}"))
+    return responses.join(ends, same & (F.col(page) > F.col("_q_last")), "left_anti")
+
+
+def distinct_ids(responses: DataFrame, data: str = "data", id_field: str = "id") -> DataFrame:
+    """S5 + A7: ids of page-numbered listings (pages may overlap), once each."""
+    return unpack(responses.select(F.col(data)), data).select(F.col(id_field).alias("id")).distinct()
 
 
 def read_json(spark, path: str, schema: str) -> DataFrame:

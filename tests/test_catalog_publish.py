@@ -96,3 +96,19 @@ def test_publish_replaces_targets_and_clears_empty_ones(spark):
     assert run([("a", "1.html", "x"), ("b", "2.html", "y")], ["a", "b"]) == [("a", "1.html"), ("b", "2.html")]
     # second run: target a produced nothing, target b a new file; a is emptied, b replaced
     assert run([("b", "3.html", "z")], ["a", "b"]) == [("b", "3.html")]
+
+
+def test_ids_of_a_listing_up_to_its_last_page(spark):
+    rows = [("a", 1, [("x",), ("y",)], True), ("a", 2, [("y",), ("z",)], False), ("a", 3, [("stale",)], False),
+            ("b", 1, [("x",), ("w",)], True), ("b", 2, None, True), ("b", 4, [("v",)], True), (None, 1, [("u",)], None), (None, 2, [("t",)], True)]
+    r = spark.createDataFrame(rows, "store string, page long, data array<struct<id:string>>, has_more boolean")
+    assert sorted(x.id for x in landed.distinct_ids(landed.listing_pages(r, keep=["store"])).collect()) == ["u", "v", "w", "x", "y", "z"]
+    assert sorted(x.id for x in landed.distinct_ids(landed.listing_pages(r.where("store = 'a'"))).collect()) == ["x", "y", "z"]
+    open_ = r.where("store = 'b'")
+    assert sorted(x.id for x in landed.distinct_ids(landed.listing_pages(open_)).collect()) == ["v", "w", "x"]
+
+
+def test_purge_reads_every_listed_id(spark, tmp_path):
+    from quire.analogues import purge_id_list
+    spark.range(1003).selectExpr("id AS event_id").write.parquet(f"{tmp_path}/events.parquet")
+    assert sorted(x.id for x in purge_id_list(spark, str(tmp_path)).collect()) == list(range(1003))
