@@ -3,7 +3,8 @@
 A query is a list of equalities and a list of ranges. It waits at its
 rarest equality, so rows meet a query only by an equi-join on that field
 and value; the other equalities are counted and the ranges checked in the
-row. The plan does not grow with the number of queries.
+row. The plan does not grow with the number of queries, and no group with
+the rows of a frequent value.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 
 from quire.session import shared_table
 
+SLICE_ROWS = 100_000           # rows of a value that meet its queries in one group; more are dealt over slices
+
 QUERY = "query_id long, equal array<struct<field: string, value: string>>, within array<struct<field: string, low: double, high: double>>"
 
 
@@ -34,18 +37,27 @@ def answers(rows: DataFrame, key: str, fields: Mapping[str, Column], numbers: Ma
     # one narrow row per value that some query names
     values = rows.select(F.col(key).alias("k"), F.explode(F.array(*[
         F.struct(F.lit(f).alias("field"), v.cast("string").alias("value")) for f, v in fields.items()])).alias("part"))
-    often = values.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    rarest = parts.join(often, "part", "left").groupBy("q").agg(
-        F.min_by("part", F.struct(F.coalesce("n", F.lit(0)), "part")).alias("part"),
-        F.any_value("equal").alias("equal"), F.any_value("within").alias("within"))
-    wanted = rarest.select("part").distinct()
+    often = shared_table(spark, values.groupBy("part").agg(F.count(F.lit(1)).alias("n")))
+    # values of many rows, at most one in SLICE_ROWS of all: few enough for every task, whatever the size of the table
+    hot = F.broadcast(often.where((F.col("n") > SLICE_ROWS) & F.col("part.value").isNotNull()))
+    seen = parts.join(hot, "part").unionByName(parts.join(hot, "part", "left_anti").join(often, "part", "left"))
+    rarest = shared_table(spark, seen.groupBy("q").agg(
+        F.min_by(F.struct("part", F.coalesce("n", F.lit(0)).alias("n")), F.struct(F.coalesce("n", F.lit(0)), "part")).alias("at"),
+        F.any_value("equal").alias("equal"), F.any_value("within").alias("within")).select("q", "at.part", "at.n", "equal", "within"))
+    slices = F.ceil(F.col("n") / SLICE_ROWS).cast("int")
     own = rows.select(
         F.col(key).alias("k"), F.array(*[F.struct(F.lit(f).alias("field"), v.cast("string").alias("value")) for f, v in fields.items()]).alias("parts"),
         F.map_from_arrays(F.array(*map(F.lit, numbers)), F.array(*[v.cast("double") for v in numbers.values()])).alias("numbers")
         if numbers else F.lit(None).cast("map<string,double>").alias("numbers"))
-    met = own.withColumn("part", F.explode("parts")).where("part.value is not null").join(wanted, "part", "left_semi")
+    # rows of a hot value go nowhere without a query that waits there, else into slices, each with all its queries
+    waited = F.broadcast(hot.join(rarest.where(F.col("n") > SLICE_ROWS).select("part").distinct().withColumn("waited", F.lit(True)), "part", "left")
+                         .select("part", "waited", slices.alias("slices")))
+    met = (own.withColumn("part", F.explode("parts")).where("part.value is not null").join(waited, "part", "left")
+           .where("slices is null or waited").withColumn("slice", F.coalesce(F.pmod(F.xxhash64("k"), "slices").cast("int"), F.lit(0)))
+           .drop("waited", "slices"))
+    waiting = rarest.withColumn("slice", F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))).drop("n")
     counted = F.size(F.array_intersect("equal", "parts")) == F.size("equal")
     inside = F.forall("within", lambda w: F.coalesce(
         F.try_element_at("numbers", w["field"]).between(F.coalesce(w["low"], F.lit(float("-inf"))), F.coalesce(w["high"], F.lit(float("inf")))),
         F.lit(False)))
-    return met.join(rarest, "part").where(counted & inside).select(F.col("q").alias(query_id), F.col("k").alias(key))
+    return met.join(waiting, ["part", "slice"]).where(counted & inside).select(F.col("q").alias(query_id), F.col("k").alias(key))

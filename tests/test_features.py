@@ -133,6 +133,23 @@ def test_query_index(spark):
     assert set(got) == want and len(got) == len(want)
 
 
+def test_query_index_with_frequent_values(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(predicates, "SLICE_ROWS", 10, raising=False)
+    rows = [(i, "F" if i % 3 else "O", f"c{i % 90}", float(i % 7)) for i in range(300)]
+    queries = [(1, [("status", "F")], None), (2, [("status", "F")], [("price", 2.0, None)]), (3, [("status", "O"), ("customer", "c3")], None),
+               (4, [("status", "O"), ("status", "F")], None), (5, [("customer", "c4")], [("price", None, 3.0)])]
+    want = {(q, i) for q, equal, within in queries for i, st, c, p in rows
+            if all({"status": st, "customer": c}[f] == v for f, v in equal) and all((lo is None or lo <= p) and (hi is None or p <= hi) for _, lo, hi in within or ())}
+    df = spark.createDataFrame(rows, "id long, status string, customer string, price double")
+    found = predicates.answers(df, "id", {"status": F.col("status"), "customer": F.col("customer")}, {"price": F.col("price")},
+                               spark.createDataFrame(queries, predicates.QUERY))
+    got = [tuple(r) for r in found.collect()]
+    assert set(got) == want and len(got) == len(want)
+    # the 200 rows of F meet their queries in slices, and no group holds them all
+    assert "slice" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_counts_at_every_grain(spark):
     from quire.plans.catalog import counts_at
     rows = [("t", "s", sp, pg, w) for sp in ("A", "B", None) for pg in ("1", None) for w in ("page", "link") for _ in range(3)] + [(None, "s", "A", "1", "page")]
