@@ -101,8 +101,8 @@ def landed_steps(spark: SparkSession, sf: str) -> DataFrame:
     one = F.struct(F.col("l_linenumber").cast("long").alias("orderId"),
                    F.concat(F.lit("Ship part "), _s("l_partkey"), F.lit(" from "), _s("l_suppkey")).alias("step"),
                    data.alias("data"), F.lit("").alias("result"))
-    return li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(one)).alias("testSteps")).select(
-        F.concat(F.lit("O-"), _s("l_orderkey")).alias("issue_key"), "testSteps")
+    return li.groupBy(F.concat(F.lit("O-"), _s("l_orderkey")).alias("issue_key")).agg(
+        F.array_sort(F.collect_list(one)).alias("testSteps"))
 
 
 def landed_wiki(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

@@ -233,28 +233,29 @@ def issue_queries(issues: DataFrame, specs: Sequence[Mapping], *, comments: Data
     blocks, parts = [], [F.col("body")]
     if steps is not None and any(sp.get("include_steps") for sp in specs):
         wanted = v.where("_with_steps").select(F.col("key").alias("issue_key")).distinct()
-        st = steps.select("issue_key", F.posexplode("testSteps").alias("arrival", "s")).select(
-            "issue_key", "arrival", "s.orderId", "s.step", "s.data", "s.result").join(wanted, "issue_key", "left_semi")
+        st = steps.join(wanted, "issue_key", "left_semi").select("issue_key", F.posexplode("testSteps").alias("arrival", "s")).select(
+            "issue_key", "arrival", "s.orderId", "s.step", "s.data", "s.result")
         blocks.append((iss.steps_block(st, "issue_key", [("orderId", True), ("arrival", True)],
                                        "step", "data", "result"), "steps_block"))
         parts.append(F.when(F.col("_with_steps"), F.col("steps_block")).otherwise(F.lit("")))
     if comments is not None and any(sp.get("include_comments") for sp in specs):
         wanted = v.where("_with_comments").select(F.col("key").alias("issue_key")).distinct()
-        cm = comments.select("issue_key", "startAt", F.posexplode("comments").alias("pos", "c")).select(
+        cm = comments.join(wanted, "issue_key", "left_semi").select("issue_key", "startAt", F.posexplode("comments").alias("pos", "c")).select(
             "issue_key", (F.coalesce(F.col("startAt"), F.lit(0)) + F.col("pos")).alias("seq"),
             F.col("c.author.displayName").alias("author"), F.col("c.updated").alias("updated_c"),
-            F.col("c.renderedBody").alias("content")).join(wanted, "issue_key", "left_semi")
+            F.col("c.renderedBody").alias("content"))
         blocks.append((iss.comments_block(cm, "issue_key", [("seq", True)], "author", "updated_c", "content"),
                        "comments_block"))
         parts.append(F.when(F.col("_with_comments"), F.col("comments_block")).otherwise(F.lit("")))
-    v = iss.attach_blocks(v, "key", *blocks)
-    docs = v.select("crawl_target", iss.issue_file_name(F.col("key")).alias("filename"), F.lit(HTML).alias("mime_type"),
-                    F.concat(*parts).alias("body"), "run_ord", "key", "title", "web_url", "created", "updated")
+    filename = iss.issue_file_name(F.col("key")).alias("filename")
+    docs = iss.attach_blocks(v, "key", *blocks).select("crawl_target", filename, F.lit(HTML).alias("mime_type"),
+                                                       F.concat(*parts).alias("body"), "run_ord")
+    # a block is at most one row an issue and no part of a record, so records need none of their joins
+    named = v.select("crawl_target", filename, "run_ord", "key", "title", "web_url", "created", "updated")
     rec = metadata_record(F.col("key"), iss.issue_title(F.col("key"), F.col("title")), F.col("web_url"),
                           F.col("created"), F.lit(HTML), storage_uri(bucket, F.col("crawl_target"), F.col("filename")),
                           updated_at=F.col("updated"))
-    return Corpus(docs.select("crawl_target", "filename", "mime_type", "body", "run_ord"),
-                  docs.select("crawl_target", "filename", rec.alias("metadata"), "run_ord"), {})
+    return Corpus(docs, named.select("crawl_target", "filename", rec.alias("metadata"), "run_ord"), {})
 
 
 def issue_corpus(issues: DataFrame, *, target: str, where: Column | str | None = None,

@@ -302,3 +302,13 @@ def test_epic_summaries_for_several_targets(spark):
                                          dict(target="c", project="NONE", ord=3)], base_url=BASE, bucket=BUCKET)
     got = sorted((r.crawl_target, r.filename, r.run_ord) for r in c.documents.collect())
     assert got == [("a", "jira-cloud PRJ-9.html", 1), ("b", "jira-cloud PRJ-9.html", 2)]
+
+
+def test_issue_records_read_no_blocks(spark):
+    from quire.plans.corpus import issue_queries
+    t = _tables(spark)
+    c = issue_queries(t["issues"], [dict(target="a", include_comments=True, include_steps=True)], comments=t["comments"],
+                      steps=t["test_steps"], base_url=BASE, bucket=BUCKET)
+    assert "issue_key" not in c.metadata._jdf.queryExecution().optimizedPlan().toString()
+    assert "issue_key" in c.documents._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.filename for r in c.metadata.collect()) == sorted(r.filename for r in c.documents.collect()) != []
