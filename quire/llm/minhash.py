@@ -230,7 +230,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     close = table(spark, pairs.join(left, "a").join(right, "b")
                   .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
                   .select("a", "b", "ma", "mb").mapInArrow(_near(percent, t), "a binary, b binary"))
-    sets = _sets_of(spark, src, nodes, close.select(F.explode(F.array("a", "b")).alias("node")).distinct(),
+    sets = _sets_of(src, nodes, close.select(F.explode(F.array("a", "b")).alias("node")).distinct(),
                     shingle_words)
     left, right = (sets.select(F.col("node").alias(x), F.col("items").alias(f"i{x}")) for x in "ab")
     links = table(spark, close.join(left, "a").join(right, "b").select("a", "b", "ia", "ib")
@@ -249,13 +249,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def _sets_of(spark: SparkSession, src: DataFrame, nodes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """The full shingle sets of some nodes, built again from whole texts."""
+def _sets_of(src: DataFrame, nodes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """The full shingle sets of some nodes, built again from whole texts
+    and dealt by node: joins by node read them where they lie, so they are
+    neither written as a table nor dealt a second time."""
     used = wanted.join(nodes.select("node", "low"), "node")
     ids = used.select(F.col("low").alias("doc_id")).distinct()
     texts = src.join(ids, src.doc_id.eqNullSafe(ids.doc_id), "left_semi").select("doc_id", "text")
-    return table(spark, texts.mapInArrow(_sets(k), "node binary, items binary")
-                 .join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("items").alias("items")))
+    return (texts.mapInArrow(_sets(k), "node binary, items binary")
+            .join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("items").alias("items")))
 
 
 def _rest(spark: SparkSession, src: DataFrame, nodes: DataFrame, members: DataFrame, root: DataFrame, k: int,
@@ -272,7 +274,7 @@ def _rest(spark: SparkSession, src: DataFrame, nodes: DataFrame, members: DataFr
                                           F.bit_xor(F.xxhash64("node")).alias("same"), F.count("*").alias("m"))
              .where("x <> y").groupBy("same", "m").agg(F.min("bucket").alias("bucket")).select("bucket"))
     active = table(spark, active.join(mixed, "bucket").join(nodes.select("node", "n", "marks"), "node"))
-    sets = _sets_of(spark, src, nodes, active.select("node").distinct(), k)
+    sets = _sets_of(src, nodes, active.select("node").distinct(), k)
     blocks = active.groupBy("bucket").agg(F.ceil(F.sum("n") * 8 / BLOCK_BYTES).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), "blocks").cast("int")
     cells = (active.join(blocks, "bucket").join(sets, "node").withColumn("own", own)
