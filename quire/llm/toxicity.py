@@ -233,8 +233,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col:
                text_col: str = "text", threshold: float = THRESHOLD, label_col: str = "toxic") -> DataFrame:
     """``docs`` without the rows that ``score`` predicts toxic. Every row
     is judged by its own text, whatever other rows share its id: the rows
-    are carried beside their numbers, not joined again."""
+    are carried beside their numbers, not joined again. The numbers of the
+    training fold are written for the fit; those of the rows are taken while
+    the rows pass, so no table holds a second copy of the texts."""
     marks = marks_of(labels, id_col, label_col)
-    found = table(spark, extract(docs, learn_lexicon(docs, marks, id_col, text_col), id_col, text_col, whole=True))
-    scored = fit(found.drop("own"), marks).score(found)
+    learned = learn_lexicon(docs, marks, id_col, text_col)
+    fold = docs.where(training_fold(docs[id_col].cast("long")))
+    model = fit(table(spark, extract(fold, learned, id_col, text_col)), marks)
+    scored = model.score(extract(docs, learned, id_col, text_col, whole=True))
     return scored.where(F.col("score") < threshold).select("own.*")
