@@ -26,7 +26,7 @@ from quire.llm.common import runs, text_buffers
 
 WS = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6   # piece types of the model file
-GROUP_BYTES = 2 << 20      # text encoded at once
+GROUP_BYTES = 1 << 19      # text encoded at once
 KEPT_PARTS = 300_000       # parts kept by a task before it starts anew
 SHORT = 64                 # symbols up to which parts are merged side by side; a longer one keeps a heap
 NONE = 1 << 24             # rank of a pair that is no piece
