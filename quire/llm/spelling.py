@@ -10,7 +10,8 @@ limits: an edit behind the gram leaves the word up to the gram as it is,
 an edit before it leaves the word from the gram on as it is. The unchanged
 side is part of the key, and so is the near or the far end of the other
 side, as one edit leaves one of them: a frequent gram is no large group.
-Candidates are verified by edit distance.
+Candidates are verified by edit distance. Tables that grow with the
+vocabulary are joined by sort and merge; none is broadcast.
 """
 
 from __future__ import annotations
@@ -114,7 +115,8 @@ def near(vocabulary: DataFrame, order: dict[str, tuple[int, int]]) -> DataFrame:
     a = vocabulary.mapInArrow(_role(order, True), _ROLE)
     b = vocabulary.mapInArrow(_role(order, False), _ROLE).select(
         "gram_key", F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("bound").alias("other_bound"))
-    found = a.join(b, "gram_key").where(
+    # Spark sizes both sides as the file of the vocabulary, which has a tenth of their rows
+    found = a.join(b.hint("merge"), "gram_key").where(
         (F.col("bound") <= F.col("other_bound")) & (F.abs(F.length("word") - F.length("other")) <= 1)
         & (F.levenshtein("word", "other", 1) == 1))
     both = F.array(F.struct("word", "n", "other", "other_n"),
@@ -129,7 +131,7 @@ def roots(spark: SparkSession, links: DataFrame) -> DataFrame:
     links = table(spark, links.select("word", F.col("form").alias("root")))
     while True:
         onwards = links.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        new = table(spark, links.join(onwards, "root", "left").select("word", F.coalesce("further", "root").alias("root"),
+        new = table(spark, links.join(onwards.hint("merge"), "root", "left").select("word", F.coalesce("further", "root").alias("root"),
                                                                       F.col("further").isNotNull().alias("moved")))
         if not new.where("moved").limit(1).count():
             return new.select("word", "root")
@@ -144,9 +146,9 @@ def variants(spark: SparkSession, docs: DataFrame) -> DataFrame:
     vocabulary = table(spark, words(docs))
     pairs = near(vocabulary, gram_order(vocabulary))
     best = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("less"), "other")).alias("best"))
-    chosen = vocabulary.join(best, "word", "left").withColumn("fits", -F.col("best.less") >= 2 * F.col("n"))
+    chosen = vocabulary.join(best.hint("merge"), "word", "left").withColumn("fits", -F.col("best.less") >= 2 * F.col("n"))
     formed = table(spark, chosen.select("word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
                                         F.when(F.col("fits"), F.col("best.other")).alias("form"),
                                         F.when(F.col("fits"), -F.col("best.less")).alias("form_n")))
     ends = roots(spark, formed.where("form is not null"))
-    return formed.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return formed.join(ends.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
